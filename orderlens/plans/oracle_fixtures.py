@@ -114,7 +114,10 @@ SELECT * FROM silver_items WHERE USER_ID IS NOT NULL AND trim(USER_ID) <> ''""")
 def with_fixtures(select_sql: str) -> str:
     """Prefix a SELECT with every fixture CTE."""
     ctes = ",\n".join(f"{name} AS ({body.strip()})" for name, body in FIXTURE_CTES)
-    return f"WITH {ctes}\n{select_sql.strip()}"
+    body = select_sql.strip()
+    if body[:4].upper() == "WITH":
+        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    return f"WITH {ctes}\n{body}"
 
 
 def half_up_avg(s: str, n: str) -> str:

@@ -1,5 +1,138 @@
-"""placeholder"""
+"""DuckDB oracle SQL for the business metrics (M1-M18), written as the metric
+definitions state them (LAG windows, ROW_NUMBER, window over the grouped rows)."""
+
+from __future__ import annotations
+
+from orderlens.plans.oracle_fixtures import half_up_avg
+
+M = "DECIMAL(38,2)"
+AS_OF = "TIMESTAMP '2001-08-01 00:00:00'"
+IDENT = "USER_ID IS NOT NULL AND trim(USER_ID) <> ''"
+AMT = "ITEM_PRICE * ITEM_QUANTITY"
+WEEK = "CAST(date_trunc('week', CREATION_TIME_UTC) AS DATE)"
+HOUR = "hour(CREATION_TIME_UTC)"
+
+
+def exact_ratio(num: str, den: str) -> str:
+    """round half away from zero of num / den * 100 to 2 places, exactly, for
+    decimals of scale <= 2 (integer arithmetic in hundredths)."""
+    a = f"(CAST(({num}) * 100 AS HUGEINT) * 10000)"
+    b = f"CAST(({den}) * 100 AS HUGEINT)"
+    q = f"((2 * abs({a}) + abs({b})) // (2 * abs({b})))"
+    return (
+        f"CASE WHEN {b} = 0 THEN NULL ELSE CAST(CAST(sign({a}) * sign({b}) * {q} AS DECIMAL(38,0))"
+        f" * CAST(0.01 AS DECIMAL(2,2)) AS {M}) END"
+    )
+
+
+def _weekly(by: str | None, wide: bool) -> str:
+    keys = (f"{by}, " if by else "") + f"{WEEK} AS order_week"
+    cols = ""
+    if wide:
+        cols = (
+            f"CAST(SUM(CASE WHEN {HOUR} < 12 THEN {AMT} ELSE 0 END) AS {M}) AS morning_revenue, "
+            f"CAST(SUM(CASE WHEN {HOUR} >= 12 AND {HOUR} < 16 THEN {AMT} ELSE 0 END) AS {M}) AS afternoon_revenue, "
+            f"CAST(SUM(CASE WHEN {HOUR} >= 16 THEN {AMT} ELSE 0 END) AS {M}) AS evening_revenue, "
+        )
+    return f"SELECT {keys}, {cols}CAST(SUM({AMT}) AS {M}) AS total_weekly_revenue FROM order_items GROUP BY ALL"
+
+
+ORDER_SUMMARY = f"""SELECT USER_ID, ORDER_ID, MIN(CREATION_TIME_UTC) AS order_time, SUM({AMT}) AS order_total
+FROM order_items WHERE {IDENT} GROUP BY USER_ID, ORDER_ID"""
 
 
 def queries() -> dict[str, str]:
-    return {}
+    q: dict[str, str] = {}
+    q["clv_lines"] = f"""
+SELECT i.USER_ID, i.ORDER_ID, i.LINEITEM_ID, CAST(i.{AMT} + COALESCE(o.OPTION_REVENUE, 0) AS {M}) AS lifetime_total
+FROM order_items i LEFT JOIN options_by_line o ON i.ORDER_ID = o.ORDER_ID AND i.LINEITEM_ID = o.LINEITEM_ID
+WHERE i.{IDENT}"""
+    q["clv_customer"] = f"""
+SELECT i.USER_ID, CAST(SUM(i.{AMT} + COALESCE(o.OPTION_REVENUE, 0)) AS {M}) AS lifetime_total
+FROM order_items i LEFT JOIN options_by_line o ON i.ORDER_ID = o.ORDER_ID AND i.LINEITEM_ID = o.LINEITEM_ID
+WHERE i.{IDENT} GROUP BY i.USER_ID"""
+    for name, k in (("recent_purchase", "= 1"), ("recent_purchases_5", "<= 5")):
+        q[name] = f"""
+SELECT USER_ID, ORDER_ID, LINEITEM_ID, CREATION_TIME_UTC, CAST({AMT} AS {M}) AS total_purch_amount
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY USER_ID ORDER BY CREATION_TIME_UTC DESC, ORDER_ID, LINEITEM_ID) AS rk
+      FROM order_items WHERE {IDENT}) t WHERE rk {k}"""
+    recent = f"FROM order_items WHERE {IDENT} AND CREATION_TIME_UTC >= {AS_OF} - INTERVAL 1 MONTH GROUP BY USER_ID"
+    q["purchase_frequency"] = f"SELECT USER_ID, COUNT(DISTINCT ORDER_ID) AS number_of_purchases {recent}"
+    q["monthly_spend"] = f"SELECT USER_ID, CAST(SUM({AMT}) AS {M}) AS total_amount_spent {recent}"
+    q["days_since_last_order"] = f"""
+SELECT USER_ID, CAST(date_diff('day', CAST(MAX(CREATION_TIME_UTC) AS DATE), CAST({AS_OF} AS DATE)) AS INTEGER)
+  AS days_since_last_order {recent}"""
+    q["order_gaps"] = f"""
+WITH os AS ({ORDER_SUMMARY}),
+g AS (SELECT USER_ID, order_time,
+        date_diff('day', CAST(LAG(order_time) OVER w AS DATE), CAST(order_time AS DATE)) AS days_since_prev_order,
+        order_total - LAG(order_total) OVER w AS spend_diff
+      FROM os WINDOW w AS (PARTITION BY USER_ID ORDER BY order_time, ORDER_ID))
+SELECT USER_ID, COUNT(order_time) AS total_orders,
+  ROUND(AVG(days_since_prev_order), 6) AS avg_days_between_orders,
+  ROUND(CAST(AVG(spend_diff) AS DOUBLE), 6) AS avg_spend_diff_between_orders
+FROM g GROUP BY USER_ID HAVING COUNT(order_time) > 1"""
+    q["spend_change_5"] = f"""
+WITH os AS ({ORDER_SUMMARY}),
+h AS (SELECT USER_ID, ORDER_ID, order_time, order_total,
+        ROW_NUMBER() OVER (PARTITION BY USER_ID ORDER BY order_time DESC, ORDER_ID DESC) AS recency_rank,
+        LAG(order_total) OVER (PARTITION BY USER_ID ORDER BY order_time, ORDER_ID) AS prev_order_total
+      FROM os)
+SELECT USER_ID, ORDER_ID, order_time, CAST(order_total AS {M}) AS order_total,
+  CAST(prev_order_total AS {M}) AS prev_order_total,
+  {exact_ratio("order_total - prev_order_total", "prev_order_total")} AS pct_change_from_prev_order
+FROM h WHERE recency_rank <= 5"""
+    q["weekly_daypart_wide"] = _weekly(None, True)
+    q["weekly_daypart_long"] = f"""
+SELECT {WEEK} AS order_week,
+  CASE WHEN {HOUR} < 12 THEN 'Morning' WHEN {HOUR} < 16 THEN 'Afternoon' ELSE 'Evening' END AS time_of_day,
+  CAST(SUM({AMT}) AS {M}) AS total_revenue
+FROM order_items GROUP BY ALL"""
+    q["restaurant_weekly_daypart"] = _weekly("RESTAURANT_ID", True)
+    q["restaurant_weekly"] = _weekly("RESTAURANT_ID", False)
+    q["category_weekly_daypart"] = _weekly("ITEM_CATEGORY", True)
+    q["category_weekly"] = _weekly("ITEM_CATEGORY", False)
+    for name, extra in (("non_loyalty_orders", ""), ("guest_orders", f" AND NOT ({IDENT})")):
+        q[name] = f"""
+WITH t AS (SELECT ORDER_ID, SUM({AMT}) AS order_total FROM order_items
+           WHERE IS_LOYALTY = FALSE{extra} GROUP BY ORDER_ID)
+SELECT COUNT(ORDER_ID) AS total_non_loyalty_orders,
+  {half_up_avg("SUM(order_total)", "COUNT(order_total)")} AS avg_amount_spent_per_order,
+  CAST(ROUND(MAX(order_total), 2) AS {M}) AS max_amount_spent_on_order,
+  CAST(ROUND(MIN(order_total), 2) AS {M}) AS min_amount_spent_on_order,
+  CAST(ROUND(SUM(order_total), 2) AS {M}) AS total_non_loyalty_revenue
+FROM t"""
+    q["non_loyalty_customers"] = f"""
+WITH t AS (SELECT USER_ID, ORDER_ID, SUM({AMT}) AS order_total FROM order_items
+           WHERE IS_LOYALTY = FALSE AND {IDENT} GROUP BY USER_ID, ORDER_ID)
+SELECT USER_ID, COUNT(ORDER_ID) AS total_orders,
+  {half_up_avg("SUM(order_total)", "COUNT(order_total)")} AS avg_purchase_amount,
+  CAST(ROUND(SUM(order_total), 2) AS {M}) AS lifetime_spent
+FROM t GROUP BY USER_ID"""
+    q["loyalty_customers"] = f"""
+WITH t AS (SELECT USER_ID, ORDER_ID, SUM({AMT}) AS order_total FROM order_items
+           WHERE IS_LOYALTY = TRUE AND {IDENT} GROUP BY USER_ID, ORDER_ID)
+SELECT USER_ID, {half_up_avg("SUM(order_total)", "COUNT(order_total)")} AS average_order_amount,
+  COUNT(ORDER_ID) AS number_of_orders, CAST(SUM(order_total) AS {M}) AS total_loyalty_revenue
+FROM t GROUP BY USER_ID"""
+    q["top_locations"] = f"""
+WITH t AS (SELECT RESTAURANT_ID, ORDER_ID, CAST(date_trunc('week', MIN(CREATION_TIME_UTC)) AS DATE) AS order_week,
+             SUM({AMT}) AS order_total FROM order_items GROUP BY RESTAURANT_ID, ORDER_ID)
+SELECT RESTAURANT_ID, order_week, CAST(SUM(order_total) AS {M}) AS total_revenue,
+  COUNT(ORDER_ID) AS weekly_order_count,
+  {half_up_avg("SUM(order_total)", "COUNT(order_total)")} AS average_order_value
+FROM t GROUP BY RESTAURANT_ID, order_week"""
+    q["discount_effectiveness"] = f"""
+WITH d AS (SELECT DISTINCT ORDER_ID FROM order_items_options WHERE OPTION_PRICE = 0),
+ot AS (SELECT ORDER_ID, SUM({AMT}) AS order_total FROM order_items GROUP BY ORDER_ID),
+oc AS (SELECT ot.ORDER_ID, ot.order_total,
+         CASE WHEN d.ORDER_ID IS NOT NULL THEN 'Discounted Order' ELSE 'Full Price Order' END AS discount_status
+       FROM ot LEFT JOIN d ON ot.ORDER_ID = d.ORDER_ID),
+g AS (SELECT discount_status, COUNT(ORDER_ID) AS total_orders, SUM(order_total) AS rev,
+        {half_up_avg("SUM(order_total)", "COUNT(order_total)")} AS average_order_value
+      FROM oc GROUP BY discount_status)
+SELECT discount_status, total_orders, CAST(ROUND(rev, 2) AS {M}) AS total_revenue, average_order_value,
+  {exact_ratio("total_orders", "SUM(total_orders) OVER ()")} AS pct_of_total_orders,
+  {exact_ratio("rev", "SUM(rev) OVER ()")} AS pct_of_total_revenue
+FROM g"""
+    return q

@@ -8,30 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from orderlens.operators import checks, gold, silver
+from orderlens.plans.registry_base import Query, items, options, silver_lines, silver_opts
 from orderlens.sources import fixtures
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-def items(spark: SparkSession, d: str) -> DataFrame:
-    return fixtures.order_items(spark, d)
-
-
-def options(spark: SparkSession, d: str) -> DataFrame:
-    return fixtures.order_items_options(spark, d)
-
-
-def silver_lines(spark: SparkSession, d: str) -> DataFrame:
-    it = items(spark, d)
-    return silver.silver_order_items(it, options(spark, d), fixtures.order_calendar(it))
-
-
-def silver_opts(spark: SparkSession, d: str) -> DataFrame:
-    return silver.silver_options(options(spark, d))
-
 
 def _gold(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: gold.conform(build(silver_lines(spark, d)), name)
