@@ -1,7 +1,7 @@
 """DuckDB twin of ``orderlens.sources.fixtures`` as SQL common table expressions.
 
 Every oracle query is ``WITH <these CTEs> SELECT ...`` over the pre-registered
-test-table views. DuckDB only evaluates the CTEs a query references.
+test-table views. Each CTE is materialized once per query.
 """
 
 from __future__ import annotations
@@ -38,9 +38,9 @@ FROM (SELECT *, UNNEST(GENERATE_SERIES(1, CASE WHEN l_orderkey % 11 = 0 THEN 3 W
         WHEN l_orderkey % 5 = 2 THEN 1 ELSE 0 END)) AS n FROM li) x"""),
     ("days", """
 SELECT CAST(UNNEST(GENERATE_SERIES(s, e, INTERVAL 1 DAY)) AS DATE) AS date_key, s
-FROM (SELECT CAST(date_trunc('year', MIN(CREATION_TIME_UTC)) AS DATE) AS s,
-             CAST(date_trunc('year', MAX(CREATION_TIME_UTC)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE) AS e
-      FROM order_items) b"""),
+FROM (SELECT CAST(date_trunc('year', MIN(o_orderdate)) AS DATE) AS s,
+             CAST(date_trunc('year', MAX(o_orderdate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE) AS e
+      FROM orders) b"""),
     ("cal", """
 SELECT date_key, CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) AS INTEGER) AS month,
   CAST(weekofyear(date_key) AS INTEGER) AS week, dayname(date_key) AS day_of_week,
@@ -113,7 +113,9 @@ SELECT * FROM silver_items WHERE USER_ID IS NOT NULL AND trim(USER_ID) <> ''""")
 
 def with_fixtures(select_sql: str) -> str:
     """Prefix a SELECT with every fixture CTE."""
-    ctes = ",\n".join(f"{name} AS ({body.strip()})" for name, body in FIXTURE_CTES)
+    # Explicitly MATERIALIZED: DuckDB's automatic choice for CTEs used more
+    # than once can fail internally on repeated runs in one connection.
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({body.strip()})" for name, body in FIXTURE_CTES)
     body = select_sql.strip()
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"

@@ -147,16 +147,20 @@ MISSING_ITEM_FIELDS = (
 
 
 def _summary(short: str) -> str:
+    """One row per file from three one-row aggregates (rows and missing cells,
+    duplicate groups, issues) combined side by side."""
     t, table = RAW[short], TABLE[short]
     cols = EXPECTED_COLUMNS[table]
     miss = " + ".join(f"COUNT(*) FILTER (WHERE {missing(c)})" for c in cols)
-    issues = f"(SELECT COUNT(*) FROM ({issues_sql(short)}))"
+    issues = f"SELECT COUNT(*) AS n FROM ({issues_sql(short)})"
     if short == "options":
-        issues = f"({issues} + (SELECT COUNT(*) FROM ({BROKEN_ISSUES})))"
+        issues = f"SELECT SUM(n) AS n FROM ({issues} UNION ALL SELECT COUNT(*) AS n FROM ({BROKEN_ISSUES}))"
     return (
-        f"SELECT '{FILE_NAMES[table]}' AS file, COUNT(*) AS rows, CAST({len(cols)} AS BIGINT) AS columns, "
-        f"CAST({miss} AS BIGINT) AS missing_values, (SELECT COUNT(*) FROM ({duplicates_sql(short)})) AS duplicate_groups, "
-        f"{issues} AS corrupt_or_invalid_values FROM {t}"
+        f"SELECT '{FILE_NAMES[table]}' AS file, b.rows, CAST({len(cols)} AS BIGINT) AS columns, b.missing_values, "
+        f"d.n AS duplicate_groups, CAST(i.n AS BIGINT) AS corrupt_or_invalid_values "
+        f"FROM (SELECT COUNT(*) AS rows, CAST({miss} AS BIGINT) AS missing_values FROM {t}) b "
+        f"JOIN (SELECT COUNT(*) AS n FROM ({duplicates_sql(short)})) d ON TRUE "
+        f"JOIN ({issues}) i ON TRUE"
     )
 
 

@@ -25,7 +25,7 @@ def _silver_and_gold() -> dict[str, Query]:
         "unmatched_options": lambda s, d: silver.unmatched_option_keys(items(s, d), options(s, d)),
         "silver_order_items": silver_lines,
         "silver_options": silver_opts,
-        "calendar": lambda s, d: silver.silver_calendar(fixtures.order_calendar(items(s, d))),
+        "calendar": lambda s, d: silver.silver_calendar(fixtures.order_calendar(s, d)),
         "order_summary": lambda s, d: gold.order_summary(silver_lines(s, d)),
         "sales_hourly": _gold("sales_hourly", gold.sales_hourly),
         "restaurant_daily": _gold("restaurant_daily", gold.restaurant_daily),

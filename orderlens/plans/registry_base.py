@@ -21,8 +21,7 @@ def options(spark: SparkSession, d: str) -> DataFrame:
 
 
 def silver_lines(spark: SparkSession, d: str) -> DataFrame:
-    it = items(spark, d)
-    return silver.silver_order_items(it, options(spark, d), fixtures.order_calendar(it))
+    return silver.silver_order_items(items(spark, d), options(spark, d), fixtures.order_calendar(spark, d))
 
 
 def silver_opts(spark: SparkSession, d: str) -> DataFrame:

@@ -117,16 +117,16 @@ def order_items_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_calendar(items: DataFrame) -> DataFrame:
-    """Calendar spanning whole years around the order dates of ``items``.
+def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar spanning whole years around the order dates.
 
-    The range is derived from the data (one aggregate row), so it grows with it;
-    the calendar holds one row per day of that span."""
-    bounds = items.agg(
-        F.trunc(F.min(F.to_date("CREATION_TIME_UTC")), "year").alias("start"),
-        F.date_sub(
-            F.add_months(F.trunc(F.max(F.to_date("CREATION_TIME_UTC")), "year"), 12), 1
-        ).alias("end"),
+    The span comes from ``orders.o_orderdate`` (a one-column scan; every line
+    of an order falls on the order's date), so it grows with the data; the
+    calendar holds one row per day of that span."""
+    day = F.to_date("o_orderdate")
+    bounds = table(spark, sf_dir, "orders").agg(
+        F.trunc(F.min(day), "year").alias("start"),
+        F.date_sub(F.add_months(F.trunc(F.max(day), "year"), 12), 1).alias("end"),
     )
     return build_calendar(bounds=bounds)
 
@@ -226,7 +226,7 @@ def raw_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     format, an out-of-range month, a fractional and a non-numeric week, a
     lower-case weekday, a bad holiday flag. Rows follow the date, so the source
     row is the day's position in the span (no window needed)."""
-    cal = order_calendar(order_items(spark, sf_dir))
+    cal = order_calendar(spark, sf_dir)
     d, m = F.dayofmonth("date_key"), C("month")
     two = lambda c: F.lpad(_s(c), 2, "0")
     return cal.select(
