@@ -287,29 +287,32 @@ def discount_effectiveness(items: DataFrame, options: DataFrame) -> DataFrame:
 
 
 # Report order (O1-O3) -------------------------------------------------------
-REPORT_ORDER: dict[str, list[Column]] = {
-    "clv_lines": [C("USER_ID"), C("ORDER_ID"), C("LINEITEM_ID")],
-    "clv_customer": [C("USER_ID")],
-    "recent_purchase": [C("USER_ID"), C(TS).desc()],
-    "recent_purchases_5": [C("USER_ID"), C(TS).desc()],
-    "purchase_frequency": [C("number_of_purchases").desc(), C("USER_ID")],
-    "monthly_spend": [C("total_amount_spent").desc(), C("USER_ID")],
-    "days_since_last_order": [C("days_since_last_order").desc(), C("USER_ID")],
-    "order_gaps": [C("avg_days_between_orders").asc(), C("USER_ID")],
-    "spend_change_5": [C("USER_ID"), C("order_time").asc()],
-    "weekly_daypart_wide": [C("order_week").desc()],
-    "restaurant_weekly_daypart": [C("RESTAURANT_ID"), C("order_week").desc()],
-    "restaurant_weekly": [C("RESTAURANT_ID"), C("order_week").desc()],
-    "category_weekly_daypart": [C("ITEM_CATEGORY"), C("order_week").desc()],
-    "category_weekly": [C("ITEM_CATEGORY"), C("order_week").desc()],
-    "non_loyalty_customers": [C("lifetime_spent").desc(), C("USER_ID")],
-    "loyalty_customers": [C("USER_ID")],
-    "top_locations": [C("RESTAURANT_ID"), C("order_week").desc()],
-    "discount_effectiveness": [C("discount_status")],
+# Sort keys per metric report; a leading "-" sorts descending.
+REPORT_ORDER: dict[str, list[str]] = {
+    "clv_lines": ["USER_ID", "ORDER_ID", "LINEITEM_ID"],
+    "clv_customer": ["USER_ID"],
+    "recent_purchase": ["USER_ID", "-" + TS],
+    "recent_purchases_5": ["USER_ID", "-" + TS],
+    "purchase_frequency": ["-number_of_purchases", "USER_ID"],
+    "monthly_spend": ["-total_amount_spent", "USER_ID"],
+    "days_since_last_order": ["-days_since_last_order", "USER_ID"],
+    "order_gaps": ["avg_days_between_orders", "USER_ID"],
+    "spend_change_5": ["USER_ID", "order_time"],
+    "weekly_daypart_wide": ["-order_week"],
+    "restaurant_weekly_daypart": ["RESTAURANT_ID", "-order_week"],
+    "restaurant_weekly": ["RESTAURANT_ID", "-order_week"],
+    "category_weekly_daypart": ["ITEM_CATEGORY", "-order_week"],
+    "category_weekly": ["ITEM_CATEGORY", "-order_week"],
+    "non_loyalty_customers": ["-lifetime_spent", "USER_ID"],
+    "loyalty_customers": ["USER_ID"],
+    "top_locations": ["RESTAURANT_ID", "-order_week"],
+    "discount_effectiveness": ["discount_status"],
 }
 
 
 def in_report_order(df: DataFrame, name: str) -> DataFrame:
     """Sort a metric as its report is sorted (a distributed range sort)."""
-    order = REPORT_ORDER.get(name)
-    return df.orderBy(*order) if order else df
+    keys = REPORT_ORDER.get(name)
+    if not keys:
+        return df
+    return df.orderBy(*[C(k[1:]).desc() if k.startswith("-") else C(k).asc() for k in keys])
