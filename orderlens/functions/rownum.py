@@ -1,15 +1,21 @@
 """Distributed global row numbering.
 
 ``ROW_NUMBER() OVER (ORDER BY k)`` without a partition moves every row into one
-task. Here the frame is range-partitioned and sorted on ``k`` (many tasks), the
-sorted frame is checkpointed so that partition contents are fixed, each
-partition's size is counted, and the running offset of the partitions (one row
-per partition, so bounded by the partition count) is broadcast back. The
-result equals ``ROW_NUMBER() OVER (ORDER BY k)`` for a total order ``k``.
+task. Here the frame is range-partitioned and sorted on ``k`` (many tasks) and
+each row is tagged with its partition and its position inside the partition.
+The tagged rows are written once as a table in the session's shared
+checkpoint folder, which fixes partition contents (a re-computation after an
+executor loss cannot reshuffle them) and cuts the lineage. Each partition's
+size is then counted from two stored columns, and the running offset of the
+partitions (one row per partition, so bounded by the partition count) is
+broadcast back. The result equals ``ROW_NUMBER() OVER (ORDER BY k)`` for a
+total order ``k``.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,14 +26,14 @@ def with_row_number(
     df: DataFrame, order_by: list[str | Column], name: str, start: int = 1
 ) -> DataFrame:
     spark = df.sparkSession
-    checkpoint_dir(spark)
-    tagged = (
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/row-number-{uuid.uuid4().hex}"
+    (
         df.orderBy(*order_by)
         .withColumn("_rn_part", F.spark_partition_id())
         .withColumn("_rn_id", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .write.parquet(folder)
     )
-    # One row per partition: the broadcast side is bounded by the partition count.
+    tagged = spark.read.parquet(folder)
     sizes = tagged.groupBy("_rn_part").agg(
         F.count(F.lit(1)).alias("_rn_n"), F.min("_rn_id").alias("_rn_first")
     )
