@@ -213,3 +213,16 @@ def gold_datasets(lines: DataFrame, silver_opts: DataFrame, grain_checked: bool
         "customer_ltv_daily": customer_ltv_daily(lines),
     }
     return {name: conform(df, name) for name, df in raw.items()}
+
+
+def row_counts(datasets: dict[str, DataFrame]) -> DataFrame:
+    """C4: row count of every gold dataset (one small aggregate each, unioned;
+    the seven plans share their silver input where Spark reuses exchanges)."""
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in datasets.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -219,16 +219,23 @@ def duplicate_rows(raw: DataFrame, table: str) -> DataFrame:
     The row list is the report's content: it grows with the group."""
     cols = data_columns(raw)
     groups = raw.groupBy(*cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.collect_list("source_row").alias("_rows")
+        F.count(F.lit(1)).alias("_n"),
+        F.collect_list("source_row").alias("_rows"),
+        F.min("source_row").alias("_first"),
     )
     values = F.concat_ws(
         " | ", *[F.concat(F.lit(f"{c}="), F.coalesce(C(c), F.lit(MISSING_TEXT))) for c in cols]
     )
-    return groups.filter(C("_n") >= 2).select(
-        F.lit(FILE_NAMES[table]).alias("file"),
-        C("_n").alias("duplicate_group_size"),
-        rows_text("_rows").alias("source_rows"),
-        values.alias("duplicate_values"),
+    # Groups in order of first appearance in the file.
+    return (
+        groups.filter(C("_n") >= 2)
+        .orderBy("_first")
+        .select(
+            F.lit(FILE_NAMES[table]).alias("file"),
+            C("_n").alias("duplicate_group_size"),
+            rows_text("_rows").alias("source_rows"),
+            values.alias("duplicate_values"),
+        )
     )
 
 

@@ -100,6 +100,11 @@ SELECT APP_NAME AS app_name, RESTAURANT_ID AS restaurant_id, ORDER_DATE AS order
   CAST(ITEM_REVENUE AS {M}) AS item_revenue, CAST(OPTION_REVENUE AS {M}) AS option_revenue,
   CAST(TOTAL_LINE_REVENUE AS {M}) AS total_line_revenue
 FROM silver_items"""
+    gold_names = ["sales_hourly", "restaurant_daily", "item_daily", "option_daily", "customer_summary",
+                  "order_detail", "customer_ltv_daily"]
+    q["gold_row_counts"] = "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM ({q[n]})" for n in gold_names
+    )
     q["check_silver_grain"] = """
 SELECT ORDER_ID, LINEITEM_ID, COUNT(*) AS count FROM silver_items GROUP BY ALL HAVING COUNT(*) > 1"""
     q["check_ltv_grain"] = """

@@ -45,6 +45,7 @@ def _silver_and_gold() -> dict[str, Query]:
         "check_ltv_grain": lambda s, d: checks.duplicate_keys(
             _gold("customer_ltv_daily", gold.customer_ltv_daily)(s, d), ["user_id", "order_date"]
         ),
+        "gold_row_counts": lambda s, d: gold.row_counts(gold.gold_datasets(silver_lines(s, d), silver_opts(s, d))),
         "check_order_detail_grain": lambda s, d: checks.duplicate_keys(
             _gold("order_detail", gold.order_detail)(s, d), ["order_id", "lineitem_id"]
         ),
