@@ -64,26 +64,36 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder, setting one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder (HDFS, object
-    store); it is read from the session. A machine-local temporary folder is
-    used only when the session runs in local mode and nothing was configured
-    (tests, the benchmark).
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    On a cluster ``spark.checkpoint.dir`` must name a folder every executor
+    shares (HDFS, object store); it is read from the session. A machine-local
+    temporary folder is used only when nothing is configured and the session
+    runs in local mode (tests, the benchmark)."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
+        if configured:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+        local = sc.master.startswith("local")
+    else:
+        if configured:
+            return configured
+        local = str(spark.conf.get("spark.master", "")).startswith("local")
+    if not local:
         raise RuntimeError(
             "spark.checkpoint.dir is not set: point it at a folder every executor shares"
         )
     base = os.environ.get("TMPDIR", tempfile.gettempdir())
     folder = tempfile.mkdtemp(prefix="orderlens-ckpt-", dir=base)
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir() or folder
+    if sc is not None:
+        sc.setCheckpointDir(folder)
+        return sc.getCheckpointDir() or folder
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder

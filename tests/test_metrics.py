@@ -109,3 +109,26 @@ def test_half_up_mean_is_exact(spark):
 
 def test_pandas_is_available():
     assert pd.__version__
+
+
+def test_half_up_ratio_matches_decimal_arithmetic(spark):
+    from decimal import ROUND_HALF_UP
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from orderlens.functions.rounding import half_up_ratio
+
+    cents = st.integers(min_value=-10**9, max_value=10**9)
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.lists(st.tuples(cents, cents), min_size=1, max_size=20))
+    def check(pairs):
+        rows = [(Decimal(a) / 100, Decimal(b) / 100) for a, b in pairs]
+        df = spark.createDataFrame(rows, "a decimal(20,2), b decimal(20,2)")
+        got = [r[0] for r in df.select(half_up_ratio(F.col("a"), F.col("b"), 100)).collect()]
+        want = [None if b == 0 else (a * 100 / b).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+                for a, b in rows]
+        assert got == want
+
+    check()
