@@ -31,11 +31,44 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def order_summary(lines: DataFrame) -> DataFrame:
+# Order-level attributes shared by the order-grained gold datasets. Within one
+# order they are normally constant, so the rollup has about one row per order.
+ROLLUP_KEYS = [
+    "ORDER_ID", "USER_ID", "CUSTOMER_TYPE", "IS_LOYALTY", "APP_NAME", "RESTAURANT_ID",
+    "ORDER_DATE", "ORDER_HOUR_UTC", "TIME_OF_DAY_UTC", "day_of_week", "is_weekend",
+    "is_holiday", "holiday_name",
+]
+
+
+def order_rollup(lines: DataFrame) -> DataFrame:
+    """Lines folded to (order + order-level attributes): line count and sums.
+
+    sales_hourly, restaurant_daily, customer_summary, the lifetime-value
+    datasets and order_summary all aggregate these rows instead of lines, so
+    the silver->gold job scans the lines and shuffles their order-grain
+    partial sums once for all five. Exact: every attribute those datasets
+    group or filter on is a rollup key, and distinct order/user counts stay
+    distinct counts. Those datasets accept silver lines as well (one shuffle
+    less when a single dataset is computed on its own)."""
+    return lines.groupBy(*ROLLUP_KEYS).agg(
+        F.count(F.lit(1)).alias("LINES"),
+        F.sum("ITEM_QUANTITY").alias("ITEM_QUANTITY"),
+        F.sum("ITEM_REVENUE").alias("ITEM_REVENUE"),
+        F.sum("OPTION_REVENUE").alias("OPTION_REVENUE"),
+        F.sum("TOTAL_LINE_REVENUE").alias("TOTAL_LINE_REVENUE"),
+    )
+
+
+def _line_count(df: DataFrame):
+    """Number of lines: summed from a rollup, counted on silver lines."""
+    return F.sum("LINES") if "LINES" in df.columns else F.count(F.lit(1))
+
+
+def order_summary(rollup: DataFrame) -> DataFrame:
     """One row per order: app, restaurant, date, total, items. ``min`` picks
     the attribute (equal to the first non-null value when it is constant per
     order, and deterministic after a shuffle)."""
-    return lines.groupBy("ORDER_ID").agg(
+    return rollup.groupBy("ORDER_ID").agg(
         F.min("APP_NAME").alias("APP_NAME"),
         F.min("RESTAURANT_ID").alias("RESTAURANT_ID"),
         F.min("ORDER_DATE").alias("ORDER_DATE"),
@@ -44,13 +77,13 @@ def order_summary(lines: DataFrame) -> DataFrame:
     )
 
 
-def sales_hourly(lines: DataFrame) -> DataFrame:
+def sales_hourly(rollup: DataFrame) -> DataFrame:
     """G1: app, restaurant, date, hour (+ daypart, weekend)."""
     keys = ["APP_NAME", "RESTAURANT_ID", "ORDER_DATE", "ORDER_HOUR_UTC", "TIME_OF_DAY_UTC",
             "is_weekend"]
-    out = lines.groupBy(*keys).agg(
+    out = rollup.groupBy(*keys).agg(
         F.count_distinct("ORDER_ID").alias("ORDER_COUNT"),
-        F.count(F.lit(1)).alias("LINE_ITEM_COUNT"),
+        _line_count(rollup).alias("LINE_ITEM_COUNT"),
         F.sum("ITEM_QUANTITY").alias("ITEM_QUANTITY"),
         F.sum("ITEM_REVENUE").alias("ITEM_REVENUE"),
         F.sum("OPTION_REVENUE").alias("OPTION_REVENUE"),
@@ -59,17 +92,17 @@ def sales_hourly(lines: DataFrame) -> DataFrame:
     return out.withColumn("AVERAGE_ORDER_VALUE", ratio_or_zero("TOTAL_REVENUE", "ORDER_COUNT"))
 
 
-def restaurant_daily(lines: DataFrame) -> DataFrame:
+def restaurant_daily(rollup: DataFrame) -> DataFrame:
     """App, restaurant, date (+ calendar attributes). Customers counted are
     identified users only."""
     keys = ["APP_NAME", "RESTAURANT_ID", "ORDER_DATE", "day_of_week", "is_weekend",
             "is_holiday", "holiday_name"]
-    out = lines.groupBy(*keys).agg(
+    out = rollup.groupBy(*keys).agg(
         F.count_distinct("ORDER_ID").alias("ORDER_COUNT"),
         F.count_distinct(
             F.when(C("CUSTOMER_TYPE") == "IDENTIFIED", C("USER_ID"))
         ).alias("CUSTOMER_COUNT"),
-        F.count(F.lit(1)).alias("LINE_ITEM_COUNT"),
+        _line_count(rollup).alias("LINE_ITEM_COUNT"),
         F.sum("ITEM_REVENUE").alias("ITEM_REVENUE"),
         F.sum("OPTION_REVENUE").alias("OPTION_REVENUE"),
         F.sum("TOTAL_LINE_REVENUE").alias("TOTAL_REVENUE"),
@@ -132,14 +165,14 @@ def option_daily(options_ctx: DataFrame) -> DataFrame:
 
 
 def identified_lines(lines: DataFrame) -> DataFrame:
-    """Lines of identified users (not null, not blank)."""
+    """Rows of identified users (not null, not blank)."""
     return lines.filter(is_identified("USER_ID"))
 
 
-def customer_summary(lines: DataFrame) -> DataFrame:
+def customer_summary(rollup: DataFrame) -> DataFrame:
     """One row per identified user (two levels: order, then user)."""
     loyal = C("IS_LOYALTY") == True  # noqa: E712 - null stays null
-    per_order = identified_lines(lines).groupBy("USER_ID", "ORDER_ID").agg(
+    per_order = identified_lines(rollup).groupBy("USER_ID", "ORDER_ID").agg(
         F.sum("ITEM_QUANTITY").alias("q"),
         F.sum("ITEM_REVENUE").alias("ir"),
         F.sum("OPTION_REVENUE").alias("orv"),
@@ -163,15 +196,15 @@ def customer_summary(lines: DataFrame) -> DataFrame:
     return out.withColumn("AVERAGE_ORDER_VALUE", ratio_or_zero("TOTAL_REVENUE", "ORDER_COUNT"))
 
 
-def customer_daily_activity(lines: DataFrame) -> DataFrame:
+def customer_daily_activity(rollup: DataFrame) -> DataFrame:
     """Identified user x date: revenue and distinct orders."""
-    return identified_lines(lines).groupBy("USER_ID", "ORDER_DATE").agg(
+    return identified_lines(rollup).groupBy("USER_ID", "ORDER_DATE").agg(
         F.sum("TOTAL_LINE_REVENUE").alias("DAILY_REVENUE"),
         F.count_distinct("ORDER_ID").alias("DAILY_ORDER_COUNT"),
     )
 
 
-def customer_ltv_daily(lines: DataFrame) -> DataFrame:
+def customer_ltv_daily(rollup: DataFrame) -> DataFrame:
     """G8 (flagship): running lifetime value and order count per user by date.
 
     The window runs over the (user, date) activity, not over lines: a user's
@@ -182,7 +215,7 @@ def customer_ltv_daily(lines: DataFrame) -> DataFrame:
         .orderBy("ORDER_DATE")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return customer_daily_activity(lines).select(
+    return customer_daily_activity(rollup).select(
         "USER_ID",
         "ORDER_DATE",
         "DAILY_REVENUE",
@@ -201,16 +234,20 @@ def order_detail(lines: DataFrame) -> DataFrame:
     )
 
 
-def gold_datasets(lines: DataFrame, silver_opts: DataFrame, grain_checked: bool = True) -> dict[str, DataFrame]:
-    """All seven gold datasets, conformed to their contracts."""
+def gold_datasets(
+    lines: DataFrame, silver_opts: DataFrame, grain_checked: bool = True, rollup: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All seven gold datasets, conformed to their contracts. Pass a persisted
+    ``order_rollup(lines)`` to share it between the order-grained datasets."""
+    rollup = order_rollup(lines) if rollup is None else rollup
     raw = {
-        "sales_hourly": sales_hourly(lines),
-        "restaurant_daily": restaurant_daily(lines),
+        "sales_hourly": sales_hourly(rollup),
+        "restaurant_daily": restaurant_daily(rollup),
         "item_daily": item_daily(lines),
         "option_daily": option_daily(options_with_context(silver_opts, lines, grain_checked)),
-        "customer_summary": customer_summary(lines),
+        "customer_summary": customer_summary(rollup),
         "order_detail": order_detail(lines),
-        "customer_ltv_daily": customer_ltv_daily(lines),
+        "customer_ltv_daily": customer_ltv_daily(rollup),
     }
     return {name: conform(df, name) for name, df in raw.items()}
 

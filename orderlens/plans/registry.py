@@ -19,6 +19,7 @@ def _gold(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: gold.conform(build(silver_lines(spark, d)), name)
 
 
+
 def _silver_and_gold() -> dict[str, Query]:
     q: dict[str, Query] = {
         "options_by_line": lambda s, d: silver.option_revenue_by_line(options(s, d)),
