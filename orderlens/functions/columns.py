@@ -85,8 +85,3 @@ def ts_literal(text: str, like: DataType) -> Column:
     if isinstance(like, TimestampNTZType):
         return F.to_timestamp_ntz(F.lit(text))
     return F.to_timestamp(F.lit(text))
-
-
-def rows_text(rows: str | Column) -> Column:
-    """Sorted list of row numbers as text: '2, 5, 9'."""
-    return F.array_join(F.transform(F.sort_array(col(rows)), lambda x: x.cast("string")), ", ")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.functions.columns import is_missing, rows_text
+from orderlens.functions.columns import is_missing
 from orderlens.functions.rounding import half_up_ratio
 from orderlens.schemas import EXPECTED_COLUMNS, FILE_NAMES
 
@@ -212,33 +212,56 @@ def missing_values(raw: DataFrame, table: str) -> DataFrame:
     )
 
 
+def _duplicate_group_keys(raw: DataFrame) -> DataFrame:
+    cols = data_columns(raw)
+    return (
+        raw.groupBy(*cols)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("source_row").alias("first_source_row"))
+        .filter(C("_n") >= 2)
+    )
+
+
 def duplicate_rows(raw: DataFrame, table: str) -> DataFrame:
-    """D3: groups of rows equal in every data column (nulls equal), size >= 2:
-    size, sorted source rows, and the values as ``col=value | ...``.
+    """D3: groups of rows equal in every data column (nulls equal), size >= 2,
+    in order of first appearance: size, first source row and the values as
+    ``col=value | ...``.
 
-    The row list is the report's content: it grows with the group."""
+    A group's member rows are listed by ``duplicate_members`` (one row per
+    member), never gathered into one cell: a group may hold a third of all
+    rows."""
     cols = data_columns(raw)
-    groups = raw.groupBy(*cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.collect_list("source_row").alias("_rows"),
-        F.min("source_row").alias("_first"),
-    )
     values = F.concat_ws(
         " | ", *[F.concat(F.lit(f"{c}="), F.coalesce(C(c), F.lit(MISSING_TEXT))) for c in cols]
     )
     # Groups in order of first appearance in the file.
     return (
-        groups.filter(C("_n") >= 2)
-        .orderBy("_first")
+        _duplicate_group_keys(raw)
+        .orderBy("first_source_row")
         .select(
             F.lit(FILE_NAMES[table]).alias("file"),
             C("_n").alias("duplicate_group_size"),
-            rows_text("_rows").alias("source_rows"),
+            "first_source_row",
             values.alias("duplicate_values"),
         )
     )
 
 
+def duplicate_members(raw: DataFrame, table: str) -> DataFrame:
+    """D3 members: every row of a duplicate group with its group's first
+    source row. The groups join back on all data columns, null-safely; a hot
+    group is split by adaptive skew-join handling."""
+    groups = _duplicate_group_keys(raw).drop("_n")
+    cols = data_columns(raw)
+    g = groups.select(*[C(c).alias(f"_g_{c}") for c in cols], "first_source_row")
+    cond = None
+    for c in cols:
+        term = raw[c].eqNullSafe(g[f"_g_{c}"])
+        cond = term if cond is None else cond & term
+    return raw.join(g, cond, "inner").select(
+        F.lit(FILE_NAMES[table]).alias("file"), "first_source_row", "source_row"
+    )
+
+
 # D7-D11 -----------------------------------------------------------------------
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     cond = None
@@ -345,16 +368,16 @@ def zero_quantity_counts(raw_items: DataFrame) -> DataFrame:
 # D15 --------------------------------------------------------------------------
 def option_duplicate_groups(raw_options: DataFrame) -> DataFrame:
     """D15, one row per repeated option key (order, line, group, name; rows
-    with a missing key part are not grouped): first row, sorted rows, size,
-    and ``exact_match`` = one distinct price and one distinct quantity
-    (``min == max`` over non-null values, no distinct aggregation)."""
+    with a missing key part are not grouped): first row, size, and
+    ``exact_match`` = one distinct price and one distinct quantity
+    (``min == max`` over non-null values, no distinct aggregation). The
+    member rows are ``option_duplicates``."""
     keyed = raw_options
     for k in OPTION_KEY:
         keyed = keyed.filter(C(k).isNotNull())
     g = keyed.groupBy(*OPTION_KEY).agg(
         F.count(F.lit(1)).alias("duplicate_count"),
         F.min("source_row").alias("original_source_row"),
-        F.collect_list("source_row").alias("_rows"),
         F.min("OPTION_PRICE").alias("_p0"), F.max("OPTION_PRICE").alias("_p1"),
         F.min("OPTION_QUANTITY").alias("_q0"), F.max("OPTION_QUANTITY").alias("_q1"),
     )
@@ -362,7 +385,6 @@ def option_duplicate_groups(raw_options: DataFrame) -> DataFrame:
     return g.filter(C("duplicate_count") > 1).select(
         *OPTION_KEY,
         "original_source_row",
-        rows_text("_rows").alias("duplicate_source_rows"),
         "duplicate_count",
         (same("_p0", "_p1") & same("_q0", "_q1")).alias("exact_match"),
     )
@@ -370,9 +392,8 @@ def option_duplicate_groups(raw_options: DataFrame) -> DataFrame:
 
 def option_duplicates(raw_options: DataFrame) -> DataFrame:
     """D15, one row per member of a repeated option key, with the group's
-    first row, size and exact-match flag (the group's row list is in
-    ``option_duplicate_groups``, so the output stays linear in the rows)."""
-    groups = option_duplicate_groups(raw_options).drop("duplicate_source_rows")
+    first row, size and exact-match flag (output linear in the rows)."""
+    groups = option_duplicate_groups(raw_options)
     return raw_options.join(groups, OPTION_KEY, "inner").select(
         "source_row", "original_source_row", *OPTION_KEY, "OPTION_PRICE", "OPTION_QUANTITY",
         "duplicate_count", "exact_match",

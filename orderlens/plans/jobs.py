@@ -158,19 +158,23 @@ def quality_frames(
     issues = None
     missing = None
     dups = None
+    members = None
     for table, raw in raws.items():
         i = quality.table_issues(spark, raw, table)
         m = quality.missing_values(raw, table)
         d = quality.duplicate_rows(raw, table)
+        dm = quality.duplicate_members(raw, table)
         issues = i if issues is None else issues.unionByName(i)
         missing = m if missing is None else missing.unionByName(m)
         dups = d if dups is None else dups.unionByName(d)
+        members = dm if members is None else members.unionByName(dm)
     broken = quality.broken_option_rows(raw_options, raw_items)
     issues = issues.unionByName(quality.broken_reference_issues(raw_options, raw_items))
     return {
         "summary": quality.quality_summary(spark, raw_date_dim, raw_items, raw_options),
         "missing_values": missing,
         "duplicates": dups,
+        "duplicate_members": members,
         "corrupt_values": issues,
         "expected_schema": quality.expected_schema(spark),
         "investigated_order": quality.investigated_order(raw_items),

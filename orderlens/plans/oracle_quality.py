@@ -126,14 +126,23 @@ def duplicates_sql(short: str) -> str:
     cols = EXPECTED_COLUMNS[TABLE[short]]
     values = " || ' | ' || ".join(f"'{c}=' || COALESCE({c}, 'nan')" for c in cols)
     return (
-        f"SELECT '{file}' AS file, COUNT(*) AS duplicate_group_size, "
-        f"string_agg(CAST(source_row AS VARCHAR), ', ' ORDER BY source_row) AS source_rows, "
+        f"SELECT '{file}' AS file, COUNT(*) AS duplicate_group_size, MIN(source_row) AS first_source_row, "
         f"{values} AS duplicate_values FROM {t} GROUP BY {', '.join(cols)} HAVING COUNT(*) >= 2"
     )
 
 
+def duplicate_members_sql(short: str) -> str:
+    """Members by window over the group (the oracle formulation)."""
+    t, file = RAW[short], FILE_NAMES[TABLE[short]]
+    cols = ", ".join(EXPECTED_COLUMNS[TABLE[short]])
+    return (
+        f"SELECT '{file}' AS file, first_source_row, source_row FROM ("
+        f"SELECT source_row, MIN(source_row) OVER (PARTITION BY {cols}) AS first_source_row, "
+        f"COUNT(*) OVER (PARTITION BY {cols}) AS n FROM {t}) WHERE n >= 2"
+    )
+
+
 DUP_GROUPS = """SELECT ORDER_ID, LINEITEM_ID, OPTION_GROUP_NAME, OPTION_NAME, MIN(source_row) AS original_source_row,
-  string_agg(CAST(source_row AS VARCHAR), ', ' ORDER BY source_row) AS duplicate_source_rows,
   COUNT(*) AS duplicate_count,
   (COUNT(DISTINCT OPTION_PRICE) = 1 AND COUNT(DISTINCT OPTION_QUANTITY) = 1) AS exact_match
 FROM raw_options
@@ -196,6 +205,7 @@ FROM raw_order_items ORDER BY source_row LIMIT 10"""
     for short in RAW:
         q[f"dq_missing_{short}"] = missing_sql(short)
         q[f"dq_duplicate_rows_{short}"] = duplicates_sql(short)
+        q[f"dq_duplicate_members_{short}"] = duplicate_members_sql(short)
         q[f"dq_issues_{short}"] = issues_sql(short)
     q["dq_broken_references"] = BROKEN_ISSUES
     q["dq_broken_options"] = f"SELECT * FROM ({BROKEN})"

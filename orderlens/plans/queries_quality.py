@@ -88,4 +88,7 @@ def queries() -> dict[str, Query]:
         q[f"dq_duplicate_rows_{short}"] = lambda s, d, read=read, table=table: dq.duplicate_rows(
             read(s, d), table
         )
+        q[f"dq_duplicate_members_{short}"] = lambda s, d, read=read, table=table: dq.duplicate_members(
+            read(s, d), table
+        )
     return q

@@ -60,9 +60,12 @@ def test_missing_duplicates_and_columns(spark):
     miss = {r["column"]: r for r in dq.missing_values(raw, "order_item_options").collect()}
     assert miss["ORDER_ID"]["missing_count"] == 2 and str(miss["ORDER_ID"]["missing_percent"]) == "50.00"
     assert miss["OPTION_NAME"]["missing_count"] == 2 and miss["OPTION_PRICE"]["missing_count"] == 0
-    dups = sorted((r["source_rows"], r["duplicate_values"]) for r in dq.duplicate_rows(raw, "order_item_options").collect())
-    assert dups[0][0] == "2, 3" and dups[1][0] == "4, 5"
-    assert dups[1][1].startswith("ORDER_ID=nan | LINEITEM_ID=1-1 | OPTION_GROUP_NAME=g | OPTION_NAME=  |")
+    dups = sorted((r["first_source_row"], r["duplicate_group_size"], r["duplicate_values"])
+                  for r in dq.duplicate_rows(raw, "order_item_options").collect())
+    assert [d[:2] for d in dups] == [(2, 2), (4, 2)]
+    assert dups[1][2].startswith("ORDER_ID=nan | LINEITEM_ID=1-1 | OPTION_GROUP_NAME=g | OPTION_NAME=  |")
+    members = sorted(tuple(r)[1:] for r in dq.duplicate_members(raw, "order_item_options").collect())
+    assert members == [(2, 2), (2, 3), (4, 4), (4, 5)]
     empty = raw.limit(0)
     assert {str(r["missing_percent"]) for r in dq.missing_values(empty, "order_item_options").collect()} == {"0.00"}
     odd = raw.withColumnRenamed("OPTION_NAME", "OPTION").drop("OPTION_PRICE")
@@ -100,7 +103,7 @@ def test_option_duplicate_exact_match(spark):
     assert set(groups) == {"a", "b", "c"}
     assert groups["a"]["exact_match"] is True and groups["b"]["exact_match"] is False
     assert groups["c"]["exact_match"] is False  # all prices missing: no single distinct value
-    assert groups["b"]["duplicate_source_rows"] == "4, 5" and groups["b"]["original_source_row"] == 4
+    assert groups["b"]["original_source_row"] == 4 and groups["b"]["duplicate_count"] == 2
     members = dq.option_duplicates(raw).collect()
     assert len(members) == 6 and {r["duplicate_count"] for r in members} == {2}
 
