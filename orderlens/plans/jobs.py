@@ -39,10 +39,13 @@ def _count_of(obs: Observation) -> int:
 RAW_FILES = {"order_items": "order_items", "order_item_options": "options", "date_dim": "date_dim"}
 
 
-def land_raw_csv(spark: SparkSession, csv_paths: dict[str, str], bronze_base: str) -> JobReport:
+def land_raw_csv(
+    spark: SparkSession, csv_paths: dict[str, str], bronze_base: str, multiline: bool = True
+) -> JobReport:
     """Raw CSV -> bronze: the raw text (with source rows, for the quality
     report) and the typed tables (strict typed load: a bad value fails the
-    job before the typed table is written)."""
+    job before the typed table is written). ``multiline=False`` lets large
+    files be parsed by many tasks when no value spans lines."""
     report = JobReport()
     typed = {
         "order_items": ingest.ingest_order_items,
@@ -50,7 +53,7 @@ def land_raw_csv(spark: SparkSession, csv_paths: dict[str, str], bronze_base: st
         "date_dim": ingest.ingest_date_dim,
     }
     for table, short in RAW_FILES.items():
-        raw = ingest.read_raw_csv(spark, csv_paths[table], table)
+        raw = ingest.read_raw_csv(spark, csv_paths[table], table, multiline=multiline)
         raw_out, obs = checks.observed(raw, f"raw_{short}")
         layers.write_layer(raw_out, bronze_base, f"raw_{short}")
         report.counts[f"raw_{short}"] = _count_of(obs)

@@ -7,7 +7,7 @@ nulls instead (``try_*``), which is what reports and tests use.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, StringType
 
@@ -28,38 +28,52 @@ DATE_KEY_FORMAT = "d-M-yyyy"  # DD-MM-YYYY, one-digit day/month accepted
 
 
 # S1 -------------------------------------------------------------------------
-def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, table: str, multiline: bool = True) -> DataFrame:
     """Read raw CSV files of one table as text, numbering records per file.
 
-    Every column is a string; quoted values may span lines; the tokens
-    NULL null NA N/A NaN nan become null, blanks stay blank. ``source_row`` is
-    the record's row in its file counting the header as row 1 (the first
-    record is row 2). With ``multiLine`` a file is parsed by one task, so
-    ``monotonically_increasing_id`` is consecutive inside a file; the file's
-    smallest id (one row per file, broadcast) is subtracted."""
+    Every column is a string; the tokens NULL null NA N/A NaN nan become
+    null, blanks stay blank. ``source_row`` is the record's row in its file
+    counting the header as row 1 (the first record is row 2).
+
+    Numbering is per input split: ``monotonically_increasing_id`` is
+    consecutive inside a split, and each split is offset by the records of
+    the earlier splits of the same file (ordered by their start byte). The
+    offsets table has one row per split, so it is bounded by input bytes /
+    split size (100 TB at 256 MB splits: 400k rows, a few tens of MB) and is
+    broadcast.
+
+    ``multiline=True`` accepts quoted values spanning lines, but a file is then
+    one split, parsed by one task. ``multiline=False`` lets Spark split big
+    files across many tasks (records must not contain line breaks)."""
     schema = raw_schema(table)
     df = (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(path)
         .withColumn("_file", C("_metadata.file_path"))
+        .withColumn("_block", C("_metadata.file_block_start"))
         .withColumn("_id", F.monotonically_increasing_id())
     )
-    firsts = df.groupBy("_file").agg(F.min("_id").alias("_first"))
-    numbered = df.join(F.broadcast(firsts), "_file").withColumn(
-        "source_row", C("_id") - C("_first") + 2
+    splits = df.groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first")
+    )
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select(
+        "_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    numbered = df.join(F.broadcast(offsets), ["_file", "_block"]).withColumn(
+        "source_row", C("_before") + C("_id") - C("_first") + 2
     )
-    cleaned = numbered.select(
+    return numbered.select(
         "source_row",
         *[
             F.when(C(c).isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(C(c)).alias(c)
             for c in EXPECTED_COLUMNS[table]
         ],
     )
-    return cleaned
 
 
 # helpers --------------------------------------------------------------------

@@ -69,3 +69,22 @@ def test_option_decimal_and_int_casts(spark):
     rows = ing.ingest_options(raw, strict=False).collect()
     assert rows[0]["OPTION_PRICE"] == Decimal("2.50") and rows[0]["OPTION_QUANTITY"] == 3
     assert rows[1]["OPTION_PRICE"] is None and rows[1]["OPTION_QUANTITY"] is None
+
+
+def test_read_raw_csv_splittable_numbers_across_splits(spark):
+    folder = tempfile.mkdtemp(prefix="orderlens-csv-")
+    header = ",".join(EXPECTED_COLUMNS["order_item_options"])
+    body = "".join(f"{i},{i}-1,group-{i % 7},opt,1.00,1\n" for i in range(2, 1502))
+    _write(folder, "big.csv", header + "\n" + body)
+    _write(folder, "small.csv", header + "\n2,2-1,g,a,1.00,1\n3,3-1,g,a,1.00,1\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        raw = ing.read_raw_csv(spark, folder, "order_item_options", multiline=False)
+        assert raw.rdd.getNumPartitions() > 3
+        rows = raw.select("ORDER_ID", "source_row").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == 1502
+    # every record's number equals its line in its file (ORDER_ID was written as that line)
+    assert all(int(r["ORDER_ID"]) == r["source_row"] for r in rows)
