@@ -91,3 +91,18 @@ def test_land_raw_csv_typed_load_is_strict(spark, sf):
     fixtures.raw_order_items(spark, sf).drop("source_row").coalesce(1).write.option("header", True).csv(dirty)
     with pytest.raises(Exception):
         jobs.land_raw_csv(spark, {**csv, "order_items": dirty}, f"{root}/bronze2")
+
+
+def test_report_csv_and_table_lifecycle(spark, sf):
+    root = tempfile.mkdtemp(prefix="orderlens-s14-")
+    frames = {"zero_quantity": fixtures.raw_order_items(spark, sf).filter("trim(ITEM_QUANTITY) = '0'")}
+    paths = layers.write_report(frames, f"{root}/report", fmt="csv")
+    back = spark.read.option("header", True).csv(paths["zero_quantity"])
+    assert back.count() == frames["zero_quantity"].count() > 0
+    # Register, select all, drop (the data stays at its location)
+    layers.write_layer(items(spark, sf).limit(5), root, "staging")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS staging_test USING parquet LOCATION '{root}/staging'")
+    assert layers.read_table(spark, "staging_test").count() == 5
+    layers.drop_table(spark, "staging_test")
+    assert not spark.catalog.tableExists("staging_test")
+    assert spark.read.parquet(f"{root}/staging").count() == 5
