@@ -69,10 +69,13 @@ def bronze_to_silver(
     silver_base: str,
     calendar: DataFrame | None = None,
     holidays: DataFrame | None = None,
+    holidays_from_date_dim: bool = False,
 ) -> JobReport:
     """Silver lines, options and calendar.
 
-    ``calendar`` defaults to the standard span (2020-04-21 .. 2024-02-21).
+    ``calendar`` defaults to the standard span (2020-04-21 .. 2024-02-21),
+    every day a non-holiday. ``holidays_from_date_dim`` marks the holidays the
+    bronze date dimension flags (its ``is_holiday`` rows, a few per year).
     The silver lines are persisted once; one job counts them while an
     observation counts the bronze lines of the same scan (V6); then the three
     datasets are written."""
@@ -81,6 +84,13 @@ def bronze_to_silver(
     options = layers.read_layer(spark, bronze_base, layers.BRONZE_TABLES["options"])
     for name, df in (("order_items", items), ("options", options)):
         report.schemas[name] = df.schema.simpleString()
+    if holidays is None and holidays_from_date_dim:
+        holidays = (
+            layers.read_layer(spark, bronze_base, layers.BRONZE_TABLES["date_dim"])
+            .filter(C("is_holiday") & C("date_key").isNotNull())
+            .groupBy("date_key")
+            .agg(F.min("holiday_name").alias("holiday_name"))
+        )
     cal = calendar if calendar is not None else silver.build_calendar(spark, holidays=holidays)
 
     bronze_obs = Observation("bronze_order_items")

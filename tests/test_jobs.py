@@ -106,3 +106,31 @@ def test_report_csv_and_table_lifecycle(spark, sf):
     layers.drop_table(spark, "staging_test")
     assert not spark.catalog.tableExists("staging_test")
     assert spark.read.parquet(f"{root}/staging").count() == 5
+
+
+def test_holidays_from_bronze_date_dim(spark):
+    import datetime as dt
+
+    root = tempfile.mkdtemp(prefix="orderlens-hol-")
+    dd = spark.createDataFrame(
+        [(dt.date(2021, 12, 25), 2021, 12, 51, "Saturday", True, True, "Christmas"),
+         (dt.date(2021, 12, 24), 2021, 12, 51, "Friday", False, False, None)],
+        "date_key date, year int, month int, week int, day_of_week string, is_weekend boolean, "
+        "is_holiday boolean, holiday_name string",
+    )
+    layers.write_layer(dd, root, layers.BRONZE_TABLES["date_dim"])
+    lines = spark.createDataFrame(
+        [("a", "r", dt.datetime(2021, 12, 25, 10), "1", "u", None, False, "USD", "1-1", "c", "n", None, 1)],
+        "APP_NAME string, RESTAURANT_ID string, CREATION_TIME_UTC timestamp_ntz, ORDER_ID string, USER_ID string, "
+        "PRINTED_CARD_NUMBER string, IS_LOYALTY boolean, CURRENCY string, LINEITEM_ID string, ITEM_CATEGORY string, "
+        "ITEM_NAME string, ITEM_PRICE decimal(10,2), ITEM_QUANTITY int",
+    )
+    layers.write_layer(lines, root, layers.BRONZE_TABLES["order_items"])
+    layers.write_layer(options(spark, "/root/testdata/sf0.001").limit(0), root, layers.BRONZE_TABLES["options"])
+    jobs.bronze_to_silver(spark, root, f"{root}/silver", holidays_from_date_dim=True)
+    cal = {r["date_key"]: r for r in layers.read_layer(spark, f"{root}/silver", "date_dim").collect()}
+    assert cal[dt.date(2021, 12, 25)]["is_holiday"] is True
+    assert cal[dt.date(2021, 12, 25)]["holiday_name"] == "Christmas"
+    assert cal[dt.date(2021, 12, 24)]["is_holiday"] is False
+    row = layers.read_layer(spark, f"{root}/silver", "order_items").first()
+    assert row["is_holiday"] is True and row["holiday_name"] == "Christmas"
