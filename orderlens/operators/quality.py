@@ -401,51 +401,62 @@ def option_duplicates(raw_options: DataFrame) -> DataFrame:
 
 
 # D16, D17 ---------------------------------------------------------------------
-def file_summary(
-    spark: SparkSession, raw: DataFrame, table: str, extra_issues: DataFrame | None = None
-) -> DataFrame:
-    """D16 for one file: rows, columns, missing values, duplicate groups,
-    corrupt or invalid values (column, value and, for options, reference
-    issues). Three one-row aggregates joined on the file name."""
-    file = FILE_NAMES[table]
-    cols = data_columns(raw)
-    base = raw.agg(
-        F.count(F.lit(1)).alias("rows"),
-        sum(F.count_if(is_missing(c)) for c in cols).alias("missing_values"),
-    ).withColumn("file", F.lit(file))
-    dups = duplicate_rows(raw, table).agg(F.count(F.lit(1)).alias("duplicate_groups")).withColumn(
-        "file", F.lit(file)
-    )
-    issues = table_issues(spark, raw, table)
-    if extra_issues is not None:
-        issues = issues.unionByName(extra_issues)
-    bad = issues.agg(F.count(F.lit(1)).alias("corrupt_or_invalid_values")).withColumn(
-        "file", F.lit(file)
+def summary_from_reports(missing: DataFrame, duplicates: DataFrame, issues: DataFrame) -> DataFrame:
+    """D16 from the other report datasets, so the summary adds no pass over
+    the raw data: rows and columns come from the missing-value table (one row
+    per column, each with the table's row count), duplicate groups and issues
+    are counted per file. All inputs are report-sized; the joins are on the
+    file name (one row per file each)."""
+    base = missing.groupBy("file").agg(
+        F.max("total_rows").alias("rows"),
+        F.count(F.lit(1)).alias("columns"),
+        F.sum("missing_count").cast("bigint").alias("missing_values"),
     )
+    dups = duplicates.groupBy("file").agg(F.count(F.lit(1)).alias("duplicate_groups"))
+    bad = issues.groupBy("file").agg(F.count(F.lit(1)).alias("corrupt_or_invalid_values"))
+    zero = F.lit(0).cast("bigint")
     return (
-        base.join(dups, "file")
-        .join(bad, "file")
+        base.join(dups, "file", "left")
+        .join(bad, "file", "left")
         .select(
-            "file", "rows", F.lit(len(cols)).cast("bigint").alias("columns"), "missing_values",
-            "duplicate_groups", "corrupt_or_invalid_values",
+            "file", "rows", "columns", "missing_values",
+            F.coalesce("duplicate_groups", zero).alias("duplicate_groups"),
+            F.coalesce("corrupt_or_invalid_values", zero).alias("corrupt_or_invalid_values"),
         )
     )
 
 
+def report_parts(
+    spark: SparkSession, raw_date_dim: DataFrame, raw_items: DataFrame, raw_options: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Missing values, duplicate groups, duplicate members and issues (column,
+    value and reference issues) of all three files, each unioned."""
+    raws = {"date_dim": raw_date_dim, "order_items": raw_items, "order_item_options": raw_options}
+    parts: dict[str, list[DataFrame]] = {"m": [], "d": [], "dm": [], "i": []}
+    for table, raw in raws.items():
+        parts["m"].append(missing_values(raw, table))
+        parts["d"].append(duplicate_rows(raw, table))
+        parts["dm"].append(duplicate_members(raw, table))
+        parts["i"].append(table_issues(spark, raw, table))
+    parts["i"].append(broken_reference_issues(raw_options, raw_items))
+
+    def union(frames: list[DataFrame]) -> DataFrame:
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    return union(parts["m"]), union(parts["d"]), union(parts["dm"]), union(parts["i"])
+
+
 def quality_summary(
     spark: SparkSession, raw_date_dim: DataFrame, raw_items: DataFrame, raw_options: DataFrame
 ) -> DataFrame:
-    """One row per file."""
-    return (
-        file_summary(spark, raw_date_dim, "date_dim")
-        .unionByName(file_summary(spark, raw_items, "order_items"))
-        .unionByName(
-            file_summary(
-                spark, raw_options, "order_item_options",
-                broken_reference_issues(raw_options, raw_items),
-            )
-        )
-    )
+    """One row per file: rows, columns, missing values, duplicate
+    groups, corrupt or invalid values (column, value and, for options,
+    reference issues)."""
+    missing, dups, _, issues = report_parts(spark, raw_date_dim, raw_items, raw_options)
+    return summary_from_reports(missing, dups, issues)
 
 
 def expected_schema(spark: SparkSession) -> DataFrame:

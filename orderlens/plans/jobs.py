@@ -166,25 +166,11 @@ def silver_to_gold(
 def quality_frames(
     spark: SparkSession, raw_date_dim: DataFrame, raw_items: DataFrame, raw_options: DataFrame
 ) -> dict[str, DataFrame]:
-    """Every dataset of the quality report, as DataFrames."""
-    raws = {"date_dim": raw_date_dim, "order_items": raw_items, "order_item_options": raw_options}
-    issues = None
-    missing = None
-    dups = None
-    members = None
-    for table, raw in raws.items():
-        i = quality.table_issues(spark, raw, table)
-        m = quality.missing_values(raw, table)
-        d = quality.duplicate_rows(raw, table)
-        dm = quality.duplicate_members(raw, table)
-        issues = i if issues is None else issues.unionByName(i)
-        missing = m if missing is None else missing.unionByName(m)
-        dups = d if dups is None else dups.unionByName(d)
-        members = dm if members is None else members.unionByName(dm)
+    """Every dataset of the quality report except the summary, as
+    DataFrames (the summary is derived from them, see ``quality_report``)."""
+    missing, dups, members, issues = quality.report_parts(spark, raw_date_dim, raw_items, raw_options)
     broken = quality.broken_option_rows(raw_options, raw_items)
-    issues = issues.unionByName(quality.broken_reference_issues(raw_options, raw_items))
     return {
-        "summary": quality.quality_summary(spark, raw_date_dim, raw_items, raw_options),
         "missing_values": missing,
         "duplicates": dups,
         "duplicate_members": members,
@@ -205,7 +191,18 @@ def quality_frames(
 def quality_report(
     spark: SparkSession, bronze_base: str, out_base: str, fmt: str = "parquet"
 ) -> dict[str, str]:
-    """Read the landed raw text tables and write every report dataset."""
+    """Read the landed raw text tables, write every report dataset, then
+    the summary from the written missing-value, duplicate and issue tables
+    (no further pass over the raw data)."""
     raw = {short: layers.read_layer(spark, bronze_base, f"raw_{short}") for short in RAW_FILES.values()}
     frames = quality_frames(spark, raw["date_dim"], raw["order_items"], raw["options"])
-    return layers.write_report(frames, out_base, fmt)
+    paths = layers.write_report(frames, out_base, fmt)
+
+    def back(name: str) -> DataFrame:
+        if fmt == "csv":
+            return spark.read.option("header", True).option("inferSchema", True).csv(paths[name])
+        return spark.read.parquet(paths[name])
+
+    summary = quality.summary_from_reports(back("missing_values"), back("duplicates"), back("corrupt_values"))
+    paths.update(layers.write_report({"summary": summary}, out_base, fmt))
+    return paths
