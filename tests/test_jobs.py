@@ -134,3 +134,36 @@ def test_holidays_from_bronze_date_dim(spark):
     assert cal[dt.date(2021, 12, 24)]["is_holiday"] is False
     row = layers.read_layer(spark, f"{root}/silver", "order_items").first()
     assert row["is_holiday"] is True and row["holiday_name"] == "Christmas"
+
+
+def test_empty_lifetime_value_fails_before_writing(spark, sf, bronze):
+    root = tempfile.mkdtemp(prefix="orderlens-run-")
+    silver_dir = f"{root}/silver"
+    jobs.bronze_to_silver(spark, bronze, silver_dir, calendar=fixtures.order_calendar(spark, sf))
+    guests = f"{root}/silver_guests"
+    lines = layers.read_layer(spark, silver_dir, "order_items").withColumn("USER_ID", F.lit(None).cast("string"))
+    layers.write_layer(lines, guests, "order_items")
+    layers.write_layer(layers.read_layer(spark, silver_dir, "order_item_options"), guests, "order_item_options")
+    with pytest.raises(CheckFailed, match="empty"):
+        jobs.silver_to_gold(spark, guests, f"{root}/gold", database=None)
+    assert not os.path.exists(f"{root}/gold")
+
+
+def test_check_helpers_raise(spark):
+    from orderlens.operators import checks
+
+    with pytest.raises(CheckFailed):
+        checks.assert_same_count(5, 6, "Silver order_items")
+    df = spark.createDataFrame([("1", "a"), ("1", "a")], "k string, v string")
+    with pytest.raises(CheckFailed):
+        checks.assert_no_duplicates(df, ["k"], "t")
+    with pytest.raises(CheckFailed):
+        checks.assert_not_empty(df.limit(0), "t")
+    checks.assert_not_empty(df, "t")
+
+
+def test_missing_input_file_is_an_error(spark):
+    from orderlens.sources import ingest as ing
+
+    with pytest.raises(Exception):
+        ing.read_raw_csv(spark, "/nonexistent/order_items.csv", "order_items").count()
