@@ -43,10 +43,12 @@ def as_of_column(items: DataFrame, as_of: str | None) -> Column:
     return items.select(F.max(TS)).scalar()
 
 
-def trailing_month(items: DataFrame, as_of: str | None) -> DataFrame:
-    """Lines at or after ``as_of`` minus one month."""
+def trailing_month(items: DataFrame, as_of: str | None, include_guests: bool = False) -> DataFrame:
+    """Lines (of identified users unless ``include_guests``) at or after
+    ``as_of`` minus one month. The default anchor is the latest order of all
+    lines, guests included."""
     anchor = as_of_column(items, as_of)
-    return items.filter(C(TS) >= anchor - F.expr("INTERVAL 1 MONTH"))
+    return _people(items, include_guests).filter(C(TS) >= anchor - F.expr("INTERVAL 1 MONTH"))
 
 
 # M1 -------------------------------------------------------------------------
@@ -88,22 +90,21 @@ def recent_purchases(items: DataFrame, k: int = 1, *, include_guests: bool = Fal
 # M4, M5, M6 -----------------------------------------------------------------
 def purchase_frequency(items: DataFrame, *, as_of: str | None = None, include_guests: bool = False) -> DataFrame:
     """M4: distinct orders per user in the trailing month."""
-    recent = trailing_month(_people(items, include_guests), as_of)
+    recent = trailing_month(items, as_of, include_guests)
     return recent.groupBy("USER_ID").agg(F.count_distinct("ORDER_ID").alias("number_of_purchases"))
 
 
 def monthly_spend(items: DataFrame, *, as_of: str | None = None, include_guests: bool = False) -> DataFrame:
     """M5: amount spent per user in the trailing month."""
-    recent = trailing_month(_people(items, include_guests), as_of)
+    recent = trailing_month(items, as_of, include_guests)
     return recent.groupBy("USER_ID").agg(money(F.sum(amount())).alias("total_amount_spent"))
 
 
 def days_since_last_order(items: DataFrame, *, as_of: str | None = None, include_guests: bool = False) -> DataFrame:
     """M6: whole days (midnights crossed) from a user's last order to ``as_of``,
     for users active in the trailing month."""
-    people = _people(items, include_guests)
-    anchor = as_of_column(people, as_of)
-    recent = people.filter(C(TS) >= anchor - F.expr("INTERVAL 1 MONTH"))
+    anchor = as_of_column(items, as_of)
+    recent = trailing_month(items, as_of, include_guests)
     return recent.groupBy("USER_ID").agg(
         F.datediff(F.to_date(anchor), F.to_date(F.max(TS))).alias("days_since_last_order")
     )

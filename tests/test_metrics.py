@@ -132,3 +132,12 @@ def test_half_up_ratio_matches_decimal_arithmetic(spark):
         assert got == want
 
     check()
+
+
+def test_default_anchor_counts_guest_orders(spark):
+    # the latest order is a guest's: the identified user's order two months earlier falls outside
+    rows = [("o1", "l", "u", T(1), "1", 1, False), ("g1", "l", None, dt.datetime(2021, 5, 1), "1", 1, False)]
+    df = _items(spark, rows)
+    assert m.purchase_frequency(df).count() == 0
+    assert m.days_since_last_order(df).count() == 0
+    assert {r["USER_ID"] for r in m.purchase_frequency(df, include_guests=True).collect()} == {None}
