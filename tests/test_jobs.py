@@ -167,3 +167,21 @@ def test_missing_input_file_is_an_error(spark):
 
     with pytest.raises(Exception):
         ing.read_raw_csv(spark, "/nonexistent/order_items.csv", "order_items").count()
+
+
+def test_duplicate_calendar_day_fails_before_silver_is_written(spark, sf, bronze):
+    import datetime as dt
+
+    root = tempfile.mkdtemp(prefix="orderlens-run-")
+    cal = fixtures.order_calendar(spark, sf)
+    busy_day = items(spark, sf).select(F.to_date("CREATION_TIME_UTC")).first()[0]
+    assert isinstance(busy_day, dt.date)
+    doubled = cal.unionByName(cal.filter(F.col("date_key") == busy_day))
+    with pytest.raises(CheckFailed, match="date_dim"):
+        jobs.bronze_to_silver(spark, bronze, f"{root}/silver", calendar=doubled)
+    assert not os.path.exists(f"{root}/silver/order_items")
+    with pytest.raises(CheckFailed, match="rows, expected"):
+        jobs.bronze_to_silver(spark, bronze, f"{root}/silver2", calendar=doubled, count_check=True)
+    assert not os.path.exists(f"{root}/silver2/order_items")
+    r = jobs.bronze_to_silver(spark, bronze, f"{root}/silver3", calendar=cal, count_check=True)
+    assert r.counts["silver_order_items"] == r.counts["bronze_order_items"] == 6000
