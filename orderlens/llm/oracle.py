@@ -67,5 +67,84 @@ FROM docs d LEFT JOIN words w ON d.r = w.r LEFT JOIN found f ON d.r = f.r
 """
 
 
+_LOG = """
+WITH p AS (
+    SELECT page_id pid, coalesce(url, '') url, coalesce(html, '') html, TIMESTAMP '2024-01-01' + to_minutes(page_id) AS first FROM pages
+),
+parts AS (
+    SELECT *, substr(md5(html), 1, 16) digest, regexp_replace(trim(url), '#.*$', '') bare FROM p
+),
+urls AS (
+    SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)', 1)), ':(80|443)$', ''), '^www\\.', '') host,
+           regexp_replace(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') path,
+           list_sort([x FOR x IN string_split(regexp_extract(bare, '\\?(.*)$', 1), '&')
+                      IF x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|gclid|fbclid|ref)(=|$)')]) params
+    FROM parts
+),
+log AS (
+    SELECT pid, html, first, digest, CASE WHEN host <> '' THEN
+               'https://' || host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS url
+    FROM urls
+)"""
+
+REVISITS = _LOG + """,
+full_ AS (
+    SELECT url, first AS captured, 'response-' || lpad(pid::VARCHAR, 12, '0') record_id, sha1(html) payload_sha1, strlen(html) size,
+           CASE WHEN pid % 7 <> 3 THEN '"' || digest || '"' END etag,
+           CASE WHEN pid % 11 <> 5 THEN strftime(first, '%a, %d %b %Y %H:%M:%S GMT') END modified
+    FROM log
+),
+again AS (
+    SELECT url, first + INTERVAL 7 DAY AS captured, 'revisit-' || lpad(pid::VARCHAR, 12, '0') record_id, pid,
+           CASE WHEN pid % 7 <> 3 AND pid % 5 <> 1 THEN
+               CASE WHEN pid % 5 = 0 THEN '"stale-' || digest || '"' ELSE 'W/"' || digest || '"' END END etag,
+           CASE WHEN pid % 5 = 1 THEN strftime(first, '%a, %d %b %Y %H:%M:%S GMT') END modified
+    FROM log
+),
+matched AS (
+    SELECT a.*, f.record_id response_id, f.etag f_etag, f.modified f_modified, f.size, f.payload_sha1 f_sha1,
+           row_number() OVER (PARTITION BY a.record_id, a.pid ORDER BY f.captured DESC, f.record_id DESC) place
+    FROM again a LEFT JOIN full_ f ON a.url = f.url AND f.captured < a.captured
+),
+judged AS (
+    SELECT *, CASE
+        WHEN response_id IS NULL THEN 'no_earlier'
+        WHEN etag IS NOT NULL THEN CASE WHEN replace(etag, 'W/', '') IS NOT DISTINCT FROM f_etag THEN 'resolved' ELSE 'mismatch' END
+        WHEN modified IS NOT NULL THEN CASE WHEN modified IS NOT DISTINCT FROM f_modified THEN 'resolved' ELSE 'mismatch' END
+        WHEN f_etag IS NULL AND f_modified IS NULL THEN 'resolved' ELSE 'no_validator' END AS status
+    FROM matched WHERE place = 1
+)
+SELECT record_id, url, status,
+       CASE WHEN status = 'resolved' THEN response_id END response_id,
+       CASE WHEN status = 'resolved' THEN concat_ws(chr(10), 'cache-control: max-age=' || pid, 'content-length: ' || size,
+            'content-type: text/html', 'date: ' || strftime(captured, '%a, %d %b %Y %H:%M:%S GMT'),
+            'etag: ' || coalesce(etag, f_etag), 'last-modified: ' || coalesce(modified, f_modified)) END headers,
+       CASE WHEN status = 'resolved' THEN f_sha1 END payload_sha1
+FROM judged
+"""
+
+CHAT = """
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+logs AS (
+    SELECT conv_id, list({'r': role, 't': text} ORDER BY turn, role, text) l, count(*) n FROM turns GROUP BY conv_id
+),
+proper AS (SELECT DISTINCT l[1:k] l FROM (SELECT l, unnest(range(1, n)) k FROM logs)),
+maximal AS (
+    SELECT min(conv_id) conv_id, l, any_value(n) n, count(*) copies FROM logs
+    WHERE NOT EXISTS (SELECT 1 FROM proper p WHERE p.l = logs.l) GROUP BY l
+),
+pieces AS (SELECT conv_id, n, copies, unnest(range(1, n + 1)) k, unnest(l) x FROM maximal)
+SELECT conv_id, n::BIGINT n_turns, copies::BIGINT n_copies, ((k - 1) // 512)::BIGINT part,
+       string_agg('<|im_start|>' || replace(coalesce(x.r, 'unknown'), '<|', '< |') || chr(10) || replace(coalesce(x.t, ''), '<|', '< |')
+                  || '<|im_end|>' || chr(10), '' ORDER BY k) rendered
+FROM pieces GROUP BY ALL
+"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op6_quality_rules": QUALITY_RULES, "op7_decontamination": DECONTAMINATION}
+    return {
+        "op5_revisits": REVISITS,
+        "op6_quality_rules": QUALITY_RULES,
+        "op7_decontamination": DECONTAMINATION,
+        "op9_chat": CHAT,
+    }

@@ -8,15 +8,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import byte_bpe, decontaminate, line_dedup, quality_rules, simhash
+from orderlens.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    html_layout,
+    kneser_ney,
+    lang_id,
+    line_dedup,
+    quality_rules,
+    revisits,
+    simhash,
+)
 from orderlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    held_out = lang_id.held_out(F.col("doc_id"))
+    model = lang_id.learn(docs.filter(~held_out))
+    out = lang_id.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op2_html_text(spark: SparkSession, d: str) -> DataFrame:
+    return html_layout.extract(table(spark, d, "pages")).select("page_id", "text")
+
+
 def op3_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Per document: its lines with words, how many were removed, and the text left."""
     out = line_dedup.dedup_lines(table(spark, d, "documents"))
@@ -28,6 +51,52 @@ def op4_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return byte_bpe.round_trip(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def page_log(pages: DataFrame) -> DataFrame:
+    """A crawl log as WARC records (column ``record``) from the pages: each page is
+    captured in full at minute ``page_id`` and asked for again a week and ``page_id``
+    minutes later. Validators come from the page's content and time; some captures lack
+    one, some requests answer with a stale or a weak one."""
+    pid = F.coalesce("page_id", F.lit(0))
+    first = F.timestamp_seconds(F.lit(1704067200) + pid * 60)
+    digest = F.substring(F.md5(F.coalesce("html", F.lit("")).cast("binary")), 1, 16)
+
+    def line(name: str, value: Column, when: Column | None = None) -> Column:
+        text = F.concat(F.lit(name + ": "), value, F.lit("\r\n"))
+        return text if when is None else F.when(when, text).otherwise("")
+
+    def http_date(c: Column) -> Column:
+        return F.date_format(c, "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+
+    def warc(kind: str, at: Column) -> Column:
+        return F.concat(
+            F.lit("WARC/1.1\r\n"), line("WARC-Type", F.lit(kind)), line("WARC-Record-ID", F.concat(F.lit(kind + "-"), F.lpad(pid.cast("string"), 12, "0"))),
+            line("WARC-Target-URI", F.coalesce("url", F.lit(""))), line("WARC-Date", F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")), F.lit("\r\n"),
+        )
+
+    tag = F.concat(F.lit('"'), digest, F.lit('"'))
+    full = F.concat(
+        warc("response", first), F.lit("HTTP/1.1 200 OK\r\n"), line("Content-Type", F.lit("text/html")),
+        line("Content-Length", F.octet_length(F.coalesce("html", F.lit(""))).cast("string")), line("ETag", tag, pid % 7 != 3),
+        line("Last-Modified", http_date(first), pid % 11 != 5), line("Cache-Control", F.lit("max-age=60")), F.lit("\r\n"), F.coalesce("html", F.lit("")),
+    )
+    again = first + F.expr("INTERVAL 7 DAYS")
+    sent = F.when(pid % 5 == 0, F.concat(F.lit('"stale-'), digest, F.lit('"'))).otherwise(F.concat(F.lit("W/"), tag))
+    revisit = F.concat(
+        warc("revisit", again), F.lit("HTTP/1.1 304 Not Modified\r\n"), line("ETag", sent, (pid % 7 != 3) & (pid % 5 != 1)),
+        line("Last-Modified", http_date(first), pid % 5 == 1), line("Cache-Control", F.concat(F.lit("max-age="), pid.cast("string"))),
+        line("Content-Length", F.lit("0")), line("Date", http_date(again)), F.lit("\r\n"),
+    )
+    return pages.select(F.explode(F.array(full, revisit)).alias("record"))
+
+
+def op5_revisits(spark: SparkSession, d: str) -> DataFrame:
+    """Per revisit of the crawl log made from the pages: its outcome, the response that it
+    stands for and the merged headers, one "name: value" per line in order of names."""
+    out = revisits.resolve(revisits.parse_records(page_log(table(spark, d, "pages"))))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return out.select("record_id", "url", "status", "response_id", F.array_join(lines, "\n").alias("headers"), "payload_sha1")
+
+
 def op6_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     out = quality_rules.score(table(spark, d, "documents").select("doc_id", "text"))
     return out.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -43,6 +112,16 @@ def op8_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op9_chat(spark: SparkSession, d: str) -> DataFrame:
+    return chat.render_maximal(table(spark, d, "conversations"))
+
+
+def op10_kneser_ney(spark: SparkSession, d: str) -> DataFrame:
+    """Trusted text: documents labelled good and not toxic."""
+    out = kneser_ney.judge(table(spark, d, "documents"), table(spark, d, "labels"), F.expr("quality = 1 AND toxic = 0"))
+    return out.select("doc_id", "lang", "perplexity", "threshold", "kept")
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline  # noqa: PLC0415 - beside the package, not in it
 
@@ -50,5 +129,8 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op3_line_dedup, op4_byte_bpe, op6_quality_rules, op7_decontamination, op8_simhash, pipeline)
+    named = (
+        op1_language_id, op2_html_text, op3_line_dedup, op4_byte_bpe, op5_revisits, op6_quality_rules, op7_decontamination,
+        op8_simhash, op9_chat, op10_kneser_ney, pipeline,
+    )
     return {f.__name__: f for f in named}
