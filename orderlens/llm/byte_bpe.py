@@ -33,9 +33,10 @@ from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
 from orderlens.llm.common import quoted, ship_package, with_results
+from orderlens.llm.textscan import release_memory
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 150_000
 #: Texts are taken together up to about so many pre-tokens.
 PRE_TOKENS_HELD = 200_000
 
@@ -88,6 +89,7 @@ class Codec:
         n = self.pieces.get_piece_size() - 1
         self.token = [self.pieces.id_to_piece(i).translate(back).encode("latin-1") for i in range(n)]
         self.rank = {t: i for i, t in enumerate(self.token)}
+        self.number = list(range(n))  # one object per id, whatever the cache holds
         self.decimal = [str(i) for i in range(n)]
         self.cache: dict[str, tuple[int, ...]] = {}
 
@@ -112,7 +114,7 @@ class Codec:
         raw = [p.encode() for p in missing]
         mapped = self.pieces.encode([r.decode("latin-1").translate(self.letters) for r in raw], num_threads=1)
         for p, r, ids in zip(missing, raw, mapped):
-            cache[p] = (rank[r],) if r in rank else tuple(ids)
+            cache[p] = (rank[r],) if r in rank else tuple(map(self.number.__getitem__, ids))
         for pre_tokens in found:
             yield list(chain.from_iterable(map(cache.__getitem__, pre_tokens)))
 
@@ -150,6 +152,7 @@ def _functions(path: str, pattern: str):
             counts.append(len(ids))
             ids_sha.append(hashlib.sha256(",".join(map(c.decimal.__getitem__, ids)).encode()).hexdigest())
             decoded_sha.append(hashlib.sha256(c.decode(ids)).hexdigest())
+        release_memory()
         return pa.StructArray.from_arrays(
             [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
             ["n_tokens", "ids_sha256", "decoded_sha256"],

@@ -7,6 +7,7 @@ own), so that working arrays stay small whatever the batch size.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,6 +69,20 @@ def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, bounds
 
 
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
+
+def release_memory() -> None:
+    """Give memory that a batch has used back to the system: a worker lives on, idle,
+    beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(arr: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets from 0) of consecutive groups of rows."""
     data, bounds = utf8(arr)
@@ -77,6 +92,7 @@ def slices(arr: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         end = min(max(end, row + 1), rows)
         yield row, data[bounds[row] : bounds[end]], bounds[row : end + 1] - bounds[row]
         row = end
+    release_memory()
 
 
 def spans(data: np.ndarray, bounds: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
