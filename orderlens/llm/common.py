@@ -63,13 +63,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Spark setting: a finished SQL execution frees its shuffle files (they are made again
+#: from the lineage should anything still need them).
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back
-    (columnar and compressed, where a later job needs some of the columns only). The
-    folder belongs to the application, as its checkpoints do."""
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back:
+    cuts the lineage, and a later job reads the columns that it needs. The shuffle files
+    of the writing job are freed at its end, so that the steps of an operator do not add
+    up on disk. The folder belongs to the application, as its checkpoints do."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -17,12 +17,13 @@ Steps, each a Spark job over the whole table:
 3. ``candidates``: prefix entries meet by token. Length, positional and bitmap filters
    (64 bits of token parity bound the symmetric difference) drop pairs that cannot
    reach the threshold. A line needs one earlier partner only, so each entry gives at
-   most ``PARTNERS`` of its earliest candidates and says if there may be more.
-   Tokens with many entries are cut into chunks, every pair of chunks is a group.
+   most ``PARTNERS`` candidates and says if there may be more. Tokens with many entries
+   are cut into chunks, every pair of chunks is a group.
 4. ``verified``: the tokens of candidate lines are read again from the texts (a Bloom
-   filter of fixed size selects the lines) and the Jaccard similarity is computed. Lines
+   filter of fixed size selects the lines) and the Jaccard similarity is computed, first
+   with each line's closest candidate, then with the others of lines still open. Lines
    with cut candidate lists and no verified partner meet all their candidates.
-5. ``apply``: texts are rebuilt from the lines that stay.
+5. ``removed_lines`` gives the decisions, ``dedup_lines`` rebuilds the texts.
 
 Words are compared by 64-bit hashes. Edge cases: null texts stay null and empty ones
 empty; ids may be null or repeated; rows with the same id and the same text are one
@@ -42,11 +43,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.llm import textscan as ts
-from orderlens.llm.common import as_text, checkpointed, packed, partitions_for, ship_package, stored
+from orderlens.llm.common import as_text, packed, partitions_for, ship_package, stored
 
 #: Jaccard similarity as a fraction.
 THRESHOLD = (4, 5)
-SKETCH_BITS = 18
+SKETCH_BITS = 17
 PARTNERS = 8
 GROUP_LIMIT = 20_000
 BLOOM_BITS = 26
@@ -91,11 +92,21 @@ def _line_keys(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
         return np.add.reduceat(hashes, first).view(np.int64), np.add.reduceat(other, first).view(np.int64)
 
 
-def _distinct_tokens(hashes: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((hashes, line))
-    h, g = hashes[order], line[order]
+def _distinct_tokens(hashes: np.ndarray, line: np.ndarray, rarity: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Different tokens of each line, by rarity (0 to 127) and hash. One sort of numbers
+    that hold line, rarity and the hash's upper bits; should two hashes of a line agree in
+    those, or lines be too many, a sort by all columns."""
+    if rarity is None:
+        rarity = np.zeros(len(hashes), dtype=np.uint64)
+    packed = (line.astype(np.uint64) << np.uint64(47)) | (rarity << np.uint64(40)) | (hashes >> np.uint64(24))
+    order = np.argsort(packed)
+    h, g, p = hashes[order], line[order], packed[order]
     new = np.ones(len(h), dtype=bool)
     new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+    if (len(g) and line[-1] >= 1 << 17) or (new[1:] & (p[1:] == p[:-1])).any():
+        order = np.lexsort((hashes, rarity, line))
+        h, g = hashes[order], line[order]
+        new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
     return h[new], g[new]
 
 
@@ -138,7 +149,8 @@ _LINE = T.StructType(
 
 def distinct_lines(texts: DataFrame, counts: np.ndarray) -> DataFrame:
     """The earliest line of every set of words: id, h, line, k1, k2, n, bits, prefix."""
-    small = counts.astype(np.float32) if counts.max(initial=0) >= 2**31 else counts.astype(np.int32)
+    # three steps for each doubling of a count: a fixed order of the buckets
+    levels = np.minimum(np.log2(counts + 1.0) * 3, 127).astype(np.uint64)
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,10 +161,8 @@ def distinct_lines(texts: DataFrame, counts: np.ndarray) -> DataFrame:
                     continue
                 k1, k2 = _line_keys(hashes, first)
                 line = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(hashes))))
-                tokens, line = _distinct_tokens(hashes, line)
-                rarity = small[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                order = np.lexsort((tokens, rarity, line))
-                tokens = tokens[order]
+                rarity = levels[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                tokens, line = _distinct_tokens(hashes, line, rarity)
                 n = np.bincount(line, minlength=len(first))
                 begin = np.cumsum(n) - n
                 with np.errstate(over="ignore"):
@@ -190,10 +200,9 @@ def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np.
     return col.flatten().to_numpy(), row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def prefix_entries(lines: DataFrame) -> DataFrame:
-    """One row per line and prefix token; more for tokens with many lines, which go to
-    every pair of chunks that holds theirs."""
-    mask = (1 << SKETCH_BITS) - 1
+def token_chunks(lines: DataFrame) -> np.ndarray:
+    """Number of chunks of the entries of every token bucket."""
+    mask = np.int32((1 << SKETCH_BITS) - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
@@ -203,12 +212,24 @@ def prefix_entries(lines: DataFrame) -> DataFrame:
         yield _count_batch(total)
 
     in_bucket = _summed(lines.select("prefix").mapInArrow(count, _COUNTS))
-    # chunks by bucket, so that a chunk has about half of GROUP_LIMIT lines or fewer
-    chunks = np.where(in_bucket > GROUP_LIMIT, -(-in_bucket * 2 // GROUP_LIMIT), 1).astype(np.int32)
+    # a bucket far above the average holds a hot token; its chunks have about half of
+    # the limit
+    limit = int(max(GROUP_LIMIT, 8 * in_bucket.mean()))
+    return np.where(in_bucket > limit, -(-in_bucket * 2 // limit), 1).astype(np.int32)
+
+
+def prefix_entries(lines: DataFrame, chunks: np.ndarray, tokens: np.ndarray | None = None) -> DataFrame:
+    """One row per line and prefix token; more for tokens with many lines, which go to
+    every pair of chunks that holds theirs. ``tokens``: a bit table (``_bloom``) that
+    selects tokens, and perhaps some others."""
+    mask = np.int32((1 << SKETCH_BITS) - 1)
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, row, pos = _flat(batch, "prefix")
+            if tokens is not None:
+                wanted = _in_bloom(tokens, keys.view(np.uint32))
+                keys, row, pos = keys[wanted], row[wanted], pos[wanted]
             cols = {n: batch.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(batch.schema.names) if n != "prefix"}
             c = chunks[keys & mask]
             at = np.repeat(np.arange(len(keys)), c)
@@ -225,40 +246,48 @@ def prefix_entries(lines: DataFrame) -> DataFrame:
     return lines.select("k1", F.coalesce("id", F.lit(_NONE)).alias("oid"), "line", "n", "bits", "prefix").mapInArrow(entries, _ENTRY)
 
 
-_PAIR = T.StructType([T.StructField("y", T.LongType()), T.StructField("x", T.LongType()), T.StructField("more", T.BooleanType())])
+_PAIR = T.StructType(
+    [T.StructField("y", T.LongType()), T.StructField("x", T.LongType()), T.StructField("far", T.IntegerType()), T.StructField("more", T.BooleanType())]
+)
 
 
 def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate pairs (later y, earlier x) within the groups of entries sorted by key."""
 
     def pairs(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((cols[1], cols[3], cols[2], cols[0]))
-        key, k1, _, _, n, pos, bits = (c[order] for c in cols)
-        n = n.astype(np.int64)
-        rest = n - pos
-        bits = bits.view(np.uint64)
-        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        start = np.repeat(begin, np.diff(np.append(begin, len(key))))
-        depth = np.arange(len(key)) - start
-        active = np.flatnonzero(depth > 0)
-        found = np.zeros(len(key), dtype=np.int32)
-        step = 0
-        while len(active):
-            x = start[active] + step
-            nx, ny = n[x], n[active]
-            need = _overlap(nx + ny)
-            ok = (np.minimum(nx, ny) >= _need(np.maximum(nx, ny))) & (np.minimum(rest[x], rest[active]) >= need)
-            ok &= k1[x] != k1[active]
-            at = np.flatnonzero(ok)
-            close = np.bitwise_count(bits[x[at]] ^ bits[active[at]]) <= (nx + ny - 2 * need)[at]
-            at = at[close]
-            if len(at):
-                y = active[at]
-                found[y] += 1
-                more = (found[y] >= PARTNERS) & (depth[y] > step + 1)
-                yield pa.RecordBatch.from_arrays([pa.array(k1[y]), pa.array(k1[x[at]]), pa.array(more)], names=_PAIR.names)
+        key, n = cols[0], cols[4]
+        group = np.cumsum(np.append(False, key[1:] != key[:-1]))
+        # by length within a group: partners of i stand right after it
+        order = np.argsort((group << 32) + n, kind="stable")
+        _, k1, oid, line, n, pos, bits = (c[order] for c in cols)
+        group, rest, bits = group[order], n - pos, bits.view(np.uint64)
+        longest = n * THRESHOLD[1] // THRESHOLD[0]
+        found = np.zeros(len(n), dtype=np.int32)
+        active, step = np.arange(len(n)), 1
+        while True:
+            active = active[active < len(n) - step]
+            active = active[(group[active + step] == group[active]) & (n[active + step] <= longest[active])]
+            if not len(active):
+                return
+            i, j = active, active + step
             step += 1
-            active = active[(depth[active] > step) & (found[active] < PARTNERS)]
+            total = n[i] + n[j]
+            need = _overlap(total)
+            at = np.flatnonzero(np.minimum(rest[i], rest[j]) >= need)
+            i, j, slack = i[at], j[at], (total - 2 * need)[at]
+            far = np.bitwise_count(bits[i] ^ bits[j])
+            at = np.flatnonzero((far <= slack) & (k1[i] != k1[j]))
+            if not len(at):
+                continue
+            i, j, far = i[at], j[at], far[at]
+            later = (oid[i] > oid[j]) | ((oid[i] == oid[j]) & ((line[i] > line[j]) | ((line[i] == line[j]) & (k1[i] > k1[j]))))
+            y, x = np.where(later, i, j), np.where(later, j, i)
+            open_ = found[y] < PARTNERS
+            y, x, far = y[open_], x[open_], far[open_]
+            np.add.at(found, y, 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k1[y]), pa.array(k1[x]), pa.array(far.astype(np.int32)), pa.array(found[y] >= PARTNERS)], names=_PAIR.names
+            )
 
     held: list[list[np.ndarray]] = []
     rows = 0
@@ -276,19 +305,23 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs([np.concatenate(c) for c in zip(*held)])
 
 
-def candidates(lines: DataFrame) -> DataFrame:
-    """(y, x, more): candidate partners x of lines y; ``more`` if y's list was cut."""
+def candidates(lines: DataFrame, chunks: np.ndarray) -> DataFrame:
+    """(y, x, far, more): candidate partners x of lines y, a bound of their distance, and
+    whether y's list may have been cut."""
     parts = partitions_for(lines.sparkSession, lines.count() * 10, 4_000_000)
-    placed = prefix_entries(lines).repartition(parts, "key").sortWithinPartitions("key")
-    return placed.mapInArrow(_partners, _PAIR).groupBy("y", "x").agg(F.max("more").alias("more"))
+    placed = prefix_entries(lines, chunks).repartition(parts, "key").sortWithinPartitions("key")
+    return placed.mapInArrow(_partners, _PAIR).groupBy("y", "x").agg(F.min("far").alias("far"), F.max("more").alias("more"))
 
 
-def all_candidates(lines: DataFrame, only: DataFrame) -> DataFrame:
-    """Every candidate pair whose later line is in ``only`` (column y)."""
-    entries = prefix_entries(lines)
-    y = entries.join(only.select(F.col("y").alias("k1")), "k1", "left_semi")
+def all_candidates(lines: DataFrame, chunks: np.ndarray, only: DataFrame) -> DataFrame:
+    """Every candidate pair whose later line is in ``only`` (column y). The other side
+    are the entries of those lines' tokens."""
+    these = stored(lines.join(only.select(F.col("y").alias("k1")), "k1", "left_semi").select(*lines.columns))
+    tokens = _bloom(these.select(F.explode("prefix").alias("t")).select(F.col("t").bitwiseAND(F.lit(0xFFFFFFFF)).alias("k1")).distinct())
+    y = prefix_entries(these, chunks)
+    x = prefix_entries(lines, chunks, tokens)
     y = y.select("key", *[F.col(c).alias("y_" + c) for c in _ENTRY.names[1:]])
-    x = entries.select("key", *[F.col(c).alias("x_" + c) for c in _ENTRY.names[1:]])
+    x = x.select("key", *[F.col(c).alias("x_" + c) for c in _ENTRY.names[1:]])
     num, den = THRESHOLD
     need = F.expr(f"ceil({num} * (x_n + y_n) / {num + den})")
     return (
@@ -297,8 +330,8 @@ def all_candidates(lines: DataFrame, only: DataFrame) -> DataFrame:
         .filter(F.expr(f"{den} * least(x_n, y_n) >= {num} * greatest(x_n, y_n)"))
         .filter(F.least(F.expr("x_n - x_pos"), F.expr("y_n - y_pos")) >= need)
         .filter(F.expr("bit_count(x_bits ^ y_bits)") <= F.expr("x_n + y_n") - 2 * need)
-        .select(F.col("y_k1").alias("y"), F.col("x_k1").alias("x"))
-        .distinct()
+        .groupBy(F.col("y_k1").alias("y"), F.col("x_k1").alias("x"))
+        .agg(F.min(F.expr("bit_count(x_bits ^ y_bits)")).alias("far"))
     )
 
 
@@ -313,21 +346,24 @@ def _bloom(keys: DataFrame) -> np.ndarray:
     return out
 
 
+def _in_bloom(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = (keys & keys.dtype.type((1 << BLOOM_BITS) - 1)).astype(np.int64)
+    return (bloom[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
 _TOKENS = T.StructType([T.StructField("k1", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
 
 
 def line_tokens(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(k1, tokens) of the wanted lines (column k1) and perhaps others, each once."""
     bloom = _bloom(wanted)
-    mask = np.uint64((1 << BLOOM_BITS) - 1)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, bounds in ts.slices(batch.column(0)):
                 hashes, first, _, _ = _lines(data, bounds)
                 k1, _ = _line_keys(hashes, first)
-                place = (k1.view(np.uint64) & mask).astype(np.int64)
-                hit = (bloom[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                hit = _in_bloom(bloom, k1.view(np.uint64))
                 hit[np.setdiff1d(np.arange(len(k1)), np.unique(k1, return_index=True)[1])] = False
                 if not hit.any():
                     continue
@@ -344,16 +380,19 @@ def line_tokens(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(y): lines with a partner whose Jaccard similarity reaches the threshold."""
-    wanted = pairs.select(F.explode(F.array("y", "x")).alias("k1")).distinct()
-    tokens = line_tokens(texts, wanted)
+    tokens = stored(line_tokens(texts, pairs.select(F.explode(F.array("y", "x")).alias("k1")).distinct()))
     num, den = THRESHOLD
-    both = (
-        pairs.join(tokens.select(F.col("k1").alias("x"), F.col("tokens").alias("tx")), "x")
-        .join(tokens.select(F.col("k1").alias("y"), F.col("tokens").alias("ty")), "y")
-    )
-    common = F.size(F.array_intersect("tx", "ty"))
-    total = F.size("tx") + F.size("ty")
-    return both.filter((num + den) * common >= num * total).select("y").distinct()
+
+    def similar(some: DataFrame) -> DataFrame:
+        both = some.join(tokens.select(F.col("k1").alias("x"), F.col("tokens").alias("tx")), "x")
+        both = both.join(tokens.select(F.col("k1").alias("y"), F.col("tokens").alias("ty")), "y")
+        common, total = F.size(F.array_intersect("tx", "ty")), F.size("tx") + F.size("ty")
+        return both.filter((num + den) * common >= num * total).select("y").distinct()
+
+    closest = pairs.groupBy("y").agg(F.min(F.struct("far", "x")).alias("c")).select("y", "c.x")
+    first = stored(similar(closest))
+    others = pairs.select("y", "x").join(first, "y", "left_anti")
+    return stored(first.union(similar(others)))
 
 
 _RESULT = T.StructType(
@@ -364,45 +403,66 @@ _RESULT = T.StructType(
 @F.arrow_udf(_RESULT)
 def _rebuilt(texts: pa.Array, kept: pa.Array) -> pa.Array:
     out, n_lines, n_removed = [], [], []
-    for text, numbers in zip(texts.to_pylist(), kept.to_pylist()):
+    for value, numbers in zip(texts, kept):
+        text, stay = value.as_py(), set(numbers.as_py() or ())
         lines = (text or "").split("\n")
-        worded = [bool(x.strip(" \t\x0b\x0c\r")) for x in lines]
-        stay = set(numbers or [])
-        removed = sum(worded) - len(stay)
-        if removed:
-            text = "\n".join(x for i, (x, w) in enumerate(zip(lines, worded)) if not w or i in stay) if stay else ""
+        worded = [i for i, x in enumerate(lines) if x.strip(" \t\x0b\x0c\r")]
+        gone = set(worded).difference(stay)
+        if gone:
+            text = "\n".join(x for i, x in enumerate(lines) if i not in gone) if stay else ""
         out.append(text)
-        n_lines.append(sum(worded))
-        n_removed.append(removed)
+        n_lines.append(len(worded))
+        n_removed.append(len(gone))
+    ts.release_memory()
     return pa.StructArray.from_arrays(
         [pa.array(out, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], names=_RESULT.names
     )
 
 
-def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, h, kept): the numbers of the lines that stay, by document id and text hash."""
-    rows = packed(docs)
-    text = F.col("row").getField(text_col).cast("string")
-    texts = rows.select(F.col("row").getField(id_col).cast("long").alias("id"), F.xxhash64(as_text(text)).alias("h"), as_text(text).alias("text"))
+def kept_lines(texts: DataFrame) -> DataFrame:
+    """(id, h, kept): the numbers of the lines that stay, by document id and text hash,
+    for the columns id, h and text."""
     lines = stored(distinct_lines(texts, token_counts(texts)))
-    pairs = checkpointed(candidates(lines))
-    gone = checkpointed(verified(texts, pairs))
-    open_lines = checkpointed(pairs.filter("more").select("y").distinct().join(gone, "y", "left_anti"))
+    chunks = token_chunks(lines)
+    pairs = stored(candidates(lines, chunks))
+    gone = verified(texts, pairs)
+    open_lines = stored(pairs.filter("more").select("y").distinct().join(gone, "y", "left_anti"))
     if not open_lines.isEmpty():
-        gone = gone.union(checkpointed(verified(texts, checkpointed(all_candidates(lines, open_lines)))))
+        gone = gone.union(verified(texts, stored(all_candidates(lines, chunks, open_lines))))
     stay = lines.select("id", "h", "line", "k1").join(gone.select(F.col("y").alias("k1")), "k1", "left_anti")
     return stay.groupBy("id", "h").agg(F.collect_list("line").alias("kept"))
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = packed(docs)
+    text = F.col("row").getField(text_col).cast("string")
+    return rows.select("row", F.col("row").getField(id_col).cast("long").alias("id"), F.xxhash64(as_text(text)).alias("h"), text.alias("text"))
+
+
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, n_lines, removed): per row of ``docs`` its lines with a word and the
+    numbers (from 0) of those that go. Texts are not shuffled."""
+    ship_package(docs.sparkSession)
+    keyed = _keyed(docs, id_col, text_col)
+    stay = kept_lines(keyed.select("id", "h", as_text(F.col("text")).alias("text")))
+    lines = keyed.select("id", "h", F.split(as_text(F.col("text")), "\n").alias("lines"))
+    number = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike("[^ \\t\\x0B\\f\\r]"))
+    rows = lines.select("id", "h", number.alias("worded")).alias("a")
+    joined = rows.join(stay.alias("b"), F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.h") == F.col("b.h")), "left")
+    none = F.array().cast("array<int>")
+    gone = F.array_except("a.worded", F.coalesce("b.kept", none))
+    return joined.select(F.col("a.id").alias(id_col), F.size("a.worded").cast("long").alias("n_lines"), gone.alias("removed"))
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the shortened text, ``n_lines`` (lines with a word) and ``n_removed``."""
     ship_package(docs.sparkSession)
-    stay = kept_lines(docs, id_col, text_col).select(F.col("id").alias("i"), F.col("h").alias("j"), "kept")
-    rows = packed(docs)
+    keyed = _keyed(docs, id_col, text_col)
+    stay = stored(kept_lines(keyed.select("id", "h", as_text(F.col("text")).alias("text"))))
+    rows = keyed.select("row", "id", "h").alias("a")
+    joined = rows.join(stay.alias("b"), F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.h") == F.col("b.h")), "left")
     text = F.col("row").getField(text_col).cast("string")
-    rows = rows.select("row", F.col("row").getField(id_col).cast("long").alias("id"), F.xxhash64(as_text(text)).alias("h"))
-    joined = rows.join(stay, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("j")), "left")
-    joined = joined.select("row", _rebuilt(F.col("row").getField(text_col).cast("string"), "kept").alias("new"))
+    decided = joined.select("row", _rebuilt(text, F.col("kept")).alias("new"))
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     cols = [(F.col("new.text") if c == text_col else F.col("row").getField(c)).alias(c) for c in names]
-    return joined.select(*cols, F.col("new.n_lines").alias("n_lines"), F.col("new.n_removed").alias("n_removed"))
+    return decided.select(*cols, F.col("new.n_lines").alias("n_lines"), F.col("new.n_removed").alias("n_removed"))

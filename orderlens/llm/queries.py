@@ -41,9 +41,9 @@ def op2_html_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Per document: its lines with words, how many were removed, and the text left."""
-    out = line_dedup.dedup_lines(table(spark, d, "documents"))
-    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+    """Per document: its lines with words, how many are removed and which."""
+    out = line_dedup.removed_lines(table(spark, d, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
 def op4_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
