@@ -25,10 +25,20 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters that count as white space in raw text (regex class).
+WHITE = r"\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+
+
 def is_missing(c: str | Column) -> Column:
-    """Null, empty or whitespace-only text (the quality report's 'missing')."""
+    """Null, empty or text of white space only, tabs and line breaks included (the
+    quality report's 'missing')."""
     c = col(c)
-    return c.isNull() | (F.trim(c) == "")
+    return c.isNull() | ~c.rlike(f"[^{WHITE}]")
+
+
+def stripped(c: str | Column) -> Column:
+    """Text without white space at its ends."""
+    return F.regexp_replace(col(c), f"^[{WHITE}]+|[{WHITE}]+$", "")
 
 
 def is_identified(user: str | Column = "USER_ID") -> Column:
@@ -74,12 +84,6 @@ def week_start(ts: str | Column) -> Column:
     return F.trunc(F.to_date(col(ts)), "week")
 
 
-def ratio_or_zero(numerator: str | Column, denominator: str | Column) -> Column:
-    """s / n when n > 0 else 0 (decimal division, exact to the result scale)."""
-    n = col(denominator)
-    return F.when(n > 0, col(numerator) / n).otherwise(F.lit(0))
-
-
 def ts_literal(text: str, like: DataType) -> Column:
     """Timestamp literal of the same flavour (NTZ or session) as a column."""
     if isinstance(like, TimestampNTZType):

@@ -20,6 +20,12 @@ def half_up_mean(total: Column, count: Column) -> Column:
     return F.when(n > 0, F.round(mean, 2).cast(MONEY))
 
 
+def half_up_mean_or_zero(total: str, count: str) -> Column:
+    """The exact mean of two columns, 0 when the count is 0 (null for a null total)."""
+    n = F.col(count)
+    return F.when(n > 0, half_up_mean(F.col(total), n)).otherwise(F.lit(0).cast(MONEY))
+
+
 def half_up_ratio(numerator: Column, denominator: Column, scale_by: int = 1) -> Column:
     """numerator * scale_by / denominator rounded half up to 2 places, exactly
     (18 working decimals, as ``half_up_mean``). Null when the denominator is 0

@@ -16,7 +16,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
-    TimestampType,
+    TimestampNTZType,
 )
 
 # ---------------------------------------------------------------------------
@@ -49,7 +49,7 @@ FILE_NAMES = {
 NA_TOKENS = ["NULL", "null", "NA", "N/A", "NaN", "nan"]
 
 # Text widths of the typed landing tables (fixed values); Spark strings carry
-# no width, so typed ingest clips with ``left``.
+# no width, so the strict load checks them.
 ORDER_ITEM_WIDTHS = {
     "APP_NAME": 255, "RESTAURANT_ID": 255, "ORDER_ID": 255, "USER_ID": 255,
     "PRINTED_CARD_NUMBER": 255, "CURRENCY": 10, "LINEITEM_ID": 255,
@@ -77,7 +77,7 @@ def raw_schema(table: str) -> StructType:
 TYPED_SCHEMAS: dict[str, StructType] = {
     "order_items": _struct([
         ("APP_NAME", StringType()), ("RESTAURANT_ID", StringType()),
-        ("CREATION_TIME_UTC", TimestampType()), ("ORDER_ID", StringType()),
+        ("CREATION_TIME_UTC", TimestampNTZType()), ("ORDER_ID", StringType()),
         ("USER_ID", StringType()), ("PRINTED_CARD_NUMBER", StringType()),
         ("IS_LOYALTY", BooleanType()), ("CURRENCY", StringType()),
         ("LINEITEM_ID", StringType()), ("ITEM_CATEGORY", StringType()),

@@ -20,24 +20,6 @@ JOB_CONF = {
 }
 
 
-# Starting points for a large cluster (100 TB scans, ~1000 executors): AQE sizes
-# shuffle partitions from an advisory size, splits skewed join partitions, and
-# coalesces small ones; scans read 256 MB splits.
-CLUSTER_CONF = {
-    **JOB_CONF,
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-}
-
-
-def cluster_shuffle_partitions(total_cores: int) -> int:
-    """Initial shuffle partitions for a cluster: about 4 per core; AQE
-    coalesces down from there."""
-    return max(200, 4 * total_cores)
-
-
 def build_session(
     app: str = "orderlens",
     master: str | None = None,

@@ -1,23 +1,24 @@
 """Raw text -> typed tables (S9-S12, S16) and the raw CSV reader.
 
-Typed loads fail loudly by default, as a database ``CONVERT`` does: with ANSI
-mode a bad date, number or time raises. ``strict=False`` turns bad values into
-nulls instead (``try_*``), which is what reports and tests use.
+Typed loads fail loudly by default, as a database ``CONVERT`` does: a bad date,
+number, time or an over-long text raises. ``strict=False`` turns bad values into
+nulls instead and leaves texts whole; ``quarantine`` parts good rows from bad ones.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, StringType
+from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
 
+from orderlens.functions.columns import stripped
 from orderlens.schemas import (
     DATE_DIM_WIDTHS,
     EXPECTED_COLUMNS,
     NA_TOKENS,
     OPTION_WIDTHS,
     ORDER_ITEM_WIDTHS,
-    raw_schema,
+    TYPED_SCHEMAS,
 )
 
 C = F.col
@@ -25,60 +26,121 @@ INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 
 # Text formats of the sources.
 DATE_KEY_FORMAT = "d-M-yyyy"  # DD-MM-YYYY, one-digit day/month accepted
+# A date and a time of day, with or without fraction and zone (Z or an offset).
+TIMESTAMP_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*(Z|[+-]\d{2}:?\d{2})?$"
+ZONE_TEXT = r"\s*(Z|[+-]\d{2}:?\d{2})$"
 
 
 # S1 -------------------------------------------------------------------------
-def read_raw_csv(spark: SparkSession, path: str, table: str, multiline: bool = True) -> DataFrame:
+class ColumnMismatch(ValueError):
+    """A raw file's header is not the expected one."""
+
+
+def column_differences(actual: list[str], table: str) -> tuple[list[str], list[str]]:
+    """(missing, unexpected) columns of a header, in order."""
+    expected = EXPECTED_COLUMNS[table]
+    return [c for c in expected if c not in actual], [c for c in actual if c not in expected]
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str, table: str, multiline: bool = False, columns: str = "strict"
+) -> DataFrame:
     """Read raw CSV files of one table as text, numbering records per file.
 
+    Columns go by the header's names, in any order. ``columns="strict"`` raises
+    ``ColumnMismatch`` when columns are missing or unexpected; ``columns="report"``
+    returns the file's own columns, for the quality report to list the
+    differences. All files must have the same header; a file with another one, a
+    record with too few or too many fields and a quoted value that goes on in
+    the next line fail the read with the file and row.
+
     Every column is a string; the tokens NULL null NA N/A NaN nan become
     null, blanks stay blank. ``source_row`` is the record's row in its file
-    counting the header as row 1 (the first record is row 2).
+    counting the header as row 1 (the first record is row 2); empty lines do
+    not count.
 
+    Files are read as lines, so that big ones are split across many tasks.
     Numbering is per input split: ``monotonically_increasing_id`` is
     consecutive inside a split, and each split is offset by the records of
-    the earlier splits of the same file (ordered by their start byte). The
-    offsets table has one row per split, so it is bounded by input bytes /
-    split size (100 TB at 256 MB splits: 400k rows, a few tens of MB) and is
-    broadcast.
-
-    ``multiline=True`` accepts quoted values spanning lines, but a file is then
-    one split, parsed by one task. ``multiline=False`` lets Spark split big
-    files across many tasks (records must not contain line breaks)."""
-    schema = raw_schema(table)
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multiline)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-        .withColumn("_file", C("_metadata.file_path"))
-        .withColumn("_block", C("_metadata.file_block_start"))
-        .withColumn("_id", F.monotonically_increasing_id())
-    )
-    splits = df.groupBy("_file", "_block").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first")
+    the earlier splits of the same file (ordered by their start byte).
+
+    ``multiline=True`` accepts quoted values spanning lines; a file is then
+    parsed by one task."""
+    if columns not in ("strict", "report"):
+        raise ValueError(f"columns is strict or report, not {columns}")
+    header = [c.lstrip("\ufeff") for c in spark.read.option("header", True).option("escape", '"').csv(path).columns]
+    missing, unexpected = column_differences(header, table)
+    if columns == "strict" and (missing or unexpected):
+        raise ColumnMismatch(f"{table}: missing columns {missing}, unexpected columns {unexpected}")
+    fields = [StructField(f"f{i}", StringType()) for i in range(len(header))]
+    if multiline:
+        records = _records(spark, path, fields)
+    else:
+        records = _lines(spark, path, fields)
+    where = F.concat(C("_file"), F.lit(" row "), C("source_row").cast("string"))
+    is_header = C("source_row") == 1
+    same = F.lit(True)
+    for i, name in enumerate(header):
+        own = F.regexp_replace(C(f"r.f{i}"), "^\ufeff", "") if i == 0 else C(f"r.f{i}")
+        same = same & own.eqNullSafe(F.lit(name))
+    fault = F.when(C("_bad"), F.raise_error(F.concat(F.lit("not one whole record: "), where))).when(
+        is_header & ~same, F.raise_error(F.concat(F.lit("another header: "), where))
     )
+    # the check is a filter that every row passes or fails the job on
+    checked = records.filter(fault.cast("string").isNull() & ~is_header)
+    kept = header if columns == "report" else EXPECTED_COLUMNS[table]
+    out = []
+    for c in kept:
+        value = C(f"r.f{header.index(c)}")
+        out.append(F.when(value.isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(value).alias(c))
+    return checked.select("source_row", *out)
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Rows with ``_file``, ``_block`` and ``_id`` get ``source_row``, from 1 per file."""
+    splits = df.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
     earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    numbered = df.join(F.broadcast(offsets), ["_file", "_block"]).withColumn(
-        "source_row", C("_before") + C("_id") - C("_first") + 2
-    )
-    return numbered.select(
-        "source_row",
-        *[
-            F.when(C(c).isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(C(c)).alias(c)
-            for c in EXPECTED_COLUMNS[table]
-        ],
+    return df.join(offsets, ["_file", "_block"]).withColumn("source_row", C("_before") + C("_id") - C("_first") + 1)
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    return (
+        df.withColumn("_file", C("_metadata.file_path"))
+        .withColumn("_block", C("_metadata.file_block_start"))
+        .withColumn("_id", F.monotonically_increasing_id())
     )
 
 
+def _lines(spark: SparkSession, path: str, fields: list[StructField]) -> DataFrame:
+    """Numbered lines parsed as records (r); ``_bad``: an open quote, or another number
+    of fields."""
+    lines = _placed(spark.read.text(path).filter(C("value").rlike("\\S")))
+    open_quote = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    schema = StructType([*fields, StructField("_corrupt", StringType())])
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = F.from_csv(C("value"), schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
+    return _numbered(lines).withColumn("r", parsed).withColumn("_bad", open_quote | C("r._corrupt").isNotNull())
+
+
+def _records(spark: SparkSession, path: str, fields: list[StructField]) -> DataFrame:
+    """Numbered records of files read whole; ``_bad``: another number of fields."""
+    schema = StructType([*fields, StructField("_corrupt", StringType())])
+    read = spark.read.schema(schema).option("header", False).option("multiLine", True).option("escape", '"')
+    rows = _placed(read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").csv(path))
+    packed = F.struct(*[C(f.name) for f in fields])
+    return _numbered(rows).withColumn("r", packed).withColumn("_bad", C("_corrupt").isNotNull())
+
+
 # helpers --------------------------------------------------------------------
-def _clip(c: str, width: int) -> Column:
-    return F.left(C(c), F.lit(width))
+def _text(c: str, width: int, strict: bool) -> Column:
+    """The text as it is: cutting a key would merge orders. Strictly, one longer than
+    its landing width is an error."""
+    if not strict:
+        return C(c)
+    return F.when(F.length(C(c)) > width, F.raise_error(F.lit(f"{c} is longer than {width}"))).otherwise(C(c))
 
 
 def _flag(c: str) -> Column:
@@ -98,58 +160,84 @@ def _to_decimal(c: str, strict: bool) -> Column:
     return C(c).cast(t) if strict else C(c).try_cast(t)
 
 
+def utc_timestamp(c: str) -> Column:
+    """ISO-8601 text with a date and a time (``T`` or space, optional seconds,
+    fraction, ``Z`` or offset) -> timestamp without zone holding UTC wall-clock
+    time; null for any other text."""
+    text = stripped(c)
+    zone = F.replace(F.regexp_extract(text, ZONE_TEXT, 1), F.lit(":"), F.lit(""))
+    local = F.regexp_replace(text, ZONE_TEXT, "").try_cast("timestamp_ntz")
+    minutes = F.when(
+        F.length(zone) == 5,
+        F.concat(F.substring(zone, 1, 1), F.lit("1")).cast("int")
+        * (F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, 4, 2).cast("int")),
+    ).otherwise(F.lit(0))
+    return F.when(text.rlike(TIMESTAMP_TEXT), local - F.make_dt_interval(F.lit(0), F.lit(0), minutes, F.lit(0)))
+
+
 def _to_timestamp(c: str, strict: bool) -> Column:
-    """ISO-8601 text (``T`` or space, optional fraction, optional ``Z``) ->
-    timestamp without zone holding UTC wall-clock time."""
-    return C(c).cast("timestamp_ntz") if strict else C(c).try_cast("timestamp_ntz")
+    value = utc_timestamp(c)
+    if not strict:
+        return value
+    bad = C(c).isNotNull() & value.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"{c} is no timestamp: "), C(c)))).otherwise(value)
+
+
+def conform_typed(df: DataFrame, table: str) -> DataFrame:
+    """The landing contract, enforced: names, order and types must be those
+    declared."""
+    declared = TYPED_SCHEMAS[table]
+    actual = [(f.name, f.dataType) for f in df.schema.fields]
+    if actual != [(f.name, f.dataType) for f in declared.fields]:
+        raise ValueError(f"{table} does not meet its landing contract: {df.schema.simpleString()}")
+    return df
+
+
+def quarantine(raw: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """(typed good rows, raw bad rows): bad are rows with a value that the strict load
+    would fail on."""
+    lenient = {"date_dim": ingest_date_dim, "order_items": ingest_order_items, "order_item_options": ingest_options}[table]
+    widths = {"date_dim": DATE_DIM_WIDTHS, "order_items": ORDER_ITEM_WIDTHS, "order_item_options": OPTION_WIDTHS}[table]
+    typed = lenient(raw, strict=False)
+    flags = {"is_weekend", "is_holiday", "IS_LOYALTY"}  # any other text is null there, strictly too
+    bad = F.lit(False)
+    for f, expr in zip(typed.schema.fields, _typed_columns(raw, table, strict=False)):
+        if f.name in widths:
+            bad = bad | F.coalesce(F.length(C(f.name)) > widths[f.name], F.lit(False))
+        elif f.name not in flags:
+            bad = bad | (C(f.name).isNotNull() & expr.isNull())
+    marked = raw.withColumn("__bad", bad)
+    return lenient(marked.filter(~C("__bad")).drop("__bad"), strict=False), marked.filter("__bad").drop("__bad")
 
 
 # S9-S11 ---------------------------------------------------------------------
+def _typed_columns(raw: DataFrame, table: str, strict: bool) -> list[Column]:
+    """The typed columns of a table, in contract order."""
+    widths = {"date_dim": DATE_DIM_WIDTHS, "order_items": ORDER_ITEM_WIDTHS, "order_item_options": OPTION_WIDTHS}[table]
+    by_type = {
+        "boolean": lambda c: _flag(c),
+        "int": lambda c: _to_int(c, strict),
+        "decimal(10,2)": lambda c: _to_decimal(c, strict),
+        "timestamp_ntz": lambda c: _to_timestamp(c, strict),
+        "date": lambda c: F.to_date(C(c), DATE_KEY_FORMAT) if strict else F.try_to_date(C(c), DATE_KEY_FORMAT),
+        "string": lambda c: _text(c, widths[c], strict),
+    }
+    return [by_type[f.dataType.simpleString()](f.name).alias(f.name) for f in TYPED_SCHEMAS[table].fields]
+
+
 def ingest_date_dim(raw: DataFrame, strict: bool = True) -> DataFrame:
     """DD-MM-YYYY -> date, numbers -> int, TRUE/FALSE -> boolean."""
-    date = F.to_date(C("date_key"), DATE_KEY_FORMAT) if strict else F.try_to_date(
-        C("date_key"), DATE_KEY_FORMAT
-    )
-    return raw.select(
-        date.alias("date_key"),
-        _to_int("year", strict).alias("year"),
-        _to_int("month", strict).alias("month"),
-        _to_int("week", strict).alias("week"),
-        _clip("day_of_week", DATE_DIM_WIDTHS["day_of_week"]).alias("day_of_week"),
-        _flag("is_weekend").alias("is_weekend"),
-        _flag("is_holiday").alias("is_holiday"),
-        _clip("holiday_name", DATE_DIM_WIDTHS["holiday_name"]).alias("holiday_name"),
-    )
+    return conform_typed(raw.select(*_typed_columns(raw, "date_dim", strict)), "date_dim")
 
 
 def ingest_order_items(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Typed order lines; text clipped to the landing widths."""
-    cols = []
-    for name in EXPECTED_COLUMNS["order_items"]:
-        if name == "CREATION_TIME_UTC":
-            cols.append(_to_timestamp(name, strict).alias(name))
-        elif name == "IS_LOYALTY":
-            cols.append(_flag(name).alias(name))
-        elif name == "ITEM_PRICE":
-            cols.append(_to_decimal(name, strict).alias(name))
-        elif name == "ITEM_QUANTITY":
-            cols.append(_to_int(name, strict).alias(name))
-        else:
-            cols.append(_clip(name, ORDER_ITEM_WIDTHS[name]).alias(name))
-    return raw.select(*cols)
+    """Typed order lines."""
+    return conform_typed(raw.select(*_typed_columns(raw, "order_items", strict)), "order_items")
 
 
 def ingest_options(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Typed options (a copy with casts)."""
-    cols = []
-    for name in EXPECTED_COLUMNS["order_item_options"]:
-        if name == "OPTION_PRICE":
-            cols.append(_to_decimal(name, strict).alias(name))
-        elif name == "OPTION_QUANTITY":
-            cols.append(_to_int(name, strict).alias(name))
-        else:
-            cols.append(_clip(name, OPTION_WIDTHS[name]).alias(name))
-    return raw.select(*cols)
+    """Typed options."""
+    return conform_typed(raw.select(*_typed_columns(raw, "order_item_options", strict)), "order_item_options")
 
 
 # S12 ------------------------------------------------------------------------
@@ -161,7 +249,7 @@ def preview_conversion(raw_items: DataFrame, n: int = 10) -> DataFrame:
         raw_items.select(
             "source_row",
             "CREATION_TIME_UTC",
-            _to_timestamp("CREATION_TIME_UTC", strict=False).alias("converted_creation_time"),
+            utc_timestamp("CREATION_TIME_UTC").alias("converted_creation_time"),
             "IS_LOYALTY",
             F.when(C("IS_LOYALTY") == "TRUE", F.lit(1))
             .when(C("IS_LOYALTY") == "FALSE", F.lit(0))
@@ -195,11 +283,16 @@ def text_length(c: str | Column) -> Column:
 
 
 __all__ = [
+    "ColumnMismatch",
+    "column_differences",
+    "conform_typed",
     "describe_schema",
     "ingest_date_dim",
     "ingest_options",
     "ingest_order_items",
     "preview_conversion",
+    "quarantine",
     "read_raw_csv",
     "text_length",
+    "utc_timestamp",
 ]

@@ -22,7 +22,7 @@ def test_read_raw_csv_numbers_rows_per_file(spark):
     header = ",".join(EXPECTED_COLUMNS["order_item_options"])
     _write(folder, "a.csv", header + "\n1,1-1,g,a,1.00,1\nNULL,1-2,\"multi\nline\",b,,2\n2,2-1,g,N/A,0.50, \n")
     _write(folder, "b.csv", header + "\n3,3-1,g,a,nan,1\n")
-    raw = ing.read_raw_csv(spark, folder, "order_item_options")
+    raw = ing.read_raw_csv(spark, folder, "order_item_options", multiline=True)
     rows = [(r["ORDER_ID"], r["LINEITEM_ID"], r["source_row"], r["OPTION_GROUP_NAME"], r["OPTION_NAME"],
              r["OPTION_PRICE"], r["OPTION_QUANTITY"]) for r in raw.collect()]
     by_line = {r[1]: r for r in rows}
@@ -57,7 +57,8 @@ def test_date_dim_ingest_values(spark):
 def test_preview_and_describe(spark, sf):
     raw = fixtures.raw_order_items(spark, sf)
     prev = ing.preview_conversion(raw).collect()
-    assert [r["source_row"] for r in prev] == list(range(2, 12))
+    first = sorted(r["source_row"] for r in raw.select("source_row").collect())[:10]
+    assert [r["source_row"] for r in prev] == first
     assert all(r["converted_is_loyalty"] in (0, 1, None) for r in prev)
     desc = {r["column_name"]: r for r in ing.describe_schema(spark, ing.ingest_order_items(raw, strict=False)).collect()}
     assert desc["ITEM_PRICE"]["data_type"] == "decimal(10,2)"
@@ -88,3 +89,78 @@ def test_read_raw_csv_splittable_numbers_across_splits(spark):
     assert len(rows) == 1502
     # every record's number equals its line in its file (ORDER_ID was written as that line)
     assert all(int(r["ORDER_ID"]) == r["source_row"] for r in rows)
+
+
+def _raises(match, frame):
+    with pytest.raises(Exception, match=match):
+        frame.write.format("noop").mode("overwrite").save()
+
+
+OPTION_HEADER = ",".join(EXPECTED_COLUMNS["order_item_options"])
+
+
+def test_columns_go_by_name_in_any_order(spark, tmp_path):
+    names = EXPECTED_COLUMNS["order_item_options"][::-1]
+    _write(tmp_path, "a.csv", "\ufeff" + ",".join(names) + "\r\n2,1.00,opt,\"g, \"\"x\"\"\",1-1,1\r\n\r\n")
+    row = ing.read_raw_csv(spark, str(tmp_path), "order_item_options").first()
+    assert row.asDict() == {"source_row": 2, "ORDER_ID": "1", "LINEITEM_ID": "1-1", "OPTION_GROUP_NAME": 'g, "x"', "OPTION_NAME": "opt",
+                            "OPTION_PRICE": "1.00", "OPTION_QUANTITY": "2"}
+
+
+def test_missing_and_unexpected_columns(spark, tmp_path):
+    _write(tmp_path, "a.csv", "LINEITEM_ID,ORDER_ID,OPTION_GROUP_NAME,OPTION_NAME,OPTION_PRICE,EXTRA\nL1,O1,g,n,1.00,e\n")
+    with pytest.raises(ing.ColumnMismatch, match="OPTION_QUANTITY.*EXTRA"):
+        ing.read_raw_csv(spark, str(tmp_path), "order_item_options")
+    from orderlens.operators import quality as dq
+
+    raw = ing.read_raw_csv(spark, str(tmp_path), "order_item_options", columns="report")
+    assert raw.first().asDict() == {"source_row": 2, "LINEITEM_ID": "L1", "ORDER_ID": "O1", "OPTION_GROUP_NAME": "g", "OPTION_NAME": "n",
+                                    "OPTION_PRICE": "1.00", "EXTRA": "e"}
+    issues = sorted((r["issue_type"], r["details"]) for r in dq.table_issues(spark, raw, "order_item_options").collect())
+    assert issues == [("Missing column(s)", "OPTION_QUANTITY"), ("Unexpected column(s)", "EXTRA")]
+
+
+@pytest.mark.parametrize("record", ["1,1-1,g,a,1.00,1,7,8", "1,1-1", '1,1-1,"two\nlines",a,1.00,1', '1,1-1,g,a,1.00,"two\nlines"'])
+def test_broken_records_fail_the_read(spark, tmp_path, record):
+    _write(tmp_path, "a.csv", OPTION_HEADER + "\n0,0-1,g,a,1.00,1\n" + record + "\n2,2-1,g,a,1.00,1\n")
+    _raises("not one whole record", ing.read_raw_csv(spark, str(tmp_path), "order_item_options"))
+
+
+def test_a_file_with_another_header_fails_the_read(spark, tmp_path):
+    _write(tmp_path, "a.csv", OPTION_HEADER + "\n0,0-1,g,a,1.00,1\n")
+    _write(tmp_path, "b.csv", ",".join(EXPECTED_COLUMNS["order_item_options"][::-1]) + "\n1,1.00,a,g,0-1,0\n")
+    _raises("another header", ing.read_raw_csv(spark, str(tmp_path), "order_item_options"))
+
+
+def test_long_texts_are_never_cut(spark):
+    cols = EXPECTED_COLUMNS["order_item_options"]
+    a, b = "x" * 300 + "1", "x" * 300 + "2"
+    raw = spark.createDataFrame([(a, "1", "g", "n", "1", "1"), (b, "1", "g", "n", "1", "1")], ", ".join(f"{c} string" for c in cols))
+    assert ing.ingest_options(raw, strict=False).select("ORDER_ID").distinct().count() == 2
+    _raises("longer than 255", ing.ingest_options(raw))
+
+
+@pytest.mark.parametrize("text, want", [
+    ("2021-12-07T16:23:30.917Z", dt.datetime(2021, 12, 7, 16, 23, 30, 917000)), ("2021-12-07 16:23:30+02:00", dt.datetime(2021, 12, 7, 14, 23, 30)),
+    (" 2021-12-07T16:23:30-0530\t", dt.datetime(2021, 12, 7, 21, 53, 30)), ("2021-12-07 16:23", dt.datetime(2021, 12, 7, 16, 23)),
+    ("4:39", None), ("4:39:00", None), ("2021", None), ("2021-02-30 10:00:00", None), ("not-a-time", None), (None, None),
+])
+def test_times_are_utc_and_whole(spark, text, want):
+    df = spark.createDataFrame([(text,)], "t string").select(ing.utc_timestamp("t").alias("u"))
+    assert df.first()["u"] == want
+
+
+def test_quarantine_parts_bad_rows(spark, sf):
+    raw = fixtures.raw_order_items(spark, sf)
+    good, bad = ing.quarantine(raw, "order_items")
+    assert good.count() + bad.count() == raw.count() and bad.count() > 0
+    assert bad.filter("CREATION_TIME_UTC = 'not-a-time'").count() == raw.filter("CREATION_TIME_UTC = 'not-a-time'").count()
+    kept = raw.join(bad.select("source_row"), "source_row", "left_anti")
+    assert ing.ingest_order_items(kept.drop("source_row")).count() == good.count()
+
+
+def test_the_landing_contract_is_enforced(spark, sf):
+    typed = ing.ingest_options(fixtures.raw_options(spark, sf).limit(5), strict=False)
+    assert ing.conform_typed(typed, "order_item_options") is typed
+    with pytest.raises(ValueError, match="contract"):
+        ing.conform_typed(typed.withColumnRenamed("ORDER_ID", "X"), "order_item_options")
