@@ -3,14 +3,14 @@ the calendar, enriched order lines and enriched options."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions.columns import is_identified, revenue, silver_daypart
 
 C = F.col
 
-# The default calendar span of the silver job.
+# The span of a calendar that is built without data.
 DEFAULT_CALENDAR_START = "2020-04-21"
 DEFAULT_CALENDAR_END = "2024-02-21"
 
@@ -87,23 +87,27 @@ def build_calendar(
     return cal.select("date_key", *CALENDAR_COLUMNS, "day_index")
 
 
+def order_span(items: DataFrame) -> DataFrame:
+    """First and last order day of the lines (one row, columns start and end)."""
+    day = F.to_date("CREATION_TIME_UTC")
+    return items.agg(F.min(day).alias("start"), F.max(day).alias("end")).filter("start IS NOT NULL")
+
+
 def derive_line_columns(items: DataFrame) -> DataFrame:
     """Revenue, UTC date/hour, daypart, customer type, card status."""
-    return (
-        items.withColumn("ITEM_REVENUE", revenue("ITEM_PRICE", "ITEM_QUANTITY"))
-        .withColumn("ORDER_DATE", F.to_date("CREATION_TIME_UTC"))
-        .withColumn("ORDER_HOUR_UTC", F.hour("CREATION_TIME_UTC"))
-        .withColumn("TIME_OF_DAY_UTC", silver_daypart("ORDER_HOUR_UTC"))
-        .withColumn(
-            "CUSTOMER_TYPE",
-            F.when(is_identified("USER_ID"), F.lit("IDENTIFIED")).otherwise(F.lit("GUEST")),
-        )
-        .withColumn(
-            "CARD_STATUS",
-            F.when(is_identified("PRINTED_CARD_NUMBER"), F.lit("CARD_PRESENT")).otherwise(
-                F.lit("NO_CARD")
-            ),
-        )
+    hour = F.hour("CREATION_TIME_UTC")
+
+    def either(column: str, yes: str, no: str) -> Column:
+        return F.when(is_identified(column), F.lit(yes)).otherwise(F.lit(no))
+
+    return items.select(
+        "*",
+        revenue("ITEM_PRICE", "ITEM_QUANTITY").alias("ITEM_REVENUE"),
+        F.to_date("CREATION_TIME_UTC").alias("ORDER_DATE"),
+        hour.alias("ORDER_HOUR_UTC"),
+        silver_daypart(hour).alias("TIME_OF_DAY_UTC"),
+        either("USER_ID", "IDENTIFIED", "GUEST").alias("CUSTOMER_TYPE"),
+        either("PRINTED_CARD_NUMBER", "CARD_PRESENT", "NO_CARD").alias("CARD_STATUS"),
     )
 
 

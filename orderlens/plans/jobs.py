@@ -1,17 +1,17 @@
 """End-to-end jobs: raw CSV landing, bronze -> silver (E1), silver -> gold
 and the quality report (E3).
 
-Every check runs before anything is overwritten. Fewer passes than a naive
-script: source and silver row counts come from one job (``observe``), the
-non-empty and grain checks of a dataset share one aggregate, and written row
-counts are observed during the writes.
+Datasets are written beside their layer, checked, and only then swapped in
+(``layers.Staged``): a failed load or check leaves the earlier rows readable.
+Fewer passes than a naive script: source and silver row counts are observed
+during the write, the non-empty and grain checks of a dataset share one
+aggregate, and written row counts are observed during the writes.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,25 +40,27 @@ RAW_FILES = {"order_items": "order_items", "order_item_options": "options", "dat
 
 
 def land_raw_csv(
-    spark: SparkSession, csv_paths: dict[str, str], bronze_base: str, multiline: bool = True
+    spark: SparkSession, csv_paths: dict[str, str], bronze_base: str, multiline: bool = False
 ) -> JobReport:
-    """Raw CSV -> bronze: the raw text (with source rows, for the quality
-    report) and the typed tables (strict typed load: a bad value fails the
-    job before the typed table is written). ``multiline=False`` lets large
-    files be parsed by many tasks when no value spans lines."""
+    """Raw CSV -> bronze: the raw text (with source rows, for the quality report) and
+    the typed tables. A file with missing or unexpected columns, a broken record or a
+    value that the strict typed load rejects fails the job, and all bronze tables
+    stay as they were. ``multiline=True`` is for files with line breaks in values."""
     report = JobReport()
     typed = {
         "order_items": ingest.ingest_order_items,
         "order_item_options": ingest.ingest_options,
         "date_dim": ingest.ingest_date_dim,
     }
-    for table, short in RAW_FILES.items():
-        raw = ingest.read_raw_csv(spark, csv_paths[table], table, multiline=multiline)
-        raw_out, obs = checks.observed(raw, f"raw_{short}")
-        layers.write_layer(raw_out, bronze_base, f"raw_{short}")
-        report.counts[f"raw_{short}"] = _count_of(obs)
-        kept = layers.read_layer(spark, bronze_base, f"raw_{short}")
-        layers.write_layer(typed[table](kept.drop("source_row")), bronze_base, layers.BRONZE_TABLES[short])
+    with layers.Staged(spark, bronze_base) as staged:
+        for table, short in RAW_FILES.items():
+            raw = ingest.read_raw_csv(spark, csv_paths[table], table, multiline=multiline)
+            raw_out, obs = checks.observed(raw, f"raw_{short}")
+            staged.write(raw_out, f"raw_{short}")
+            report.counts[f"raw_{short}"] = _count_of(obs)
+            kept = spark.read.parquet(staged.path(f"raw_{short}"))
+            staged.write(typed[table](kept.drop("source_row")), layers.BRONZE_TABLES[short])
+        staged.publish()
     return report
 
 
@@ -70,22 +72,16 @@ def bronze_to_silver(
     calendar: DataFrame | None = None,
     holidays: DataFrame | None = None,
     holidays_from_date_dim: bool = False,
-    count_check: bool = False,
 ) -> JobReport:
     """Silver lines, options and calendar.
 
-    ``calendar`` defaults to the standard span (2020-04-21 .. 2024-02-21),
-    every day a non-holiday. ``holidays_from_date_dim`` marks the holidays the
-    bronze date dimension flags (its ``is_holiday`` rows, a few per year).
-
-    V6 (silver keeps exactly the bronze lines) is settled before anything is
-    written. The lines only meet left joins whose other side is unique on the
-    join key: option revenue per line (a ``groupBy`` result, unique by
-    construction) and the calendar, whose ``date_key`` uniqueness is checked
-    on its few thousand rows. So the lines are written in one pass, with
-    bronze and silver row counts observed on the way and reported.
-    ``count_check=True`` instead persists the silver lines and compares the
-    counts before the write, at the cost of a second pass over them."""
+    ``calendar`` defaults to the days from the first to the last order, every day a
+    non-holiday. ``holidays_from_date_dim`` marks the holidays the bronze date
+    dimension flags (its ``is_holiday`` rows, a few per year).
+
+    The lines are written in one pass, with bronze and silver row counts observed on
+    the way. V6 (silver keeps exactly the bronze lines) and the uniqueness of
+    calendar days are settled before the written tables replace the earlier ones."""
     report = JobReport()
     items = layers.read_layer(spark, bronze_base, layers.BRONZE_TABLES["order_items"])
     options = layers.read_layer(spark, bronze_base, layers.BRONZE_TABLES["options"])
@@ -98,7 +94,10 @@ def bronze_to_silver(
             .groupBy("date_key")
             .agg(F.min("holiday_name").alias("holiday_name"))
         )
-    cal = calendar if calendar is not None else silver.build_calendar(spark, holidays=holidays)
+    cal = calendar
+    if cal is None:
+        cal = silver.build_calendar(holidays=holidays, bounds=silver.order_span(items))
+    checks.assert_no_duplicates(cal, ["date_key"], "Silver date_dim")
 
     bronze_obs = Observation("bronze_order_items")
     observed_items = items.observe(bronze_obs, F.count(F.lit(1)).alias("rows"))
@@ -108,27 +107,17 @@ def bronze_to_silver(
     if unmatched:
         report.notes.append(f"{unmatched} option key pairs have no order line")
 
-    if count_check:
-        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            silver_count = lines.count()
-            bronze_count = _count_of(bronze_obs)
-            checks.assert_same_count(silver_count, bronze_count, "Silver order_items")
-            layers.write_layer(lines, silver_base, layers.SILVER_TABLES["order_items"])
-        finally:
-            lines.unpersist()
-    else:
-        checks.assert_no_duplicates(cal, ["date_key"], "Silver date_dim")
+    with layers.Staged(spark, silver_base) as staged:
         out, silver_obs = checks.observed(lines, "silver_order_items")
-        layers.write_layer(out, silver_base, layers.SILVER_TABLES["order_items"])
+        staged.write(out, layers.SILVER_TABLES["order_items"])
         silver_count, bronze_count = _count_of(silver_obs), _count_of(bronze_obs)
         checks.assert_same_count(silver_count, bronze_count, "Silver order_items")
-    report.counts.update(bronze_order_items=bronze_count, silver_order_items=silver_count)
-
-    opts_out, opts_obs = checks.observed(silver.silver_options(options), "silver_options")
-    layers.write_layer(opts_out, silver_base, layers.SILVER_TABLES["options"])
-    report.counts["silver_order_item_options"] = _count_of(opts_obs)
-    layers.write_layer(silver.silver_calendar(cal), silver_base, layers.SILVER_TABLES["date_dim"])
+        report.counts.update(bronze_order_items=bronze_count, silver_order_items=silver_count)
+        opts_out, opts_obs = checks.observed(silver.silver_options(options), "silver_options")
+        staged.write(opts_out, layers.SILVER_TABLES["options"])
+        report.counts["silver_order_item_options"] = _count_of(opts_obs)
+        staged.write(silver.silver_calendar(cal), layers.SILVER_TABLES["date_dim"])
+        staged.publish()
     return report
 
 
@@ -140,86 +129,90 @@ def silver_to_gold(
 
     C1 (silver grain) runs first and fails fast. order_detail keeps every
     silver line with the same key, so its grain check (C5) is C1. The order
-    rollup is computed once and persisted: five of the seven datasets read it
-    instead of the lines. The lifetime value dataset is persisted; one
-    aggregate over it answers both C2 (not empty) and C3 (unique per user and
-    date). Written row counts (C4) are observed during the writes."""
+    rollup is written once, beside the layer: five of the seven datasets read
+    that table instead of the lines. One aggregate over the written lifetime
+    values answers both C2 (not empty) and C3 (unique per user and date). Row
+    counts (C4) are observed during the writes. All datasets are swapped in
+    together, after the checks."""
     report = JobReport()
     lines = layers.read_layer(spark, silver_base, layers.SILVER_TABLES["order_items"])
     opts = layers.read_layer(spark, silver_base, layers.SILVER_TABLES["options"])
     report.schemas["silver_order_items"] = lines.schema.simpleString()
 
     checks.assert_no_duplicates(lines, ["ORDER_ID", "LINEITEM_ID"], "Silver order_items")
-    rollup = gold.order_rollup(lines).persist(StorageLevel.MEMORY_AND_DISK)
-    datasets = gold.gold_datasets(lines, opts, grain_checked=True, rollup=rollup)
-
-    ltv = datasets["customer_ltv_daily"].persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = (
-            ltv.groupBy(*GOLD_GRAIN["customer_ltv_daily"])
-            .count()
-            .agg(F.count(F.lit(1)).alias("keys"), F.max("count").alias("widest"))
-            .first()
-        )
-        if not stats or not stats["keys"]:
-            raise checks.CheckFailed("customer_ltv_daily is empty.")
-        if stats["widest"] > 1:
-            raise checks.CheckFailed("customer_ltv_daily contains duplicate USER_ID + ORDER_DATE combinations.")
+    with layers.Staged(spark, gold_base) as staged:
+        rollup_path = f"{staged.folder}/rollup"
+        gold.order_rollup(lines).write.parquet(rollup_path)
+        rollup = spark.read.parquet(rollup_path)
+        datasets = gold.gold_datasets(lines, opts, grain_checked=True, rollup=rollup)
+        ltv = "customer_ltv_daily"
         observations = {}
-        for name, df in datasets.items():
-            out, obs = checks.observed(ltv if name == "customer_ltv_daily" else df, name)
-            layers.write_layer(out, gold_base, name)
-            observations[name] = obs
+        for name in [ltv, *[n for n in datasets if n != ltv]]:
+            out, observations[name] = checks.observed(datasets[name], name)
+            staged.write(out, name)
+            if name == ltv:
+                _check_lifetime_values(spark.read.parquet(staged.path(ltv)))
         report.counts.update({name: _count_of(obs) for name, obs in observations.items()})
-    finally:
-        ltv.unpersist()
-        rollup.unpersist()
+        staged.publish()
     if database:
         layers.register_gold(spark, gold_base, database)
     return report
 
 
+def _check_lifetime_values(ltv: DataFrame) -> None:
+    """C2 and C3 in one aggregate."""
+    keys = GOLD_GRAIN["customer_ltv_daily"]
+    stats = ltv.groupBy(*keys).count().agg(F.count(F.lit(1)).alias("keys"), F.max("count").alias("widest")).first()
+    if not stats or not stats["keys"]:
+        raise checks.CheckFailed("customer_ltv_daily is empty.")
+    if stats["widest"] > 1:
+        raise checks.CheckFailed("customer_ltv_daily contains duplicate USER_ID + ORDER_DATE combinations.")
+
+
 # E3 ---------------------------------------------------------------------------
 def quality_frames(
-    spark: SparkSession, raw_date_dim: DataFrame, raw_items: DataFrame, raw_options: DataFrame
+    spark: SparkSession,
+    raw_date_dim: DataFrame,
+    raw_items: DataFrame,
+    raw_options: DataFrame,
+    broken: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Every dataset of the quality report except the summary, as
-    DataFrames (the summary is derived from them, see ``quality_report``)."""
-    missing, dups, members, issues = quality.report_parts(spark, raw_date_dim, raw_items, raw_options)
-    broken = quality.broken_option_rows(raw_options, raw_items)
+    """Every dataset of the quality report as DataFrames. ``broken``: the option
+    rows without an order line, if they are already stored (five datasets use them)."""
+    if broken is None:
+        broken = quality.broken_option_rows(raw_options, raw_items)
+    missing, dups, members, issues = quality.report_parts(spark, raw_date_dim, raw_items, raw_options, broken)
     return {
         "missing_values": missing,
         "duplicates": dups,
         "duplicate_members": members,
         "corrupt_values": issues,
         "expected_schema": quality.expected_schema(spark),
+        "missing_item_fields": quality.missing_item_fields(raw_items),
         "investigated_order": quality.investigated_order(raw_items),
+        "zero_quantity": quality.zero_quantity_rows(raw_items),
+        "zero_quantity_counts": quality.zero_quantity_counts(raw_items),
         "broken_references": broken.orderBy("ORDER_ID", "LINEITEM_ID", "source_row"),
         "broken_reference_summary": quality.broken_summary(broken),
         "broken_reference_investigation": quality.broken_order_lines(broken, raw_items),
-        "broken_reference_options": broken.orderBy("ORDER_ID", "LINEITEM_ID"),
+        "affected_orders": quality.affected_order_lines(broken, raw_items),
         "duplicate_investigation": quality.option_duplicates(raw_options).orderBy(
             *quality.OPTION_KEY, "source_row"
         ),
         "duplicate_groups": quality.option_duplicate_groups(raw_options),
+        "summary": quality.quality_summary(spark, raw_date_dim, raw_items, raw_options, broken),
     }
 
 
 def quality_report(
     spark: SparkSession, bronze_base: str, out_base: str, fmt: str = "parquet"
 ) -> dict[str, str]:
-    """Read the landed raw text tables, write every report dataset, then
-    the summary from the written missing-value, duplicate and issue tables
-    (no further pass over the raw data)."""
+    """Read the landed raw text tables and write every report dataset, in either
+    format from the same frames. The broken references are written once, as
+    ``broken_reference_options`` (always Parquet), and read back by what needs them."""
     raw = {short: layers.read_layer(spark, bronze_base, f"raw_{short}") for short in RAW_FILES.values()}
-    frames = quality_frames(spark, raw["date_dim"], raw["order_items"], raw["options"])
-    paths = layers.write_report(frames, out_base, fmt)
-
-    def back(name: str) -> DataFrame:
-        if fmt == "csv":
-            return spark.read.option("header", True).option("inferSchema", True).csv(paths[name])
-        return spark.read.parquet(paths[name])
-
-    summary = quality.summary_from_reports(back("missing_values"), back("duplicates"), back("corrupt_values"))
-    paths.update(layers.write_report({"summary": summary}, out_base, fmt))
-    return paths
+    name = "broken_reference_options"
+    layers.write_layer(quality.broken_option_rows(raw["options"], raw["order_items"]), out_base, name)
+    broken = layers.read_layer(spark, out_base, name)
+    frames = quality_frames(spark, raw["date_dim"], raw["order_items"], raw["options"], broken)
+    return {name: layers.layer_path(out_base, name), **layers.write_report(frames, out_base, fmt)}

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.schemas import GOLD_COMMENTS, GOLD_SCHEMAS
@@ -21,10 +23,66 @@ def read_layer(spark: SparkSession, base: str, table: str) -> DataFrame:
     return spark.read.parquet(layer_path(base, table))
 
 
+class Staged:
+    """Datasets written beside a layer, not yet part of it.
+
+    ``write`` puts a dataset into a folder of its own under ``base/_staged``;
+    ``publish`` swaps every written dataset in by renaming folders (the old one is
+    deleted after its successor is in place). A failure before ``publish`` leaves
+    the layer as it was; leaving the ``with`` block clears what was not published.
+    Spark ignores folders that begin with an underscore. On an object store, where
+    a rename is a copy, give the layer a table format or a new base instead."""
+
+    def __init__(self, spark: SparkSession, base: str) -> None:
+        self.spark, self.base = spark, base.rstrip("/")
+        self.folder = f"{self.base}/_staged/{uuid.uuid4().hex}"
+        self.written: list[str] = []
+
+    def __enter__(self) -> Staged:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self._fs().delete(self._path(self.folder), True)
+
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop's file system API
+
+    def _fs(self):
+        return self._path(self.base).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())  # noqa: SLF001
+
+    def path(self, table: str) -> str:
+        return f"{self.folder}/{table}"
+
+    def write(self, df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
+        writer = df.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(self.path(table))
+        self.written.append(table)
+
+    def publish(self) -> None:
+        fs = self._fs()
+        for table in self.written:
+            target, old = self._path(layer_path(self.base, table)), self._path(f"{self.folder}/old-{table}")
+            if fs.exists(target) and not fs.rename(target, old):
+                raise OSError(f"{target} could not be set aside")
+            if not fs.rename(self._path(self.path(table)), target):
+                if fs.exists(old):
+                    fs.rename(old, target)
+                raise OSError(f"{target} could not be replaced")
+        self.written = []
+
+
 def write_layer(
     df: DataFrame, base: str, table: str, mode: str = "overwrite", partition_by: list[str] | None = None
 ) -> None:
-    """Write one dataset of a layer (overwrite by default)."""
+    """Write one dataset of a layer. Overwriting goes through ``Staged``: a
+    write that fails leaves the earlier rows readable."""
+    if mode == "overwrite":
+        with Staged(df.sparkSession, base) as staged:
+            staged.write(df, table, partition_by)
+            staged.publish()
+        return
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
