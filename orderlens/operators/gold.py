@@ -10,10 +10,11 @@ shuffle. Both levels aggregate partially before their shuffle, so one hot key
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions.columns import is_identified, ratio_or_zero
+from orderlens.functions.columns import is_identified
+from orderlens.functions.rounding import half_up_mean, half_up_mean_or_zero
 from orderlens.schemas import GOLD_SCHEMAS
 
 C = F.col
@@ -48,8 +49,7 @@ def order_rollup(lines: DataFrame) -> DataFrame:
     the silver->gold job scans the lines and shuffles their order-grain
     partial sums once for all five. Exact: every attribute those datasets
     group or filter on is a rollup key, and distinct order/user counts stay
-    distinct counts. Those datasets accept silver lines as well (one shuffle
-    less when a single dataset is computed on its own)."""
+    distinct counts."""
     return lines.groupBy(*ROLLUP_KEYS).agg(
         F.count(F.lit(1)).alias("LINES"),
         F.sum("ITEM_QUANTITY").alias("ITEM_QUANTITY"),
@@ -59,9 +59,24 @@ def order_rollup(lines: DataFrame) -> DataFrame:
     )
 
 
-def _line_count(df: DataFrame):
-    """Number of lines: summed from a rollup, counted on silver lines."""
-    return F.sum("LINES") if "LINES" in df.columns else F.count(F.lit(1))
+# Shared money and count aggregates over the rollup, by output name.
+_SUMS = {
+    "LINE_ITEM_COUNT": "LINES",
+    "ITEM_QUANTITY": "ITEM_QUANTITY",
+    "ITEM_REVENUE": "ITEM_REVENUE",
+    "OPTION_REVENUE": "OPTION_REVENUE",
+    "TOTAL_REVENUE": "TOTAL_LINE_REVENUE",
+}
+
+
+def _orders_by(rollup: DataFrame, keys: list[str], sums: list[str], **extra: Column) -> DataFrame:
+    """Distinct orders, sums and average order value of a rollup by ``keys``."""
+    out = rollup.groupBy(*keys).agg(
+        F.count_distinct("ORDER_ID").alias("ORDER_COUNT"),
+        *[c.alias(name) for name, c in extra.items()],
+        *[F.sum(_SUMS[name]).alias(name) for name in sums],
+    )
+    return out.withColumn("AVERAGE_ORDER_VALUE", half_up_mean_or_zero("TOTAL_REVENUE", "ORDER_COUNT"))
 
 
 def order_summary(rollup: DataFrame) -> DataFrame:
@@ -79,17 +94,8 @@ def order_summary(rollup: DataFrame) -> DataFrame:
 
 def sales_hourly(rollup: DataFrame) -> DataFrame:
     """G1: app, restaurant, date, hour (+ daypart, weekend)."""
-    keys = ["APP_NAME", "RESTAURANT_ID", "ORDER_DATE", "ORDER_HOUR_UTC", "TIME_OF_DAY_UTC",
-            "is_weekend"]
-    out = rollup.groupBy(*keys).agg(
-        F.count_distinct("ORDER_ID").alias("ORDER_COUNT"),
-        _line_count(rollup).alias("LINE_ITEM_COUNT"),
-        F.sum("ITEM_QUANTITY").alias("ITEM_QUANTITY"),
-        F.sum("ITEM_REVENUE").alias("ITEM_REVENUE"),
-        F.sum("OPTION_REVENUE").alias("OPTION_REVENUE"),
-        F.sum("TOTAL_LINE_REVENUE").alias("TOTAL_REVENUE"),
-    )
-    return out.withColumn("AVERAGE_ORDER_VALUE", ratio_or_zero("TOTAL_REVENUE", "ORDER_COUNT"))
+    keys = ["APP_NAME", "RESTAURANT_ID", "ORDER_DATE", "ORDER_HOUR_UTC", "TIME_OF_DAY_UTC", "is_weekend"]
+    return _orders_by(rollup, keys, list(_SUMS))
 
 
 def restaurant_daily(rollup: DataFrame) -> DataFrame:
@@ -97,24 +103,13 @@ def restaurant_daily(rollup: DataFrame) -> DataFrame:
     identified users only.
 
     Two distinct counts over different columns: Spark expands each input row
-    into one row per distinct column before its partial aggregation. The
-    alternative, two single-distinct aggregates joined on the seven nullable
-    keys, needs a second scan, which costs more than the expansion at scale.
-    In the silver->gold job the input is the order rollup, about one row per
-    order."""
-    keys = ["APP_NAME", "RESTAURANT_ID", "ORDER_DATE", "day_of_week", "is_weekend",
-            "is_holiday", "holiday_name"]
-    out = rollup.groupBy(*keys).agg(
-        F.count_distinct("ORDER_ID").alias("ORDER_COUNT"),
-        F.count_distinct(
-            F.when(C("CUSTOMER_TYPE") == "IDENTIFIED", C("USER_ID"))
-        ).alias("CUSTOMER_COUNT"),
-        _line_count(rollup).alias("LINE_ITEM_COUNT"),
-        F.sum("ITEM_REVENUE").alias("ITEM_REVENUE"),
-        F.sum("OPTION_REVENUE").alias("OPTION_REVENUE"),
-        F.sum("TOTAL_LINE_REVENUE").alias("TOTAL_REVENUE"),
-    )
-    return out.withColumn("AVERAGE_ORDER_VALUE", ratio_or_zero("TOTAL_REVENUE", "ORDER_COUNT"))
+    into one row per distinct column before its partial aggregation. The input
+    is the order rollup, about one row per order, so the expansion is of orders,
+    not of lines."""
+    keys = ["APP_NAME", "RESTAURANT_ID", "ORDER_DATE", "day_of_week", "is_weekend", "is_holiday", "holiday_name"]
+    known = F.when(C("CUSTOMER_TYPE") == "IDENTIFIED", C("USER_ID"))
+    sums = ["LINE_ITEM_COUNT", "ITEM_REVENUE", "OPTION_REVENUE", "TOTAL_REVENUE"]
+    return _orders_by(rollup, keys, sums, CUSTOMER_COUNT=F.count_distinct(known))
 
 
 def item_daily(lines: DataFrame) -> DataFrame:
@@ -125,7 +120,7 @@ def item_daily(lines: DataFrame) -> DataFrame:
         F.sum("ITEM_QUANTITY").alias("QUANTITY_SOLD"),
         F.sum("ITEM_REVENUE").alias("ITEM_REVENUE"),
         F.count_distinct("ORDER_ID").alias("ORDER_COUNT"),
-        (F.sum("ITEM_PRICE") / F.count("ITEM_PRICE")).alias("AVERAGE_ITEM_PRICE"),
+        half_up_mean(F.sum("ITEM_PRICE"), F.count("ITEM_PRICE")).alias("AVERAGE_ITEM_PRICE"),
     )
 
 
@@ -162,7 +157,7 @@ def option_daily(options_ctx: DataFrame) -> DataFrame:
         F.sum("q").alias("OPTION_QUANTITY"),
         F.sum("r").alias("OPTION_REVENUE"),
         F.count(F.lit(1)).alias("ORDER_COUNT"),
-        (F.sum("p_sum") / F.sum("p_n")).alias("AVERAGE_OPTION_PRICE"),
+        half_up_mean(F.sum("p_sum"), F.sum("p_n")).alias("AVERAGE_OPTION_PRICE"),
         F.sum("free_q").alias("FREE_OPTION_QUANTITY"),
         F.sum("paid_q").alias("PAID_OPTION_QUANTITY"),
         F.count_if(C("has_free")).alias("FREE_OPTION_ORDER_COUNT"),
@@ -177,7 +172,8 @@ def identified_lines(lines: DataFrame) -> DataFrame:
 
 
 def customer_summary(rollup: DataFrame) -> DataFrame:
-    """One row per identified user (two levels: order, then user)."""
+    """One row per identified user (two levels: order, then user). Lines without
+    an ORDER_ID add to the sums but are no order."""
     loyal = C("IS_LOYALTY") == True  # noqa: E712 - null stays null
     per_order = identified_lines(rollup).groupBy("USER_ID", "ORDER_ID").agg(
         F.sum("ITEM_QUANTITY").alias("q"),
@@ -190,17 +186,17 @@ def customer_summary(rollup: DataFrame) -> DataFrame:
         F.sum(F.when(loyal, C("TOTAL_LINE_REVENUE")).otherwise(0)).alias("lr"),
     )
     out = per_order.groupBy("USER_ID").agg(
-        F.count(F.lit(1)).alias("ORDER_COUNT"),
+        F.count("ORDER_ID").alias("ORDER_COUNT"),
         F.sum("q").alias("ITEM_COUNT"),
         F.sum("ir").alias("TOTAL_ITEM_REVENUE"),
         F.sum("orv").alias("TOTAL_OPTION_REVENUE"),
         F.sum("tr").alias("TOTAL_REVENUE"),
         F.min("d0").alias("FIRST_ORDER_DATE"),
         F.max("d1").alias("LAST_ORDER_DATE"),
-        F.count_if(C("loyal")).alias("LOYALTY_ORDER_COUNT"),
+        F.count_if(C("loyal") & C("ORDER_ID").isNotNull()).alias("LOYALTY_ORDER_COUNT"),
         F.sum("lr").alias("LOYALTY_REVENUE"),
     )
-    return out.withColumn("AVERAGE_ORDER_VALUE", ratio_or_zero("TOTAL_REVENUE", "ORDER_COUNT"))
+    return out.withColumn("AVERAGE_ORDER_VALUE", half_up_mean_or_zero("TOTAL_REVENUE", "ORDER_COUNT"))
 
 
 def customer_daily_activity(rollup: DataFrame) -> DataFrame:
@@ -244,7 +240,7 @@ def order_detail(lines: DataFrame) -> DataFrame:
 def gold_datasets(
     lines: DataFrame, silver_opts: DataFrame, grain_checked: bool = True, rollup: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """All seven gold datasets, conformed to their contracts. Pass a persisted
+    """All seven gold datasets, conformed to their contracts. Pass a stored
     ``order_rollup(lines)`` to share it between the order-grained datasets."""
     rollup = order_rollup(lines) if rollup is None else rollup
     raw = {

@@ -123,24 +123,38 @@ def order_gaps(items: DataFrame, *, include_guests: bool = False) -> DataFrame:
     spend change between consecutive orders (ordered by time, then ORDER_ID).
 
     The consecutive differences telescope: their sum is last minus first. So
-    the averages are (last - first) / (count - 1): aggregates only."""
+    the averages are (last - first) / (count - 1): aggregates only. An order
+    without a total has no difference to its neighbours; the few users with
+    such orders get their differences from a lag over their own orders."""
     orders = order_totals(items, include_guests=include_guests)
     key = F.struct("order_time", "ORDER_ID")
     per_user = orders.groupBy("USER_ID").agg(
         F.count("order_time").alias("total_orders"),
         F.count(F.lit(1)).alias("_n"),
+        F.count("order_total").alias("_known"),
         F.min("order_time").alias("_t0"),
         F.max("order_time").alias("_t1"),
         F.min_by("order_total", key).alias("_v0"),
         F.max_by("order_total", key).alias("_v1"),
     )
+    gaps = per_user.filter(C("_known") < C("_n")).select(C("USER_ID").alias("_user"))
+    chrono = Window.partitionBy("USER_ID").orderBy("order_time", "ORDER_ID")
+    stepwise = (
+        orders.join(gaps, C("USER_ID").eqNullSafe(C("_user")), "left_semi")
+        .withColumn("_d", C("order_total") - F.lag("order_total").over(chrono))
+        .groupBy(C("USER_ID").alias("_user"))
+        .agg(F.sum("_d").alias("_steps"), F.count("_d").alias("_pairs"))
+    )
+    joined = per_user.join(stepwise, C("USER_ID").eqNullSafe(C("_user")), "left")
+    whole = C("_known") == C("_n")
     days = F.datediff(F.to_date("_t1"), F.to_date("_t0")).cast("double") / (C("total_orders") - 1)
-    spend = (C("_v1") - C("_v0")).cast("double") / (C("_n") - 1)
-    return per_user.filter(C("total_orders") > 1).select(
+    change = F.when(whole, C("_v1") - C("_v0")).otherwise(C("_steps")).cast("double")
+    pairs = F.when(whole, C("_n") - 1).otherwise(F.nullif(C("_pairs"), F.lit(0)))
+    return joined.filter(C("total_orders") > 1).select(
         "USER_ID",
         "total_orders",
         F.round(days, 6).alias("avg_days_between_orders"),
-        F.round(spend, 6).alias("avg_spend_diff_between_orders"),
+        F.round(change / pairs, 6).alias("avg_spend_diff_between_orders"),
     )
 
 
@@ -288,12 +302,8 @@ def discount_effectiveness(items: DataFrame, options: DataFrame) -> DataFrame:
 
 
 # Report order (O1-O3) -------------------------------------------------------
-# Sort keys per metric report; a leading "-" sorts descending.
+# Sort keys of the metric reports that have an order; a leading "-" sorts descending.
 REPORT_ORDER: dict[str, list[str]] = {
-    "clv_lines": ["USER_ID", "ORDER_ID", "LINEITEM_ID"],
-    "clv_customer": ["USER_ID"],
-    "recent_purchase": ["USER_ID", "-" + TS],
-    "recent_purchases_5": ["USER_ID", "-" + TS],
     "purchase_frequency": ["-number_of_purchases", "USER_ID"],
     "monthly_spend": ["-total_amount_spent", "USER_ID"],
     "days_since_last_order": ["-days_since_last_order", "USER_ID"],
@@ -305,9 +315,7 @@ REPORT_ORDER: dict[str, list[str]] = {
     "category_weekly_daypart": ["ITEM_CATEGORY", "-order_week"],
     "category_weekly": ["ITEM_CATEGORY", "-order_week"],
     "non_loyalty_customers": ["-lifetime_spent", "USER_ID"],
-    "loyalty_customers": ["USER_ID"],
     "top_locations": ["RESTAURANT_ID", "-order_week"],
-    "discount_effectiveness": ["discount_status"],
 }
 
 

@@ -110,3 +110,27 @@ def test_gold_contracts_and_invariants(spark, sf):
     assert joined.count() == ds["customer_summary"].count()
     assert joined.filter((F.col("ltv") != F.col("total_revenue")) | (F.col("n") < F.col("order_count"))).count() == 0
     assert ds["customer_ltv_daily"].count() == 1179
+
+
+def test_averages_are_rounded_once(spark):
+    """100.00 over 20,001 orders is 0.00499975: rounding to six places first would give
+    a cent."""
+    one = _items(spark, [_line("first", "l", "u", dt.datetime(2021, 1, 4), price="100.00")])
+    rest = spark.range(20_000).select(F.col("id").cast("string").alias("ORDER_ID")).crossJoin(one.drop("ORDER_ID")).withColumn(
+        "ITEM_PRICE", F.lit("0.00").cast("decimal(10,2)"))
+    opts = spark.createDataFrame([], TYPED_SCHEMAS["order_item_options"])
+    cal = silver.build_calendar(spark, "2021-01-01", "2021-12-31")
+    rollup = gold.order_rollup(silver.silver_order_items(one.unionByName(rest), opts, cal))
+    for name, build in (("sales_hourly", gold.sales_hourly), ("restaurant_daily", gold.restaurant_daily), ("customer_summary", gold.customer_summary)):
+        row = gold.conform(build(rollup), name).first()
+        assert row["order_count"] == 20_001 and row["average_order_value"] == Decimal("0.00"), name
+
+
+def test_lines_without_an_order_are_no_order(spark):
+    rows = [_line("o1", "l1", "u", dt.datetime(2021, 1, 4), loyal=True), _line(None, "l2", "u", dt.datetime(2021, 1, 4), loyal=True),
+            _line(None, "l3", "w", dt.datetime(2021, 1, 4))]
+    opts = spark.createDataFrame([], TYPED_SCHEMAS["order_item_options"])
+    rollup = gold.order_rollup(silver.silver_order_items(_items(spark, rows), opts, silver.build_calendar(spark, "2021-01-01", "2021-12-31")))
+    got = {r["user_id"]: r for r in gold.conform(gold.customer_summary(rollup), "customer_summary").collect()}
+    assert (got["u"]["order_count"], got["u"]["loyalty_order_count"], got["u"]["total_revenue"]) == (1, 1, Decimal("20.00"))
+    assert (got["w"]["order_count"], got["w"]["average_order_value"]) == (0, Decimal("0.00"))
