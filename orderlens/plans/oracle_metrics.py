@@ -1,5 +1,6 @@
-"""DuckDB oracle SQL for the business metrics (M1-M18), written as the metric
-definitions state them (LAG windows, ROW_NUMBER, window over the grouped rows)."""
+"""DuckDB oracle SQL for the business metrics (M1-M18), from the metrics'
+definitions: an order beside the one of the preceding place, EXISTS for free options,
+totals as scalar subqueries."""
 
 from __future__ import annotations
 
@@ -37,8 +38,22 @@ def _weekly(by: str | None, wide: bool) -> str:
     return f"SELECT {keys}, {cols}CAST(SUM({AMT}) AS {M}) AS total_weekly_revenue FROM order_items GROUP BY ALL"
 
 
-ORDER_SUMMARY = f"""SELECT USER_ID, ORDER_ID, MIN(CREATION_TIME_UTC) AS order_time, SUM({AMT}) AS order_total
-FROM order_items WHERE {IDENT} GROUP BY USER_ID, ORDER_ID"""
+def _numbered_orders(who: str) -> str:
+    """Orders with their place in their customer's history, from 1."""
+    return f"""
+SELECT *, row_number() OVER (PARTITION BY USER_ID ORDER BY first_line NULLS FIRST, ORDER_ID NULLS FIRST) AS place FROM (
+  SELECT USER_ID, ORDER_ID, min(CREATION_TIME_UTC) AS first_line, sum({AMT}) AS spent FROM order_items WHERE {who} GROUP BY ALL)"""
+
+
+def _order_gaps(who: str) -> str:
+    """Every order beside the one of the preceding place."""
+    orders = _numbered_orders(who)
+    return f"""
+SELECT a.USER_ID, count(a.first_line) AS total_orders,
+  round(avg(date_diff('day', CAST(b.first_line AS DATE), CAST(a.first_line AS DATE))), 6) AS avg_days_between_orders,
+  round(CAST(avg(CAST(a.spent - b.spent AS DOUBLE)) AS DOUBLE), 6) AS avg_spend_diff_between_orders
+FROM ({orders}) a LEFT JOIN ({orders}) b ON a.USER_ID IS NOT DISTINCT FROM b.USER_ID AND b.place = a.place - 1
+GROUP BY a.USER_ID HAVING count(a.first_line) > 1"""
 
 
 def queries() -> dict[str, str]:
@@ -54,7 +69,7 @@ WHERE i.{IDENT} GROUP BY i.USER_ID"""
     for name, k in (("recent_purchase", "= 1"), ("recent_purchases_5", "<= 5")):
         q[name] = f"""
 SELECT USER_ID, ORDER_ID, LINEITEM_ID, CREATION_TIME_UTC, CAST({AMT} AS {M}) AS total_purch_amount
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY USER_ID ORDER BY CREATION_TIME_UTC DESC, ORDER_ID, LINEITEM_ID) AS rk
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY USER_ID ORDER BY CREATION_TIME_UTC DESC, ORDER_ID NULLS FIRST, LINEITEM_ID) AS rk
       FROM order_items WHERE {IDENT}) t WHERE rk {k}"""
     recent = f"FROM order_items WHERE {IDENT} AND CREATION_TIME_UTC >= {AS_OF} - INTERVAL 1 MONTH GROUP BY USER_ID"
     q["purchase_frequency"] = f"SELECT USER_ID, COUNT(DISTINCT ORDER_ID) AS number_of_purchases {recent}"
@@ -62,26 +77,19 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY USER_ID ORDER BY CREATION_TIME_U
     q["days_since_last_order"] = f"""
 SELECT USER_ID, CAST(date_diff('day', CAST(MAX(CREATION_TIME_UTC) AS DATE), CAST({AS_OF} AS DATE)) AS INTEGER)
   AS days_since_last_order {recent}"""
-    q["order_gaps"] = f"""
-WITH os AS ({ORDER_SUMMARY}),
-g AS (SELECT USER_ID, order_time,
-        date_diff('day', CAST(LAG(order_time) OVER w AS DATE), CAST(order_time AS DATE)) AS days_since_prev_order,
-        order_total - LAG(order_total) OVER w AS spend_diff
-      FROM os WINDOW w AS (PARTITION BY USER_ID ORDER BY order_time, ORDER_ID))
-SELECT USER_ID, COUNT(order_time) AS total_orders,
-  ROUND(AVG(days_since_prev_order), 6) AS avg_days_between_orders,
-  ROUND(CAST(AVG(spend_diff) AS DOUBLE), 6) AS avg_spend_diff_between_orders
-FROM g GROUP BY USER_ID HAVING COUNT(order_time) > 1"""
+    q["order_gaps"] = _order_gaps(IDENT)
+    q["order_gaps_all"] = _order_gaps("TRUE")
+    latest = "(SELECT max(CREATION_TIME_UTC) FROM order_items) - INTERVAL 1 MONTH"
+    q["purchase_frequency_latest"] = f"""
+SELECT USER_ID, count(DISTINCT ORDER_ID) AS number_of_purchases FROM order_items WHERE CREATION_TIME_UTC >= {latest} GROUP BY ALL"""
+    q["monthly_spend_latest"] = f"""
+SELECT USER_ID, CAST(sum({AMT}) AS {M}) AS total_amount_spent FROM order_items WHERE CREATION_TIME_UTC >= {latest} GROUP BY ALL"""
+    orders = _numbered_orders(IDENT)
     q["spend_change_5"] = f"""
-WITH os AS ({ORDER_SUMMARY}),
-h AS (SELECT USER_ID, ORDER_ID, order_time, order_total,
-        ROW_NUMBER() OVER (PARTITION BY USER_ID ORDER BY order_time DESC, ORDER_ID DESC) AS recency_rank,
-        LAG(order_total) OVER (PARTITION BY USER_ID ORDER BY order_time, ORDER_ID) AS prev_order_total
-      FROM os)
-SELECT USER_ID, ORDER_ID, order_time, CAST(order_total AS {M}) AS order_total,
-  CAST(prev_order_total AS {M}) AS prev_order_total,
-  {exact_ratio("order_total - prev_order_total", "prev_order_total")} AS pct_change_from_prev_order
-FROM h WHERE recency_rank <= 5"""
+SELECT a.USER_ID, a.ORDER_ID, a.first_line AS order_time, CAST(a.spent AS {M}) AS order_total,
+  CAST(b.spent AS {M}) AS prev_order_total, {exact_ratio("a.spent - b.spent", "b.spent")} AS pct_change_from_prev_order
+FROM ({orders}) a LEFT JOIN ({orders}) b ON a.USER_ID = b.USER_ID AND b.place = a.place - 1
+WHERE a.place > (SELECT max(c.place) - 5 FROM ({orders}) c WHERE c.USER_ID = a.USER_ID)"""
     q["weekly_daypart_wide"] = _weekly(None, True)
     q["weekly_daypart_long"] = f"""
 SELECT {WEEK} AS order_week,
@@ -116,23 +124,20 @@ SELECT USER_ID, {half_up_avg("SUM(order_total)", "COUNT(order_total)")} AS avera
   COUNT(ORDER_ID) AS number_of_orders, CAST(SUM(order_total) AS {M}) AS total_loyalty_revenue
 FROM t GROUP BY USER_ID"""
     q["top_locations"] = f"""
-WITH t AS (SELECT RESTAURANT_ID, ORDER_ID, CAST(date_trunc('week', MIN(CREATION_TIME_UTC)) AS DATE) AS order_week,
-             SUM({AMT}) AS order_total FROM order_items GROUP BY RESTAURANT_ID, ORDER_ID)
-SELECT RESTAURANT_ID, order_week, CAST(SUM(order_total) AS {M}) AS total_revenue,
-  COUNT(ORDER_ID) AS weekly_order_count,
-  {half_up_avg("SUM(order_total)", "COUNT(order_total)")} AS average_order_value
-FROM t GROUP BY RESTAURANT_ID, order_week"""
+SELECT RESTAURANT_ID, CAST(date_trunc('week', first_line) AS DATE) AS order_week, CAST(sum(spent) AS {M}) AS total_revenue,
+  count(ORDER_ID) AS weekly_order_count, {half_up_avg("sum(spent)", "count(spent)")} AS average_order_value
+FROM (SELECT RESTAURANT_ID, ORDER_ID, min(CREATION_TIME_UTC) AS first_line, sum({AMT}) AS spent
+      FROM order_items GROUP BY RESTAURANT_ID, ORDER_ID)
+GROUP BY ALL"""
+    per_order = f"SELECT ORDER_ID, sum({AMT}) AS spent FROM order_items GROUP BY ORDER_ID"
+    free = "EXISTS (SELECT 1 FROM order_items_options f WHERE f.ORDER_ID = p.ORDER_ID AND f.OPTION_PRICE = 0)"
+    n_all = f"(SELECT count(ORDER_ID) FROM ({per_order}))"
+    spent_all = f"(SELECT sum(spent) FROM ({per_order}))"
     q["discount_effectiveness"] = f"""
-WITH d AS (SELECT DISTINCT ORDER_ID FROM order_items_options WHERE OPTION_PRICE = 0),
-ot AS (SELECT ORDER_ID, SUM({AMT}) AS order_total FROM order_items GROUP BY ORDER_ID),
-oc AS (SELECT ot.ORDER_ID, ot.order_total,
-         CASE WHEN d.ORDER_ID IS NOT NULL THEN 'Discounted Order' ELSE 'Full Price Order' END AS discount_status
-       FROM ot LEFT JOIN d ON ot.ORDER_ID = d.ORDER_ID),
-g AS (SELECT discount_status, COUNT(ORDER_ID) AS total_orders, SUM(order_total) AS rev,
-        {half_up_avg("SUM(order_total)", "COUNT(order_total)")} AS average_order_value
-      FROM oc GROUP BY discount_status)
-SELECT discount_status, total_orders, CAST(ROUND(rev, 2) AS {M}) AS total_revenue, average_order_value,
-  {exact_ratio("total_orders", "SUM(total_orders) OVER ()")} AS pct_of_total_orders,
-  {exact_ratio("rev", "SUM(rev) OVER ()")} AS pct_of_total_revenue
-FROM g"""
+SELECT CASE WHEN {free} THEN 'Discounted Order' ELSE 'Full Price Order' END AS discount_status,
+  count(p.ORDER_ID) AS total_orders, CAST(round(sum(p.spent), 2) AS {M}) AS total_revenue,
+  {half_up_avg("sum(p.spent)", "count(p.spent)")} AS average_order_value,
+  {exact_ratio("count(p.ORDER_ID)", n_all)} AS pct_of_total_orders,
+  {exact_ratio("sum(p.spent)", spent_all)} AS pct_of_total_revenue
+FROM ({per_order}) p GROUP BY 1"""
     return q

@@ -14,7 +14,19 @@ ISSUE = 'file, "row", "column", value, issue_type, details'
 
 
 def missing(c: str) -> str:
-    return f"({c} IS NULL OR trim({c}) = '')"
+    return f"({c} IS NULL OR NOT regexp_matches({c}, '\\S'))"
+
+
+def bare(c: str) -> str:
+    return f"trim({c}, ' ' || chr(9) || chr(10) || chr(13))"
+
+
+def utc_time(c: str) -> str:
+    """UTC wall-clock time of a text with a date and a time; a trailing +HH:MM is taken off."""
+    whole = f"regexp_full_match({bare(c)}, '\\d{{4}}-\\d\\d?-\\d\\d?[T ]\\d\\d?:\\d\\d(:\\d\\d(\\.\\d+)?)?(Z|[+-]\\d\\d:?\\d\\d)?')"
+    local = f"TRY_CAST(regexp_replace({bare(c)}, '(Z|[+-]\\d\\d:?\\d\\d)$', '') AS TIMESTAMP)"
+    ahead = f"CASE WHEN regexp_matches({bare(c)}, '\\d[+]02:00$') THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END"
+    return f"CASE WHEN {whole} THEN {local} - {ahead} END"
 
 
 def to_int(c: str) -> str:
@@ -37,15 +49,15 @@ def _rule(table: str, file: str, col: str, cases: list[tuple[str, str, str]]) ->
 
 
 def _num(c: str) -> str:
-    return f"TRY_CAST({c} AS DOUBLE)"
+    return f"CASE WHEN regexp_full_match({bare(c)}, '[+-]?(\\d+([.]\\d*)?|[.]\\d+)([eE][+-]?\\d+)?') THEN TRY_CAST({bare(c)} AS DOUBLE) END"
 
 
 def _range(table, file, c, lo, hi):
     n = _num(c)
     return _rule(table, file, c, [
-        (f"{n} IS NULL", "Invalid numeric value", f"{c} should be numeric."),
-        (f"{n} % 1 <> 0", "Invalid integer value", f"{c} should contain whole numbers."),
-        (f"NOT ({n} BETWEEN {lo} AND {hi})", "Out-of-range value", f"Expected {c} to be between {lo} and {hi}."),
+        (f"({n}) IS NULL", "Invalid numeric value", f"{c} should be numeric."),
+        (f"({n}) % 1 <> 0", "Invalid integer value", f"{c} should contain whole numbers."),
+        (f"NOT (({n}) BETWEEN {lo} AND {hi})", "Out-of-range value", f"Expected {c} to be between {lo} and {hi}."),
     ])
 
 
@@ -56,16 +68,16 @@ def _bool(table, file, c):
 def _price(table, file, c, typ, msg):
     n = _num(c)
     return _rule(table, file, c, [
-        (f"{n} IS NULL", "Invalid numeric value", f"{c} should be numeric."),
-        (f"{n} < 0", typ, msg),
+        (f"({n}) IS NULL", "Invalid numeric value", f"{c} should be numeric."),
+        (f"({n}) < 0", typ, msg),
     ])
 
 
 def _qty(table, file, c):
     n = _num(c)
     return _rule(table, file, c, [
-        (f"{n} IS NULL", "Invalid numeric value", f"{c} should be numeric."),
-        (f"{n} % 1 <> 0 OR {n} <= 0", "Invalid quantity", f"{c} should be a positive whole number."),
+        (f"({n}) IS NULL", "Invalid numeric value", f"{c} should be numeric."),
+        (f"({n}) % 1 <> 0 OR ({n}) <= 0", "Invalid quantity", f"{c} should be a positive whole number."),
     ])
 
 
@@ -85,11 +97,11 @@ def issues_sql(short: str) -> str:
     elif short == "order_items":
         parts = [
             _bool(t, file, "IS_LOYALTY"),
-            _rule(t, file, "CURRENCY", [("NOT regexp_full_match(trim(CURRENCY), '[A-Z]{3}')", "Invalid currency code",
+            _rule(t, file, "CURRENCY", [("NOT regexp_full_match(CURRENCY, '\\s*[A-Z]{3}\\s*')", "Invalid currency code",
                                          "Expected a 3-letter uppercase currency code such as USD.")]),
             _price(t, file, "ITEM_PRICE", "Negative price", "ITEM_PRICE should normally be zero or greater."),
             _qty(t, file, "ITEM_QUANTITY"),
-            _rule(t, file, "CREATION_TIME_UTC", [("TRY_CAST(trim(CREATION_TIME_UTC) AS TIMESTAMP) IS NULL",
+            _rule(t, file, "CREATION_TIME_UTC", [(f"({utc_time('CREATION_TIME_UTC')}) IS NULL",
                                                   "Invalid timestamp", "Could not be parsed as a valid UTC timestamp.")]),
         ]
     else:
@@ -181,25 +193,25 @@ def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["ingest_date_dim"] = f"""
 SELECT CAST(try_strptime(date_key, '%d-%m-%Y') AS DATE) AS date_key, {to_int('year')} AS year,
-  {to_int('month')} AS month, {to_int('week')} AS week, left(day_of_week, 10) AS day_of_week,
-  {flag('is_weekend')} AS is_weekend, {flag('is_holiday')} AS is_holiday, left(holiday_name, 50) AS holiday_name
+  {to_int('month')} AS month, {to_int('week')} AS week, day_of_week,
+  {flag('is_weekend')} AS is_weekend, {flag('is_holiday')} AS is_holiday, holiday_name
 FROM raw_date_dim"""
     q["ingest_order_items"] = f"""
-SELECT left(APP_NAME, 255) AS APP_NAME, left(RESTAURANT_ID, 255) AS RESTAURANT_ID,
-  TRY_CAST(CREATION_TIME_UTC AS TIMESTAMP) AS CREATION_TIME_UTC, left(ORDER_ID, 255) AS ORDER_ID,
-  left(USER_ID, 255) AS USER_ID, left(PRINTED_CARD_NUMBER, 255) AS PRINTED_CARD_NUMBER,
-  {flag('IS_LOYALTY')} AS IS_LOYALTY, left(CURRENCY, 10) AS CURRENCY, left(LINEITEM_ID, 255) AS LINEITEM_ID,
-  left(ITEM_CATEGORY, 255) AS ITEM_CATEGORY, left(ITEM_NAME, 255) AS ITEM_NAME,
+SELECT APP_NAME, RESTAURANT_ID,
+  {utc_time('CREATION_TIME_UTC')} AS CREATION_TIME_UTC, ORDER_ID,
+  USER_ID, PRINTED_CARD_NUMBER,
+  {flag('IS_LOYALTY')} AS IS_LOYALTY, CURRENCY, LINEITEM_ID,
+  ITEM_CATEGORY, ITEM_NAME,
   TRY_CAST(ITEM_PRICE AS DECIMAL(10,2)) AS ITEM_PRICE, {to_int('ITEM_QUANTITY')} AS ITEM_QUANTITY
 FROM raw_order_items"""
     typed_options = f"""
-SELECT left(ORDER_ID, 255) AS ORDER_ID, left(LINEITEM_ID, 255) AS LINEITEM_ID,
-  left(OPTION_GROUP_NAME, 255) AS OPTION_GROUP_NAME, left(OPTION_NAME, 255) AS OPTION_NAME,
+SELECT ORDER_ID, LINEITEM_ID,
+  OPTION_GROUP_NAME, OPTION_NAME,
   TRY_CAST(OPTION_PRICE AS DECIMAL(10,2)) AS OPTION_PRICE, {to_int('OPTION_QUANTITY')} AS OPTION_QUANTITY
 FROM raw_options"""
     q["ingest_options"] = typed_options
-    q["preview_conversion"] = """
-SELECT source_row, CREATION_TIME_UTC, TRY_CAST(CREATION_TIME_UTC AS TIMESTAMP) AS converted_creation_time, IS_LOYALTY,
+    q["preview_conversion"] = f"""
+SELECT source_row, CREATION_TIME_UTC, {utc_time('CREATION_TIME_UTC')} AS converted_creation_time, IS_LOYALTY,
   CASE WHEN IS_LOYALTY = 'TRUE' THEN 1 WHEN IS_LOYALTY = 'FALSE' THEN 0 END AS converted_is_loyalty
 FROM raw_order_items ORDER BY source_row LIMIT 10"""
     for short in RAW:
@@ -207,6 +219,11 @@ FROM raw_order_items ORDER BY source_row LIMIT 10"""
         q[f"dq_duplicate_rows_{short}"] = duplicates_sql(short)
         q[f"dq_duplicate_members_{short}"] = duplicate_members_sql(short)
         q[f"dq_issues_{short}"] = issues_sql(short)
+    q["dq_issues_options_renamed"] = f"""
+SELECT * FROM ({issues_sql('options')})
+UNION ALL VALUES
+ ('order_item_options.csv', NULL, 'COLUMN STRUCTURE', '', 'Missing column(s)', 'OPTION_GROUP_NAME'),
+ ('order_item_options.csv', NULL, 'COLUMN STRUCTURE', '', 'Unexpected column(s)', 'OPTION_GROUP')"""
     q["dq_broken_references"] = BROKEN_ISSUES
     q["dq_broken_options"] = f"SELECT * FROM ({BROKEN})"
     q["dq_broken_summary"] = f"""

@@ -37,4 +37,11 @@ def queries() -> dict[str, Query]:
         "top_locations": lambda s, d: m.top_locations(items(s, d)),
         "discount_effectiveness": lambda s, d: m.discount_effectiveness(items(s, d), options(s, d)),
     }
+    # the literal forms of the metrics: guests count as customers, and the trailing month
+    # ends with the latest order
+    q |= {
+        "purchase_frequency_latest": lambda s, d: m.purchase_frequency(items(s, d), include_guests=True),
+        "monthly_spend_latest": lambda s, d: m.monthly_spend(items(s, d), include_guests=True),
+        "order_gaps_all": lambda s, d: m.order_gaps(items(s, d), include_guests=True),
+    }
     return {name: _r(name, build) for name, build in q.items()}

