@@ -63,9 +63,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-#: Spark setting: a finished SQL execution frees its shuffle files (they are made again
-#: from the lineage should anything still need them).
-_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark settings for the writing job: it frees its shuffle files at its end (they are
+#: made again from the lineage should anything still need them), and Python workers get
+#: texts in batches of so many rows.
+_WHILE_STORING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -75,15 +79,17 @@ def stored(df: DataFrame) -> DataFrame:
     up on disk. The folder belongs to the application, as its checkpoints do."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4()}"
-    before = spark.conf.get(_FREE_SHUFFLES, None)
-    spark.conf.set(_FREE_SHUFFLES, "true")
+    before = {name: spark.conf.get(name, None) for name in _WHILE_STORING}
+    for name, value in _WHILE_STORING.items():
+        spark.conf.set(name, value)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(_FREE_SHUFFLES)
-        else:
-            spark.conf.set(_FREE_SHUFFLES, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

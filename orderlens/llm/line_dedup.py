@@ -15,7 +15,7 @@ Steps, each a Spark job over the whole table:
    128-bit hash. What remains carries its prefix: the rarest tokens, as many as any
    partner must share one of.
 3. ``candidates``: prefix entries meet by token. Length, positional and bitmap filters
-   (64 bits of token parity bound the symmetric difference) drop pairs that cannot
+   (128 bits of token parity bound the symmetric difference) drop pairs that cannot
    reach the threshold. A line needs one earlier partner only, so each entry gives at
    most ``PARTNERS`` candidates and says if there may be more. Tokens with many entries
    are cut into chunks, every pair of chunks is a group.
@@ -143,12 +143,13 @@ def token_counts(texts: DataFrame) -> np.ndarray:
 _LINE = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("id", "h")]
     + [T.StructField("line", T.IntegerType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
-       T.StructField("n", T.IntegerType()), T.StructField("bits", T.LongType()), T.StructField("prefix", T.ArrayType(T.IntegerType()))]
+       T.StructField("n", T.IntegerType()), T.StructField("b1", T.LongType()), T.StructField("b2", T.LongType()),
+       T.StructField("prefix", T.ArrayType(T.IntegerType()))]
 )
 
 
 def distinct_lines(texts: DataFrame, counts: np.ndarray) -> DataFrame:
-    """The earliest line of every set of words: id, h, line, k1, k2, n, bits, prefix."""
+    """The earliest line of every set of words: id, h, line, k1, k2, n, b1, b2, prefix."""
     # three steps for each doubling of a count: a fixed order of the buckets
     levels = np.minimum(np.log2(counts + 1.0) * 3, 127).astype(np.uint64)
 
@@ -165,8 +166,8 @@ def distinct_lines(texts: DataFrame, counts: np.ndarray) -> DataFrame:
                 tokens, line = _distinct_tokens(hashes, line, rarity)
                 n = np.bincount(line, minlength=len(first))
                 begin = np.cumsum(n) - n
-                with np.errstate(over="ignore"):
-                    bits = np.bitwise_xor.reduceat(np.uint64(1) << (tokens & np.uint64(63)), begin).view(np.int64)
+                one, upper = np.uint64(1) << (tokens & np.uint64(63)), (tokens & np.uint64(64)) != 0
+                b1, b2 = (np.bitwise_xor.reduceat(np.where(upper == u, one, np.uint64(0)), begin).view(np.int64) for u in (False, True))
                 size = n - _need(n) + 1
                 inside = np.arange(len(tokens)) - np.repeat(begin, n) < np.repeat(size, n)
                 keys = (tokens[inside] >> np.uint64(16)).astype(np.uint32).view(np.int32)
@@ -174,21 +175,21 @@ def distinct_lines(texts: DataFrame, counts: np.ndarray) -> DataFrame:
                 at = pa.array(row + start)
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(at), hs.take(at), pa.array(number.astype(np.int32)), pa.array(k1), pa.array(k2),
-                     pa.array(n.astype(np.int32)), pa.array(bits), prefix],
+                     pa.array(n.astype(np.int32)), pa.array(b1), pa.array(b2), prefix],
                     names=_LINE.names,
                 )
 
     every = texts.select("id", "h", "text").mapInArrow(lines, _LINE)
     order = F.struct(F.coalesce("id", F.lit(_NONE)), F.col("id").isNull(), "line", "h", "id")
     place = F.min(order).alias("o")
-    same = every.groupBy("k1", "k2").agg(place, *[F.first(c).alias(c) for c in ("n", "bits", "prefix")])
-    return same.select(F.col("o.id").alias("id"), F.col("o.h").alias("h"), F.col("o.line").alias("line"), "k1", "k2", "n", "bits", "prefix")
+    same = every.groupBy("k1", "k2").agg(place, *[F.first(c).alias(c) for c in ("n", "b1", "b2", "prefix")])
+    return same.select(F.col("o.id").alias("id"), F.col("o.h").alias("h"), F.col("o.line").alias("line"), "k1", "k2", "n", "b1", "b2", "prefix")
 
 
 _ENTRY = T.StructType(
     [T.StructField("key", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("oid", T.LongType()),
      T.StructField("line", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("pos", T.IntegerType()),
-     T.StructField("bits", T.LongType())]
+     T.StructField("b1", T.LongType()), T.StructField("b2", T.LongType())]
 )
 
 
@@ -239,11 +240,11 @@ def prefix_entries(lines: DataFrame, chunks: np.ndarray, tokens: np.ndarray | No
             key = (keys[at].astype(np.int64) << 32) + pair
             rows = row[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (key, cols["k1"][rows], cols["oid"][rows], cols["line"][rows], cols["n"][rows], pos[at].astype(np.int32), cols["bits"][rows])],
+                [pa.array(x) for x in (key, cols["k1"][rows], cols["oid"][rows], cols["line"][rows], cols["n"][rows], pos[at].astype(np.int32), cols["b1"][rows], cols["b2"][rows])],
                 names=_ENTRY.names,
             )
 
-    return lines.select("k1", F.coalesce("id", F.lit(_NONE)).alias("oid"), "line", "n", "bits", "prefix").mapInArrow(entries, _ENTRY)
+    return lines.select("k1", F.coalesce("id", F.lit(_NONE)).alias("oid"), "line", "n", "b1", "b2", "prefix").mapInArrow(entries, _ENTRY)
 
 
 _PAIR = T.StructType(
@@ -259,8 +260,8 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = np.cumsum(np.append(False, key[1:] != key[:-1]))
         # by length within a group: partners of i stand right after it
         order = np.argsort((group << 32) + n, kind="stable")
-        _, k1, oid, line, n, pos, bits = (c[order] for c in cols)
-        group, rest, bits = group[order], n - pos, bits.view(np.uint64)
+        _, k1, oid, line, n, pos, b1, b2 = (c[order] for c in cols)
+        group, rest, b1, b2 = group[order], n - pos, b1.view(np.uint64), b2.view(np.uint64)
         longest = n * THRESHOLD[1] // THRESHOLD[0]
         found = np.zeros(len(n), dtype=np.int32)
         active, step = np.arange(len(n)), 1
@@ -275,7 +276,7 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             need = _overlap(total)
             at = np.flatnonzero(np.minimum(rest[i], rest[j]) >= need)
             i, j, slack = i[at], j[at], (total - 2 * need)[at]
-            far = np.bitwise_count(bits[i] ^ bits[j])
+            far = np.bitwise_count(b1[i] ^ b1[j]).astype(np.int64) + np.bitwise_count(b2[i] ^ b2[j])
             at = np.flatnonzero((far <= slack) & (k1[i] != k1[j]))
             if not len(at):
                 continue
@@ -324,14 +325,15 @@ def all_candidates(lines: DataFrame, chunks: np.ndarray, only: DataFrame) -> Dat
     x = x.select("key", *[F.col(c).alias("x_" + c) for c in _ENTRY.names[1:]])
     num, den = THRESHOLD
     need = F.expr(f"ceil({num} * (x_n + y_n) / {num + den})")
+    far = F.expr("bit_count(x_b1 ^ y_b1) + bit_count(x_b2 ^ y_b2)")
     return (
         y.join(x, "key")
         .filter(F.expr("struct(x_oid, x_line, x_k1) < struct(y_oid, y_line, y_k1)"))
         .filter(F.expr(f"{den} * least(x_n, y_n) >= {num} * greatest(x_n, y_n)"))
         .filter(F.least(F.expr("x_n - x_pos"), F.expr("y_n - y_pos")) >= need)
-        .filter(F.expr("bit_count(x_bits ^ y_bits)") <= F.expr("x_n + y_n") - 2 * need)
+        .filter(far <= F.expr("x_n + y_n") - 2 * need)
         .groupBy(F.col("y_k1").alias("y"), F.col("x_k1").alias("x"))
-        .agg(F.min(F.expr("bit_count(x_bits ^ y_bits)")).alias("far"))
+        .agg(F.min(far).alias("far"))
     )
 
 
