@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.llm.common import stored
+
 # Fields of a 304 that never replace stored ones (about the body or the
 # connection), and tracking parameters that do not name a page.
 NOT_UPDATED = (
@@ -109,6 +111,7 @@ def resolve(records: DataFrame) -> DataFrame:
         .withColumn("key", F.coalesce("url", F.concat(F.lit(" "), F.coalesce("record_id", F.lit("")))))
         .withColumn("day", F.coalesce(F.to_date("captured"), F.lit("0001-01-01").cast("date")))
     )
+    rows = stored(rows)  # parsed once for the two uses below; no payloads
     # revisits come before responses of the same time, so that only earlier ones precede
     inside = Window.partitionBy("key", "day").orderBy("captured", "full", "record_id").rowsBetween(Window.unboundedPreceding, -1)
     near = rows.withColumn("near", F.last("response", ignorenulls=True).over(inside)).filter(~F.col("full"))
