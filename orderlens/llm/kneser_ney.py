@@ -226,7 +226,8 @@ def judge(
     ship_package(docs.sparkSession)
     good = labels.filter(trusted).select(quoted(label_id).alias("id")).filter("id IS NOT NULL").distinct()
     rows = docs.select(quoted(id_col).alias("id"), quoted(lang_col).cast("string").alias("lang"), as_text(quoted(text_col)).alias("text"))
-    model = train(rows.join(good, "id", "left_semi"))
+    # labels grow with the documents: they are not broadcast at any size
+    model = train(rows.join(good.hint("merge"), "id", "left_semi"))
     logs = stored(log_probabilities(ngram_counts(rows).select("gram"), model))
     scored = perplexities(rows.withColumn("size", F.octet_length("text")), logs).select("id", "lang", "size", "nats")
     marked = scored.join(good.withColumn("t", F.lit(True)), "id", "left")
