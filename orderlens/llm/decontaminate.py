@@ -9,7 +9,8 @@ hashed, and every hit is verified byte by byte against the window.
 
 The broadcast has a fixed bound: the benchmark is cut into blocks of at most
 ``BLOCK_CHARS`` characters by a hash of its rows. One block is the usual case; with
-more, every block scans the documents on its own and the hits are merged.
+more, every block is read, scans the documents and stores its hits on its own, and the
+hits are merged. Neither the driver nor a worker holds two blocks at once.
 
 Edge cases: a null text (document or item) has no words and is never contaminated;
 an item with a null id still marks words but is not counted; repeated items count
@@ -28,12 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.llm import textscan as ts
-from orderlens.llm.common import as_text, quoted, ship_package, with_results
+from orderlens.llm.common import as_text, quoted, ship_package, stored, with_results
 
 WINDOW = 13
 #: A document is contaminated if at least one word in ``MAX_SHARE`` is hit.
 MAX_SHARE = 20
-BLOCK_CHARS = 64_000_000
+BLOCK_CHARS = 2_000_000
 
 _HITS = T.ArrayType(T.StructType([T.StructField("s", T.IntegerType()), T.StructField("e", T.IntegerType())]))
 _ARROW_HITS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
@@ -169,14 +170,16 @@ def _without_hits(texts: pa.Array, hits: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int):
-    """Window sets of the benchmark, one per block of bounded size."""
-    rows = benchmark.select(quoted(id_col).cast("string").alias("id"), as_text(quoted(text_col)).alias("text"))
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> list[DataFrame]:
+    """The benchmark's different rows (id, text) in blocks of bounded size."""
+    rows = benchmark.select(quoted(id_col).cast("string").alias("id"), as_text(quoted(text_col)).alias("text")).distinct()
     total = rows.agg(F.sum(F.length("text") + 1)).first()[0] or 0
     n = -(-total // block_chars) or 1
-    for b in range(n):
-        part = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b) if n > 1 else rows
-        yield Windows([(r["id"], r["text"]) for r in part.distinct().toLocalIterator()])
+    return [rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b) for b in range(n)]
+
+
+def _windows(block: DataFrame) -> Windows:
+    return Windows([(r["id"], r["text"]) for r in block.collect()])
 
 
 def scan(
@@ -187,17 +190,18 @@ def scan(
     (sorted ids of items with a window in the text), ``n_hit``, ``n_items``,
     ``items_sha256`` and ``contaminated``."""
     ship_package(docs.sparkSession)
-    sets = list(blocks(benchmark, item_col, item_text, block_chars))
+    parts = blocks(benchmark, item_col, item_text, block_chars)
     text = quoted(text_col).cast("string")
-    if len(sets) == 1:
-        found = docs.select("*", _scanner(sets[0])(text).alias("__scan"))
+    if len(parts) == 1:
+        found = docs.select("*", _scanner(_windows(parts[0]))(text).alias("__scan"))
     else:
         # documents are matched again by their text's hashes: equal texts have equal hits
         keys = [F.xxhash64(text).alias("__a"), F.sha1(as_text(text)).alias("__b")]
-        parts = [docs.select(*keys, _scanner(w)(text).alias("__scan")).filter(F.size("__scan.hits") > 0).distinct() for w in sets]
-        every = parts[0]
-        for p in parts[1:]:
-            every = every.unionByName(p)
+        every = None
+        for part in parts:
+            scanned = docs.select(*keys, _scanner(_windows(part))(text).alias("__scan"))
+            hits = stored(scanned.filter(F.size("__scan.hits") > 0).distinct())
+            every = hits if every is None else every.unionByName(hits)
         some = every.groupBy("__a", "__b").agg(
             F.flatten(F.collect_list("__scan.hits")).alias("__hits"), F.flatten(F.collect_list("__scan.items")).alias("__items")
         ).select("__a", "__b", _merge_hits("__hits").alias("__hits"), F.array_sort(F.array_distinct("__items")).alias("__items"))
