@@ -47,7 +47,7 @@ from orderlens.llm.common import as_text, packed, partitions_for, ship_package,
 
 #: Jaccard similarity as a fraction.
 THRESHOLD = (4, 5)
-SKETCH_BITS = 17
+SKETCH_BITS = 16
 PARTNERS = 8
 GROUP_LIMIT = 20_000
 BLOOM_BITS = 26
@@ -73,9 +73,10 @@ def _lines(data: np.ndarray, bounds: np.ndarray):
     lower = ts.lower_table()[data]
     starts, ends = ts.spans(lower, bounds, ts.spaces_table())
     hashes = ts.word_hashes(lower, starts, ends)
-    row = np.searchsorted(bounds, starts, side="right") - 1
-    breaks = np.concatenate([[0], np.cumsum(data == 10)])
-    number = breaks[starts] - breaks[bounds[row]]
+    row = ts.rows_of(starts, bounds)
+    breaks = np.flatnonzero(data == 10)
+    before = np.repeat(np.arange(len(breaks) + 1), np.diff(np.concatenate([[0], np.searchsorted(starts, breaks), [len(starts)]])))
+    number = before - np.searchsorted(breaks, bounds[:-1])[row]
     change = np.ones(len(starts), dtype=bool)
     if len(starts):
         change[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1])
@@ -83,13 +84,12 @@ def _lines(data: np.ndarray, bounds: np.ndarray):
     return hashes, first, row[first], number[first]
 
 
-def _line_keys(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits that lines with the same words (in any order) share."""
+def _line_keys(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """64 bits that lines with the same words (in any order) share."""
     if not len(first):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    other = ts.mix(hashes ^ np.uint64(0xD6E8FEB86659FD93))
+        return np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
-        return np.add.reduceat(hashes, first).view(np.int64), np.add.reduceat(other, first).view(np.int64)
+        return np.add.reduceat(hashes, first).view(np.int64)
 
 
 def _distinct_tokens(hashes: np.ndarray, line: np.ndarray, rarity: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +160,8 @@ def distinct_lines(texts: DataFrame, counts: np.ndarray) -> DataFrame:
                 hashes, first, row, number = _lines(data, bounds)
                 if not len(first):
                     continue
-                k1, k2 = _line_keys(hashes, first)
+                k1 = _line_keys(hashes, first)
+                k2 = _line_keys(ts.mix(hashes ^ np.uint64(0xD6E8FEB86659FD93)), first)
                 line = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(hashes))))
                 rarity = levels[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 tokens, line = _distinct_tokens(hashes, line, rarity)
@@ -261,10 +262,12 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # by length within a group: partners of i stand right after it
         order = np.argsort((group << 32) + n, kind="stable")
         _, k1, oid, line, n, pos, b1, b2 = (c[order] for c in cols)
+        group = group.astype(np.int32)
         group, rest, b1, b2 = group[order], n - pos, b1.view(np.uint64), b2.view(np.uint64)
         longest = n * THRESHOLD[1] // THRESHOLD[0]
         found = np.zeros(len(n), dtype=np.int32)
-        active, step = np.arange(len(n)), 1
+        # the shorter line of a pair has its first common token within a shorter prefix
+        active, step = np.flatnonzero(rest >= _overlap(2 * n)), 1
         while True:
             active = active[active < len(n) - step]
             active = active[(group[active + step] == group[active]) & (n[active + step] <= longest[active])]
@@ -364,7 +367,7 @@ def line_tokens(texts: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for _, data, bounds in ts.slices(batch.column(0)):
                 hashes, first, _, _ = _lines(data, bounds)
-                k1, _ = _line_keys(hashes, first)
+                k1 = _line_keys(hashes, first)
                 hit = _in_bloom(bloom, k1.view(np.uint64))
                 hit[np.setdiff1d(np.arange(len(k1)), np.unique(k1, return_index=True)[1])] = False
                 if not hit.any():

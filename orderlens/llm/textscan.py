@@ -100,15 +100,22 @@ def spans(data: np.ndarray, bounds: np.ndarray, keep: np.ndarray) -> tuple[np.nd
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     inside = keep[data]
-    before = np.empty_like(inside)
-    before[0], before[1:] = False, inside[:-1]
+    turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if inside[0]:
+        turns = np.append(0, turns)
+    if inside[-1]:
+        turns = np.append(turns, len(data))
+    starts, ends = turns[::2], turns[1::2]
     inner = bounds[(bounds > 0) & (bounds < len(data))]
-    before[inner] = False
-    starts = np.flatnonzero(inside & ~before)
-    after = np.empty_like(inside)
-    after[-1], after[:-1] = False, inside[1:]
-    after[inner - 1] = False
-    return starts, np.flatnonzero(inside & ~after) + 1
+    cut = np.unique(inner[inside[inner] & inside[inner - 1]])  # bounds within a run
+    if len(cut):
+        starts, ends = np.sort(np.append(starts, cut)), np.sort(np.append(ends, cut))
+    return starts, ends
+
+
+def rows_of(starts: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The row (range between two bounds) of each of the sorted starts."""
+    return np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(starts, bounds)))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -126,6 +133,6 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     n = len(data)
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power_table(_BASE, n), out=sums[1:])
+        np.cumsum(np.multiply(data, _power_table(_BASE, n), dtype=np.uint64), out=sums[1:])
         h = (sums[ends] - sums[starts]) * _power_table(_INVERSE, n)[starts]
         return mix(h + (ends - starts).astype(np.uint64))
