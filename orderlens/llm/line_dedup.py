@@ -19,8 +19,8 @@ Steps, each a Spark job over the whole table:
    reach the threshold. A line needs one earlier partner only, so each entry gives at
    most ``PARTNERS`` candidates and says if there may be more. Tokens with many entries
    are cut into chunks, every pair of chunks is a group.
-4. ``verified``: the tokens of candidate lines are read again from the texts (a Bloom
-   filter of fixed size selects the lines) and the Jaccard similarity is computed, first
+4. ``verified``: the tokens of candidate lines are read again from the texts (Bloom
+   filters of fixed size select texts and lines) and the Jaccard similarity is computed, first
    with each line's closest candidate, then with the others of lines still open. Lines
    with cut candidate lists and no verified partner meet all their candidates.
 5. ``removed_lines`` gives the decisions, ``dedup_lines`` rebuilds the texts.
@@ -359,13 +359,16 @@ def _in_bloom(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
 _TOKENS = T.StructType([T.StructField("k1", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
 
 
-def line_tokens(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(k1, tokens) of the wanted lines (column k1) and perhaps others, each once."""
+def line_tokens(texts: DataFrame, lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(k1, tokens) of the wanted lines (column k1) and perhaps others, each once. Texts
+    without the earliest place of a wanted line are passed over."""
     bloom = _bloom(wanted)
+    in_texts = _bloom(wanted.join(lines.select("k1", "h"), "k1").select(F.col("h").alias("k1")).distinct())
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, bounds in ts.slices(batch.column(0)):
+            chosen = _in_bloom(in_texts, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            for _, data, bounds in ts.slices(batch.column(1).filter(pa.array(chosen))):
                 hashes, first, _, _ = _lines(data, bounds)
                 k1 = _line_keys(hashes, first)
                 hit = _in_bloom(bloom, k1.view(np.uint64))
@@ -380,12 +383,13 @@ def line_tokens(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(tokens.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(k1[hit]), lists], names=_TOKENS.names)
 
-    return texts.select("text").mapInArrow(find, _TOKENS).groupBy("k1").agg(F.first("tokens").alias("tokens"))
+    return texts.select("h", "text").mapInArrow(find, _TOKENS).groupBy("k1").agg(F.first("tokens").alias("tokens"))
 
 
-def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(texts: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """(y): lines with a partner whose Jaccard similarity reaches the threshold."""
-    tokens = stored(line_tokens(texts, pairs.select(F.explode(F.array("y", "x")).alias("k1")).distinct()))
+    wanted = stored(pairs.select(F.explode(F.array("y", "x")).alias("k1")).distinct())
+    tokens = stored(line_tokens(texts, lines, wanted))
     num, den = THRESHOLD
 
     def similar(some: DataFrame) -> DataFrame:
@@ -430,10 +434,10 @@ def kept_lines(texts: DataFrame) -> DataFrame:
     lines = stored(distinct_lines(texts, token_counts(texts)))
     chunks = token_chunks(lines)
     pairs = stored(candidates(lines, chunks))
-    gone = verified(texts, pairs)
+    gone = verified(texts, lines, pairs)
     open_lines = stored(pairs.filter("more").select("y").distinct().join(gone, "y", "left_anti"))
     if not open_lines.isEmpty():
-        gone = gone.union(verified(texts, stored(all_candidates(lines, chunks, open_lines))))
+        gone = gone.union(verified(texts, lines, stored(all_candidates(lines, chunks, open_lines))))
     stay = lines.select("id", "h", "line", "k1").join(gone.select(F.col("y").alias("k1")), "k1", "left_anti")
     return stay.groupBy("id", "h").agg(F.collect_list("line").alias("kept"))
 
