@@ -64,23 +64,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 #: Spark settings for the writing job: it frees its shuffle files at its end (they are
-#: made again from the lineage should anything still need them), and Python workers get
-#: texts in batches of so many rows.
-_WHILE_STORING = {
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-}
+#: made again from the lineage should anything still need them).
+_WHILE_STORING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: Rows a batch that Python workers get meanwhile: few enough for batches of long texts.
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, batch_rows: int = 2000) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back:
     cuts the lineage, and a later job reads the columns that it needs. The shuffle files
     of the writing job are freed at its end, so that the steps of an operator do not add
     up on disk. The folder belongs to the application, as its checkpoints do."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4()}"
-    before = {name: spark.conf.get(name, None) for name in _WHILE_STORING}
-    for name, value in _WHILE_STORING.items():
+    settings = _WHILE_STORING | {_BATCH_ROWS: str(batch_rows)}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         df.write.parquet(path)

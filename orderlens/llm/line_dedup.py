@@ -433,7 +433,7 @@ def kept_lines(texts: DataFrame) -> DataFrame:
     for the columns id, h and text."""
     lines = stored(distinct_lines(texts, token_counts(texts)))
     chunks = token_chunks(lines)
-    pairs = stored(candidates(lines, chunks))
+    pairs = stored(candidates(lines, chunks), batch_rows=20_000)  # rows of numbers
     gone = verified(texts, lines, pairs)
     open_lines = stored(pairs.filter("more").select("y").distinct().join(gone, "y", "left_anti"))
     if not open_lines.isEmpty():

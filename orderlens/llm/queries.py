@@ -57,7 +57,7 @@ def page_log(pages: DataFrame) -> DataFrame:
     minutes later. Validators come from the page's content and time; some captures lack
     one, some requests answer with a stale or a weak one."""
     pid = F.coalesce("page_id", F.lit(0))
-    first = F.timestamp_seconds(F.lit(1704067200) + pid * 60)
+    first = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.expr("INTERVAL '1' MINUTE") * pid
     digest = F.substring(F.md5(F.coalesce("html", F.lit("")).cast("binary")), 1, 16)
 
     def line(name: str, value: Column, when: Column | None = None) -> Column:
