@@ -4,9 +4,14 @@ The builder makes a tree from tags with implied ends and starts (a new ``<p>``,
 item, table row or cell ends the open one; a cell outside a row starts one; a block ends
 an open paragraph). The renderer emits all visible text:
 
-- nothing of ``head``, scripts, styles, templates, ``noscript``, form choices, ``hidden``
-  elements, ``display:none``, ``visibility:hidden`` (a descendant may be visible again),
-  closed ``details`` but for their summary;
+- nothing of ``head``, scripts, styles, templates, ``noscript``, ``datalist``, the fallback
+  in ``object``, ``audio``, ``video``, ``canvas`` and frames, ``hidden`` elements,
+  ``display:none``, ``visibility:hidden`` (a descendant may be visible again), closed
+  ``details`` but for their summary;
+- all choices of a ``select``, each on a line; of ``svg`` what it draws as text (``text``
+  and ``foreignObject``, not ``defs``, ``title`` and the like), of ``math`` all but
+  annotations. Tags in them follow the rules of foreign content: a trailing slash ends
+  the element, a tag that only html has ends the drawing or formula;
 - blocks on lines of their own, paragraphs, headings, lists and tables apart by a blank
   line; white space collapsed except in ``pre`` and ``textarea``; ``br`` breaks a line;
 - list items with ``- `` or their number, nested lists indented;
@@ -39,7 +44,7 @@ MAX_DEPTH = 200
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
 INVISIBLE = frozenset(
-    "head script style template noscript title iframe noembed noframes object audio video canvas svg math select option datalist area map".split()
+    "head script style template noscript title iframe noembed noframes object audio video canvas datalist area".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -60,6 +65,18 @@ ENDS = {
     "option": (("option",), ("select",)),
     "optgroup": (("optgroup",), ("select",)),
 }
+#: Inside ``svg`` and ``math``: what is not drawn, what holds html again, what stands apart
+#: from its neighbours, and tags that end the drawing or formula.
+NOT_DRAWN = frozenset(
+    "defs title desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter script style "
+    "annotation annotation-xml mphantom".split()
+)
+HTML_AGAIN = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+APART = frozenset("text foreignobject mtr mtd".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 IN_HEAD = frozenset("base link meta title style script noscript template".split())
 
 _TOKEN = re.compile(
@@ -85,10 +102,21 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
+def _ends_itself(text: str) -> bool:
+    """Whether attributes end in a slash that is no part of an unquoted value."""
+    if not text.endswith("/"):
+        return False
+    last = None
+    for last in _ATTRIBUTE.finditer(text):
+        pass
+    return last is None or not last[4] or last.end() < len(text)
+
+
 def parse(html: str) -> Node:
     """The tree of a page."""
     root = Node("html", {})
     stack = [root]
+    any_foreign = False
 
     def close(tags: tuple[str, ...], limits: tuple[str, ...]) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -98,6 +126,47 @@ def parse(html: str) -> Node:
             if stack[i].tag in limits:
                 return
 
+    def foreign() -> bool:
+        """Whether the innermost open element is of ``svg`` or ``math``."""
+        if any_foreign:
+            for node in reversed(stack):
+                if node.tag in ("svg", "math"):
+                    return True
+                if node.tag in HTML_AGAIN:
+                    return False
+        return False
+
+    def undrawn() -> bool:
+        """Whether text here is part of a drawing but of no text in it."""
+        if any_foreign:
+            for node in reversed(stack):
+                if node.tag == "svg":
+                    return True
+                if node.tag in ("text", "foreignobject", "math"):
+                    return False
+        return False
+
+    def break_out() -> None:
+        while foreign():
+            stack.pop()
+
+    def start_foreign(tag: str, attrs: dict[str, str], ended: bool) -> None:
+        if stack[-1].tag == "head":
+            stack.pop()
+        if tag in NOT_DRAWN:
+            attrs["hidden"] = ""
+        elif tag in APART or stack[-1].tag == "mfrac":
+            attrs[""] = "apart"
+        given = [f"{k}:{attrs[k]}" for k in ("display", "visibility") if k in attrs]
+        if given:
+            attrs["style"] = ";".join([*given, attrs.get("style", "")])
+        if not ended and len(stack) >= MAX_DEPTH:
+            stack.pop()
+        node = Node(tag, attrs)
+        stack[-1].children.append(node)
+        if not ended:
+            stack.append(node)
+
     def start(tag: str, attrs: dict[str, str]) -> None:
         if tag == "html":
             root.attrs.update(attrs)
@@ -108,6 +177,8 @@ def parse(html: str) -> Node:
             close(("p",), ("table", "td", "th", "caption", "button", "object"))
         if tag[0] == "h" and tag[1:].isdigit() and stack[-1].tag[0] == "h" and stack[-1].tag[1:].isdigit():
             stack.pop()
+        if tag == "optgroup":
+            close(("option",), ("optgroup", "select"))
         if tag in ENDS:
             close(*ENDS[tag])
         if tag in ("thead", "tbody", "tfoot", "tr"):
@@ -150,15 +221,28 @@ def parse(html: str) -> Node:
         if text:
             if stack[-1].tag == "head" and text.strip():
                 stack.pop()
-            stack[-1].children.append(unescape(text) if "&" in text else text)
+            if not undrawn():
+                stack[-1].children.append(unescape(text) if "&" in text else text)
         if not m:
             return root
         place = m.end()
         if m[1]:
-            end(m[1].lower())
+            tag = m[1].lower()
+            if tag in ("p", "br"):
+                break_out()
+            end(tag)
         elif m[2] or m[4]:
-            tag = (m[2] or m[4]).lower()
-            start(tag, _attributes(m[3] or m[5]))
+            tag, given = (m[2] or m[4]).lower(), m[3] or m[5] or ""
+            attrs = _attributes(given)
+            inside = foreign()
+            if inside and (tag in BREAKOUT or (tag == "font" and not attrs.keys().isdisjoint(("color", "face", "size")))):
+                break_out()
+                inside = False
+            if inside or tag in ("svg", "math"):
+                any_foreign = True
+                start_foreign(tag, attrs, _ends_itself(given))
+                continue
+            start(tag, attrs)
             if tag in RAW:
                 closing = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, place)
                 body = html[place : closing.start() if closing else len(html)]
@@ -166,6 +250,12 @@ def parse(html: str) -> Node:
                 node = stack[-1]
                 if node.tag == tag and body:
                     node.children.append(unescape(body) if tag in ("textarea", "title") else body)
+        elif m[0].startswith("<![CDATA[") and foreign():
+            close_at = html.find("]]>", m.start())
+            body = html[m.start() + 9 : close_at if close_at >= 0 else len(html)]
+            place = close_at + 3 if close_at >= 0 else len(html)
+            if not undrawn():
+                stack[-1].children.append(body)
 
 
 def _hidden(node: Node) -> bool:
@@ -263,9 +353,21 @@ def _lay(node: Node, out: Layout, shown: bool, pre: bool) -> None:
             out.space() if apart else out.flush()
             _lay(child, out, visible, pre or tag == "pre")
             out.space() if apart else out.flush()
+        elif tag in ("option", "optgroup"):
+            out.flush()
+            label = child.attrs.get("label", "")
+            if label and visible:
+                out.text(label.replace("\x00", ""))
+                out.flush()
+            if tag == "optgroup" or not label:
+                _lay(child, out, visible, pre)
+            out.flush()
         else:
+            apart = "" in child.attrs
+            if apart:
+                out.text(" ")
             _lay(child, out, visible, pre or tag == "textarea")
-            if tag in ("td", "th"):
+            if tag in ("td", "th") or apart:
                 out.text(" ")
 
 

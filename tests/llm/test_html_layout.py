@@ -30,6 +30,23 @@ CASES = {
     "quoted gt": ("<a title='x > y'>t</a>", "t"),
     "nothing": ("", ""),
 }
+SHOWN = {
+    "formula": ("<p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation>n</annotation></semantics></math> holds", "so x= 1 2 holds"),
+    "drawing": (
+        "a<svg><title>n</title><defs><text>n</text></defs><style>n</style>n<g>n<text>T<tspan>U</tspan></text><text>V &amp; <![CDATA[w>x]]></text></g></svg>b",
+        "a TU V & w>x b",
+    ),
+    "html in a drawing": ("<svg><foreignObject><div>one</div><div/>two</foreignObject><text display=none>n</text><text visibility='hidden'>n</text></svg>", "one\ntwo"),
+    "image map": ("<map name=m><a href=x>here</a><area alt=n></map>", "here"),
+    "choices": ("Pick <select><option>a<option selected>b<optgroup label=G><option label=c>n<option>d</select> now", "Pick\na\nb\nG\nc\nd\nnow"),
+    "datalist": ("<datalist><option>n</datalist>y", "y"),
+    "drawing that ends itself": ("<p><svg class=\"i\"/> Hello</p>", "Hello"),
+    "drawing that ends itself in body": ("<body><svg viewBox='0 0 1 1' /><p>one</p><math/><p>two", "one\n\ntwo"),
+    "elements that end themselves": ("<svg><path d='x=y'/><title/><style/><g/><text>T</text></svg>y", "T y"),
+    "slash in an unquoted value": ("<svg class=i/>n</svg>y", "y"),
+    "drawing that is never closed": ("<div><svg><g><p>one</p><svg><path></div>two", "one\n\ntwo"),
+    "slash outside a drawing": ("<div hidden/>n</div>y", "y"),
+}
 
 
 @pytest.mark.parametrize("name", CASES)
@@ -38,6 +55,12 @@ def test_layout(name):
     assert hl.render(html) == want
 
 
+@pytest.mark.parametrize("name", SHOWN)
+def test_text_that_browsers_show(name):
+    html, want = SHOWN[name]
+    assert hl.render(html) == want
+
+
 @pytest.mark.parametrize(
     "html", ["<" * 3000, "<div>" * 30_000 + "deep", "<table><tr><td>" * 2000 + "deep", "<a \"" * 2000, "<ul><li>" * 2000 + "deep", "<!--" * 3000, "x " * 500_000]
 )
