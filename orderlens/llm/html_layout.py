@@ -15,11 +15,15 @@ an open paragraph). The renderer emits all visible text:
 - blocks on lines of their own, paragraphs, headings, lists and tables apart by a blank
   line; white space collapsed except in ``pre`` and ``textarea``; ``br`` breaks a line;
 - list items with ``- `` or their number, nested lists indented;
-- table cells in columns padded to equal width, ``colspan`` kept.
+- table cells in columns padded to equal width; ``colspan`` widens its columns, ``rowspan``
+  holds its columns in the rows below, to the end of its section; a hidden cell keeps its
+  column.
 
 One page is parsed in one call; pages are spread by Spark, texts stay in Arrow.
-Unclosed or stray tags, broken entities and nesting of any depth give a result: elements
-deeper than ``MAX_DEPTH`` become siblings at that depth and lose no text.
+Unclosed or stray tags, broken entities and nesting of any depth give a result: the tree
+is as deep as the page, and laid out without recursion. Only layout has a limit: in
+``MAX_DEPTH`` lists, quotes and tables within each other, deeper ones are neither indented
+nor aligned; their text and visibility stay.
 
 Edge cases: null html gives a null text, empty html an empty one; equal pages get equal
 texts; an empty table gives no rows; extra columns stay, those named like a result are
@@ -29,6 +33,8 @@ replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections.abc import Collection, Generator
 from html import unescape
 
 import pyarrow as pa
@@ -116,43 +122,45 @@ def parse(html: str) -> Node:
     """The tree of a page."""
     root = Node("html", {})
     stack = [root]
+    places: dict[str, list[int]] = {}  # of the open elements in the stack, by tag
     any_foreign = False
 
+    def open_(node: Node) -> None:
+        places.setdefault(node.tag, []).append(len(stack))
+        stack.append(node)
+
+    def cut(place: int) -> None:
+        while len(stack) > place:
+            places[stack.pop().tag].pop()
+
+    def last(tags: Collection[str]) -> int:
+        """Place of the innermost open element of these, 0 for none."""
+        found = 0
+        for tag in tags:
+            if places.get(tag):
+                found = max(found, places[tag][-1])
+        return found
+
     def close(tags: tuple[str, ...], limits: tuple[str, ...]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in limits:
-                return
+        place = last(tags)
+        if place and place >= last(limits):
+            cut(place)
 
     def foreign() -> bool:
         """Whether the innermost open element is of ``svg`` or ``math``."""
-        if any_foreign:
-            for node in reversed(stack):
-                if node.tag in ("svg", "math"):
-                    return True
-                if node.tag in HTML_AGAIN:
-                    return False
-        return False
+        return any_foreign and last(("svg", "math")) > last(HTML_AGAIN)
 
     def undrawn() -> bool:
         """Whether text here is part of a drawing but of no text in it."""
-        if any_foreign:
-            for node in reversed(stack):
-                if node.tag == "svg":
-                    return True
-                if node.tag in ("text", "foreignobject", "math"):
-                    return False
-        return False
+        return any_foreign and last(("svg",)) > last(("text", "foreignobject", "math"))
 
     def break_out() -> None:
         while foreign():
-            stack.pop()
+            cut(last(("svg", "math")))
 
     def start_foreign(tag: str, attrs: dict[str, str], ended: bool) -> None:
         if stack[-1].tag == "head":
-            stack.pop()
+            cut(len(stack) - 1)
         if tag in NOT_DRAWN:
             attrs["hidden"] = ""
         elif tag in APART or stack[-1].tag == "mfrac":
@@ -160,57 +168,44 @@ def parse(html: str) -> Node:
         given = [f"{k}:{attrs[k]}" for k in ("display", "visibility") if k in attrs]
         if given:
             attrs["style"] = ";".join([*given, attrs.get("style", "")])
-        if not ended and len(stack) >= MAX_DEPTH:
-            stack.pop()
         node = Node(tag, attrs)
         stack[-1].children.append(node)
         if not ended:
-            stack.append(node)
+            open_(node)
 
     def start(tag: str, attrs: dict[str, str]) -> None:
         if tag == "html":
             root.attrs.update(attrs)
             return
         if stack[-1].tag == "head" and tag not in IN_HEAD:
-            stack.pop()
+            cut(len(stack) - 1)
         if tag in BLOCKS:
             close(("p",), ("table", "td", "th", "caption", "button", "object"))
         if tag[0] == "h" and tag[1:].isdigit() and stack[-1].tag[0] == "h" and stack[-1].tag[1:].isdigit():
-            stack.pop()
+            cut(len(stack) - 1)
         if tag == "optgroup":
             close(("option",), ("optgroup", "select"))
         if tag in ENDS:
             close(*ENDS[tag])
         if tag in ("thead", "tbody", "tfoot", "tr"):
             close(("tr",), ("table",))
-        if tag in ("td", "th") and not _inside("tr"):
+        if tag in ("td", "th") and last(("tr",)) <= last(("table",)):
             start("tr", {})
-        if tag not in VOID and len(stack) >= MAX_DEPTH:
-            stack.pop()
         node = Node(tag, attrs)
         stack[-1].children.append(node)
         if tag not in VOID:
-            stack.append(node)
-
-    def _inside(tag: str) -> bool:
-        for node in reversed(stack):
-            if node.tag == tag:
-                return True
-            if node.tag == "table":
-                return False
-        return False
+            open_(node)
 
     def end(tag: str) -> None:
-        limits = () if tag in ("table", "body", "html") else ("td", "th", "table", "caption")
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == tag:
-                del stack[i:]
-                return
-            if stack[i].tag in limits:
-                return
-        if tag == "p":
+        limit = 0 if tag in ("table", "body", "html") else last(("td", "th", "table", "caption"))
+        place = last((tag,))
+        if place and place >= limit:
+            cut(place)
+        elif limit:
+            return
+        elif tag == "p":
             start("p", {})
-            stack.pop()
+            cut(len(stack) - 1)
         elif tag == "br":
             stack[-1].children.append(Node("br", {}))
 
@@ -220,7 +215,7 @@ def parse(html: str) -> Node:
         text = html[place : m.start() if m else len(html)]
         if text:
             if stack[-1].tag == "head" and text.strip():
-                stack.pop()
+                cut(len(stack) - 1)
             if not undrawn():
                 stack[-1].children.append(unescape(text) if "&" in text else text)
         if not m:
@@ -267,6 +262,15 @@ def _hidden(node: Node) -> bool:
     return bool(style) and any(k.lower() == "display" and v.lower() == "none" for k, v in _STYLE.findall(style))
 
 
+def _visible(node: Node, shown: bool) -> bool:
+    """Visibility of an element within one of visibility ``shown``."""
+    style = node.attrs.get("style")
+    for k, v in _STYLE.findall(style) if style else ():
+        if k.lower() == "visibility" and v.lower() != "inherit":
+            shown = v.lower() not in ("hidden", "collapse")
+    return shown
+
+
 class Layout:
     """Lines of one block context."""
 
@@ -303,10 +307,29 @@ class Layout:
             self.put((first if i == 0 else rest) + line if line else line)
 
 
-def _lay(node: Node, out: Layout, shown: bool, pre: bool) -> None:
-    """Lay the children of a node into ``out``."""
+#: Steps of the layout yield the steps that they wait for; ``_run`` calls them.
+Step = Generator["Step", object, object]
+
+
+def _run(step: Step) -> object:
+    stack, value = [step], None
+    while stack:
+        try:
+            inner = stack[-1].send(value)
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+        else:
+            stack.append(inner)
+            value = None
+    return value
+
+
+def _lay(node: Node, out: Layout, shown: bool, pre: bool, depth: int) -> Step:
+    """Lay the children of a node into ``out``, which is in ``depth`` others."""
     number = int(node.attrs["start"]) if re.fullmatch(r"-?\d{1,9}", node.attrs.get("start", "")) else 1
     only_summary = node.tag == "details" and "open" not in node.attrs
+    flat = depth >= MAX_DEPTH
     for child in node.children:
         if isinstance(child, str):
             if shown and not only_summary:
@@ -314,18 +337,19 @@ def _lay(node: Node, out: Layout, shown: bool, pre: bool) -> None:
             continue
         if _hidden(child) or (only_summary and child.tag != "summary"):
             continue
-        visible = shown
-        for k, v in _STYLE.findall(child.attrs.get("style", "")):
-            if k.lower() == "visibility":
-                visible = v.lower() not in ("hidden", "collapse")
+        visible = _visible(child, shown)
         tag = child.tag
         if tag == "br":
             out.text("\x00")
         elif tag == "hr":
             out.space()
+        elif flat and tag in ("table", "tr", "li", "dd", "blockquote"):
+            out.flush()
+            yield _lay(child, out, visible, pre, depth)
+            out.flush()
         elif tag == "table":
             out.space()
-            out.block(_table(child, visible))
+            out.block((yield _table(child, visible, depth + 1)))
             out.space()
         elif tag == "li":
             out.flush()
@@ -335,7 +359,7 @@ def _lay(node: Node, out: Layout, shown: bool, pre: bool) -> None:
                 number = int(value) if re.fullmatch(r"-?\d{1,9}", value) else number
                 mark, number = f"{number}. ", number + 1
             inner = Layout()
-            _lay(child, inner, visible, pre)
+            yield _lay(child, inner, visible, pre, depth + 1)
             inner.flush()
             while inner.lines and not inner.lines[0]:
                 inner.lines.pop(0)
@@ -343,7 +367,7 @@ def _lay(node: Node, out: Layout, shown: bool, pre: bool) -> None:
         elif tag in ("dd", "blockquote"):
             out.space() if tag in SPACED else out.flush()
             inner = Layout()
-            _lay(child, inner, visible, pre)
+            yield _lay(child, inner, visible, pre, depth + 1)
             inner.flush()
             out.block(inner.lines, "  ", "  ")
             out.space() if tag in SPACED else None
@@ -351,7 +375,7 @@ def _lay(node: Node, out: Layout, shown: bool, pre: bool) -> None:
             nested = tag in ("ul", "ol", "menu", "dir") and node.tag == "li"
             apart = tag in SPACED and not nested
             out.space() if apart else out.flush()
-            _lay(child, out, visible, pre or tag == "pre")
+            yield _lay(child, out, visible, pre or tag == "pre", depth)
             out.space() if apart else out.flush()
         elif tag in ("option", "optgroup"):
             out.flush()
@@ -360,79 +384,107 @@ def _lay(node: Node, out: Layout, shown: bool, pre: bool) -> None:
                 out.text(label.replace("\x00", ""))
                 out.flush()
             if tag == "optgroup" or not label:
-                _lay(child, out, visible, pre)
+                yield _lay(child, out, visible, pre, depth)
             out.flush()
         else:
             apart = "" in child.attrs
             if apart:
                 out.text(" ")
-            _lay(child, out, visible, pre or tag == "textarea")
+            if child.children:
+                yield _lay(child, out, visible, pre or tag == "textarea", depth)
             if tag in ("td", "th") or apart:
                 out.text(" ")
 
 
-def _rows(table: Node) -> list[Node]:
-    """Rows of a table in document order: caption apart, sections opened."""
-    found = []
-    for child in table.children:
+def _holder(tag: str, child: Node | str) -> Node:
+    node = Node(tag, {})
+    node.children.append(child)
+    return node
+
+
+def _rows(table: Node, shown: bool, section: int = 0) -> list[tuple[Node, bool, int]]:
+    """Rows of a table in document order, each with the visibility around it and its
+    section: caption apart, sections opened."""
+    found: list[tuple[Node, bool, int]] = []
+    for i, child in enumerate(table.children, 1):
         if isinstance(child, str):
             if child.strip():
-                found.append(Node("div", {}))
-                found[-1].children.append(child)
+                found.append((_holder("div", child), shown, section))
         elif not _hidden(child):
-            found += [child] if child.tag in ("tr", "caption") else _rows(child) if child.tag in ("thead", "tbody", "tfoot") else [child]
+            if child.tag in ("thead", "tbody", "tfoot") and not section:
+                found += _rows(child, _visible(child, shown), i)
+            else:
+                found.append((child, shown, section))
     return found
 
 
-def _table(table: Node, shown: bool) -> list[str]:
-    grid: list[list[tuple[int, list[str]]] | list[str]] = []
-    for row in _rows(table):
+def _span(cell: Node, name: str, most: int) -> int:
+    value = cell.attrs.get(name, "").strip()
+    return min(int(value), most) if re.fullmatch(r"\d{1,9}", value) else 1
+
+
+def _table(table: Node, shown: bool, depth: int) -> Step:
+    """Lines of a table. A cell of the grid is its first column, the column after it and
+    its lines."""
+    grid: list[list[tuple[int, int, list[str]]] | list[str]] = []
+    held: list[tuple[int, int, float]] = []  # columns from, to, up to a row: of cells in rows above
+    before = 0
+    for number, (row, around, section) in enumerate(_rows(table, shown)):
         if row.tag != "tr":
             inner = Layout()
-            holder = Node("div", {})
-            holder.children.append(row)
-            _lay(holder, inner, shown, False)
+            yield _lay(_holder("div", row), inner, around, False, depth)
             inner.flush()
             grid.append(inner.lines)
             continue
-        cells = []
+        if section != before:
+            held, before = [], section
+        visible = _visible(row, around)
+        held = [h for h in held if h[2] >= number]
+        cells, new, at, taken = [], [], 0, 0
         for cell in row.children:
             if isinstance(cell, str):
                 if not cell.strip():
                     continue
-                holder, span = Node("td", {}), 1
-                holder.children.append(cell)
-                cell = holder
+                cell = _holder("td", cell)
             elif _hidden(cell):
                 continue
+            while taken < len(held) and held[taken][0] <= at:
+                at = max(at, held[taken][1])
+                taken += 1
             inner = Layout()
-            _lay(cell, inner, shown, False)
+            loose = cell.tag not in ("td", "th")
+            yield _lay(_holder("td", cell) if loose else cell, inner, visible if loose else _visible(cell, visible), False, depth)
             inner.flush()
-            wide = cell.attrs.get("colspan", "")
-            span = min(max(int(wide), 1), 1000) if re.fullmatch(r"\d{1,6}", wide) else 1
-            cells.append((span, inner.lines))
-        if any(lines for _, lines in cells):
+            after = at + max(_span(cell, "colspan", 1000), 1)
+            rows = _span(cell, "rowspan", 65534)
+            if rows != 1:
+                new.append((at, after, number + rows - 1 if rows else float("inf")))
+            cells.append((at, after, inner.lines))
+            at = after
+        held = sorted(held + new)
+        if any(lines for *_, lines in cells):
             grid.append(cells)
-    widths: dict[int, int] = {}
-    for row in grid:
-        at = 0
-        for cell in row:
-            if isinstance(cell, tuple):
-                span, lines = cell
-                if span == 1:
-                    widths[at] = max([widths.get(at, 0), *map(len, lines)])
-                at += span
+    # columns in which a cell begins, and where they stand: after all cells that end before
+    ruled = [row for row in grid if row and isinstance(row[0], tuple)]
+    columns = sorted({at for row in ruled for at, *_ in row})
+    ends: list[list[tuple[int, int]]] = [[] for _ in range(len(columns) + 1)]
+    for row in ruled:
+        for at, after, lines in row:
+            ends[bisect_left(columns, after)].append((at, max(map(len, lines), default=0)))
+    place: dict[int, int] = {}
+    for i, column in enumerate(columns):
+        least = place[columns[i - 1]] + 2 if i else 0
+        place[column] = max([least, *(place[at] + wide + 2 for at, wide in ends[i])])
     out: list[str] = []
     for row in grid:
         if not row or not isinstance(row[0], tuple):
             out += row
             continue
-        for i in range(max(len(lines) for _, lines in row)):
-            at, line = 0, ""
-            for span, lines in row:
-                wide = sum(widths.get(k, 0) for k in range(at, at + span)) + 2 * (span - 1)
-                line += (lines[i] if i < len(lines) else "").ljust(wide) + "  "
-                at += span
+        for i in range(max(len(lines) for *_, lines in row)):
+            line = ""
+            for at, _, lines in row:
+                if i < len(lines):
+                    line = line.ljust(place[at]) + lines[i]
             out.append(line.rstrip())
     return out
 
@@ -442,7 +494,7 @@ def render(html: str | None) -> str | None:
     if html is None:
         return None
     out = Layout()
-    _lay(parse(html), out, True, False)
+    _run(_lay(parse(html), out, True, False, 0))
     out.flush()
     return "\n".join(out.lines).strip("\n")
 

@@ -55,6 +55,34 @@ def test_layout(name):
     assert hl.render(html) == want
 
 
+TABLES = {
+    "rowspan": ("<table><tr><th>A<th>B<th>C<tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "A  B  C\na  b  c\n   d  e\nf  g"),
+    "rowspan and colspan": ("<table><tr><td>a<td rowspan=3 colspan=2>bb<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "a  bb  c\nd      e\nf      g"),
+    "rowspan to the end of its section": ("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d<tbody><tr><td>e<td>f</table>", "a  b\n   c\n   d\ne  f"),
+    "colspan widens": ("<table><tr><td colspan=2>wide cell<td>d<tr><td>a<td>b<td>c</table>", "wide cell  d\na  b       c"),
+    "hidden cell": ("<table><tr><td style='visibility:hidden'>n<b style='visibility:visible'>y</b><td>b<tr><th style='visibility:hidden'>nnn<td>c</table>", "y  b\n   c"),
+    "hidden row and section": (
+        "<table><tbody style='visibility:hidden'><tr><td>n<tr style='visibility:visible'><td>y<tbody><tr style='visibility:collapse'><td>n<td style='visibility:visible'>z</table>",
+        "y\n   z",
+    ),
+    "visible row of a hidden table": ("<table style='visibility:hidden'><tr><td>n<tr style='visibility:visible'><td>a<td>b</table>", "a  b"),
+}
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_tables(name):
+    html, want = TABLES[name]
+    assert hl.render(html) == want
+
+
+@pytest.mark.parametrize("depth", [10, 190, 300, 20_000])
+def test_depth_keeps_structure_and_visibility(depth):
+    deep = "<div>" * depth
+    assert hl.render(deep + "<ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><td>ee<td>f</table>") == "- a\n- b\n\nc   d\nee  f"
+    assert hl.render(f"{deep}<p hidden>n<span>n</span></p><div style='visibility:hidden'>n{deep}n{'</div>' * (depth + 1)}y") == "y"
+    assert hl.render("<blockquote>" * depth + "<div hidden>n<p>n<ul><li>n</ul></div><ul><li>y").split() in (["-", "y"], ["y"])
+
+
 @pytest.mark.parametrize("name", SHOWN)
 def test_text_that_browsers_show(name):
     html, want = SHOWN[name]
