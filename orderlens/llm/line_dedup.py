@@ -27,9 +27,10 @@ Steps, each a Spark job over the whole table:
 
 Words are compared by 64-bit hashes. Edge cases: null texts stay null and empty ones
 empty; ids may be null or repeated; rows with the same id and the same text are one
-document (both keep the same lines); very long lines and texts are one row each; an
-empty table gives an empty table; extra columns stay, those named like a result are
-replaced.
+document (both keep the same lines), but rows without an id are documents of their own,
+numbered in a stored table (of copies among them, one keeps its lines); very long lines
+and texts are one row each; an empty table gives an empty table; extra columns stay, those
+named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -429,8 +430,9 @@ def _rebuilt(texts: pa.Array, kept: pa.Array) -> pa.Array:
 
 
 def kept_lines(texts: DataFrame) -> DataFrame:
-    """(id, h, kept): the numbers of the lines that stay, by document id and text hash,
-    for the columns id, h and text."""
+    """(id, h, kept): the numbers of the lines that stay, by document id and text hash
+    (the row's number in place of the hash where there is no id), for the columns id, h
+    and text."""
     lines = stored(distinct_lines(texts, token_counts(texts)))
     chunks = token_chunks(lines)
     pairs = stored(candidates(lines, chunks), batch_rows=20_000)  # rows of numbers
@@ -443,9 +445,21 @@ def kept_lines(texts: DataFrame) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = packed(docs)
     text = F.col("row").getField(text_col).cast("string")
-    return rows.select("row", F.col("row").getField(id_col).cast("long").alias("id"), F.xxhash64(as_text(text)).alias("h"), text.alias("text"))
+    number = F.col("row").getField(id_col).cast("long")
+
+    def keyed(rows: DataFrame, h: Column) -> DataFrame:
+        return rows.select("row", number.alias("id"), h.alias("h"), text.alias("text"))
+
+    rows = packed(docs)
+    by_text = F.xxhash64(as_text(text))
+    without = rows.filter(number.isNull())
+    if without.isEmpty():
+        return keyed(rows, by_text)
+    # a null identifies nothing: a number for each of these rows, mixed one to one, that
+    # stays the same in all steps
+    without = stored(without.withColumn("n", F.monotonically_increasing_id()))
+    return keyed(rows.filter(number.isNotNull()), by_text).union(keyed(without, F.xxhash64("n")))
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

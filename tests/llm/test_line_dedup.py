@@ -89,6 +89,17 @@ def test_removed_lines_and_clashing_columns(spark, frame):
     assert ld.dedup_lines(empty).collect() == [] and ld.removed_lines(empty).collect() == []
 
 
+def test_rows_without_an_id_are_different_documents(frame):
+    text = "a line that many rows hold\nand a second line of theirs"
+    rows = [(None, text)] * 5 + [(None, "other words\nmore\nAND a second line of theirs"), (None, None), (1, "a line with an id"), (None, "a line with an id")]
+    df = frame(rows, "doc_id long, text string")
+    out = sorted(((r.doc_id, r.text, r.n_removed) for r in ld.dedup_lines(df).collect()), key=str)
+    want = [(None, text, 0)] + [(None, "", 2)] * 4 + [(None, "other words\nmore", 1), (None, None, 0), (1, "a line with an id", 0), (None, "", 1)]
+    assert out == sorted(want, key=str)
+    gone = sorted(tuple(r.removed) for r in ld.removed_lines(df).collect())
+    assert gone == [(), (), (), (0,), *[(0, 1)] * 4, (2,)]
+
+
 def test_real_documents(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     check(rows, ld.dedup_lines(docs).collect())
