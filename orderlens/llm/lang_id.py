@@ -10,7 +10,9 @@ of ``exp(-bytes / SCORE_BYTES)`` over the languages.
 
 Learning: the dictionaries come from a bounded sample of labelled rows, at most
 ``SAMPLE_ROWS`` rows a language by a hash of id and text, ``SAMPLE_CHARS`` characters of
-each, ``DICTIONARY_BYTES`` bytes together. Prediction reads whole texts.
+each, ``DICTIONARY_BYTES`` bytes together. Every labelled language is learned: if there
+are so many that their dictionaries would exceed ``TOTAL_BYTES``, each gets an equal share
+of it. Prediction reads whole texts and takes time in proportion to the languages.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; with no labelled
 row every text is ``und``; of equal sizes the language with more labelled rows wins, then
@@ -33,7 +35,9 @@ from orderlens.llm.common import as_text, quoted, ship_package, with_results
 SAMPLE_ROWS = 400
 SAMPLE_CHARS = 1500
 DICTIONARY_BYTES = 256 << 10
-MAX_LANGUAGES = 200
+TOTAL_BYTES = 200 * DICTIONARY_BYTES
+#: Languages whose compressors a worker holds at once; of more, it makes them text by text.
+HELD = 200
 LEVEL = 3
 PIECE = 4096
 MIN_MARGIN = 0.01
@@ -53,26 +57,33 @@ def has_letter(text: str | None) -> bool:
     return any(c.isalpha() for c in text or "")
 
 
+def _compressor(primed: zstandard.ZstdCompressionDict) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=primed, write_content_size=False)
+
+
 class Classifier:
     """Dictionaries by language, in the order of preference for ties."""
 
     def __init__(self, dictionaries: dict[str, bytes]) -> None:
         self.dictionaries = dictionaries
-        self._compressors: list[zstandard.ZstdCompressor] | None = None
+        self._primed: list[zstandard.ZstdCompressionDict] | None = None
+        self._compressors: list[zstandard.ZstdCompressor] = []
 
     def __getstate__(self):
-        return {"dictionaries": self.dictionaries, "_compressors": None}
+        return {"dictionaries": self.dictionaries, "_primed": None, "_compressors": []}
 
     def sizes(self, text: str) -> list[int]:
-        if self._compressors is None:
-            self._compressors = []
+        if self._primed is None:
+            self._primed = []
             for content in self.dictionaries.values():
                 primed = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 primed.precompute_compress(level=LEVEL)
-                self._compressors.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=primed, write_content_size=False))
+                self._primed.append(primed)
+            if len(self._primed) <= HELD:
+                self._compressors = list(map(_compressor, self._primed))
         data = normalised(text)
         pieces = [data[i : i + PIECE] for i in range(0, len(data), PIECE)]
-        return [sum(len(c.compress(p)) for p in pieces) for c in self._compressors]
+        return [sum(len(c.compress(p)) for p in pieces) for c in self._compressors or map(_compressor, self._primed)]
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         if not self.dictionaries or not has_letter(text):
@@ -91,15 +102,19 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
         quoted(lang_col).cast("string").alias("lang"), F.xxhash64(quoted(id_col), as_text(quoted(text_col))).alias("place"),
         F.substring(as_text(quoted(text_col)), 1, SAMPLE_CHARS).alias("text"),
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
+    share = max(1, min(DICTIONARY_BYTES, TOTAL_BYTES // max(1, len(counts))))
     first = Window.partitionBy("lang").orderBy("place", "text")
     sample = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_ROWS)
+    # rows after those that fill the share are not collected; what normalising drops from
+    # a text does not count
+    left = F.length(F.regexp_replace("text", r"[\x00-@\[-`{-\x7F]+", ""))
+    before = F.sum(left).over(first.rowsBetween(Window.unboundedPreceding, -1))
+    sample = sample.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < share)
     texts: dict[str, list[tuple[int, str]]] = {r["lang"]: [] for r in counts}
     for r in sample.select("lang", "n", "text").collect():
         texts[r["lang"]].append((r["n"], r["text"]))
-    joined = {lang: b" ".join(normalised(t) for _, t in sorted(found))[:DICTIONARY_BYTES] for lang, found in texts.items()}
+    joined = {lang: b" ".join(normalised(t) for _, t in sorted(found))[:share] for lang, found in texts.items()}
     return Classifier({lang: content for lang, content in joined.items() if content})
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import pytest
@@ -53,6 +54,22 @@ def test_no_labels_clashes_and_empty_table(spark, frame, model):
     assert li.identify(df, one).first().score == 1.0
 
 
+def test_more_languages_than_full_dictionaries(frame, monkeypatch):
+    def text(lang, i):
+        words = [hashlib.md5(f"{lang} {k}".encode()).hexdigest()[:9].translate(str.maketrans("0123456789", "ghijklmnop")) for k in range(5)]
+        return " ".join(words[(i + k) % 5] for k in range(6))
+
+    rows = [(lang * 10 + i, text(lang, i) if i else "12 345", f"l{lang:03}") for lang in range(230) for i in range(4)]
+    df = frame(rows, "doc_id long, text string, lang string")
+    every = li.learn(df)
+    assert len(every.dictionaries) == 230
+    monkeypatch.setattr(li, "TOTAL_BYTES", 230 * 40)
+    less = li.learn(df)
+    assert less.dictionaries == {lang: content[:40] for lang, content in every.dictionaries.items()}
+    got = {r.doc_id: r.lang_pred for r in li.identify(df.filter("doc_id % 10 = 1 AND doc_id % 70 = 1"), every).collect()}
+    assert len(got) > 30 and all(lang == f"l{i // 10:03}" for i, lang in got.items())
+
+
 def test_learning_ignores_order(spark, frame):
     rows = [(i, f"text number {i} of a language with words", "en" if i % 3 else "xx") for i in range(1500)]
     a = li.learn(frame(rows, "doc_id long, text string, lang string", 2))
