@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.llm import (
     byte_bpe,
@@ -19,6 +22,7 @@ from orderlens.llm import (
     kneser_ney,
     lang_id,
     line_dedup,
+    periodic_runs,
     quality_rules,
     revisits,
     simhash,
@@ -122,6 +126,38 @@ def op10_kneser_ney(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "lang", "perplexity", "threshold", "kept")
 
 
+@F.arrow_udf(T.StringType())
+def _looped(texts: pa.Array, h: pa.Array) -> pa.Array:
+    """Texts whose number h ends in 0 with a loop from some word on; others as they are."""
+    chosen = pc.fill_null(pc.equal(pc.subtract(h, pc.multiply(pc.divide(h, 10), 10)), 0), False)
+    new = []
+    for text, number in zip(texts.filter(chosen).to_pylist(), h.filter(chosen).to_pylist()):
+        words = (text or "").encode().split()
+        if words:
+            g, n = number // 10, len(words)
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words[a:] = [words[a + i % p] for i in range(n - a)]
+        new.append(b" ".join(words).decode())
+    return pc.replace_with_mask(texts, chosen, pa.array(new, texts.type))
+
+
+def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Per document: its runs, the strongest of them, and digests of the runs and of the
+    text without repeated turns. A tenth of the texts get a loop first."""
+    docs = table(spark, d, "documents")
+    looped = _looped(F.col("text"), F.crc32(F.col("doc_id").cast("string")))
+    out = periodic_runs.periodic_runs(docs.select("doc_id", looped.alias("text")))
+    best = periodic_runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    out = out.select("doc_id", "runs", "collapsed", best.alias("best"))
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline  # noqa: PLC0415 - beside the package, not in it
 
@@ -131,6 +167,6 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     named = (
         op1_language_id, op2_html_text, op3_line_dedup, op4_byte_bpe, op5_revisits, op6_quality_rules, op7_decontamination,
-        op8_simhash, op9_chat, op10_kneser_ney, pipeline,
+        op8_simhash, op9_chat, op10_kneser_ney, op12_periodic_runs, pipeline,
     )
     return {f.__name__: f for f in named}
