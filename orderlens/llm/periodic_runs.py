@@ -100,7 +100,7 @@ def find_runs(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
         if equal.all():
             break
         salt += 1
-    found_lag, found_at, found_k = [], [], []
+    found_lag, found_at, found_k = [none], [none], [none]
     k, least = SEED, 1
     while len(at):
         near = np.flatnonzero(group[1:] == group[:-1])

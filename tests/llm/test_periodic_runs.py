@@ -87,6 +87,11 @@ def test_a_long_text(frame):
     assert row.n_words == 205_995 and len(row.collapsed.split()) == 3 + 50_000 + 9_000
 
 
+def test_no_gram_occurs_twice(frame):
+    rows = pr.periodic_runs(frame([(1, " ".join(map(str, range(40)))), (2, "a " * 16 + "b")], "doc_id long, text string", parts=2)).collect()
+    assert [(r.n_words, r.runs) for r in sorted(rows)] == [(40, []), (17, [])]
+
+
 def test_empty_table_extra_and_clashing_columns(frame, spark):
     assert pr.periodic_runs(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     row = pr.periodic_runs(frame([("z " * 24, 5, "old", 7)], "text string, Runs int, found string, row int")).first()
