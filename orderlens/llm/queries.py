@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.llm import (
+    bloom_lm,
     byte_bpe,
     chat,
     decontaminate,
@@ -158,6 +159,13 @@ def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op13_lm_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Per document: log10 probabilities under exact unigrams and under the filter's model."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    docs = table(spark, d, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return bloom_lm.score(docs, ~F.col("held_out"), keep_text=False)
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline  # noqa: PLC0415 - beside the package, not in it
 
@@ -167,6 +175,6 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     named = (
         op1_language_id, op2_html_text, op3_line_dedup, op4_byte_bpe, op5_revisits, op6_quality_rules, op7_decontamination,
-        op8_simhash, op9_chat, op10_kneser_ney, op12_periodic_runs, pipeline,
+        op8_simhash, op9_chat, op10_kneser_ney, op12_periodic_runs, op13_lm_scores, pipeline,
     )
     return {f.__name__: f for f in named}

@@ -83,12 +83,12 @@ def release_memory() -> None:
         _trim(0)
 
 
-def slices(arr: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(arr: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets from 0) of consecutive groups of rows."""
     data, bounds = utf8(arr)
     row, rows = 0, len(bounds) - 1
     while row < rows:
-        end = int(np.searchsorted(bounds, bounds[row] + SLICE_BYTES, side="right")) - 1
+        end = int(np.searchsorted(bounds, bounds[row] + size, side="right")) - 1
         end = min(max(end, row + 1), rows)
         yield row, data[bounds[row] : bounds[end]], bounds[row : end + 1] - bounds[row]
         row = end
