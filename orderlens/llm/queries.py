@@ -18,6 +18,7 @@ from orderlens.llm import (
     bloom_lm,
     byte_bpe,
     chat,
+    collocations,
     decontaminate,
     html_layout,
     kneser_ney,
@@ -127,6 +128,10 @@ def op10_kneser_ney(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "lang", "perplexity", "threshold", "kept")
 
 
+def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(table(spark, d, "documents").select("text", "lang"))
+
+
 @F.arrow_udf(T.StringType())
 def _looped(texts: pa.Array, h: pa.Array) -> pa.Array:
     """Texts whose number h ends in 0 with a loop from some word on; others as they are."""
@@ -175,6 +180,6 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     named = (
         op1_language_id, op2_html_text, op3_line_dedup, op4_byte_bpe, op5_revisits, op6_quality_rules, op7_decontamination,
-        op8_simhash, op9_chat, op10_kneser_ney, op12_periodic_runs, op13_lm_scores, pipeline,
+        op8_simhash, op9_chat, op10_kneser_ney, op11_collocations, op12_periodic_runs, op13_lm_scores, pipeline,
     )
     return {f.__name__: f for f in named}
