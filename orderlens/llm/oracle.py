@@ -141,10 +141,48 @@ FROM pieces GROUP BY ALL
 """
 
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') lang,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^.,;:!?\x0A-\x0D]+')) piece
+    FROM documents
+),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') ws FROM pieces),
+grams AS (
+    SELECT lang, k, p, count(*) a
+    FROM (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') p
+          FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) i FROM cut, (VALUES (1), (2), (3), (4)) v(k)))
+    GROUP BY ALL
+),
+often AS (SELECT *, string_split(p, ' ') ws FROM grams WHERE k > 1 AND a >= 30),
+known AS (SELECT lang, p, a FROM grams WHERE a >= 30),
+cuts AS (
+    SELECT o.lang, o.p, o.k, o.a, j, f.a l, g.a r, 2000000 * o.a::HUGEINT // (f.a + g.a) score
+    FROM (SELECT *, array_to_string(ws[:j], ' ') head, array_to_string(ws[j + 1:], ' ') rest
+          FROM (SELECT *, unnest(range(1, k)) j FROM often)) o
+    JOIN known f ON o.lang = f.lang AND o.head = f.p JOIN known g ON o.lang = g.lang AND o.rest = g.p
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+inside AS (
+    SELECT lang, array_to_string(ws[i:i + n - 1], ' ') p, max(a) longer
+    FROM (SELECT lang, ws, a, n, unnest(range(1, k - n + 2)) i FROM often, (VALUES (2), (3)) v(n) WHERE n < k) GROUP BY ALL
+),
+kept AS (
+    SELECT c.* FROM lowest c LEFT JOIN inside i ON c.lang = i.lang AND c.p = i.p
+    WHERE i.longer IS NULL OR 100 * i.longer < 80 * c.a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) place FROM kept),
+sizes AS (SELECT lang, sum(len(ws))::BIGINT n FROM cut GROUP BY lang)
+SELECT r.lang, place::BIGINT AS rank, p AS phrase, a::BIGINT a, l::BIGINT l, r::BIGINT r, n, score::BIGINT score
+FROM ranked r JOIN sizes s ON r.lang = s.lang WHERE place <= 2000
+"""
+
+
 def oracle() -> dict[str, str]:
     return {
         "op5_revisits": REVISITS,
         "op6_quality_rules": QUALITY_RULES,
         "op7_decontamination": DECONTAMINATION,
         "op9_chat": CHAT,
+        "op11_collocations": COLLOCATIONS,
     }
