@@ -39,13 +39,11 @@ def _count_of(obs: Observation) -> int:
 RAW_FILES = {"order_items": "order_items", "order_item_options": "options", "date_dim": "date_dim"}
 
 
-def land_raw_csv(
-    spark: SparkSession, csv_paths: dict[str, str], bronze_base: str, multiline: bool = False
-) -> JobReport:
+def land_raw_csv(spark: SparkSession, csv_paths: dict[str, str], bronze_base: str) -> JobReport:
     """Raw CSV -> bronze: the raw text (with source rows, for the quality report) and
     the typed tables. A file with missing or unexpected columns, a broken record or a
     value that the strict typed load rejects fails the job, and all bronze tables
-    stay as they were. ``multiline=True`` is for files with line breaks in values."""
+    stay as they were."""
     report = JobReport()
     typed = {
         "order_items": ingest.ingest_order_items,
@@ -54,7 +52,7 @@ def land_raw_csv(
     }
     with layers.Staged(spark, bronze_base) as staged:
         for table, short in RAW_FILES.items():
-            raw = ingest.read_raw_csv(spark, csv_paths[table], table, multiline=multiline)
+            raw = ingest.read_raw_csv(spark, csv_paths[table], table)
             raw_out, obs = checks.observed(raw, f"raw_{short}")
             staged.write(raw_out, f"raw_{short}")
             report.counts[f"raw_{short}"] = _count_of(obs)

@@ -7,9 +7,14 @@ nulls instead and leaves texts whole; ``quarantine`` parts good rows from bad on
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DecimalType, IntegerType, LongType, StringType, StructField, StructType
 
 from orderlens.functions.columns import stripped
 from orderlens.schemas import (
@@ -42,30 +47,24 @@ def column_differences(actual: list[str], table: str) -> tuple[list[str], list[s
     return [c for c in expected if c not in actual], [c for c in actual if c not in expected]
 
 
-def read_raw_csv(
-    spark: SparkSession, path: str, table: str, multiline: bool = False, columns: str = "strict"
-) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, table: str, columns: str = "strict") -> DataFrame:
     """Read raw CSV files of one table as text, numbering records per file.
 
     Columns go by the header's names, in any order. ``columns="strict"`` raises
     ``ColumnMismatch`` when columns are missing or unexpected; ``columns="report"``
     returns the file's own columns, for the quality report to list the
     differences. All files must have the same header; a file with another one, a
-    record with too few or too many fields and a quoted value that goes on in
-    the next line fail the read with the file and row.
+    record with too few or too many fields, and a quote that is never closed fail
+    the read with the file and row.
 
     Every column is a string; the tokens NULL null NA N/A NaN nan become
     null, blanks stay blank. ``source_row`` is the record's row in its file
     counting the header as row 1 (the first record is row 2); empty lines do
     not count.
 
-    Files are read as lines, so that big ones are split across many tasks.
-    Numbering is per input split: ``monotonically_increasing_id`` is
-    consecutive inside a split, and each split is offset by the records of
-    the earlier splits of the same file (ordered by their start byte).
-
-    ``multiline=True`` accepts quoted values spanning lines; a file is then
-    parsed by one task."""
+    Quoted values may hold line breaks (records end in LF or CR LF). Files are read
+    as lines all the same, so that big ones are split across many tasks; ``_records``
+    says how lines become records."""
     if columns not in ("strict", "report"):
         raise ValueError(f"columns is strict or report, not {columns}")
     header = [c.lstrip("\ufeff") for c in spark.read.option("header", True).option("escape", '"').csv(path).columns]
@@ -73,18 +72,17 @@ def read_raw_csv(
     if columns == "strict" and (missing or unexpected):
         raise ColumnMismatch(f"{table}: missing columns {missing}, unexpected columns {unexpected}")
     fields = [StructField(f"f{i}", StringType()) for i in range(len(header))]
-    if multiline:
-        records = _records(spark, path, fields)
-    else:
-        records = _lines(spark, path, fields)
+    records = _parsed(_records(spark, path), fields)
     where = F.concat(C("_file"), F.lit(" row "), C("source_row").cast("string"))
     is_header = C("source_row") == 1
     same = F.lit(True)
     for i, name in enumerate(header):
         own = F.regexp_replace(C(f"r.f{i}"), "^\ufeff", "") if i == 0 else C(f"r.f{i}")
         same = same & own.eqNullSafe(F.lit(name))
-    fault = F.when(C("_bad"), F.raise_error(F.concat(F.lit("not one whole record: "), where))).when(
-        is_header & ~same, F.raise_error(F.concat(F.lit("another header: "), where))
+    fault = (
+        F.when(C("_unclosed"), F.raise_error(F.concat(F.lit("a quote is never closed: "), C("_file"))))
+        .when(C("_bad"), F.raise_error(F.concat(F.lit("not one whole record: "), where)))
+        .when(is_header & ~same, F.raise_error(F.concat(F.lit("another header: "), where)))
     )
     # the check is a filter that every row passes or fails the job on
     checked = records.filter(fault.cast("string").isNull() & ~is_header)
@@ -96,42 +94,112 @@ def read_raw_csv(
     return checked.select("source_row", *out)
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """Rows with ``_file``, ``_block`` and ``_id`` get ``source_row``, from 1 per file."""
-    splits = df.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
-    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    return df.join(offsets, ["_file", "_block"]).withColumn("source_row", C("_before") + C("_id") - C("_first") + 1)
+_LINE = StructType(
+    [StructField("value", StringType()), StructField("_file", StringType()), StructField("_block", LongType()),
+     StructField("_line", LongType()), StructField("_odd", BooleanType()), StructField("_blank", BooleanType()),
+     StructField("_inside", BooleanType()), StructField("_ends0", LongType()), StructField("_ends1", LongType())]
+)
 
 
-def _placed(df: DataFrame) -> DataFrame:
-    return (
-        df.withColumn("_file", C("_metadata.file_path"))
-        .withColumn("_block", C("_metadata.file_block_start"))
-        .withColumn("_id", F.monotonically_increasing_id())
+def _counted_lines(lines: DataFrame) -> DataFrame:
+    """Lines (value, _file, _block, in file order within a split) with running counts of
+    their split, as if the split began outside a quoted value:
+
+    - ``_line``: its number; ``_odd``: it has an odd number of quotes;
+    - ``_inside``: it begins inside a quoted value;
+    - ``_ends0``: records that end before it. ``_ends1``: the same if the split began inside
+      a quoted value, when every state is the opposite.
+
+    A running count over a split as it is read has no built-in form without a shuffle of
+    all lines, so this step is Arrow batches and numpy."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, state, totals, number = None, 0, [0, 0], 0
+        for batch in batches:
+            files, blocks = batch.column(1).dictionary_encode(), batch.column(2).to_numpy()
+            code = files.indices.to_numpy()
+            edges = np.flatnonzero((code[1:] != code[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+            for lo, hi in zip([0, *edges], [*edges, batch.num_rows]):
+                if lo == hi:
+                    continue
+                part = batch.slice(lo, hi - lo)
+                here = (part.column(1)[0].as_py(), part.column(2)[0].as_py())
+                if here != split:
+                    split, state, totals, number = here, 0, [0, 0], 0
+                odd = pc.count_substring(part.column(0), '"').to_numpy() % 2
+                blank = ~pc.match_substring_regex(part.column(0), r"[^ \t\r\f\v]").to_numpy(zero_copy_only=False)
+                after = (np.cumsum(odd) + state) % 2
+                before = after ^ odd
+                ends = []
+                for s in (0, 1):
+                    end = (after == s) & ~(blank & (before == s))
+                    running = np.cumsum(end) + totals[s]
+                    ends.append(running - end)
+                    totals[s] = int(running[-1])
+                columns = [
+                    *part.columns, pa.array(np.arange(number, number + len(odd))), pa.array(odd == 1), pa.array(blank),
+                    pa.array(before == 1), *(pa.array(e.astype(np.int64)) for e in ends),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=_LINE.names)
+                state, number = int(after[-1]), number + len(odd)
+
+    return lines.mapInArrow(count, _LINE)
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """(text, _file, source_row, _unclosed): the records of CSV files, numbered from 1 per file.
+
+    1. One row per input split: its quote parity, and how many records end in it from
+       either state at its start.
+    2. Prefix sums over a file's splits give the state at the start of each, and how many
+       records end before it. A split is one row of about 50 bytes here, a millionth of
+       its lines, so this table is broadcast.
+    3. A line's record number is that of the records that end before it, plus one; so the
+       lines of a record have one number even where it straddles splits. A record of one
+       line is passed on as it is; only lines of longer records are shuffled, by their
+       number, and joined. Without such records that branch has an empty join side and
+       adaptive execution drops it."""
+    text = spark.read.option("lineSep", "\n").text(path)
+    lines = _counted_lines(text.select("value", C("_metadata.file_path").alias("_file"), C("_metadata.file_block_start").alias("_block")))
+    one = lambda c: F.when(c, 1).otherwise(0)
+    after = C("_inside") != C("_odd")
+    splits = lines.groupBy(F.xxhash64("_file").alias("_f"), "_block").agg(
+        F.sum(one(C("_odd"))).alias("_quotes"),
+        F.sum(one(~after & (C("_inside") | ~C("_blank")))).alias("_n0"),
+        F.sum(one(after & (~C("_inside") | ~C("_blank")))).alias("_n1"),
     )
+    file, earlier = Window.partitionBy("_f"), Window.partitionBy("_f").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    started = splits.withColumn("_begins", F.coalesce(F.sum("_quotes").over(earlier), F.lit(0)) % 2 == 1).withColumn(
+        "_unclosed", F.sum("_quotes").over(file) % 2 == 1
+    )
+    ended = F.when(C("_begins"), C("_n1")).otherwise(C("_n0"))
+    started = started.withColumn("_before", F.coalesce(F.sum(ended).over(earlier), F.lit(0)))
+    starts = started.select("_f", C("_block").alias("_b"), "_begins", "_before", "_unclosed", (C("_begins") | (C("_quotes") > 0)).alias("_long"))
+
+    def numbered(some: DataFrame) -> DataFrame:
+        placed = lines.join(F.broadcast(some), (F.xxhash64("_file") == C("_f")) & (C("_block") == C("_b")))
+        ends = F.when(C("_begins"), C("_ends1")).otherwise(C("_ends0"))
+        inside = C("_inside") != C("_begins")
+        whole = ~inside & ~C("_odd")
+        return placed.withColumn("source_row", C("_before") + ends + 1).withColumn("_whole", whole)
+
+    single = numbered(starts).filter(C("_whole") & ~C("_blank")).select(C("value").alias("text"), "_file", "source_row", "_unclosed")
+    parts = numbered(starts.filter("_long")).filter(~C("_whole")).groupBy("_file", "source_row", "_unclosed").agg(
+        F.array_sort(F.collect_list(F.struct("_block", "_line", "value"))).alias("lines")
+    )
+    joined = parts.select(F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("text"), "_file", "source_row", "_unclosed")
+    return single.unionByName(joined)
 
 
-def _lines(spark: SparkSession, path: str, fields: list[StructField]) -> DataFrame:
-    """Numbered lines parsed as records (r); ``_bad``: an open quote, or another number
-    of fields."""
-    lines = _placed(spark.read.text(path).filter(C("value").rlike("\\S")))
-    open_quote = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
-    schema = StructType([*fields, StructField("_corrupt", StringType())])
-    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = F.from_csv(C("value"), schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
-    return _numbered(lines).withColumn("r", parsed).withColumn("_bad", open_quote | C("r._corrupt").isNotNull())
-
-
-def _records(spark: SparkSession, path: str, fields: list[StructField]) -> DataFrame:
-    """Numbered records of files read whole; ``_bad``: another number of fields."""
+def _parsed(records: DataFrame, fields: list[StructField]) -> DataFrame:
+    """Records with their fields (r); ``_bad``: another number of fields, or a bare CR
+    outside quotes (which would end a record)."""
     schema = StructType([*fields, StructField("_corrupt", StringType())])
-    read = spark.read.schema(schema).option("header", False).option("multiLine", True).option("escape", '"')
-    rows = _placed(read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").csv(path))
-    packed = F.struct(*[C(f.name) for f in fields])
-    return _numbered(rows).withColumn("r", packed).withColumn("_bad", C("_corrupt").isNotNull())
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "multiLine": "true"}
+    text = F.regexp_replace("text", "\r$", "")
+    parsed = F.from_csv(text, schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
+    bare = text.contains("\r") & F.regexp_replace(text, '"[^"]*"', "").contains("\r")
+    return records.withColumn("r", parsed).withColumn("_bad", bare | C("r._corrupt").isNotNull())
 
 
 # helpers --------------------------------------------------------------------

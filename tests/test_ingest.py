@@ -22,7 +22,7 @@ def test_read_raw_csv_numbers_rows_per_file(spark):
     header = ",".join(EXPECTED_COLUMNS["order_item_options"])
     _write(folder, "a.csv", header + "\n1,1-1,g,a,1.00,1\nNULL,1-2,\"multi\nline\",b,,2\n2,2-1,g,N/A,0.50, \n")
     _write(folder, "b.csv", header + "\n3,3-1,g,a,nan,1\n")
-    raw = ing.read_raw_csv(spark, folder, "order_item_options", multiline=True)
+    raw = ing.read_raw_csv(spark, folder, "order_item_options")
     rows = [(r["ORDER_ID"], r["LINEITEM_ID"], r["source_row"], r["OPTION_GROUP_NAME"], r["OPTION_NAME"],
              r["OPTION_PRICE"], r["OPTION_QUANTITY"]) for r in raw.collect()]
     by_line = {r[1]: r for r in rows}
@@ -81,7 +81,7 @@ def test_read_raw_csv_splittable_numbers_across_splits(spark):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        raw = ing.read_raw_csv(spark, folder, "order_item_options", multiline=False)
+        raw = ing.read_raw_csv(spark, folder, "order_item_options")
         assert raw.rdd.getNumPartitions() > 3
         rows = raw.select("ORDER_ID", "source_row").collect()
     finally:
@@ -120,12 +120,81 @@ def test_missing_and_unexpected_columns(spark, tmp_path):
     assert issues == [("Missing column(s)", "OPTION_QUANTITY"), ("Unexpected column(s)", "EXTRA")]
 
 
-@pytest.mark.parametrize("record", ["1,1-1,g,a,1.00,1,7,8", "1,1-1", '1,1-1,"two\nlines",a,1.00,1', '1,1-1,g,a,1.00,"two\nlines"'])
+@pytest.mark.parametrize("record", ["1,1-1,g,a,1.00,1,7,8", "1,1-1", '1,1-1,"two\nlines",a,1.00', "1,1-1,g,a,1.00,1\r3,3-1,g,a,1.00,1"])
 def test_broken_records_fail_the_read(spark, tmp_path, record):
     _write(tmp_path, "a.csv", OPTION_HEADER + "\n0,0-1,g,a,1.00,1\n" + record + "\n2,2-1,g,a,1.00,1\n")
     _raises("not one whole record", ing.read_raw_csv(spark, str(tmp_path), "order_item_options"))
 
 
+def test_a_quote_that_is_never_closed_fails_the_read(spark, tmp_path):
+    _write(tmp_path, "a.csv", OPTION_HEADER + '\n0,0-1,g,a,1.00,1\n1,1-1,"g,a,1.00,1\n2,2-1,g,a,1.00,1\n')
+    _raises("never closed", ing.read_raw_csv(spark, str(tmp_path), "order_item_options"))
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files of a few hundred bytes are read in many splits."""
+    settings = {"spark.sql.files.maxPartitionBytes": "211", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _quoted_file(rng, records, end):
+    """A file's text, with values of quotes, separators, line breaks and blank lines."""
+    bits = ["x", ",", '""', "\n", "\r\n", "\n\n", " ", "y" * 90, "\n" + "z" * 230 + "\n", "é"]
+    out = [OPTION_HEADER]
+    for i in range(records):
+        value = "".join(rng.choices(bits, k=rng.randrange(4))) if rng.random() < 0.5 else None
+        group = "plain" if value is None else '"' + value + '"'
+        out.append(f'{i},{i}-1,{group},"n{i}",1.00,{i}' if rng.random() < 0.7 else f'{i},{i}-1,{group},{"w" * rng.randrange(40)},1.00,{i}')
+        if rng.random() < 0.1:
+            out.append("" if rng.random() < 0.5 else " \t")
+    return end.join(out) + (end if rng.random() < 0.5 else "")
+
+
+def test_line_breaks_in_values_across_splits(spark, tmp_path, small_splits):
+    """Rows are those of the parse of whole files by one task, wherever splits begin; but
+    that parse makes CR LF in values LF, and here values stay as they are written."""
+    import random
+
+    rng = random.Random(8)
+    for i in range(6):
+        with open(tmp_path / f"f{i}.csv", "w", encoding="utf-8", newline="") as out:
+            out.write(_quoted_file(rng, 10 + 25 * i, "\n" if i % 2 else "\r\n"))
+    names = EXPECTED_COLUMNS["order_item_options"]
+    got = ing.read_raw_csv(spark, str(tmp_path), "order_item_options")
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 40
+    rows = sorted(map(tuple, got.collect()), key=str)
+    want = []
+    for i in range(6):
+        whole = spark.read.schema(", ".join(f"{c} string" for c in names)).option("header", True).option("multiLine", True).option("escape", '"')
+        kept = [r for r in whole.csv(str(tmp_path / f"f{i}.csv")).collect() if any((v or "").strip() for v in r)]
+        want += [(n + 2, *[None if v in ("", None) else v for v in r]) for n, r in enumerate(kept)]
+    plain = lambda r: tuple((v.replace("\r\n", "\n") if isinstance(v, str) else v) or None for v in r)
+    assert sorted(map(plain, rows), key=str) == sorted(map(plain, want), key=str)
+    assert any("\n" in (r[3] or "") for r in rows) and any("\r\n" in (r[3] or "") for r in rows)
+
+
+def test_a_value_longer_than_several_splits(spark, tmp_path, small_splits):
+    long = "\n".join(f"line {i}" for i in range(300))
+    _write(tmp_path, "a.csv", f'{OPTION_HEADER}\n1,1-1,"{long}",a,1.00,1\n2,2-1,"b\n",a,1.00,1\n')
+    rows = ing.read_raw_csv(spark, str(tmp_path), "order_item_options").orderBy("source_row").collect()
+    assert [(r["source_row"], r["ORDER_ID"], r["OPTION_GROUP_NAME"]) for r in rows] == [(2, "1", long), (3, "2", "b\n")]
+
+
+def test_files_without_such_values_are_not_shuffled(spark, tmp_path):
+    _write(tmp_path, "a.csv", OPTION_HEADER + '\n0,0-1,"g, 1",a,1.00,1\n')
+    raw = ing.read_raw_csv(spark, str(tmp_path), "order_item_options")
+    assert raw.count() == 1
+    raw.collect()
+    final = raw._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "collect_list" not in final
+
+
 def test_a_file_with_another_header_fails_the_read(spark, tmp_path):
     _write(tmp_path, "a.csv", OPTION_HEADER + "\n0,0-1,g,a,1.00,1\n")
     _write(tmp_path, "b.csv", ",".join(EXPECTED_COLUMNS["order_item_options"][::-1]) + "\n1,1.00,a,g,0-1,0\n")
