@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 from orderlens.llm.common import partitions_for
 
 BUCKET_ENTRIES = 1 << 20
-#: Different n-grams that a task holds before it passes them on.
-HELD = 4_000_000
+#: n-grams that a task holds before it sorts them and passes them on.
+HELD = 6_000_000
 
 _BLOB = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("grams", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
@@ -37,15 +37,21 @@ def gram_numbers(hashes: np.ndarray, bits: int) -> np.ndarray:
     return hashes >> np.uint64(32 - bits)
 
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    every = np.concatenate([p[0] for p in parts])
-    n = np.concatenate([p[1] for p in parts])
-    if not len(every):
-        return every, n
-    order = np.argsort(every)
-    every = every[order]
-    first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
-    return every[first], np.add.reduceat(n[order], first)
+def _added(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different numbers and their added counts."""
+    if not len(grams):
+        return grams, n
+    order = np.argsort(grams)
+    grams = grams[order]
+    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
+    return grams[first], np.add.reduceat(n[order], first)
+
+
+def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different numbers and how often each occurs."""
+    grams = np.sort(grams)
+    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
+    return grams[first], np.diff(np.append(first, len(grams)))
 
 
 def _blobs(grams: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -72,21 +78,17 @@ def gram_blobs(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.n
     """(bucket, grams, counts) of the hashes that a function finds in the batches of ``rows``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] = []
         size = 0
         for batch in batches:
             for found in hashes(batch):
-                part = _merge([(gram_numbers(found, bits), np.ones(len(found), np.int64))])
-                held.append(part)
-                size += len(part[0])
+                held.append(gram_numbers(found, bits))
+                size += len(found)
                 if size > HELD:
-                    held = [_merge(held)]
-                    size = len(held[0][0])
-                    if size > HELD // 2:
-                        yield _blobs(*held[0])
-                        held, size = [], 0
+                    yield _blobs(*_counted(np.concatenate(held)))
+                    held, size = [], 0
         if size:
-            yield _blobs(*_merge(held))
+            yield _blobs(*_counted(np.concatenate(held)))
 
     return rows.mapInArrow(count, _BLOB)
 
@@ -101,7 +103,7 @@ def merged_buckets(blobs: DataFrame, bits: int, finish: Callable[[int, np.ndarra
         def done() -> pa.RecordBatch:
             grams = np.concatenate([np.frombuffer(g, dtype=np.uint32) for g, _ in held])
             n = np.concatenate([np.frombuffer(c, dtype=np.uint8) for _, c in held]).astype(np.int64)
-            return finish(bucket, *_merge([(grams, n)]))
+            return finish(bucket, *_added(grams, n))
 
         for batch in batches:
             for b, g, c in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
