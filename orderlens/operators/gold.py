@@ -228,6 +228,91 @@ def customer_ltv_daily(rollup: DataFrame) -> DataFrame:
     )
 
 
+def conform_activity(activity: DataFrame) -> DataFrame:
+    """Daily activity (G7) under the names and types of the stored lifetime values, with
+    its month."""
+    types = {f.name: f.dataType for f in GOLD_SCHEMAS["customer_ltv_daily"].fields}
+    names = ["user_id", "order_date", "daily_revenue", "daily_order_count"]
+    return activity.select(*[C(n).cast(types[n]).alias(n) for n in names], F.trunc("order_date", "month").alias("ORDER_MONTH"))
+
+
+def lifetime_totals(values: DataFrame) -> DataFrame:
+    """Each user's totals over the stored lifetime values: the state from which an
+    increment goes on."""
+    return values.groupBy("user_id").agg(
+        F.sum("daily_revenue").cast("decimal(38,2)").alias("total_revenue"),
+        F.sum("daily_order_count").alias("total_orders"),
+        F.count("daily_revenue").alias("known_days"),
+    )
+
+
+def _day() -> Column:
+    """The day of a row for comparisons: one without a date precedes all others, as in the
+    window of a full run."""
+    return F.coalesce(C("order_date"), F.lit("0001-01-01").cast("date"))
+
+
+def refreshed_lifetime_values(stored: DataFrame, state: DataFrame, changed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """G8 for the users of ``changed`` only: (rows from each user's first changed day on, all
+    users' new totals).
+
+    ``changed``: whole new values of user-days (``conform_activity``); ``stored``: the lifetime
+    values of at least the months from the first changed day on; ``state``: the users'
+    totals (``lifetime_totals``). A user's value before the first changed day is the stored
+    total less the stored days from there on, so no earlier history is read: for new days
+    nothing but the total. The window runs over the days from the first changed one on."""
+    since = changed.groupBy("user_id").agg(F.min(_day()).alias("_since"))
+    later = stored.join(since, "user_id").filter(_day() >= C("_since"))
+    given = changed.select(C("user_id").alias("_u"), _day().alias("_d"))
+    unchanged = later.join(given, (C("user_id") == C("_u")) & (_day() == C("_d")), "left_anti")
+    names = ["user_id", "order_date", "daily_revenue", "daily_order_count"]
+    days = unchanged.select(*names).unionByName(changed.select(*names))
+
+    removed = later.groupBy("user_id").agg(
+        F.sum("daily_revenue").alias("_rev"), F.sum("daily_order_count").alias("_n"), F.count("daily_revenue").alias("_known")
+    )
+    nothing = F.lit(0)
+    opening = since.join(state, "user_id", "left").join(removed, "user_id", "left").select(
+        "user_id",
+        (F.coalesce("total_revenue", nothing) - F.coalesce("_rev", nothing)).alias("_rev0"),
+        (F.coalesce("total_orders", nothing) - F.coalesce("_n", nothing)).alias("_n0"),
+        (F.coalesce("known_days", nothing) - F.coalesce("_known", nothing)).alias("_known0"),
+    )
+    so_far = Window.partitionBy("user_id").orderBy(_day()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # null, as a sum is, as long as no day has a revenue
+    value = C("_rev0") + F.coalesce(F.sum("daily_revenue").over(so_far), nothing)
+    rows = days.join(opening, "user_id").select(
+        "user_id", "order_date", "daily_revenue",
+        F.when(C("_known0") + F.count("daily_revenue").over(so_far) > 0, value).alias("cumulative_ltv"),
+        "daily_order_count",
+        (C("_n0") + F.sum("daily_order_count").over(so_far)).alias("cumulative_order_count"),
+        F.trunc("order_date", "month").alias("ORDER_MONTH"),
+    )
+    types = {f.name: f.dataType for f in GOLD_SCHEMAS["customer_ltv_daily"].fields}
+    rows = rows.select(*[C(n).cast(t).alias(n) for n, t in types.items()], "ORDER_MONTH")
+
+    now = days.groupBy("user_id").agg(
+        F.sum("daily_revenue").alias("_rev1"), F.sum("daily_order_count").alias("_n1"), F.count("daily_revenue").alias("_known1")
+    )
+    added = opening.join(now, "user_id").select(
+        "user_id",
+        F.when(C("_known0") + C("_known1") > 0, C("_rev0") + F.coalesce("_rev1", nothing)).cast("decimal(38,2)").alias("total_revenue"),
+        (C("_n0") + C("_n1")).alias("total_orders"),
+        (C("_known0") + C("_known1")).alias("known_days"),
+    )
+    return rows, state.join(since, "user_id", "left_anti").unionByName(added)
+
+
+def replaced_months(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """The months in which ``rows`` (``refreshed_lifetime_values``) have days: these rows, and
+    the stored rows that they do not replace."""
+    months = rows.select(C("ORDER_MONTH").alias("_m")).distinct()
+    since = rows.groupBy("user_id").agg(F.min(_day()).alias("_since")).select(C("user_id").alias("_u"), "_since")
+    same_month = stored.join(months, C("ORDER_MONTH").eqNullSafe(C("_m")), "left_semi")
+    others = same_month.join(since, (C("user_id") == C("_u")) & (_day() >= C("_since")), "left_anti")
+    return others.unionByName(rows)
+
+
 def order_detail(lines: DataFrame) -> DataFrame:
     """Curated line detail (16 columns)."""
     return lines.select(

@@ -46,9 +46,12 @@ def as_of_column(items: DataFrame, as_of: str | None) -> Column:
 def trailing_month(items: DataFrame, as_of: str | None, include_guests: bool = False) -> DataFrame:
     """Lines (of identified users unless ``include_guests``) at or after
     ``as_of`` minus one month. The default anchor is the latest order of all
-    lines, guests included."""
+    lines, guests included. Lines of a table by month (ORDER_MONTH) are read from the
+    month on in which the trailing month begins."""
     anchor = as_of_column(items, as_of)
-    return _people(items, include_guests).filter(C(TS) >= anchor - F.expr("INTERVAL 1 MONTH"))
+    begin = anchor - F.expr("INTERVAL 1 MONTH")
+    recent = _people(items, include_guests).filter(C(TS) >= begin)
+    return recent.filter(C("ORDER_MONTH") >= F.trunc(F.to_date(begin), "month")) if "ORDER_MONTH" in items.columns else recent
 
 
 # M1 -------------------------------------------------------------------------

@@ -14,6 +14,10 @@ C = F.col
 DEFAULT_CALENDAR_START = "2020-04-21"
 DEFAULT_CALENDAR_END = "2024-02-21"
 
+# Order dates outside these years are taken for errors: they get no calendar day, so that a
+# calendar has at most 400 years of days (146,097 rows) whatever the data hold.
+FIRST_YEAR, LAST_YEAR = 1800, 2199
+
 LINE_KEY = ["ORDER_ID", "LINEITEM_ID"]
 CALENDAR_COLUMNS = [
     "year", "month", "week", "day_of_week", "is_weekend", "is_holiday", "holiday_name",
@@ -57,11 +61,10 @@ def build_calendar(
         bounds = spark.range(1).select(
             F.to_date(F.lit(start)).alias("start"), F.to_date(F.lit(end)).alias("end")
         )
-    days = bounds.select(
-        F.posexplode(F.sequence("start", "end", F.expr("interval 1 day"))).alias(
-            "day_index", "date_key"
-        )
-    )
+    span = F.sequence("start", "end", F.expr("interval 1 day"))
+    too_long = F.datediff("end", "start") >= 366 * (LAST_YEAR - FIRST_YEAR + 1)
+    span = F.when(too_long, F.raise_error(F.lit("a calendar of more than 400 years")).cast("array<date>")).otherwise(span)
+    days = bounds.select(F.posexplode(span).alias("day_index", "date_key"))
     cal = days.select(
         "date_key",
         F.year("date_key").alias("year"),
@@ -88,8 +91,10 @@ def build_calendar(
 
 
 def order_span(items: DataFrame) -> DataFrame:
-    """First and last order day of the lines (one row, columns start and end)."""
+    """First and last order day of the lines (one row, columns start and end), dates that
+    are no order dates (before FIRST_YEAR, after LAST_YEAR) set aside."""
     day = F.to_date("CREATION_TIME_UTC")
+    day = F.when(F.year(day).between(FIRST_YEAR, LAST_YEAR), day)
     return items.agg(F.min(day).alias("start"), F.max(day).alias("end")).filter("start IS NOT NULL")
 
 
@@ -115,21 +120,27 @@ def silver_order_items(items: DataFrame, options: DataFrame, calendar: DataFrame
     """V3: enriched order lines, one row per input line.
 
     Lines join the per-line option revenue (both sides unique on the line key,
-    so the join cannot be skewed) and then the calendar. The calendar holds one
-    row per day of a bounded span (36,525 rows for a century), so it is
-    broadcast; dates outside it get null attributes."""
+    so the join cannot be skewed) and then the calendar. There is no hint: Spark
+    broadcasts the calendar if its size allows it (``build_calendar`` is bounded, a
+    caller's need not be). Dates outside it get null attributes."""
     lines = derive_line_columns(items)
     with_options = (
         lines.join(option_revenue_by_line(options), on=LINE_KEY, how="left")
         .fillna({"OPTION_REVENUE": 0})
         .withColumn("TOTAL_LINE_REVENUE", C("ITEM_REVENUE") + C("OPTION_REVENUE"))
     )
-    cal = F.broadcast(calendar.select("date_key", *CALENDAR_COLUMNS))
+    cal = calendar.select("date_key", *CALENDAR_COLUMNS)
     return with_options.join(cal, with_options["ORDER_DATE"] == cal["date_key"], "left").drop(
         "date_key"
     )
 
 
+def with_month(df: DataFrame) -> DataFrame:
+    """Rows with ORDER_MONTH, the first day of ORDER_DATE's month: the partition column of
+    tables by month."""
+    return df.withColumn("ORDER_MONTH", F.trunc("ORDER_DATE", "month"))
+
+
 def silver_options(options: DataFrame) -> DataFrame:
     """V4: options with OPTION_REVENUE; unmatched and repeated rows are kept."""
     return options.withColumn("OPTION_REVENUE", revenue("OPTION_PRICE", "OPTION_QUANTITY"))

@@ -1,8 +1,9 @@
 """End-to-end jobs: raw CSV landing, bronze -> silver (E1), silver -> gold
 and the quality report (E3).
 
-Datasets are written beside their layer, checked, and only then swapped in
-(``layers.Staged``): a failed load or check leaves the earlier rows readable.
+Datasets are written beside the current ones, checked, and only then published, all tables
+of a layer at once (``layers.Staged``): a failed load or check leaves the earlier rows
+readable.
 Fewer passes than a naive script: source and silver row counts are observed
 during the write, the non-empty and grain checks of a dataset share one
 aggregate, and written row counts are observed during the writes.
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators import checks, gold, quality, silver
@@ -107,7 +108,7 @@ def bronze_to_silver(
 
     with layers.Staged(spark, silver_base) as staged:
         out, silver_obs = checks.observed(lines, "silver_order_items")
-        staged.write(out, layers.SILVER_TABLES["order_items"])
+        staged.write(silver.with_month(out), layers.SILVER_TABLES["order_items"], by_month=True)
         silver_count, bronze_count = _count_of(silver_obs), _count_of(bronze_obs)
         checks.assert_same_count(silver_count, bronze_count, "Silver order_items")
         report.counts.update(bronze_order_items=bronze_count, silver_order_items=silver_count)
@@ -147,9 +148,11 @@ def silver_to_gold(
         observations = {}
         for name in [ltv, *[n for n in datasets if n != ltv]]:
             out, observations[name] = checks.observed(datasets[name], name)
-            staged.write(out, name)
+            staged.write(silver.with_month(out) if name == ltv else out, name, by_month=name == ltv)
             if name == ltv:
-                _check_lifetime_values(spark.read.parquet(staged.path(ltv)))
+                values = staged.read(ltv)
+                _check_lifetime_values(values)
+                staged.write(gold.lifetime_totals(values), LTV_STATE)
         report.counts.update({name: _count_of(obs) for name, obs in observations.items()})
         staged.publish()
     if database:
@@ -157,6 +160,95 @@ def silver_to_gold(
     return report
 
 
+#: Each user's lifetime value at the end of what is stored; ``append_orders`` goes on from it.
+LTV_STATE = "customer_ltv_state"
+
+
+def append_orders(
+    spark: SparkSession,
+    silver_base: str,
+    gold_base: str,
+    new_items: DataFrame,
+    new_options: DataFrame,
+    database: str | None = None,
+) -> JobReport:
+    """Daily increment of E1 and of the lifetime values (G7, G8): new typed order lines with
+    their options, of any dates.
+
+    Silver: the new lines get their attributes and are added to the months that they fall
+    in; nothing stored is rewritten. A line that is there already fails the job (stored
+    lines of the same months are compared).
+
+    Lifetime values: the user-days that the lines touch are computed from the stored lines of
+    their months; a user's running values go on from the stored total, for late days from the
+    total less the days that follow. Only the users touched, from their first new day on, are
+    computed, and only the months that these days fall in are replaced. The result is that
+    of a full run over all lines. The other gold datasets are rebuilt by
+    ``silver_to_gold``."""
+    report = JobReport()
+    names = layers.SILVER_TABLES
+    days = layers.read_layer(spark, silver_base, names["date_dim"])
+    holidays = days.filter("is_holiday").select("date_key", "holiday_name")
+    fresh = silver.build_calendar(holidays=holidays, bounds=silver.order_span(new_items))
+    lines = silver.with_month(silver.silver_order_items(new_items, new_options, fresh))
+    with layers.Staged(spark, silver_base) as silver_run, layers.Staged(spark, gold_base) as gold_run:
+        out, seen = checks.observed(lines, "new_order_items")
+        silver_run.write(out, names["order_items"], by_month=True, mode="append")
+        report.counts["new_order_items"] = _count_of(seen)
+        added = spark.read.parquet(silver_run.path(names["order_items"]))
+        months = _span(added.agg(F.min(layers.MONTH), F.max(layers.MONTH), F.count_if(C(layers.MONTH).isNull())).first())
+        key = ["ORDER_ID", "LINEITEM_ID"]
+        touched = silver_run.read(names["order_items"]).filter(months)
+        repeated = touched.join(added.select(*key).distinct(), key, "left_semi")
+        checks.assert_no_duplicates(repeated.filter(" AND ".join(f"{k} IS NOT NULL" for k in key)), key, "Silver order_items")
+        silver_run.write(silver.silver_options(new_options), names["options"], mode="append")
+        new_days = silver.silver_calendar(fresh).join(days.select("date_key"), "date_key", "left_anti")
+        silver_run.write(new_days, names["date_dim"], mode="append")
+
+        report.counts["lifetime_value_rows"] = _refresh_lifetime_values(spark, gold_base, gold_run, touched, added)
+        silver_run.publish()
+        gold_run.publish()
+    if database:
+        layers.register_gold(spark, gold_base, database)
+    return report
+
+
+def _refresh_lifetime_values(
+    spark: SparkSession, gold_base: str, run: layers.Staged, touched: DataFrame, added: DataFrame
+) -> int:
+    """Lifetime values for ``added`` lines, which are among the lines of the ``touched``
+    months: the number of rows computed."""
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{run.folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{run.folder}/{name}")
+
+    ltv = "customer_ltv_daily"
+    user_days = gold.identified_lines(added).select("USER_ID", "ORDER_DATE").distinct()
+    pair = C("l.USER_ID").eqNullSafe(C("d.USER_ID")) & C("l.ORDER_DATE").eqNullSafe(C("d.ORDER_DATE"))
+    theirs = touched.alias("l").join(user_days.alias("d"), pair, "left_semi")
+    changed = kept(gold.conform_activity(gold.customer_daily_activity(gold.order_rollup(theirs))), "changed")
+    first, undated, n = changed.agg(F.min(layers.MONTH), F.count_if(C(layers.MONTH).isNull()), F.count(F.lit(1))).first()
+    if not n:
+        return 0
+    stored = layers.read_layer(spark, gold_base, ltv)
+    if not undated:  # a day without a date comes before all others
+        stored = stored.filter(C(layers.MONTH) >= F.lit(first))
+    rows, totals = gold.refreshed_lifetime_values(stored, layers.read_layer(spark, gold_base, LTV_STATE), changed)
+    rows = kept(rows, "rows")
+    run.write(gold.replaced_months(stored, rows), ltv, by_month=True, mode="touched")
+    run.write(totals, LTV_STATE)
+    _check_lifetime_values(spark.read.parquet(run.path(ltv)))
+    return rows.count()
+
+
+def _span(found: tuple) -> Column:
+    """Months from the first to the last, and rows without one if there are any."""
+    low, high, without = found
+    inside = C(layers.MONTH).between(F.lit(low), F.lit(high))
+    return inside | C(layers.MONTH).isNull() if without else inside
+
+
 def _check_lifetime_values(ltv: DataFrame) -> None:
     """C2 and C3 in one aggregate."""
     keys = GOLD_GRAIN["customer_ltv_daily"]
@@ -213,4 +305,4 @@ def quality_report(
     layers.write_layer(quality.broken_option_rows(raw["options"], raw["order_items"]), out_base, name)
     broken = layers.read_layer(spark, out_base, name)
     frames = quality_frames(spark, raw["date_dim"], raw["order_items"], raw["options"], broken)
-    return {name: layers.layer_path(out_base, name), **layers.write_report(frames, out_base, fmt)}
+    return {name: layers.table_folder(spark, out_base, name), **layers.write_report(frames, out_base, fmt)}

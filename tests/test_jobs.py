@@ -39,7 +39,8 @@ def test_failed_check_leaves_previous_output(spark, sf, bronze):
     silver_dir, gold_dir = f"{root}/silver", f"{root}/gold"
     jobs.bronze_to_silver(spark, bronze, silver_dir, calendar=fixtures.order_calendar(spark, sf))
     jobs.silver_to_gold(spark, silver_dir, gold_dir, database=None)
-    before = sorted(os.listdir(f"{gold_dir}/sales_hourly"))
+    before = layers.versions(spark, gold_dir)
+    count = layers.read_layer(spark, gold_dir, "sales_hourly").count()
     # a silver table whose line grain is broken
     lines = layers.read_layer(spark, silver_dir, "order_items")
     bad_dir = f"{root}/silver_bad"
@@ -47,7 +48,8 @@ def test_failed_check_leaves_previous_output(spark, sf, bronze):
     layers.write_layer(layers.read_layer(spark, silver_dir, "order_item_options"), bad_dir, "order_item_options")
     with pytest.raises(CheckFailed):
         jobs.silver_to_gold(spark, bad_dir, gold_dir, database=None)
-    assert sorted(os.listdir(f"{gold_dir}/sales_hourly")) == before
+    assert layers.versions(spark, gold_dir) == before
+    assert layers.read_layer(spark, gold_dir, "sales_hourly").count() == count > 0
 
 
 def test_quality_report_from_csv(spark, sf):
@@ -103,11 +105,12 @@ def test_report_csv_and_table_lifecycle(spark, sf):
     assert back.count() == frames["zero_quantity"].count() > 0
     # Register, select all, drop (the data stays at its location)
     layers.write_layer(items(spark, sf).limit(5), root, "staging")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS staging_test USING parquet LOCATION '{root}/staging'")
+    folder = layers.table_folder(spark, root, "staging")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS staging_test USING parquet LOCATION '{folder}'")
     assert layers.read_table(spark, "staging_test").count() == 5
     layers.drop_table(spark, "staging_test")
     assert not spark.catalog.tableExists("staging_test")
-    assert spark.read.parquet(f"{root}/staging").count() == 5
+    assert spark.read.parquet(folder).count() == 5
 
 
 def test_holidays_from_bronze_date_dim(spark):
@@ -148,7 +151,7 @@ def test_empty_lifetime_value_fails_before_writing(spark, sf, bronze):
     layers.write_layer(layers.read_layer(spark, silver_dir, "order_item_options"), guests, "order_item_options")
     with pytest.raises(CheckFailed, match="empty"):
         jobs.silver_to_gold(spark, guests, f"{root}/gold", database=None)
-    assert not any(name in os.listdir(f"{root}/gold") for name in GOLD_SCHEMAS)
+    assert layers.versions(spark, f"{root}/gold") == {}
 
 
 def test_check_helpers_raise(spark):
@@ -178,7 +181,7 @@ def test_duplicate_calendar_day_fails_before_silver_is_replaced(spark, sf, bronz
     doubled = cal.unionByName(cal.filter(F.col("date_key") == busy_day))
     with pytest.raises(CheckFailed, match="date_dim"):
         jobs.bronze_to_silver(spark, bronze, f"{root}/silver", calendar=doubled)
-    assert not os.path.exists(f"{root}/silver/order_items")
+    assert layers.versions(spark, f"{root}/silver") == {}
 
 
 def test_row_count_check_precedes_the_swap(spark, sf, bronze, monkeypatch):
@@ -212,7 +215,7 @@ def test_failed_write_keeps_the_old_rows(spark):
     # a table may be replaced by what was read from it
     layers.write_layer(layers.read_layer(spark, root, "t").filter("id < 3"), root, "t")
     assert layers.read_layer(spark, root, "t").count() == 3
-    assert not any(os.scandir(f"{root}/_staged"))
+    assert len(os.listdir(f"{root}/_data/t")) == 2  # the current version and the one before
 
 
 def test_failed_typed_load_keeps_all_bronze_tables(spark, tmp_path):
