@@ -127,8 +127,8 @@ def order_gaps(items: DataFrame, *, include_guests: bool = False) -> DataFrame:
 
     The consecutive differences telescope: their sum is last minus first. So
     the averages are (last - first) / (count - 1): aggregates only. An order
-    without a total has no difference to its neighbours; the few users with
-    such orders get their differences from a lag over their own orders."""
+    without a total has no difference to its neighbours; users with such orders get
+    their differences step by step (``_step_sums``)."""
     orders = order_totals(items, include_guests=include_guests)
     key = F.struct("order_time", "ORDER_ID")
     per_user = orders.groupBy("USER_ID").agg(
@@ -141,13 +141,7 @@ def order_gaps(items: DataFrame, *, include_guests: bool = False) -> DataFrame:
         F.max_by("order_total", key).alias("_v1"),
     )
     gaps = per_user.filter(C("_known") < C("_n")).select(C("USER_ID").alias("_user"))
-    chrono = Window.partitionBy("USER_ID").orderBy("order_time", "ORDER_ID")
-    stepwise = (
-        orders.join(gaps, C("USER_ID").eqNullSafe(C("_user")), "left_semi")
-        .withColumn("_d", C("order_total") - F.lag("order_total").over(chrono))
-        .groupBy(C("USER_ID").alias("_user"))
-        .agg(F.sum("_d").alias("_steps"), F.count("_d").alias("_pairs"))
-    )
+    stepwise = _step_sums(orders.join(gaps, C("USER_ID").eqNullSafe(C("_user")), "left_semi"))
     joined = per_user.join(stepwise, C("USER_ID").eqNullSafe(C("_user")), "left")
     whole = C("_known") == C("_n")
     days = F.datediff(F.to_date("_t1"), F.to_date("_t0")).cast("double") / (C("total_orders") - 1)
@@ -161,6 +155,34 @@ def order_gaps(items: DataFrame, *, include_guests: bool = False) -> DataFrame:
     )
 
 
+def _step_sums(orders: DataFrame) -> DataFrame:
+    """(_user, _steps, _pairs): sum and number of the known differences between a user's
+    consecutive orders.
+
+    A user (all guests, say) may have any share of the orders, so histories are cut: orders
+    are range-partitioned by user, time and order, a partition's orders of a user are one
+    segment, and the lag runs within segments. What the borders of segments lack is the
+    difference of a segment's first order to the last one of the segment before it: a lag
+    over segments, of which a user has no more than there are partitions."""
+    ranged = orders.repartitionByRange("USER_ID", "order_time", "ORDER_ID").withColumn("_segment", F.spark_partition_id())
+    within = Window.partitionBy("USER_ID", "_segment").orderBy("order_time", "ORDER_ID")
+    key = F.struct("order_time", "ORDER_ID")
+    segments = (
+        ranged.withColumn("_d", C("order_total") - F.lag("order_total").over(within))
+        .groupBy(C("USER_ID").alias("_user"), "_segment")
+        .agg(
+            F.sum("_d").alias("_sum"), F.count("_d").alias("_n"),
+            F.min_by("order_total", key).alias("_first"), F.max_by("order_total", key).alias("_last"),
+        )
+    )
+    along = Window.partitionBy("_user").orderBy("_segment")
+    bordered = segments.withColumn("_border", C("_first") - F.lag("_last").over(along))
+    return bordered.groupBy("_user").agg(
+        F.coalesce(F.sum("_sum") + F.sum("_border"), F.sum("_sum"), F.sum("_border")).alias("_steps"),
+        (F.sum("_n") + F.count("_border")).alias("_pairs"),
+    )
+
+
 def spend_change_last_orders(items: DataFrame, k: int = 5, *, include_guests: bool = False) -> DataFrame:
     """M8: each user's k most recent orders with the previous order's total and
     the percent change (null when there is no previous order or it is 0).

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions.columns import is_missing, stripped
+from orderlens.functions.membership import key_hash, may_be_in
 from orderlens.functions.rounding import half_up_ratio
 from orderlens.schemas import EXPECTED_COLUMNS, FILE_NAMES
 from orderlens.sources.ingest import column_differences, utc_timestamp
@@ -222,10 +223,24 @@ def missing_values(raw: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _duplicate_group_keys(raw: DataFrame) -> DataFrame:
-    cols = data_columns(raw)
+def _hashes(cols: list[str]) -> list[Column]:
+    """A 128-bit hash of columns, in two parts."""
+    values = [C(c) for c in cols]
+    return [key_hash(values).alias("_h1"), key_hash(values, salt=1).alias("_h2")]
+
+
+def _may_repeat(raw: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows of which there may be another one equal in ``cols``: hashes are counted first,
+    and only rows with a repeated hash (and a few others) are passed on. What is shuffled of
+    all the others is their hash, not their texts."""
+    repeated = raw.select(*_hashes(cols)).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter(C("_n") >= 2)
+    return may_be_in(raw, key_hash([C(c) for c in cols]), repeated, "_h1")
+
+
+def _duplicate_group_keys(some: DataFrame, cols: list[str]) -> DataFrame:
+    """Groups of equal rows, by value, among the rows that may repeat."""
     return (
-        raw.groupBy(*cols)
+        some.groupBy(*cols)
         .agg(F.count(F.lit(1)).alias("_n"), F.min("source_row").alias("first_source_row"))
         .filter(C("_n") >= 2)
     )
@@ -243,7 +258,7 @@ def duplicate_rows(raw: DataFrame, table: str) -> DataFrame:
     values = F.concat_ws(
         " | ", *[F.concat(F.lit(f"{c}="), F.coalesce(C(c), F.lit(MISSING_TEXT))) for c in cols]
     )
-    return _duplicate_group_keys(raw).select(
+    return _duplicate_group_keys(_may_repeat(raw, cols), cols).select(
         F.lit(FILE_NAMES[table]).alias("file"),
         C("_n").alias("duplicate_group_size"),
         "first_source_row",
@@ -260,8 +275,9 @@ def duplicate_members(raw: DataFrame, table: str) -> DataFrame:
     """D3 members: every row of a duplicate group with its group's first
     source row. The groups join back on all data columns, null-safely; a hot
     group is split by adaptive skew-join handling."""
-    groups = _duplicate_group_keys(raw).drop("_n")
     cols = data_columns(raw)
+    raw = _may_repeat(raw, cols)
+    groups = _duplicate_group_keys(raw, cols).drop("_n")
     g = groups.select(*[C(c).alias(f"_g_{c}") for c in cols], "first_source_row")
     cond = None
     for c in cols:
@@ -283,13 +299,20 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 def broken_option_rows(raw_options: DataFrame, raw_items: DataFrame) -> DataFrame:
     """Option rows whose (ORDER_ID, LINEITEM_ID) is not a line key.
-    Keys match null-safely (a missing key equals a missing key). A hot key
-    (many options with the same missing key) is split by adaptive skew-join
-    handling; the line side is only keys."""
-    keys = raw_items.select(*LINE_KEY)
-    return raw_options.join(keys, _null_safe(raw_options, keys, LINE_KEY), "left_anti").select(
-        "source_row", *EXPECTED_COLUMNS["order_item_options"]
-    )
+    Keys match null-safely (a missing key equals a missing key).
+
+    The option keys, each once, lose those of lines: only keys are shuffled, and a hot one
+    (many options with the same missing key) is a row a task. A bitmap of the keys that are
+    left keeps most option rows from a shuffle; the others are compared by value, and a
+    hot key among them is split by adaptive skew-join handling."""
+    lines = raw_items.select(*LINE_KEY)
+    keys = raw_options.select(*LINE_KEY).distinct()
+    broken = keys.join(lines, _null_safe(keys, lines, LINE_KEY), "left_anti")
+    parts = [C(k) for k in LINE_KEY]
+    rows = may_be_in(raw_options, key_hash(parts), broken.select(key_hash(parts).alias("_key")), "_key")
+    renamed = broken.select(*[C(k).alias(f"_{k}") for k in LINE_KEY])
+    same = C(LINE_KEY[0]).eqNullSafe(C(f"_{LINE_KEY[0]}")) & C(LINE_KEY[1]).eqNullSafe(C(f"_{LINE_KEY[1]}"))
+    return rows.join(renamed, same, "left_semi").select("source_row", *EXPECTED_COLUMNS["order_item_options"])
 
 
 def broken_reference_issues(broken: DataFrame) -> DataFrame:
@@ -387,10 +410,17 @@ def option_duplicate_groups(raw_options: DataFrame) -> DataFrame:
     with a missing key part are not grouped): first row, size, and
     ``exact_match`` = one distinct price and one distinct quantity
     (``min == max`` over non-null values, no distinct aggregation). The
-    member rows are ``option_duplicates``."""
-    keyed = raw_options
+    member rows are ``option_duplicates``. Keys are counted by hash first."""
+    return _option_groups(_may_repeat(_whole_keys(raw_options), OPTION_KEY))
+
+
+def _whole_keys(raw_options: DataFrame) -> DataFrame:
     for k in OPTION_KEY:
-        keyed = keyed.filter(C(k).isNotNull())
+        raw_options = raw_options.filter(C(k).isNotNull())
+    return raw_options
+
+
+def _option_groups(keyed: DataFrame) -> DataFrame:
     g = keyed.groupBy(*OPTION_KEY).agg(
         F.count(F.lit(1)).alias("duplicate_count"),
         F.min("source_row").alias("original_source_row"),
@@ -409,8 +439,9 @@ def option_duplicate_groups(raw_options: DataFrame) -> DataFrame:
 def option_duplicates(raw_options: DataFrame) -> DataFrame:
     """D15, one row per member of a repeated option key, with the group's
     first row, size and exact-match flag (output linear in the rows)."""
-    groups = option_duplicate_groups(raw_options)
-    return raw_options.join(groups, OPTION_KEY, "inner").select(
+    some = _may_repeat(_whole_keys(raw_options), OPTION_KEY)
+    groups = _option_groups(some)
+    return some.join(groups, OPTION_KEY, "inner").select(
         "source_row", "original_source_row", *OPTION_KEY, "OPTION_PRICE", "OPTION_QUANTITY",
         "duplicate_count", "exact_match",
     )
@@ -443,44 +474,56 @@ def report_parts(
 SUMMARY_COUNTS = ["rows", "columns", "missing_values", "duplicate_groups", "corrupt_or_invalid_values"]
 
 
-def _counts(df: DataFrame, table: str, **counts: Column) -> DataFrame:
-    """One row of the summary's counts, those not given 0."""
-    values = [F.coalesce(counts.get(name, F.lit(0)), F.lit(0)).cast("bigint").alias(name) for name in SUMMARY_COUNTS]
-    return df.agg(*values).select(F.lit(FILE_NAMES[table]).alias("file"), *SUMMARY_COUNTS)
-
-
-def _file_counts(raw: DataFrame, table: str) -> DataFrame:
-    """Rows, missing cells and value issues of a file in one aggregate."""
+def _summary_rows(raw: DataFrame, table: str) -> DataFrame:
+    """What the summary needs of a row: its file, a 128-bit hash, its line key and its
+    missing and invalid cells."""
     cols = data_columns(raw)
     rules = [rule for c, rule in _rules_of(table).items() if c in cols]
     cells = sum((F.when(is_missing(c), 1).otherwise(0) for c in cols), F.lit(0))
-    bad_columns = sum(bool(x) for x in column_differences(cols, table))
-    return _counts(
-        raw, table, rows=F.count(F.lit(1)), columns=F.lit(len(cols)), missing_values=F.sum(cells),
-        corrupt_or_invalid_values=F.coalesce(F.sum(F.size(_found(rules))), F.lit(0)) + bad_columns,
+    key = [C(k) if table != "date_dim" and k in cols else F.lit(None) for k in LINE_KEY]
+    return raw.select(
+        F.lit(RAW_ORDER.index(table)).alias("_t"), *_hashes(cols), *[k.cast("string").alias(n) for k, n in zip(key, ("_k1", "_k2"))],
+        cells.cast("bigint").alias("_missing"), F.size(_found(rules)).cast("bigint").alias("_bad"),
     )
 
 
 def quality_summary(
-    spark: SparkSession,
-    raw_date_dim: DataFrame,
-    raw_items: DataFrame,
-    raw_options: DataFrame,
-    broken: DataFrame | None = None,
+    spark: SparkSession, raw_date_dim: DataFrame, raw_items: DataFrame, raw_options: DataFrame, broken: DataFrame | None = None
 ) -> DataFrame:
     """One row per file: rows, columns, missing values, duplicate groups, corrupt
     or invalid values (column, value and, for options, reference issues).
 
-    Per file one aggregate gives rows, missing cells and value issues, a second the
-    duplicate groups; broken references are counted once. The few rows of counts are
-    added up by file."""
+    Every file is scanned once. Its rows are counted by 128-bit hash (with the line key,
+    which the row determines), which gives rows, missing and invalid cells, and the groups
+    of equal rows; then by line key, which gives the option rows without a line; then in all.
+    Each step aggregates before its shuffle, so a hot row or key is one row a task. Two
+    different rows with one 128-bit hash would count as equal; at 10**12 rows the odds are
+    below 10**-14. ``broken``: broken option rows that are already stored are counted there."""
     raws = dict(zip(RAW_ORDER, (raw_date_dim, raw_items, raw_options)))
-    if broken is None:
-        broken = broken_option_rows(raw_options, raw_items)
-    parts = [_file_counts(raw, t) for t, raw in raws.items()]
-    parts += [_counts(_duplicate_group_keys(raw), t, duplicate_groups=F.count(F.lit(1))) for t, raw in raws.items()]
-    parts.append(_counts(broken, "order_item_options", corrupt_or_invalid_values=F.count(F.lit(1))))
-    return _union(parts).groupBy("file").agg(*[F.sum(c).alias(c) for c in SUMMARY_COUNTS])
+    rows = _union([_summary_rows(raw, t) for t, raw in raws.items()])
+    same = rows.groupBy("_t", "_h1", "_h2", "_k1", "_k2").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_missing").alias("_missing"), F.sum("_bad").alias("_bad")
+    )
+    counts = {"rows": C("_n"), "missing": C("_missing"), "groups": F.when(C("_n") >= 2, 1).otherwise(0), "bad": C("_bad")}
+    of = lambda i, value: F.sum(F.when(C("_t") == i, value))
+    by_key = same.groupBy("_k1", "_k2").agg(
+        F.max(C("_t") == RAW_ORDER.index("order_items")).alias("_line"),
+        *[of(i, value).alias(f"{name}{i}") for i in range(len(RAW_ORDER)) for name, value in counts.items()],
+    )
+    options_at = RAW_ORDER.index("order_item_options")
+    total = by_key.agg(
+        *[F.coalesce(F.sum(f"{name}{i}"), F.lit(0)).alias(f"{name}{i}") for i in range(len(RAW_ORDER)) for name in counts],
+        F.coalesce(F.sum(F.when(~C("_line"), C(f"rows{options_at}"))), F.lit(0)).alias("broken"),
+    )
+    files = []
+    for i, (table, raw) in enumerate(raws.items()):
+        cols = data_columns(raw)
+        wrong = C(f"bad{i}") + sum(bool(x) for x in column_differences(cols, table))
+        if i == options_at:
+            wrong = wrong + (C("broken") if broken is None else broken.agg(F.count(F.lit(1))).scalar())
+        values = [C(f"rows{i}"), F.lit(len(cols)), C(f"missing{i}"), C(f"groups{i}"), wrong]
+        files.append(F.struct(F.lit(FILE_NAMES[table]).alias("file"), *[v.cast("bigint").alias(n) for v, n in zip(values, SUMMARY_COUNTS)]))
+    return total.select(F.explode(F.array(*files)).alias("f")).select("f.*")
 
 
 def expected_schema(spark: SparkSession) -> DataFrame:

@@ -92,6 +92,8 @@ SELECT USER_ID AS user_id, ORDER_DATE AS order_date, CAST(rev AS {M}) AS daily_r
   CAST(SUM(n) OVER (PARTITION BY USER_ID ORDER BY ORDER_DATE ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_order_count
 FROM (SELECT USER_ID, ORDER_DATE, SUM(TOTAL_LINE_REVENUE) AS rev, COUNT(DISTINCT ORDER_ID) AS n
       FROM identified GROUP BY USER_ID, ORDER_DATE) d"""
+    # whatever the increments, the values are those of all orders
+    q["customer_ltv_refreshed"] = q["customer_ltv_daily"]
     q["order_detail"] = f"""
 SELECT APP_NAME AS app_name, RESTAURANT_ID AS restaurant_id, ORDER_DATE AS order_date, ORDER_ID AS order_id,
   LINEITEM_ID AS lineitem_id, USER_ID AS user_id, ITEM_CATEGORY AS item_category, ITEM_NAME AS item_name,

@@ -6,6 +6,8 @@ test-table views. Each CTE is materialized once per query.
 
 from __future__ import annotations
 
+import re
+
 # (name, body) in dependency order.
 FIXTURE_CTES: list[tuple[str, str]] = [
     ("li", """
@@ -113,12 +115,28 @@ SELECT * FROM silver_items WHERE USER_ID IS NOT NULL AND trim(USER_ID) <> ''""")
 ]
 
 
+def _needed(sql: str) -> set[str]:
+    """The fixture tables that a statement refers to, and those that these build on."""
+    bodies = dict(FIXTURE_CTES)
+    found: set[str] = set()
+    todo = [sql]
+    while todo:
+        words = set(re.findall(r"[A-Za-z_]+", todo.pop()))
+        new = (words & bodies.keys()) - found
+        found |= new
+        todo += [bodies[name] for name in new]
+    return found
+
+
 def with_fixtures(select_sql: str) -> str:
-    """Prefix a SELECT with every fixture CTE."""
+    """Prefix a SELECT with the fixture CTEs that it needs."""
     # Explicitly MATERIALIZED: DuckDB's automatic choice for CTEs used more
     # than once can fail internally on repeated runs in one connection.
-    ctes = ",\n".join(f"{name} AS MATERIALIZED ({body.strip()})" for name, body in FIXTURE_CTES)
+    needed = _needed(select_sql)
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({body.strip()})" for name, body in FIXTURE_CTES if name in needed)
     body = select_sql.strip()
+    if not ctes:
+        return body
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

@@ -112,8 +112,11 @@ def issues_sql(short: str) -> str:
     return "\nUNION ALL\n".join(f"SELECT {ISSUE} FROM ({p})" for p in parts)
 
 
-BROKEN = """SELECT * FROM raw_options o WHERE NOT EXISTS (SELECT 1 FROM raw_order_items i
-  WHERE i.ORDER_ID IS NOT DISTINCT FROM o.ORDER_ID AND i.LINEITEM_ID IS NOT DISTINCT FROM o.LINEITEM_ID)"""
+# Missing keys equal missing keys: compared as a text that no key is, by plain equality.
+_NONE = "'<none>'"
+BROKEN = f"""SELECT o.* FROM raw_options o LEFT JOIN (
+  SELECT DISTINCT COALESCE(ORDER_ID, {_NONE}) AS a, COALESCE(LINEITEM_ID, {_NONE}) AS b, 1 AS hit FROM raw_order_items) k
+  ON COALESCE(o.ORDER_ID, {_NONE}) = k.a AND COALESCE(o.LINEITEM_ID, {_NONE}) = k.b WHERE k.hit IS NULL"""
 
 BROKEN_ISSUES = f"""SELECT 'order_item_options.csv' AS file, source_row AS "row", 'ORDER_ID / LINEITEM_ID' AS "column",
   COALESCE(ORDER_ID, 'nan') || ' / ' || COALESCE(LINEITEM_ID, 'nan') AS value, 'Broken reference' AS issue_type,
@@ -233,9 +236,10 @@ WHERE ORDER_ID IS NOT NULL AND LINEITEM_ID IS NOT NULL GROUP BY ORDER_ID, LINEIT
 SELECT ids.ORDER_ID, i.LINEITEM_ID, i.RESTAURANT_ID, i.CREATION_TIME_UTC, i.USER_ID, i.ITEM_CATEGORY, i.ITEM_NAME,
   i.ITEM_PRICE, i.ITEM_QUANTITY
 FROM (SELECT DISTINCT ORDER_ID FROM ({BROKEN})) ids
-LEFT JOIN raw_order_items i ON ids.ORDER_ID IS NOT DISTINCT FROM i.ORDER_ID"""
+LEFT JOIN raw_order_items i ON COALESCE(ids.ORDER_ID, {_NONE}) = COALESCE(i.ORDER_ID, {_NONE})"""
     q["dq_affected_orders"] = f"""
-SELECT * FROM raw_order_items i WHERE EXISTS (SELECT 1 FROM ({BROKEN}) b WHERE b.ORDER_ID IS NOT DISTINCT FROM i.ORDER_ID)"""
+SELECT i.* FROM raw_order_items i JOIN (SELECT DISTINCT COALESCE(ORDER_ID, {_NONE}) AS a FROM ({BROKEN})) b
+  ON COALESCE(i.ORDER_ID, {_NONE}) = b.a"""
     q["dq_missing_item_fields"] = MISSING_ITEM_FIELDS
     q["dq_investigated_order"] = f"""
 SELECT * FROM raw_order_items WHERE ORDER_ID = (SELECT ORDER_ID FROM ({MISSING_ITEM_FIELDS}) ORDER BY source_row LIMIT 1)"""
