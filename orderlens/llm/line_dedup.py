@@ -25,8 +25,9 @@ Steps, each a Spark job over the whole table:
    with cut candidate lists and no verified partner meet all their candidates.
 5. ``removed_lines`` gives the decisions, ``dedup_lines`` rebuilds the texts.
 
-Words are compared by 64-bit hashes. Edge cases: null texts stay null and empty ones
-empty; ids may be null or repeated; rows with the same id and the same text are one
+Words are compared by 64-bit hashes (polynomial ones up to 64 bytes, XXH64 beyond). Edge
+cases: null texts stay null and empty ones empty; ids may be of any type that sorts (they
+are compared as they sort), null or repeated; rows with the same id and the same text are one
 document (both keep the same lines), but rows without an id are documents of their own,
 numbered in a stored table (of copies among them, one keeps its lines); very long lines
 and texts are one row each; an empty table gives an empty table; extra columns stay, those
@@ -43,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.functions.membership import may_be_in
 from orderlens.llm import textscan as ts
 from orderlens.llm.common import as_text, packed, partitions_for, ship_package, stored
 
@@ -364,12 +366,13 @@ def line_tokens(texts: DataFrame, lines: DataFrame, wanted: DataFrame) -> DataFr
     """(k1, tokens) of the wanted lines (column k1) and perhaps others, each once. Texts
     without the earliest place of a wanted line are passed over."""
     bloom = _bloom(wanted)
-    in_texts = _bloom(wanted.join(lines.select("k1", "h"), "k1").select(F.col("h").alias("k1")).distinct())
+    places = wanted.join(lines.select("k1", "h"), "k1").select(F.col("h").alias("place")).distinct()
+    # the others are passed over before they go to a Python worker
+    chosen = may_be_in(texts.select("h", "text"), F.col("h"), places, "place", BLOOM_BITS)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chosen = _in_bloom(in_texts, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-            for _, data, bounds in ts.slices(batch.column(1).filter(pa.array(chosen))):
+            for _, data, bounds in ts.slices(batch.column(0)):
                 hashes, first, _, _ = _lines(data, bounds)
                 k1 = _line_keys(hashes, first)
                 hit = _in_bloom(bloom, k1.view(np.uint64))
@@ -384,7 +387,7 @@ def line_tokens(texts: DataFrame, lines: DataFrame, wanted: DataFrame) -> DataFr
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(tokens.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(k1[hit]), lists], names=_TOKENS.names)
 
-    return texts.select("h", "text").mapInArrow(find, _TOKENS).groupBy("k1").agg(F.first("tokens").alias("tokens"))
+    return chosen.select("text").mapInArrow(find, _TOKENS).groupBy("k1").agg(F.first("tokens").alias("tokens"))
 
 
 def verified(texts: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -445,21 +448,30 @@ def kept_lines(texts: DataFrame) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows with a number for their id (in the ids' order) and a hash for their text. Ids
+    that are no whole numbers are numbered by a sorted table of the different ones."""
     text = F.col("row").getField(text_col).cast("string")
-    number = F.col("row").getField(id_col).cast("long")
+    own = F.col("row").getField(id_col)
+    kind = docs.schema[id_col].dataType
 
-    def keyed(rows: DataFrame, h: Column) -> DataFrame:
+    def keyed(rows: DataFrame, number: Column, h: Column) -> DataFrame:
         return rows.select("row", number.alias("id"), h.alias("h"), text.alias("text"))
 
     rows = packed(docs)
     by_text = F.xxhash64(as_text(text))
-    without = rows.filter(number.isNull())
+    number = own.cast("long")
+    with_id = rows.filter(own.isNotNull())
+    if not isinstance(kind, T.IntegralType):
+        names = with_id.select(own.alias("name")).distinct().orderBy("name")
+        names = stored(names.select("name", F.monotonically_increasing_id().alias("number")))
+        with_id, number = with_id.join(names, own == F.col("name")), F.col("number")
+    without = rows.filter(own.isNull())
     if without.isEmpty():
-        return keyed(rows, by_text)
+        return keyed(with_id, number, by_text)
     # a null identifies nothing: a number for each of these rows, mixed one to one, that
     # stays the same in all steps
     without = stored(without.withColumn("n", F.monotonically_increasing_id()))
-    return keyed(rows.filter(number.isNotNull()), by_text).union(keyed(without, F.xxhash64("n")))
+    return keyed(with_id, number, by_text).union(keyed(without, F.lit(None).cast("long"), F.xxhash64("n")))
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -468,13 +480,14 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ship_package(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
     stay = kept_lines(keyed.select("id", "h", as_text(F.col("text")).alias("text")))
-    lines = keyed.select("id", "h", F.split(as_text(F.col("text")), "\n").alias("lines"))
+    own = F.col("row").getField(id_col).alias("own")
+    lines = keyed.select(own, "id", "h", F.split(as_text(F.col("text")), "\n").alias("lines"))
     number = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike("[^ \\t\\x0B\\f\\r]"))
-    rows = lines.select("id", "h", number.alias("worded")).alias("a")
+    rows = lines.select("own", "id", "h", number.alias("worded")).alias("a")
     joined = rows.join(stay.alias("b"), F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.h") == F.col("b.h")), "left")
     none = F.array().cast("array<int>")
     gone = F.array_except("a.worded", F.coalesce("b.kept", none))
-    return joined.select(F.col("a.id").alias(id_col), F.size("a.worded").cast("long").alias("n_lines"), gone.alias("removed"))
+    return joined.select(F.col("a.own").alias(id_col), F.size("a.worded").cast("long").alias("n_lines"), gone.alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

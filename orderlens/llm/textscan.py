@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 1 << 20
 
@@ -109,7 +110,7 @@ def spans(data: np.ndarray, bounds: np.ndarray, keep: np.ndarray) -> tuple[np.nd
     inner = bounds[(bounds > 0) & (bounds < len(data))]
     cut = np.unique(inner[inside[inner] & inside[inner - 1]])  # bounds within a run
     if len(cut):
-        starts, ends = np.sort(np.append(starts, cut)), np.sort(np.append(ends, cut))
+        starts, ends = (np.insert(x, np.searchsorted(x, cut), cut) for x in (starts, ends))
     return starts, ends
 
 
@@ -126,6 +127,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Words of more bytes are hashed by XXH64: some long words (of 1024 bytes and more) share
+#: the value of any polynomial modulo 2**64.
+_POLYNOMIAL_BYTES = 64
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of every span; equal bytes have equal hashes wherever they stand."""
     if not len(starts):
@@ -135,4 +141,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(np.multiply(data, _power_table(_BASE, n), dtype=np.uint64), out=sums[1:])
         h = (sums[ends] - sums[starts]) * _power_table(_INVERSE, n)[starts]
-        return mix(h + (ends - starts).astype(np.uint64))
+        out = mix(h + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > _POLYNOMIAL_BYTES).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return out

@@ -103,3 +103,19 @@ def test_rows_without_an_id_are_different_documents(frame):
 def test_real_documents(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     check(rows, ld.dedup_lines(docs).collect())
+
+
+def test_long_words_that_a_polynomial_takes_for_equal(frame):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba")))]
+    assert all(r.n_removed == 0 for r in ld.dedup_lines(frame(rows, "doc_id long, text string")).collect())
+
+
+def test_ids_of_other_types(frame):
+    rows = [("a10", "one two three\nx"), ("a2", "one two three\ny"), ("B", "one two three"), (None, "one two three"), (None, "x")]
+    out = ld.removed_lines(frame(rows, "doc_id string, text string"))
+    assert dict(out.dtypes)["doc_id"] == "string"
+    got = sorted((str(r.doc_id), r.n_lines, sorted(r.removed)) for r in out.collect())
+    assert got == [("B", 1, []), ("None", 1, [0]), ("None", 1, [0]), ("a10", 2, [0]), ("a2", 2, [0])]
+    kept = {r.doc_id: r.text for r in ld.dedup_lines(frame(rows[:3], "doc_id string, text string")).collect()}
+    assert kept == {"B": "one two three", "a10": "x", "a2": "y"}
