@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from orderlens.llm.quality_rules import STOP_WORDS, SYMBOLS
+from orderlens.llm.quality_rules import STOP_FORMS, STOP_LANGUAGES, SYMBOLS
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
 QUALITY_RULES = f"""
-WITH rows AS (SELECT row_number() OVER () r, doc_id, coalesce(text, '') t FROM documents),
+WITH rows AS (SELECT row_number() OVER () r, doc_id, lang, coalesce(text, '') t FROM documents),
 cut AS (
-    SELECT r, doc_id, t, regexp_extract_all(t, {_WORDS}) ws,
+    SELECT r, doc_id, lang, t, regexp_extract_all(t, {_WORDS}) ws,
            [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, {_WORDS})] ls
     FROM rows
 ),
@@ -20,20 +20,20 @@ windows AS (
 repeated AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
 covered AS (SELECT r, count(DISTINCT p) n FROM (SELECT r, unnest(range(i, i + 5)) p FROM repeated) GROUP BY r),
 counts AS (
-    SELECT c.doc_id, len(ws)::BIGINT n_words,
+    SELECT c.doc_id, c.lang, len(ws)::BIGINT n_words,
            length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT word_chars,
            length(regexp_replace(t, '[^{SYMBOLS}]+', '', 'g'))::BIGINT n_symbols,
            (len(ls) - len(list_distinct(ls)))::BIGINT n_dup_lines,
            coalesce(v.n, 0)::BIGINT n_repeat_words,
            len(ls)::BIGINT n_lines,
-           len([x FOR x IN ws IF x IN ({", ".join(f"'{w}'" for w in STOP_WORDS)})])::BIGINT n_stop_words
+           len([x FOR x IN ws IF x IN ({", ".join(f"'{w}'" for w in STOP_FORMS)})])::BIGINT n_stop_words
     FROM cut c LEFT JOIN covered v ON c.r = v.r
 ),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts)
-SELECT *, NOT base_failed
+SELECT * EXCLUDE (lang), NOT base_failed
     AND word_chars >= 2 * n_words AND word_chars <= 15 * n_words
     AND 10 * n_symbols <= n_words
-    AND (50 * n_stop_words >= n_words OR n_words < 20)
+    AND (50 * n_stop_words >= n_words OR n_words < 20 OR coalesce(lang NOT IN {STOP_LANGUAGES}, false))
     AND 2 * n_dup_lines <= n_lines AS kept
 FROM judged
 """

@@ -12,8 +12,8 @@ A rule compares ``factor * count`` with ``limit * base`` in whole numbers, so th
 no verdict hangs on rounding. ``base_failed`` holds for fewer than 10 words or more
 than 20 % repeated words; ``kept`` needs the base and every rule of the table.
 
-Edge cases: a null or empty text has no words and fails the base; a null in any
-other column does not matter; equal rows get equal verdicts; very long texts are
+Edge cases: a null or empty text has no words and fails the base; a null language is
+an unknown one, a null in any other column does not matter; equal rows get equal verdicts; very long texts are
 one row and are scanned whole; the empty table gives no rows. Input columns named
 like a result are replaced by the result.
 
@@ -43,12 +43,17 @@ STOP_WORDS = (
     "au aux dans de des du en est et il la le les par pas pour que qui sur un une "
     "al con del el las lo los no para por se su una y"
 ).split()
+STOP_LANGUAGES = ("en", "de", "fr", "es")
+
+#: Stop words as they stand in texts: in lower case, capitalised or in capitals.
+STOP_FORMS = sorted({form for w in STOP_WORDS for form in (w, w.capitalize(), w.upper())})
 
 
 @dataclass(frozen=True)
 class Rule:
     """Fails when ``factor * count`` is above (or, for ``least``, below) ``limit * base``,
-    in texts of ``from_words`` words or more (a ratio over a few words says little)."""
+    in texts of ``from_words`` words or more (a ratio over a few words says little). A
+    rule for some ``languages`` does not judge texts that are said to be in another one."""
 
     name: str
     count: str
@@ -57,6 +62,7 @@ class Rule:
     base: str
     least: bool = False
     from_words: int = 0
+    languages: tuple[str, ...] = ()
 
 
 #: Length, symbol, stop-word and line ratios.
@@ -64,19 +70,22 @@ RULES = (
     Rule("words_too_short", "word_chars", 1, 2, "n_words", least=True),
     Rule("words_too_long", "word_chars", 1, 15, "n_words"),
     Rule("symbols", "n_symbols", 10, 1, "n_words"),
-    Rule("stop_words", "n_stop_words", 50, 1, "n_words", least=True, from_words=20),
+    Rule("stop_words", "n_stop_words", 50, 1, "n_words", least=True, from_words=20, languages=STOP_LANGUAGES),
     Rule("duplicate_lines", "n_dup_lines", 2, 1, "n_lines"),
 )
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words")
 
 
-def compiled(rules: tuple[Rule, ...]) -> dict[str, Column]:
-    """One boolean column per rule of the table: true where the rule fails."""
+def compiled(rules: tuple[Rule, ...], lang: Column | None = None) -> dict[str, Column]:
+    """One boolean column per rule of the table: true where the rule fails. ``lang``: the
+    texts' language, if it is known."""
     out = {}
     for r in rules:
         left, right = F.col(r.count) * F.lit(r.factor), F.col(r.base) * F.lit(r.limit)
         out[r.name] = ((left < right) if r.least else (left > right)) & (F.col("n_words") >= r.from_words)
+        if r.languages and lang is not None:
+            out[r.name] = out[r.name] & F.coalesce(lang.isin(*r.languages), F.lit(True))
     return out
 
 
@@ -129,9 +138,10 @@ def _repeated_words(rows: DataFrame) -> DataFrame:
     return rows.withColumn("n_repeat_words", F.aggregate(covered, F.lit(0), lambda s, x: s + F.coalesce(x, F.lit(0))))
 
 
-def score(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def score(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, lang_col: str = "lang") -> DataFrame:
     """``docs`` with the counts, ``base_failed``, ``failed`` (names of failed rules)
-    and ``kept``."""
+    and ``kept``. ``lang_col``: the column with the texts' language, if there is one; the
+    stop-word rule judges texts in its languages and those in an unknown one."""
     rows = packed(docs).withColumn("text", as_text(F.col("row").getField(text_col)))
     rows = _repeated_words(_word_arrays(rows))
     counted = {
@@ -141,12 +151,13 @@ def score(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RUL
         "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
         "n_repeat_words": F.col("n_repeat_words"),
         "n_lines": F.size("lines"),
-        "n_stop_words": F.size(F.filter("words", lambda w: w.isin(*STOP_WORDS))),
+        "n_stop_words": F.size(F.filter("words", lambda w: w.isin(*STOP_FORMS))),
     }
     # inline() of one struct: a caller's filter on a result stays above this node, so
     # that the optimizer does not copy the counting expressions into the filter
     counts = rows.select("row", F.inline(F.array(F.struct(*[c.cast("long").alias(n) for n, c in counted.items()]))))
-    fails = compiled(rules)
+    lang = F.col("row").getField(lang_col).cast("string") if lang_col in docs.columns else None
+    fails = compiled(rules, lang)
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     failed = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in fails.items()]))
     results = {c: F.col(c) for c in COUNTS} | {"base_failed": base, "failed": failed, "kept": ~base & (F.size(failed) == 0)}

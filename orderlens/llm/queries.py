@@ -104,7 +104,7 @@ def op5_revisits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, d: str) -> DataFrame:
-    out = quality_rules.score(table(spark, d, "documents").select("doc_id", "text"))
+    out = quality_rules.score(table(spark, d, "documents").select("doc_id", "text", "lang"))
     return out.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 

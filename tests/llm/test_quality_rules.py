@@ -57,6 +57,24 @@ def test_rules_are_judged_by_whole_numbers(frame):
     assert got["plain"].kept
 
 
+FINNISH = (
+    "Vanha kalastaja istui aamulla laiturilla ja korjasi verkkojaan kun aurinko nousi hitaasti metsän yläpuolelle. Hänen "
+    "poikansa keitti kahvia mökin pihalla ja lauloi hiljaa laulua jonka isoäiti oli opettanut hänelle monta vuotta aikaisemmin"
+)
+ITALIAN = (
+    "IL VECCHIO PESCATORE SEDEVA LA MATTINA PRESTO SUL MOLO E RIPARAVA LE RETI MENTRE IL SOLE SALIVA LENTAMENTE SOPRA IL BOSCO "
+    "E SUO FIGLIO PREPARAVA UN CAFFÈ NEL CORTILE DELLA CASA CANTANDO UNA CANZONE"
+)
+
+
+def test_stop_words_of_other_languages_and_in_capitals(frame):
+    rows = [(1, FINNISH, "fi"), (2, ITALIAN, "it"), (3, ITALIAN, None), (4, FINNISH, "en"), (5, ITALIAN.lower(), "es")]
+    got = {r.doc_id: (r.kept, r.failed) for r in q.score(frame(rows, "doc_id long, text string, lang string")).collect()}
+    assert {i: k for i, (k, _) in got.items()} == {1: True, 2: True, 3: True, 4: False, 5: True}
+    assert got[4][1] == ["stop_words"]
+    assert {r.doc_id for r in q.keep_good(frame(rows, "doc_id long, text string, lang string")).collect()} == {1, 2, 3, 5}
+
+
 def test_clashing_columns_and_filters(frame):
     rows = [(1, "the cat and the dog sat on a mat in the house", "mine", 7, "w")]
     df = frame(rows, "doc_id long, text string, kept string, n_words int, words string")
