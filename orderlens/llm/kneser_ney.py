@@ -10,9 +10,11 @@ trusted texts, nothing is sampled:
 2. ``log_probabilities``: the n-grams of all documents, each once, are joined with the
    count tables order by order (keys hash-sharded by Spark) and get their interpolated
    probability.
-3. ``perplexities``: that table is cut by hash into shards of at most ``SHARD_ROWS`` rows.
-   Every shard is broadcast by itself and summed up over all texts; a document's log
-   perplexity is the mean over its bytes. One shard is the usual case.
+3. ``perplexities``: that table is cut into shards of about ``SHARD_ROWS`` rows, which are
+   broadcast one by one; a worker looks the n-grams of a block of texts up in shard after
+   shard and holds one at a time. Texts are read once. A document's log perplexity is the
+   mean over its bytes. (Joining each document's n-grams with the table instead would
+   shuffle some 400 n-grams a kilobyte of text, many times the input.)
 4. ``judge``: documents are kept up to a quantile of the trusted documents' perplexities
    in the same language (languages with fewer than ``MIN_TRUSTED`` trusted documents use
    that of all). Quantiles are taken from a histogram in steps of ``STEP``.
@@ -30,10 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.functions.membership import may_be_in
 from orderlens.llm import textscan as ts
 from orderlens.llm.common import as_text, quoted, ship_package, stored
 
@@ -45,7 +49,11 @@ SLACK = 0.10
 SHORT_SLACK = 2.0
 MIN_TRUSTED = 50
 STEP = 0.001
-SHARD_ROWS = 4_000_000
+SHARD_ROWS = 1_000_000
+#: Bytes of text that are looked up together.
+BLOCK_BYTES = 4 << 20
+#: Bits of the bitmap of trusted ids (8 MB).
+ID_BITS = 26
 #: n-grams that a training task holds before it passes them on.
 HELD = 4_000_000
 
@@ -156,41 +164,57 @@ def log_probabilities(grams: DataFrame, model: Model) -> DataFrame:
     return rows.select("gram", F.log("p").alias("logp"))
 
 
-def _scorer(codes: np.ndarray, logs: np.ndarray):
+def _shards(logs: DataFrame) -> list[Broadcast]:
+    """The table of log-probabilities in broadcast parts (sorted n-grams, values) of about
+    ``SHARD_ROWS`` rows, by the n-gram modulo their number (an odd one); read and broadcast
+    one after another."""
+    spark = logs.sparkSession
+    rows = logs.count()
+    shards = 1 if rows <= SHARD_ROWS else -(-rows // SHARD_ROWS) | 1
+    parts = []
+    for s in range(shards):
+        part = logs.filter(F.pmod("gram", F.lit(shards)) == s).toArrow()
+        order = np.argsort(part["gram"].to_numpy())
+        parts.append(spark.sparkContext.broadcast((part["gram"].to_numpy()[order], part["logp"].to_numpy()[order])))
+    return parts
+
+
+def _looked_up(grams: np.ndarray, shards: list[Broadcast]) -> np.ndarray:
+    """Values of n-grams, 0 for those not in the table. One shard is in memory at a time."""
+    out = np.zeros(len(grams))
+    of = grams % len(shards)
+    for s, shard in enumerate(shards):
+        codes, values = shard.value
+        mine = np.flatnonzero(of == s) if len(shards) > 1 else np.arange(len(grams))
+        if len(codes) and len(mine):
+            place = np.minimum(np.searchsorted(codes, grams[mine]), len(codes) - 1)
+            out[mine] = np.where(codes[place] == grams[mine], values[place], 0.0)
+        if len(shards) > 1:
+            del codes, values
+            vars(shard).pop("_value", None)  # read again from the worker's file for the next block
+    return out
+
+
+def perplexities(texts: DataFrame, logs: DataFrame) -> DataFrame:
+    """``texts`` with ``nats``: minus the mean log-probability of the bytes of ``text``,
+    null where there are none. Texts are read once, whatever the number of shards."""
+    shards = _shards(logs)
+
     @F.arrow_udf(T.DoubleType())
     def total(texts: pa.Array) -> pa.Array:
         out = np.zeros(len(texts))
-        for start, data, bounds in ts.slices(texts):
+        for start, data, bounds in ts.slices(texts, BLOCK_BYTES):
             grams, row = _ngrams(data, bounds)
             if not len(grams):
                 continue
             different, which = np.unique(grams, return_inverse=True)
-            place = np.minimum(np.searchsorted(codes, different), len(codes) - 1)
-            found = np.where(codes[place] == different, logs[place], 0.0)
+            found = _looked_up(different, shards)
             out[start : start + len(bounds) - 1] = np.bincount(row, weights=found[which], minlength=len(bounds) - 1)
         return pa.array(out)
 
-    return total
-
-
-def perplexities(texts: DataFrame, logs: DataFrame) -> DataFrame:
-    """``texts`` with ``nats``: minus the mean log-probability of the bytes of ``text``,
-    null where there are none."""
-    rows = logs.count()
-    shards = max(1, -(-rows // SHARD_ROWS))
-    sums = F.lit(0.0)
-    out = texts
-    for s in range(shards):
-        part = logs.filter(F.pmod(F.xxhash64("gram"), F.lit(shards)) == s).toArrow()
-        order = np.argsort(part["gram"].to_numpy())
-        codes, values = part["gram"].to_numpy()[order], part["logp"].to_numpy()[order]
-        if len(codes):
-            out = out.withColumn(f"__s{s}", _scorer(codes, values)(F.col("text")))
-            if shards > 1:
-                out = stored(out.drop("text") if s == shards - 1 else out)
-            sums = sums + F.col(f"__s{s}")
-    size = F.octet_length("text") if shards == 1 else F.col("size")
-    return out.withColumn("nats", F.when(size > 0, -sums / size)).drop(*[f"__s{s}" for s in range(shards)])
+    size = F.octet_length("text")
+    scored = texts.withColumn("__sum", total(F.col("text")))
+    return scored.withColumn("nats", F.when(size > 0, -F.col("__sum") / size)).drop("__sum")
 
 
 def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -226,8 +250,9 @@ def judge(
     ship_package(docs.sparkSession)
     good = labels.filter(trusted).select(quoted(label_id).alias("id")).filter("id IS NOT NULL").distinct()
     rows = docs.select(quoted(id_col).alias("id"), quoted(lang_col).cast("string").alias("lang"), as_text(quoted(text_col)).alias("text"))
-    # labels grow with the documents: they are not broadcast at any size
-    model = train(rows.join(good.hint("merge"), "id", "left_semi"))
+    # labels grow with the documents: they are not broadcast at any size; a bitmap of them keeps most other texts out of the shuffle
+    some = may_be_in(rows, F.xxhash64(F.col("id").cast("string")), good.select(F.xxhash64(F.col("id").cast("string")).alias("h")), "h", ID_BITS)
+    model = train(some.join(good.hint("merge"), "id", "left_semi"))
     logs = stored(log_probabilities(ngram_counts(rows).select("gram"), model))
     scored = perplexities(rows.withColumn("size", F.octet_length("text")), logs).select("id", "lang", "size", "nats")
     marked = scored.join(good.withColumn("t", F.lit(True)), "id", "left")
