@@ -33,6 +33,8 @@ from pyspark.sql import types as T
 from orderlens.llm.common import as_text, quoted, ship_package, with_results
 
 SAMPLE_ROWS = 400
+#: Rows by hash, times SAMPLE_ROWS, from which a language's sample is taken.
+CANDIDATES = 16
 SAMPLE_CHARS = 1500
 DICTIONARY_BYTES = 256 << 10
 TOTAL_BYTES = 200 * DICTIONARY_BYTES
@@ -104,6 +106,11 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     )
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     share = max(1, min(DICTIONARY_BYTES, TOTAL_BYTES // max(1, len(counts))))
+    # the rows with the smallest hashes, about CANDIDATES times as many as are wanted: what
+    # reaches a language's task is bounded, however many rows and input tasks there are
+    bars = [(r["lang"], 2.0**63 * min(2 * CANDIDATES * SAMPLE_ROWS / r["count"] - 1, 1.0)) for r in counts]
+    bars = rows.sparkSession.createDataFrame(bars, "lang string, bar double")
+    rows = rows.join(F.broadcast(bars), "lang").filter(F.col("place").cast("double") <= F.col("bar")).drop("bar")
     first = Window.partitionBy("lang").orderBy("place", "text")
     sample = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_ROWS)
     # rows after those that fill the share are not collected; what normalising drops from
