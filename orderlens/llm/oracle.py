@@ -67,43 +67,63 @@ FROM docs d LEFT JOIN words w ON d.r = w.r LEFT JOIN found f ON d.r = f.r
 """
 
 
-_LOG = """
+REVISITS = """
 WITH p AS (
-    SELECT page_id pid, coalesce(url, '') url, coalesce(html, '') html, TIMESTAMP '2024-01-01' + to_minutes(page_id) AS first FROM pages
+    SELECT coalesce(page_id, 0) pid, coalesce(url, '') url, coalesce(html, '') html,
+           TIMESTAMP '2024-01-01' + to_minutes(coalesce(page_id, 0)) AS first,
+           regexp_extract(coalesce(url, ''), '^[a-z]+://([^/]*)', 1) site, lpad(coalesce(page_id, 0)::VARCHAR, 12, '0') num
+    FROM pages
+),
+-- every full response, by its URL as it stands
+captures AS (
+    SELECT pid, url AS raw, 'page0-' || num record_id, first AS captured, html || '<!-- 0 -->' body FROM p WHERE pid % 4 IN (1, 2)
+    UNION ALL
+    SELECT pid, url, 'page1-' || num, first + (CASE WHEN pid % 3 = 0 THEN INTERVAL 7 DAY ELSE INTERVAL 4 DAY END), html || '<!-- 1 -->'
+    FROM p WHERE pid % 4 = 2
+    UNION ALL
+    SELECT pid, url, 'page2-' || num, first + INTERVAL 8 DAY, html || '<!-- 2 -->' FROM p WHERE pid % 4 = 3
+    UNION ALL
+    SELECT pid, 'https://' || site || '/', 'site-' || num, first, 'site ' || site || ' of day ' || (pid // 1440) FROM p
+),
+sent AS (
+    SELECT pid, url AS raw, 'page-' || num record_id, first,
+           html || CASE WHEN pid % 4 = 2 AND pid % 3 <> 0 AND pid % 5 <> 4 THEN '<!-- 1 -->' ELSE '<!-- 0 -->' END body, true AS page
+    FROM p
+    UNION ALL
+    SELECT pid, 'https://' || site || '/', 'site-' || num, first, 'site ' || site || ' of day ' || (pid // 1440), false FROM p
+),
+raws AS (
+    SELECT raw, regexp_replace(trim(raw), '#.*$', '') bare FROM (SELECT raw FROM captures UNION SELECT raw FROM sent)
 ),
 parts AS (
-    SELECT *, substr(md5(html), 1, 16) digest, regexp_replace(trim(url), '#.*$', '') bare FROM p
-),
-urls AS (
-    SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)', 1)), ':(80|443)$', ''), '^www\\.', '') host,
+    SELECT raw, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?]*@)?([^/?]*)', 1)), ':(80|443)$', ''), '^www\\.', '') host,
            regexp_replace(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') path,
            list_sort([x FOR x IN string_split(regexp_extract(bare, '\\?(.*)$', 1), '&')
                       IF x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|gclid|fbclid|ref)(=|$)')]) params
-    FROM parts
+    FROM raws
 ),
-log AS (
-    SELECT pid, html, first, digest, CASE WHEN host <> '' THEN
+urls AS (
+    SELECT raw, CASE WHEN host <> '' THEN
                'https://' || host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS url
-    FROM urls
-)"""
-
-REVISITS = _LOG + """,
+    FROM parts
+),
 full_ AS (
-    SELECT url, first AS captured, 'response-' || lpad(pid::VARCHAR, 12, '0') record_id, sha1(html) payload_sha1, strlen(html) size,
-           CASE WHEN pid % 7 <> 3 THEN '"' || digest || '"' END etag,
-           CASE WHEN pid % 11 <> 5 THEN strftime(first, '%a, %d %b %Y %H:%M:%S GMT') END modified
-    FROM log
+    SELECT u.url, c.captured, c.record_id, sha1(c.body) payload_sha1, strlen(c.body) size,
+           CASE WHEN c.pid % 7 <> 3 THEN '"' || substr(md5(c.body), 1, 16) || '"' END etag,
+           CASE WHEN c.pid % 11 <> 5 THEN strftime(c.captured, '%a, %d %b %Y %H:%M:%S GMT') END modified
+    FROM captures c JOIN urls u ON c.raw = u.raw
 ),
 again AS (
-    SELECT url, first + INTERVAL 7 DAY AS captured, 'revisit-' || lpad(pid::VARCHAR, 12, '0') record_id, pid,
-           CASE WHEN pid % 7 <> 3 AND pid % 5 <> 1 THEN
-               CASE WHEN pid % 5 = 0 THEN '"stale-' || digest || '"' ELSE 'W/"' || digest || '"' END END etag,
-           CASE WHEN pid % 5 = 1 THEN strftime(first, '%a, %d %b %Y %H:%M:%S GMT') END modified
-    FROM log
+    SELECT u.url, s.first + INTERVAL 7 DAY AS captured, s.record_id, s.pid,
+           CASE WHEN s.page AND s.pid % 7 <> 3 AND s.pid % 5 <> 1 THEN
+                    CASE WHEN s.pid % 5 = 0 THEN '"stale-' ELSE 'W/"' END || substr(md5(s.body), 1, 16) || '"'
+                WHEN NOT s.page AND s.pid % 2 = 0 THEN '"' || substr(md5(s.body), 1, 16) || '"' END etag,
+           CASE WHEN s.pid % 5 = 1 THEN strftime(s.first, '%a, %d %b %Y %H:%M:%S GMT') END modified
+    FROM sent s JOIN urls u ON s.raw = u.raw
 ),
 matched AS (
     SELECT a.*, f.record_id response_id, f.etag f_etag, f.modified f_modified, f.size, f.payload_sha1 f_sha1,
-           row_number() OVER (PARTITION BY a.record_id, a.pid ORDER BY f.captured DESC, f.record_id DESC) place
+           row_number() OVER (PARTITION BY a.record_id ORDER BY f.captured DESC, f.record_id DESC) place
     FROM again a LEFT JOIN full_ f ON a.url = f.url AND f.captured < a.captured
 ),
 judged AS (

@@ -58,13 +58,17 @@ def op4_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
 
 
 def page_log(pages: DataFrame) -> DataFrame:
-    """A crawl log as WARC records (column ``record``) from the pages: each page is
-    captured in full at minute ``page_id`` and asked for again a week and ``page_id``
-    minutes later. Validators come from the page's content and time; some captures lack
-    one, some requests answer with a stale or a weak one."""
+    """A crawl log as WARC records (column ``record``) from the pages, growing with them.
+
+    A page's URL is captured at minute ``page_id``, or then and four days or a week later,
+    or only eight days later, or not at all; contents differ. It is asked for again after a
+    week: after the last capture, before it, or at the time of one. The root of its site, which many pages share, is captured in the same minute (its
+    content changes by the day) and asked for again a week later. Validators come from
+    contents and times; some captures lack one, some requests send a stale or a weak one."""
     pid = F.coalesce("page_id", F.lit(0))
-    first = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.expr("INTERVAL '1' MINUTE") * pid
-    digest = F.substring(F.md5(F.coalesce("html", F.lit("")).cast("binary")), 1, 16)
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.expr("INTERVAL '1' MINUTE") * pid
+    again = start + F.expr("INTERVAL 7 DAYS")
+    host = F.regexp_extract(F.coalesce("url", F.lit("")), "^[a-z]+://([^/]*)", 1)
 
     def line(name: str, value: Column, when: Column | None = None) -> Column:
         text = F.concat(F.lit(name + ": "), value, F.lit("\r\n"))
@@ -73,26 +77,46 @@ def page_log(pages: DataFrame) -> DataFrame:
     def http_date(c: Column) -> Column:
         return F.date_format(c, "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
 
-    def warc(kind: str, at: Column) -> Column:
+    def warc(kind: str, name: str, url: Column, at: Column) -> Column:
+        number = F.lpad(pid.cast("string"), 12, "0")
         return F.concat(
-            F.lit("WARC/1.1\r\n"), line("WARC-Type", F.lit(kind)), line("WARC-Record-ID", F.concat(F.lit(kind + "-"), F.lpad(pid.cast("string"), 12, "0"))),
-            line("WARC-Target-URI", F.coalesce("url", F.lit(""))), line("WARC-Date", F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")), F.lit("\r\n"),
+            F.lit("WARC/1.1\r\n"), line("WARC-Type", F.lit(kind)), line("WARC-Record-ID", F.concat(F.lit(name + "-"), number)),
+            line("WARC-Target-URI", url), line("WARC-Date", F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")), F.lit("\r\n"),
         )
 
-    tag = F.concat(F.lit('"'), digest, F.lit('"'))
-    full = F.concat(
-        warc("response", first), F.lit("HTTP/1.1 200 OK\r\n"), line("Content-Type", F.lit("text/html")),
-        line("Content-Length", F.octet_length(F.coalesce("html", F.lit(""))).cast("string")), line("ETag", tag, pid % 7 != 3),
-        line("Last-Modified", http_date(first), pid % 11 != 5), line("Cache-Control", F.lit("max-age=60")), F.lit("\r\n"), F.coalesce("html", F.lit("")),
-    )
-    again = first + F.expr("INTERVAL 7 DAYS")
-    sent = F.when(pid % 5 == 0, F.concat(F.lit('"stale-'), digest, F.lit('"'))).otherwise(F.concat(F.lit("W/"), tag))
-    revisit = F.concat(
-        warc("revisit", again), F.lit("HTTP/1.1 304 Not Modified\r\n"), line("ETag", sent, (pid % 7 != 3) & (pid % 5 != 1)),
-        line("Last-Modified", http_date(first), pid % 5 == 1), line("Cache-Control", F.concat(F.lit("max-age="), pid.cast("string"))),
-        line("Content-Length", F.lit("0")), line("Date", http_date(again)), F.lit("\r\n"),
+    def tag(body: Column) -> Column:
+        return F.concat(F.lit('"'), F.substring(F.md5(body.cast("binary")), 1, 16), F.lit('"'))
+
+    def full(name: str, url: Column, at: Column, body: Column) -> Column:
+        return F.concat(
+            warc("response", name, url, at), F.lit("HTTP/1.1 200 OK\r\n"), line("Content-Type", F.lit("text/html")),
+            line("Content-Length", F.octet_length(body).cast("string")), line("ETag", tag(body), pid % 7 != 3),
+            line("Last-Modified", http_date(at), pid % 11 != 5), line("Cache-Control", F.lit("max-age=60")), F.lit("\r\n"), body,
+        )
+
+    def revisit(name: str, url: Column, sent: Column, with_tag: Column, modified: Column) -> Column:
+        return F.concat(
+            warc("revisit", name, url, again), F.lit("HTTP/1.1 304 Not Modified\r\n"), line("ETag", sent, with_tag),
+            line("Last-Modified", http_date(modified), pid % 5 == 1), line("Cache-Control", F.concat(F.lit("max-age="), pid.cast("string"))),
+            line("Content-Length", F.lit("0")), line("Date", http_date(again)), F.lit("\r\n"),
+        )
+
+    url, html = F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))
+    one, two, after = (pid % 4 == k for k in (1, 2, 3))
+    second = F.when(pid % 3 == 0, again).otherwise(start + F.expr("INTERVAL 4 DAYS"))
+    bodies = [F.concat(html, F.lit(f"<!-- {k} -->")) for k in range(3)]
+    own = [full(f"page{k}", url, at, body) for k, (at, body) in enumerate(zip((start, second, start + F.expr("INTERVAL 8 DAYS")), bodies))]
+    # the content that the page has when it is asked for again, or in some cases the first
+    latest = F.when(two & (pid % 3 != 0) & (pid % 5 != 4), bodies[1]).otherwise(bodies[0])
+    sent = F.when(pid % 5 == 0, F.concat(F.lit('"stale-'), F.substring(tag(latest), 2, 17))).otherwise(F.concat(F.lit("W/"), tag(latest)))
+    asked = revisit("page", url, sent, (pid % 7 != 3) & (pid % 5 != 1), start)
+    site = F.concat(F.lit("https://"), host, F.lit("/"))
+    root = F.concat(F.lit("site "), host, F.lit(" of day "), F.expr("coalesce(page_id, 0) div 1440").cast("string"))
+    records = F.array(
+        F.when(one | two, own[0]), F.when(two, own[1]), F.when(after, own[2]), asked,
+        full("site", site, start, root), revisit("site", site, tag(root), pid % 2 == 0, start),
     )
-    return pages.select(F.explode(F.array(full, revisit)).alias("record"))
+    return pages.select(F.explode(F.filter(records, lambda x: x.isNotNull())).alias("record"))
 
 
 def op5_revisits(spark: SparkSession, d: str) -> DataFrame:

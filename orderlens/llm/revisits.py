@@ -7,9 +7,11 @@ weak comparison, without one its Last-Modified, without either only a response t
 none. A resolved revisit gets the response's headers, updated with its own but for
 those that describe the body or the connection.
 
-The as-of join is a window in two levels: within (URL, day), and over the days of a URL
-(one row a day), so that a URL that holds a third of the log is spread over tasks.
-Payloads are not shuffled; the result names the response and its payload's digest.
+The as-of join is a window in three levels: within (URL, minute), over the minutes of a
+(URL, day) and over the days of a URL, each of the latter two with one row a step, so that
+a URL that holds a third of the log is spread over tasks. Records without a URL or a time
+match nothing and stay out of it. Payloads are not shuffled; the result names the response
+and its payload's digest.
 
 Edge cases: of responses captured at the same time the largest record id counts; a
 null or unparsable URL, date or status makes a record that matches nothing (a revisit
@@ -103,23 +105,31 @@ def resolve(records: DataFrame) -> DataFrame:
     full = (F.col("warc_type") == "response") & (F.col("status") == 200)
     revisit = (F.col("warc_type") == "revisit") & (F.col("status") == 304)
     rows = rows.withColumn("full", F.coalesce(full, F.lit(False))).filter(F.col("full") | F.coalesce(revisit, F.lit(False)))
-    # records without a URL are spread by their id and meet nothing; those without a time
-    # stand before all days
-    usable = F.col("full") & F.col("url").isNotNull() & F.col("captured").isNotNull()
-    rows = (
-        rows.withColumn("response", F.when(usable, F.struct("captured", "record_id", "headers", "payload_sha1")))
-        .withColumn("key", F.coalesce("url", F.concat(F.lit(" "), F.coalesce("record_id", F.lit("")))))
-        .withColumn("day", F.coalesce(F.to_date("captured"), F.lit("0001-01-01").cast("date")))
-    )
-    rows = stored(rows)  # parsed once for the two uses below; no payloads
+    response = F.struct("captured", "record_id", "headers", "payload_sha1")
+    # parsed once for the uses below; no payloads
+    rows = stored(rows.withColumn("response", F.when(F.col("full"), response)))
+    timed = F.col("url").isNotNull() & F.col("captured").isNotNull()
+    none = rows.filter(~timed & ~F.col("full")).withColumn("response", F.lit(None).cast(rows.schema["response"].dataType))
+    placed = rows.filter(timed).withColumn("day", F.to_date("captured")).withColumn("minute", F.date_trunc("minute", "captured"))
+
+    def up_to(order: list[str], *keys: str) -> Window:
+        return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
     # revisits come before responses of the same time, so that only earlier ones precede
-    inside = Window.partitionBy("key", "day").orderBy("captured", "full", "record_id").rowsBetween(Window.unboundedPreceding, -1)
-    near = rows.withColumn("near", F.last("response", ignorenulls=True).over(inside)).filter(~F.col("full"))
-    latest = F.max_by("response", F.when(F.col("response").isNotNull(), F.struct("captured", "record_id")))
-    before = Window.partitionBy("key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = rows.groupBy("key", "day").agg(latest.alias("latest"))
-    days = days.select("key", "day", F.last("latest", ignorenulls=True).over(before).alias("far"))
-    return _judged(near.join(days, ["key", "day"]).withColumn("response", F.coalesce("near", "far")))
+    inside = F.last("response", ignorenulls=True).over(up_to(["captured", "full", "record_id"], "url", "minute"))
+    near = placed.withColumn("near", inside).filter(~F.col("full"))
+    latest = F.max_by("latest", F.struct("latest.captured", "latest.record_id")).alias("latest")
+    responses = placed.filter("full").select("url", "day", "minute", F.col("response").alias("latest"))
+    # a step without a response is there for its revisits
+    steps = responses.groupBy("url", "day", "minute").agg(latest)
+    asked = near.select("url", "day", "minute").distinct()
+    minutes = asked.join(steps, ["url", "day", "minute"], "full")
+    mid = minutes.withColumn("mid", F.last("latest", ignorenulls=True).over(up_to(["minute"], "url", "day"))).drop("latest")
+    days = minutes.groupBy("url", "day").agg(F.max_by("latest", F.when(F.col("latest").isNotNull(), F.col("minute"))).alias("latest"))
+    days = days.withColumn("far", F.last("latest", ignorenulls=True).over(up_to(["day"], "url"))).drop("latest")
+    found = near.join(mid, ["url", "day", "minute"]).join(days, ["url", "day"])
+    found = found.withColumn("response", F.coalesce("near", "mid", "far")).select(*rows.columns)
+    return _judged(found.unionByName(none))
 
 
 def _judged(found: DataFrame) -> DataFrame:

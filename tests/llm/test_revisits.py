@@ -105,3 +105,36 @@ def test_plan_is_native_and_empty_log(spark, frame):
     plan = rv.resolve(frame(ROWS, SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Cartesian|NestedLoop", plan)
     assert rv.resolve(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_the_log_of_the_query_holds_every_case(spark, sf):
+    from orderlens.llm import queries
+
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    log = rv.parse_records(queries.page_log(pages))
+    full = log.filter("warc_type = 'response'")
+    assert full.groupBy(rv.canonical_url(full["url"])).count().agg({"count": "max"}).first()[0] > 4  # a site that many share
+    out = {r["status"]: r["count"] for r in rv.resolve(log).groupBy("status").count().collect()}
+    assert set(out) == {"resolved", "mismatch", "no_earlier", "no_validator"} and min(out.values()) > 3
+    late = log.filter("record_id LIKE 'page1-%' OR record_id LIKE 'page2-%'").alias("a").join(
+        log.filter("warc_type = 'revisit'").alias("b"), "url").selectExpr("sign(datediff(a.captured, b.captured)) s").distinct().collect()
+    assert {r["s"] for r in late} == {-1, 0, 1}
+
+
+def test_a_hot_url_within_a_minute_and_over_days(spark, frame):
+    """The latest earlier response, whichever level of the search has it."""
+    import random
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        at = dt.datetime(2024, 1, 1) + dt.timedelta(days=rng.choice([0, 0, 0, 1, 9]), seconds=rng.choice([0, 5, 50, 61, 300, 80_000]))
+        kind = rng.choice(["response", "revisit"])
+        rows.append((f"r{i:04}", kind, "https://hot.org/", at if rng.random() < 0.95 else None, 200 if kind == "response" else 304, {"etag": '"x"'}, f"s{i}"))
+    df = frame(rows, "record_id string, warc_type string, url string, captured timestamp_ntz, status int, headers map<string,string>, payload_sha1 string")
+    got = {r["record_id"]: r["response_id"] for r in rv.resolve(df).collect()}
+    responses = [(r[3], r[0]) for r in rows if r[1] == "response" and r[3]]
+    for r in rows:
+        if r[1] == "revisit":
+            earlier = [x for x in responses if r[3] and x[0] < r[3]]
+            assert got[r[0]] == (max(earlier)[1] if earlier else None)
