@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from orderlens.llm.common import partitions_for
+from orderlens.llm.textscan import release_memory
 
 BUCKET_ENTRIES = 1 << 20
 #: n-grams that a task holds before it sorts them and passes them on.
-HELD = 6_000_000
+HELD = 3_000_000
 
 _BLOB = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("grams", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
@@ -87,6 +88,7 @@ def gram_blobs(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.n
                 if size > HELD:
                     yield _blobs(*_counted(np.concatenate(held)))
                     held, size = [], 0
+                    release_memory()
         if size:
             yield _blobs(*_counted(np.concatenate(held)))
 
@@ -114,6 +116,7 @@ def merged_buckets(blobs: DataFrame, bits: int, finish: Callable[[int, np.ndarra
                 held.append((g.as_py(), c.as_py()))
         if held:
             yield done()
+        release_memory()
 
     parts = partitions_for(blobs.sparkSession, 1 << bits, 16)
     return blobs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, schema)
