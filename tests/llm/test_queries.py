@@ -17,12 +17,23 @@ COLUMNS = {
         "doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean",
     },
     "op8_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op11_collocations": {
+        "lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint",
+    },
+    "op12_periodic_runs": {
+        "doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint",
+        "runs_sha256": "string", "collapsed_sha256": "string",
+    },
+    "op13_lm_scores": {
+        "doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint",
+        "base_score": "double", "score": "double",
+    },
 }
 
 
-def test_eleven_queries():
+def test_fourteen_queries():
     names = set(queries())
-    assert {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 14)) and "pipeline" in names
     assert set(oracle()) <= names
 
 
@@ -39,6 +50,6 @@ def test_query_matches_oracle(spark, sf, name):
 
 def test_every_document_has_one_row(spark, sf, docs):
     for name, query in queries().items():
-        if name in ("op2_html_text", "op5_revisits", "op9_chat", "pipeline"):
+        if name in ("op2_html_text", "op5_revisits", "op9_chat", "op11_collocations", "pipeline"):
             continue
         assert sorted(r.doc_id for r in query(spark, sf).select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect()), name
