@@ -48,8 +48,7 @@ def test_edge_cases(frame):
 
 
 def test_random_snapshots(frame, monkeypatch):
-    """Blocks and parts of a few turns, so that conversations span many."""
-    monkeypatch.setattr(chat, "BLOCK", 3)
+    """Ranges cut conversations anywhere; parts of a few turns."""
     monkeypatch.setattr(chat, "PART_TURNS", 4)
     rng = random.Random(5)
     full = [[(rng.choice("ua"), f"t{rng.randint(0, 3)}") for _ in range(rng.randint(1, 14))] for _ in range(12)]
@@ -60,6 +59,13 @@ def test_random_snapshots(frame, monkeypatch):
     assert collected(chat.render_maximal(frame(rows, SCHEMA))) == brute(rows)
 
 
+def test_rows_without_a_conversation_and_many_of_one_number(frame):
+    """A third of all rows in one conversation with one turn number and role."""
+    rows = [(None, 0, "user", f"text {k % 700}") for k in range(900)] + [(k % 50, k // 50, "user", f"t{k % 3}") for k in range(600)]
+    rows += [(k, 0, "user", None if k % 2 else "") for k in range(60, 80)] + [(90, None, None, None)] * 3
+    assert collected(chat.render_maximal(frame(rows, SCHEMA, parts=5))) == brute(rows)
+
+
 def test_one_very_long_conversation(frame):
     rows = [(1, k, "user", f"t{k}") for k in range(6000)] + [(2, k, "user", f"t{k}") for k in range(3000)]
     got = chat.render_maximal(frame(rows, SCHEMA)).collect()
