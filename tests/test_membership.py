@@ -127,3 +127,20 @@ def test_a_calendar_is_bounded(spark):
         assert "400 years" in str(e)
     else:
         raise AssertionError("no error")
+
+
+def test_a_bitmap_does_not_make_spark_compute_the_rows_twice(spark, sf):
+    """A join key that may be null is tested below all that makes the rows."""
+    import re
+
+    from orderlens.plans.registry import all_queries
+
+    for name in ("dq_duplicate_members_order_items", "dq_broken_options"):
+        plan = all_queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert "xxhash64" in plan and not re.search(r"isnotnull\([^#]*xxhash64", plan), name
+
+
+def test_rows_that_may_repeat_are_made_once_for_both_sides_of_their_join(spark, sf):
+    members = dq.duplicate_members(fixtures.raw_order_items(spark, sf), "order_items")
+    dealt = [line for line in final_plan(members).splitlines() if "REBALANCE_PARTITIONS" in line]
+    assert sorted("ReusedExchange" in line for line in dealt) == [False, True]
