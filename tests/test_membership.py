@@ -135,7 +135,7 @@ def test_a_bitmap_does_not_make_spark_compute_the_rows_twice(spark, sf):
 
     from orderlens.plans.registry import all_queries
 
-    for name in ("dq_duplicate_members_order_items", "dq_broken_options"):
+    for name in ("dq_duplicate_rows_order_items", "dq_duplicate_members_order_items", "dq_broken_options"):
         plan = all_queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
         assert "xxhash64" in plan and not re.search(r"isnotnull\([^#]*xxhash64", plan), name
 
