@@ -142,3 +142,25 @@ def test_summary_counts_column_issues(spark):
     got = {r["file"]: r for r in dq.quality_summary(spark, dates, lines, renamed, raw.limit(0)).collect()}
     assert got["order_item_options.csv"]["corrupt_or_invalid_values"] == 3  # two column issues, one price
     assert got["order_items.csv"]["rows"] == 0 and got["order_items.csv"]["missing_values"] == 0
+
+
+def test_rules_run_compiled_and_agree_with_the_typed_load(spark, sf):
+    from orderlens.functions.columns import is_missing, is_missing_cell, stripped
+    from orderlens.plans.registry import all_queries
+    from orderlens.sources.ingest import is_timestamp, utc_timestamp
+
+    plan = all_queries()["dq_issues_order_items"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan  # rules in a lambda are interpreted row by row
+    ends = ["", " ", "\t\n", "\u00a0", "\u3000", "\x1c", "\x85\u2028"]
+    times = ["2021-12-07 16:23", "2021-12-07T16:23:30Z", "2021-12-07 16:23:30.5 +02:00", "2021-12-07 16:23:30-0230", "2021-13-07 16:23:30",
+             "2021-12-07", "4:39", "2021", "x2021-12-07 16:23:30", "2021-12-07 16:23:30+02:00x", "2021-12-07 25:00:00Z"]
+    rest = ["", "!", "~", "\x7f", "\u00e9", "a b", "\x00", "1", "USD"]
+    rows = [(a + x + b,) for x in times + rest for a in ends for b in ends] + [(None,)]
+    df = spark.createDataFrame(rows, "c string")
+    got = df.select("c", is_timestamp("c").alias("i"), utc_timestamp("c").isNotNull().alias("u"), is_missing("c").alias("m"), is_missing_cell("c").alias("f"))
+    assert [r for r in got.collect() if r["i"] != r["u"] or r["m"] != r["f"]] == []
+    old = stripped("c").rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
+    numbers = spark.createDataFrame([(a + x + b,) for x in ("1", "-.5", "+1.e3", "12d", "1 2", "0x1F", ".", "", "1e400") for a in ends for b in ends] + [(None,)], "c string")
+    wrong = numbers.filter(~dq._number("c").eqNullSafe(dq.F.when(old, stripped("c").try_cast("double"))))
+    assert wrong.collect() == []
+    assert df.filter(dq.C("c").rlike(dq.CURRENCY_PATTERN) != stripped("c").rlike("^[A-Z]{3}$")).collect() == []
