@@ -164,3 +164,10 @@ def test_rules_run_compiled_and_agree_with_the_typed_load(spark, sf):
     wrong = numbers.filter(~dq._number("c").eqNullSafe(dq.F.when(old, stripped("c").try_cast("double"))))
     assert wrong.collect() == []
     assert df.filter(dq.C("c").rlike(dq.CURRENCY_PATTERN) != stripped("c").rlike("^[A-Z]{3}$")).collect() == []
+
+
+def test_summary_does_not_interpret_the_rules(spark, sf):
+    from orderlens.plans.registry import all_queries
+
+    plan = all_queries()["dq_summary"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(array(CASE" not in plan
