@@ -42,13 +42,24 @@ LATE_ORDER = "coalesce(crc32(ORDER_ID) % 20 = 3, false)"
 
 def _ltv_by_increments(spark: SparkSession, d: str) -> DataFrame:
     """Lifetime values of all orders but the late ones, then refreshed for these: what the
-    increment keeps and what it computes."""
+    increment keeps and what it computes.
+
+    Both are made of one rollup of all orders, so lines and options are read and joined once.
+    That takes a filter which Spark does not move below the rollup (it would have two then,
+    of different lines): one that asks for the rollup's sums too, so for all of them
+    wherever it is read; no order is without lines. Days are distinct, so their inner join
+    is a semi join that stays above the rollup."""
     lines = silver_lines(spark, d)
     late = F.expr(LATE_ORDER)
-    stored = silver.with_month(gold.conform(gold.customer_ltv_daily(gold.order_rollup(lines.filter(~late))), "customer_ltv_daily"))
+    no_lines = (F.col("LINES") == 0) & F.col("TOTAL_LINE_REVENUE").isNotNull()
+    rollup = gold.order_rollup(lines).filter(~no_lines)
+    early = rollup.filter(~late | no_lines)
+    stored = silver.with_month(gold.conform(gold.customer_ltv_daily(early), "customer_ltv_daily"))
     days = gold.identified_lines(lines.filter(late)).select(F.col("USER_ID").alias("_u"), F.col("ORDER_DATE").alias("_d")).distinct()
-    theirs = lines.join(days, F.col("USER_ID").eqNullSafe(F.col("_u")) & F.col("ORDER_DATE").eqNullSafe(F.col("_d")), "left_semi")
-    changed = gold.conform_activity(gold.customer_daily_activity(gold.order_rollup(theirs)))
+    theirs = rollup.join(days, F.col("USER_ID").eqNullSafe(F.col("_u")) & F.col("ORDER_DATE").eqNullSafe(F.col("_d"))).drop("_u", "_d")
+    # likewise one activity for all that is read of it: every row passes
+    every = (F.col("daily_order_count") >= 0) | F.col("daily_revenue").isNull()
+    changed = gold.conform_activity(gold.customer_daily_activity(theirs)).filter(every)
     rows, _ = gold.refreshed_lifetime_values(stored, gold.lifetime_totals(stored), changed)
     months = rows.select(F.col("ORDER_MONTH").alias("_m")).distinct()
     kept = stored.join(months, F.col("ORDER_MONTH").eqNullSafe(F.col("_m")), "left_anti")
