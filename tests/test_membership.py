@@ -144,3 +144,26 @@ def test_rows_that_may_repeat_are_made_once_for_both_sides_of_their_join(spark,
     members = dq.duplicate_members(fixtures.raw_order_items(spark, sf), "order_items")
     dealt = [line for line in final_plan(members).splitlines() if "REBALANCE_PARTITIONS" in line]
     assert sorted("ReusedExchange" in line for line in dealt) == [False, True]
+
+
+def test_lines_are_made_once_for_what_reads_them_twice(spark, sf):
+    """Numbered lines in the final plan: of the options (keys, rows), the line keys and the
+    lines; of the options, all lines and the late days."""
+    from orderlens.plans.registry import all_queries
+
+    for name, most in (("dq_broken_order_items", 4), ("customer_ltv_refreshed", 3)):
+        assert final_plan(all_queries()[name](spark, sf)).count("Window [row_number") == most, name
+
+
+def test_lines_of_broken_orders_with_a_hot_and_a_lone_id(spark):
+    """A third of the lines on no order; ids of the broken options with lines, without any, null."""
+    names = dq.BROKEN_ORDER_COLUMNS
+    order = [None if i % 3 == 0 else str(i % 50) for i in range(3000)]
+    lines = spark.createDataFrame([(o, str(i), *["x"] * 7) for i, o in enumerate(order)], ", ".join(f"{c} string" for c in names))
+    for ids in ([None, "7", "7", "lone"], ["lone", "8"], [None], []):
+        broken = spark.createDataFrame([(i,) for i in ids], "ORDER_ID string")
+        got = sorted((r["ORDER_ID"] or "", r["LINEITEM_ID"] or "") for r in dq.broken_order_lines(broken, lines).collect())
+        want = [(o or "", str(i)) for i, o in enumerate(order) if o in ids] + [("lone", "")] * ("lone" in ids)
+        assert got == sorted(want), ids
+    none = lines.filter("ORDER_ID IS NOT NULL")
+    assert [tuple(r) for r in dq.broken_order_lines(spark.createDataFrame([(None,)], "ORDER_ID string"), none).collect()] == [(None,) * 9]
