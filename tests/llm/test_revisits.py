@@ -138,3 +138,29 @@ def test_a_hot_url_within_a_minute_and_over_days(spark, frame):
         if r[1] == "revisit":
             earlier = [x for x in responses if r[3] and x[0] < r[3]]
             assert got[r[0]] == (max(earlier)[1] if earlier else None)
+
+
+def test_the_log_is_made_by_compiled_code(spark, sf):
+    """A lambda around the records would interpret all that makes them; dates and digests
+    that several records hold are made once."""
+    plan = queries.page_log(spark.read.parquet(f"{sf}/pages.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan
+    assert plan.count("md5(") == 4 and plan.count("EEE, dd MMM yyyy") == 4  # three contents and the root; three captures and the request
+
+
+def test_odd_header_lines_by_plain_python(spark):
+    import random
+    import re
+
+    rng = random.Random(5)
+    pieces = ["a", "B", ":", " ", "\r", "\n", "\r\n", "\t", "\u00e9", "\u0085", "\u2028", "x: y", "\u03a3: 1"]
+    heads = ["".join(rng.choice(pieces) for _ in range(30)) for _ in range(300)] + ["", "A: 1\r\na:  2 \r\n b: x\nc:d:e\n:v\nE:\nF:   \ng:a\rb\r\r\nH: \t x \t"]
+    heads = [h for h in heads if "\r\n\r\n" not in f"-\r\n\r\n{h}\r\n\r\n"[4:-4]]
+    got = rv.parse_records(spark.createDataFrame([(f"-\r\n\r\n{h}\r\n\r\nbody",) for h in heads], "record string").coalesce(1)).collect()
+    for head, row in zip(heads, got):
+        want = {}
+        for x in re.split("\r?\n", head):
+            if re.match(r"[^: \t\n\x0b\f\r]+:", x):
+                name, value = x.split(":", 1)
+                want.setdefault(name.lower(), []).append(value.strip(" "))
+        assert row.headers == {k: ", ".join(v) for k, v in want.items()}, repr(head)
