@@ -14,7 +14,7 @@ Steps, each a Spark job over the whole table:
 2. ``distinct_lines``: lines with the same words collapse into the earliest one, by a
    128-bit hash. What remains carries its prefix: the rarest tokens, as many as any
    partner must share one of.
-3. ``candidates``: prefix entries meet by token. Length, positional and bitmap filters
+3. ``candidates``: prefix entries meet by token; they travel in blocks, by a hash of it. Length, positional and bitmap filters
    (128 bits of token parity bound the symmetric difference) drop pairs that cannot
    reach the threshold. A line needs one earlier partner only, so each entry gives at
    most ``PARTNERS`` candidates and says if there may be more. Tokens with many entries
@@ -54,7 +54,13 @@ SKETCH_BITS = 16
 PARTNERS = 8
 GROUP_LIMIT = 20_000
 BLOOM_BITS = 26
+#: Entries that a task holds until it deals them out, and the most in a block.
+HELD = 400_000
+BLOCK = 256
+#: Entries that candidates are looked for in at once (whole buckets).
+AT_ONCE = 200_000
 
+_MASK = np.int32((1 << SKETCH_BITS) - 1)
 _NONE = np.iinfo(np.int64).max
 
 
@@ -207,13 +213,11 @@ def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np.
 
 def token_chunks(lines: DataFrame) -> np.ndarray:
     """Number of chunks of the entries of every token bucket."""
-    mask = np.int32((1 << SKETCH_BITS) - 1)
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
             keys, _, _ = _flat(batch, "prefix")
-            total += np.bincount(keys & mask, minlength=len(total))
+            total += np.bincount(keys & _MASK, minlength=len(total))
         yield _count_batch(total)
 
     in_bucket = _summed(lines.select("prefix").mapInArrow(count, _COUNTS))
@@ -223,32 +227,80 @@ def token_chunks(lines: DataFrame) -> np.ndarray:
     return np.where(in_bucket > limit, -(-in_bucket * 2 // limit), 1).astype(np.int32)
 
 
+def _entries(batch: pa.RecordBatch, chunks: np.ndarray, tokens: np.ndarray | None = None) -> list[np.ndarray]:
+    """The columns of ``_ENTRY``: a row per line and prefix token; more for tokens with many
+    lines, which go to every pair of chunks that holds theirs."""
+    keys, row, pos = _flat(batch, "prefix")
+    if tokens is not None:
+        wanted = _in_bloom(tokens, keys.view(np.uint32))
+        keys, row, pos = keys[wanted], row[wanted], pos[wanted]
+    cols = {n: batch.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(batch.schema.names) if n != "prefix"}
+    c = chunks[keys & _MASK]
+    at = np.repeat(np.arange(len(keys)), c)
+    other = np.arange(len(at)) - np.repeat(np.cumsum(c) - c, c)
+    mine = (ts.mix(cols["k1"].view(np.uint64))[row] % c.astype(np.uint64)).astype(np.int64)[at]
+    pair = np.minimum(mine, other) * c[at] + np.maximum(mine, other)
+    key = (keys[at].astype(np.int64) << 32) + pair
+    rows = row[at]
+    return [key, cols["k1"][rows], cols["oid"][rows], cols["line"][rows], cols["n"][rows], pos[at].astype(np.int32), cols["b1"][rows], cols["b2"][rows]]
+
+
+def _with_prefix(lines: DataFrame) -> DataFrame:
+    return lines.select("k1", F.coalesce("id", F.lit(_NONE)).alias("oid"), "line", "n", "b1", "b2", "prefix")
+
+
 def prefix_entries(lines: DataFrame, chunks: np.ndarray, tokens: np.ndarray | None = None) -> DataFrame:
-    """One row per line and prefix token; more for tokens with many lines, which go to
-    every pair of chunks that holds theirs. ``tokens``: a bit table (``_bloom``) that
-    selects tokens, and perhaps some others."""
-    mask = np.int32((1 << SKETCH_BITS) - 1)
+    """The entries of lines. ``tokens``: a bit table (``_bloom``) that selects tokens, and
+    perhaps some others."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, row, pos = _flat(batch, "prefix")
-            if tokens is not None:
-                wanted = _in_bloom(tokens, keys.view(np.uint32))
-                keys, row, pos = keys[wanted], row[wanted], pos[wanted]
-            cols = {n: batch.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(batch.schema.names) if n != "prefix"}
-            c = chunks[keys & mask]
-            at = np.repeat(np.arange(len(keys)), c)
-            other = np.arange(len(at)) - np.repeat(np.cumsum(c) - c, c)
-            mine = (ts.mix(cols["k1"].view(np.uint64))[row] % c.astype(np.uint64)).astype(np.int64)[at]
-            pair = np.minimum(mine, other) * c[at] + np.maximum(mine, other)
-            key = (keys[at].astype(np.int64) << 32) + pair
-            rows = row[at]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (key, cols["k1"][rows], cols["oid"][rows], cols["line"][rows], cols["n"][rows], pos[at].astype(np.int32), cols["b1"][rows], cols["b2"][rows])],
-                names=_ENTRY.names,
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _entries(batch, chunks, tokens)], names=_ENTRY.names)
+
+    return _with_prefix(lines).mapInArrow(entries, _ENTRY)
+
+
+_BLOCK = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("entries", T.BinaryType())])
+#: An entry in a block.
+_PACKED = np.dtype([(f.name, "<i8" if isinstance(f.dataType, T.LongType) else "<i4") for f in _ENTRY.fields])
+
+
+def entry_blocks(lines: DataFrame, chunks: np.ndarray, buckets: int) -> DataFrame:
+    """(bucket, entries): the entries of lines in blocks of at most ``BLOCK``, by a hash of
+    their key. An entry of its own would cost Spark a row in the exchange, the sort and
+    the way to Python."""
+
+    def blocks(cols: list[np.ndarray]) -> pa.RecordBatch:
+        bucket = (ts.mix(cols[0].view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket)
+        bucket = bucket[order]
+        entries = np.empty(len(order), _PACKED)
+        for name, col in zip(_PACKED.names, cols):
+            entries[name] = col[order]
+        begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        place = np.arange(len(bucket)) - np.repeat(begin, np.diff(np.append(begin, len(bucket))))
+        first = np.flatnonzero(place % BLOCK == 0)
+        offsets = pa.py_buffer(np.append(first, len(bucket)).astype(np.int64) * _PACKED.itemsize)
+        cells = pa.Array.from_buffers(pa.large_binary(), len(first), [None, offsets, pa.py_buffer(entries)])
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first]), cells.cast(pa.binary())], names=_BLOCK.names)
+
+    def packed_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            cols = _entries(batch, chunks)
+            # a batch with very frequent tokens has many entries
+            for at in range(0, len(cols[0]), HELD):
+                held.append([c[at : at + HELD] for c in cols])
+                size += len(held[-1][0])
+                if size >= HELD:
+                    yield blocks([np.concatenate(c) for c in zip(*held)])
+                    held, size = [], 0
+        if size:
+            yield blocks([np.concatenate(c) for c in zip(*held)])
+        ts.release_memory()
 
-    return lines.select("k1", F.coalesce("id", F.lit(_NONE)).alias("oid"), "line", "n", "b1", "b2", "prefix").mapInArrow(entries, _ENTRY)
+    return _with_prefix(lines).mapInArrow(packed_entries, _BLOCK)
 
 
 _PAIR = T.StructType(
@@ -257,16 +309,24 @@ _PAIR = T.StructType(
 
 
 def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (later y, earlier x) within the groups of entries sorted by key."""
-
-    def pairs(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, n = cols[0], cols[4]
+    """Candidate pairs (later y, earlier x) within the groups of entries with one key, from
+    blocks sorted by bucket."""
+
+    def pairs(entries: np.ndarray) -> Iterator[pa.RecordBatch]:
+        key = entries["key"]
+        order = np.argsort(key)
+        key = key[order]
+        same = np.append(key[1:] == key[:-1], False)
+        shared = same | np.append(False, same[:-1])  # an entry of its own has no partner
+        order, key = order[shared], key[shared]
+        if not len(key):
+            return
         group = np.cumsum(np.append(False, key[1:] != key[:-1]))
         # by length within a group: partners of i stand right after it
-        order = np.argsort((group << 32) + n, kind="stable")
-        _, k1, oid, line, n, pos, b1, b2 = (c[order] for c in cols)
-        group = group.astype(np.int32)
-        group, rest, b1, b2 = group[order], n - pos, b1.view(np.uint64), b2.view(np.uint64)
+        by_length = np.argsort((group << 32) + entries["n"][order])
+        order, group = order[by_length], group[by_length].astype(np.int32)
+        k1, oid, line, n, pos, b1, b2 = (entries[c][order] for c in ("k1", "oid", "line", "n", "pos", "b1", "b2"))
+        rest, b1, b2 = n - pos, b1.view(np.uint64), b2.view(np.uint64)
         longest = n * THRESHOLD[1] // THRESHOLD[0]
         found = np.zeros(len(n), dtype=np.int32)
         # the shorter line of a pair has its first common token within a shorter prefix
@@ -296,27 +356,27 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(k1[y]), pa.array(k1[x]), pa.array(far.astype(np.int32)), pa.array(found[y] >= PARTNERS)], names=_PAIR.names
             )
 
-    held: list[list[np.ndarray]] = []
-    rows = 0
+    held: list[np.ndarray] = []
+    size, last = 0, None
     for batch in batches:
-        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-        rows += batch.num_rows
-        if rows < 200_000:
-            continue
-        cols = [np.concatenate(c) for c in zip(*held)]
-        done = int(np.searchsorted(cols[0], cols[0][-1]))
-        if done:
-            yield from pairs([c[:done] for c in cols])
-        held, rows = [[c[done:] for c in cols]], rows - done
-    if rows:
-        yield from pairs([np.concatenate(c) for c in zip(*held)])
+        for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if bucket != last and size >= AT_ONCE:
+                yield from pairs(np.concatenate(held))
+                held, size = [], 0
+            last = bucket
+            held.append(np.frombuffer(block.as_buffer(), _PACKED))
+            size += len(held[-1])
+    if held:
+        yield from pairs(np.concatenate(held))
+    ts.release_memory()
 
 
 def candidates(lines: DataFrame, chunks: np.ndarray) -> DataFrame:
     """(y, x, far, more): candidate partners x of lines y, a bound of their distance, and
     whether y's list may have been cut."""
     parts = partitions_for(lines.sparkSession, lines.count() * 10, 4_000_000)
-    placed = prefix_entries(lines, chunks).repartition(parts, "key").sortWithinPartitions("key")
+    # buckets of some 100,000 entries, many a task
+    placed = entry_blocks(lines, chunks, parts * 32).repartition(parts, "bucket").sortWithinPartitions("bucket")
     return placed.mapInArrow(_partners, _PAIR).groupBy("y", "x").agg(F.min("far").alias("far"), F.max("more").alias("more"))
 
 
@@ -438,7 +498,7 @@ def kept_lines(texts: DataFrame) -> DataFrame:
     and text."""
     lines = stored(distinct_lines(texts, token_counts(texts)))
     chunks = token_chunks(lines)
-    pairs = stored(candidates(lines, chunks), batch_rows=20_000)  # rows of numbers
+    pairs = stored(candidates(lines, chunks))
     gone = verified(texts, lines, pairs)
     open_lines = stored(pairs.filter("more").select("y").distinct().join(gone, "y", "left_anti"))
     if not open_lines.isEmpty():

@@ -119,3 +119,33 @@ def test_ids_of_other_types(frame):
     assert got == [("B", 1, []), ("None", 1, [0]), ("None", 1, [0]), ("a10", 2, [0]), ("a2", 2, [0])]
     kept = {r.doc_id: r.text for r in ld.dedup_lines(frame(rows[:3], "doc_id string, text string")).collect()}
     assert kept == {"B": "one two three", "a10": "x", "a2": "y"}
+
+
+def test_entries_travel_in_blocks(frame, noisy, monkeypatch):
+    """The blocks hold the entries, each key in one bucket, many entries a row; candidates do
+    not depend on how many buckets are searched at once."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    texts = frame(noisy, "id long, text string").withColumn("h", F.xxhash64("text"))
+    lines = ld.stored(ld.distinct_lines(texts, ld.token_counts(texts)))
+    chunks = np.full(1 << ld.SKETCH_BITS, 1, np.int32)
+    chunks[::3] = 3
+    want = sorted(tuple(r) for r in ld.prefix_entries(lines, chunks).collect())
+    rows = ld.entry_blocks(lines, chunks, 4).orderBy("bucket").collect()
+    blocks = [np.frombuffer(r.entries, ld._PACKED) for r in rows]
+    assert sorted(tuple(e) for b in blocks for e in b.tolist()) == want
+    tasks = lines.rdd.getNumPartitions()
+    assert max(map(len, blocks)) <= ld.BLOCK and len(rows) <= len(want) / ld.BLOCK + 4 * tasks
+    bucket_of = {}
+    assert all(bucket_of.setdefault(k, r.bucket) == r.bucket for r, b in zip(rows, blocks) for k in b["key"].tolist())
+
+    def found(at_once, size):
+        monkeypatch.setattr(ld, "AT_ONCE", at_once)
+        batches = [pa.RecordBatch.from_pylist([{"bucket": r.bucket, "entries": bytes(r.entries)} for r in rows[i : i + size]]) for i in range(0, len(rows), size)]
+        out = pa.Table.from_batches(list(ld._partners(iter(batches))))
+        return set(zip(out["y"].to_pylist(), out["x"].to_pylist()))
+
+    monkeypatch.setattr(ld, "PARTNERS", 10**6)
+    assert found(1, 1) == found(10**9, 10**6) == {(r.y, r.x) for r in ld.all_candidates(lines, chunks, lines.select(F.col("k1").alias("y"))).collect()}
